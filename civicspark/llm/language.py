@@ -183,16 +183,16 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     return network.fit(np.concatenate([x, short]), np.concatenate([y, y]))
 
 
-def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: str = "text", windows_at_once: int = 512) -> DataFrame:
-    """``key``, ``lang_pred`` and ``score`` (mean probability, 0 to 1) of every row, from its whole text alone.
+def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), windows_at_once: int = 512) -> DataFrame:
+    """``key``, the columns named in ``carry``, ``lang_pred`` and ``score`` (mean probability, 0 to 1) of every row, from its whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if the network knows no language.
     Repeated rows each get a row, ties go to the language first in order, an empty table gives no rows; no other column
     is read.
     """
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    frame = docs.select(F.col(key), F.when(lettered, F.col(text)).alias("text"))
-    kind = frame.schema[key].dataType.simpleString()
+    frame = docs.select(F.col(key), F.when(lettered, F.col(text)).alias("_seen"), *carry)
+    kinds = [f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in (key, *carry)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network  # a few thousand numbers, whatever the input
@@ -217,6 +217,7 @@ def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: st
             best = total.argmax(axis=1) if net.languages else np.zeros(rows, int)
             score = np.where(known, total[np.arange(rows), best] / np.maximum(mass, 1e-12), 0.0) if net.languages else np.zeros(rows)
             best = np.where(known, best, len(net.languages))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([names[i] for i in best], pa.string()), pa.array(np.clip(score, 0, 1))], names=[key, "lang_pred", "score"])
+            made = [pa.array([names[i] for i in best], pa.string()), pa.array(np.clip(score, 0, 1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *made], names=[key, *carry, "lang_pred", "score"])
 
-    return frame.mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
+    return frame.mapInArrow(run, ", ".join([*kinds, "lang_pred string, score double"]))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, digests, language, mixing, pages, sentencepieces, topk, toxicity
+from . import chat, digests, language, mixing, ngram_join, pages, passages, sentencepieces, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +54,22 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     chain = toxicity.learn(docs, labels, {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")})
     return toxicity.score(docs, chain).select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.4).cast("int").alias("toxic"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepieces.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -90,5 +100,5 @@ FROM kept k LEFT JOIN w s ON s.n < k.n AND s.turns = k.turns[1:s.n]
 GROUP BY k.conv_id, k.n, k.n_copies, k.chat
 """
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_exact_topk, op3_language_id, op4_html_extraction, op5_source_mixing, op7_toxicity, op9_sentencepiece, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_exact_topk, op3_language_id, op4_html_extraction, op5_source_mixing, op6_suffix_dedup, op7_toxicity, op8_ngram_jaccard_join, op9_sentencepiece, op10_chat_formatting)}
 ORACLES = {"op2_exact_topk": OP2_SQL, "op10_chat_formatting": OP10_SQL}
