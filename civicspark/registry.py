@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from .queries import series
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _module in (series,):
+    QUERIES.update(_module.registry.queries)
+    ORACLES.update(_module.registry.oracles)
