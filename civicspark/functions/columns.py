@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def strict_date(text: Column) -> Column:
     """A date written yyyy-MM-dd; null for anything else."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def partition_date(day: Column) -> Column:
