@@ -7,10 +7,11 @@ import math
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
 
 from civicspark.registry import ORACLES, QUERIES
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
