@@ -275,6 +275,8 @@ def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text:
 
 def _ranged(rows: DataFrame, bounds: list) -> DataFrame:
     """``_range``: how many bounds are at or below the key; null keys are in range 0."""
+    if not bounds:
+        return rows.withColumn("_range", F.lit(0))
     cut = Bucketizer(splits=[float("-inf"), *map(float, bounds), float("inf")], inputCol="_d", outputCol="_b", handleInvalid="keep")
     out = cut.transform(rows.withColumn("_d", F.col("_k").cast("double")))
     return out.withColumn("_range", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.col("_b").cast("int"))).drop("_d", "_b")

@@ -27,8 +27,8 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0

@@ -29,10 +29,10 @@ class Settings:
 
     sample_rows: int = 8000
     bits: int = 20
-    prefix: int = 5
+    prefix: int = 4
     folds: int = 3
-    epochs: int = 4
-    l1: float = 1.5
+    epochs: int = 6
+    l1: float = 10.0
     l2: float = 1.0
     rate: float = 0.3
     seed: int = 11
