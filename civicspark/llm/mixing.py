@@ -21,7 +21,7 @@ from .frames import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 #: The fraction of the golden ratio, times 2**53, rounded to an odd number: j times it, modulo 2**53, is exact.
 _GOLDEN = round((math.sqrt(5) - 1) / 2 * 2**53) | 1
-_PER_BUCKET = 4096
+_PER_BUCKET = 512
 
 
 @dataclass(frozen=True)
