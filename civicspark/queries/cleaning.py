@@ -212,7 +212,7 @@ def landed_monthly(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):  # a rerun replaces the same months
         landing.write_monthly(rows, path, "day")
     schema = StructType([StructField("o_orderkey", LongType()), StructField("day", StringType())])
-    return landing._partitioned(spark, path, schema, ["month"]).groupBy("month").agg(F.count("*").alias("n"))
+    return landing.read_partitioned(spark, path, schema, ["month"]).groupBy("month").agg(F.count("*").alias("n"))
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")

@@ -26,20 +26,20 @@ def read_days(spark: SparkSession, root: str, schema: StructType, start: date, e
     """Records of the days [start, end) of a daily layout: month=YYYY-MM/date=YYYY-MM-DD folders, pruned by partition.
     Days without a folder are simply absent."""
     months = [F.lit(start.strftime("%Y-%m")), F.lit(end.strftime("%Y-%m"))]
-    df = _partitioned(spark, root, schema, ["month", "date"])
+    df = read_partitioned(spark, root, schema, ["month", "date"])
     return df.where(F.col("month").between(*months) & (F.col("date") >= start.isoformat()) & (F.col("date") < end.isoformat()))
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: StructType, start: date | None = None, end: date | None = None) -> DataFrame:
     """Records of all collections of a snapshot layout, ingest_date=YYYY-MM-DD folders, with that date as a string and the
     file that each came from; only the folders of [start, end) are opened."""
-    df = _partitioned(spark, root, schema, ["ingest_date"]).withColumn("_source_file", F.col("_metadata.file_path"))
+    df = read_partitioned(spark, root, schema, ["ingest_date"]).withColumn("_source_file", F.col("_metadata.file_path"))
     if start is not None:
         df = df.where(F.col("ingest_date") >= start.isoformat())
     return df if end is None else df.where(F.col("ingest_date") < end.isoformat())
 
 
-def _partitioned(spark: SparkSession, root: str, schema: StructType, keys: list[str]) -> DataFrame:
+def read_partitioned(spark: SparkSession, root: str, schema: StructType, keys: list[str]) -> DataFrame:
     full = StructType([*[f for f in schema.fields if f.name not in keys], *[StructField(k, StringType()) for k in keys]])
     return spark.read.schema(full).option("recursiveFileLookup", "false").json(root)
 
