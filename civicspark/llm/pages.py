@@ -2,8 +2,8 @@
 
 Markup is stripped into lines, one for each block; what stands in menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments leaves gaps of empty lines. Text lengths are summed over a sliding window of
-lines; the text begins at surge points, where that sum first exceeds a threshold, and ends at dive points, where it has
-fallen to nothing. Everything between a surge and its dive is kept, short lines included.
+lines; the text begins at surge points, where that sum leaves nothing on its way to a threshold, and ends at dive points,
+where it has fallen to nothing. Everything between a surge and its dive is kept, short lines included.
 """
 
 from __future__ import annotations
@@ -151,14 +151,10 @@ def main_text(page: str, *, window: int = 3, threshold: int = 80) -> str:
         return ""
     sums = np.convolve(np.array([*lengths, *[0] * window]), np.ones(window, int))[window - 1 : window - 1 + len(lengths)]
     least = min(threshold, int(sums.max()))
-    out, reading = [], False
-    for text, length, total in zip(kept, lengths, sums, strict=True):
-        if not reading and total >= least and length:
-            reading = True
-        elif reading and total == 0:
-            reading = False
-        if reading and text is not None:
-            out.append(text)
+    # from surge to dive: a run of sums above nothing, if one of them reaches the threshold
+    run = np.cumsum(sums == 0)
+    reached = set(run[sums >= least].tolist())
+    out = [text for text, r in zip(kept, run.tolist(), strict=True) if text is not None and r in reached]
     return "\n\n".join(out)
 
 

@@ -54,6 +54,7 @@ HEAD = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><bod
         (HEAD + "<div class='ad'>Buy</div><article><h1>T</h1><p><b>open bold<br><p>next</article><footer>f", "T\n\nopen bold\n\nnext"),
         (HEAD + "<article><p>A</p><script>var t='</p>';</script><!-- x <p>no</p> --><aside>side</aside><p>B</p><section class='comments'><p>me too</p></section></article>", "A\n\nB"),
         (HEAD + "<div><h1>No article</h1><p>" + "words " * 40 + "</p><p>end</p></div><div id='cookie-banner'>We use</div><form><p>f</p></form>", "No article\n\n" + "words " * 39 + "words\n\nend"),
+        (HEAD + "<article><h1>Short</h1><p>one</p><p>two</p><p>" + "long " * 30 + "</p></article>", "Short\n\none\n\ntwo\n\n" + "long " * 29 + "long"),
         (HEAD + "<article><p>cut &am", "cut &am"),
         (HEAD + "<article><p>a</p><foot", "a"),
         (HEAD + "<article class='post has-sidebar'><ul><li>one</li><li>two</li></ul></article>", "one\n\ntwo"),
