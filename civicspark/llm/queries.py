@@ -88,7 +88,7 @@ WITH t AS (
          string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS chat
   FROM t GROUP BY conv_id
 ), p AS (
-  SELECT DISTINCT c.turns[1:k.i] AS turns FROM c, (SELECT unnest(range(1, 1000)) AS i) k WHERE k.i < c.n
+  SELECT DISTINCT turns[1:i] AS turns FROM (SELECT turns, unnest(range(1, n)) AS i FROM c)
 ), w AS (
   SELECT turns, n, min(conv_id) AS conv_id, count(*) AS n_copies, min(chat) AS chat FROM c GROUP BY turns, n
 ), kept AS (
