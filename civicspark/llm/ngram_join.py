@@ -5,9 +5,9 @@ each fragment alone finds the shingles that more than one node holds, and how ma
 first, are its place in the global order: two nodes can only reach the threshold if they meet in the first part of it
 (prefix filter). Candidate pairs are counted fragment by fragment, and the partial overlaps summed per pair.
 
-Links matter as far as they connect. Candidates are first tried against one centre for each shingle, twice with other
-centres; then all candidate pairs that still stand in different components are counted, but for those whose parity
-bitmaps already differ in more bits than the sets may in shingles. A group of m near copies so costs about m pairs
+Links matter as far as they connect. Candidates are first tried against a centre for each shingle, and where a shingle's
+nodes still stand apart, against others; then all candidate pairs that still stand in different components are counted,
+but for those whose parity bitmaps already differ in more bits than the sets may in shingles. A group of m near copies so costs about m pairs
 instead of m * m / 2, and no link between components is lost.
 """
 
@@ -28,9 +28,10 @@ _FRAGMENT_BYTES = 8 << 20
 _SLICE = 4 << 20
 #: Fragments of the order in which a pair's overlap is counted.
 _COUNTED = 4
-#: Rounds against centres, and 64-bit words of a parity bitmap; neither changes the result.
+#: 64-bit words of a parity bitmap; further rounds against centres, and a group's centres in each. None changes the result.
+_WORDS = 8
 _ROUNDS = 2
-_WORDS = 4
+_CENTRES = 8
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -190,30 +191,31 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     nodes = materialize(able.mapInArrow(_ordered, "node long, n long, items array<long>, bitmap array<long>"))
     # the first part of the order, of which shingles that nobody else holds come first
     prefix = F.floor(F.col("n") * (100 - percent) / 100.0 + 1e-9) + 1 - (F.col("n") - F.size("items"))
-    prefixes = materialize(nodes.where(prefix > 0).select("node", "n", F.explode(F.slice("items", F.lit(1), F.least(prefix, F.size("items")).cast("int"))).alias("shingle")))
+    first = F.slice("items", F.lit(1), F.least(prefix, F.size("items")).cast("int"))
+    placed = nodes.where(prefix > 0).select("node", "n", (F.col("n") - F.size("items")).alias("alone"), F.posexplode(first).alias("at", "shingle"))
+    prefixes = materialize(placed.select("node", "n", "shingle", (F.col("alone") + F.col("at")).alias("place")))
     segments = nodes.select("node", F.posexplode(F.array(*[_segment(i) for i in range(_COUNTED)])).alias("part", "segment"))
 
-    comps = materialize(nodes.select("node", F.col("node").alias("comp")))
-    links = None
-    for turn in range(_ROUNDS):
-        rows = prefixes.join(comps, "node")
-        order = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "n", "comp")
-        centres = rows.groupBy("shingle").agg(F.min(order).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle", "c")
-        tried = rows.join(centres, "shingle").where(F.col("comp") != F.col("c.comp")).select(*_pair("node", "n", "c.node", "c.n"))
-        found = materialize(_links(_fit(tried, percent), segments, percent))
-        links = found if links is None else links.union(found)
+    # names are hashes, so the least of a shingle's nodes is any of them, and mostly the same one for a group of copies
+    one = prefixes.withColumn("comp", F.col("node"))
+    links = materialize(_links(_tried(one, F.lit(0), percent), segments, percent))
+    comps = materialize(components(nodes, links))
+    for turn in range(1, 1 + _ROUNDS):
+        apart = materialize(_apart((prefixes if turn == 1 else apart.drop("comp")).join(comps, "node")))
+        some = segments.join(apart.select("node").distinct(), "node", "left_semi")
+        order = F.xxhash64(F.lit(turn), "node", F.pmod("shingle", F.lit(_CENTRES)))
+        links = links.union(materialize(_links(_tried(apart, order, percent), some, percent)))
         comps = materialize(components(nodes, links))
 
     # all pairs that may link and still stand apart
-    rows = prefixes.join(comps, "node")
-    torn = rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle")
     own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).alias("alone"))
-    open_ = rows.join(torn, "shingle", "left_semi").join(own, "node")
-    other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "bitmap", "alone")])
+    open_ = materialize(_apart(apart.drop("comp").join(comps, "node")).join(own, "node"))
+    some = segments.join(open_.select("node").distinct(), "node", "left_semi")
+    other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "place", "bitmap", "alone")])
     differ = sum((F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b"))
     near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
-    rest = open_.join(other, "shingle").where((F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & near).select(*_pair("node", "n", "node_b", "n_b"))
-    found = materialize(_links(_fit(rest, percent), segments, percent))
+    rest = open_.join(other, "shingle").where((F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near).select(*_pair("node", "n", "node_b", "n_b"))
+    found = materialize(_links(_fit(rest, percent), some, percent))
     if not found.isEmpty():
         comps = materialize(components(nodes, links.union(found)))
 
@@ -229,6 +231,26 @@ def _pair(a: str, na: str, b: str, nb: str) -> list[Column]:
     return [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(n) for x, y, n in ((a, b, "a"), (na, nb, "na"), (b, a, "b"), (nb, na, "nb"))]
 
 
+def _tried(rows: DataFrame, order: Column, percent: int) -> DataFrame:
+    """Pairs of each shingle's nodes with the one that is first in ``order``, where these stand in different components."""
+    centres = rows.groupBy("shingle").agg(F.min(F.struct(order.alias("o"), "node", "n", "comp", "place")).alias("c"))
+    paired = rows.join(centres, "shingle").where((F.col("comp") != F.col("c.comp")) & _reach("n", "place", "c.n", "c.place", percent))
+    return _fit(paired.select(*_pair("node", "n", "c.node", "c.n")), percent)
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """The rows of shingles whose nodes stand in different components."""
+    torn = rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle")
+    return rows.join(torn, "shingle", "left_semi")
+
+
+def _reach(n: str, place: str, n_b: str, place_b: str, percent: int) -> Column:
+    """Whether a pair may reach the threshold if this is the first shingle that both hold, at these places of their orders.
+    A pair that links passes at its first common shingle."""
+    left = F.least(F.col(n) - F.col(place), F.col(n_b) - F.col(place_b))
+    return (100 + percent) * left >= percent * (F.col(n) + F.col(n_b))
+
+
 def _fit(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs whose sizes allow the threshold."""
     return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()
