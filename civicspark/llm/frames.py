@@ -29,8 +29,31 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
+
+
+def materialize_bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The same, with rows of a key in one bucket: joins on it then shuffle the other side alone."""
+    spark = df.sparkSession
+    name = f"t_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}"
+    df.write.bucketBy(partitions(spark), key).sortBy(key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    out.written_to, out.table_name = path, name
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no result depends on any more."""
+    for table in tables:
+        spark = table.sparkSession
+        if hasattr(table, "table_name"):
+            spark.sql(f"DROP TABLE IF EXISTS {table.table_name}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .frames import materialize, partitions, text_bytes
+from .frames import discard, materialize, materialize_bucketed, partitions, text_bytes
 from .kernels import mix, shingle_sets, utf8
 
 _FRAGMENT_BYTES = 8 << 20
@@ -138,17 +138,18 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), bitmap], names=["node", "n", "items", "bitmap"])
 
 
-def _segment(part: int) -> Column:
-    return F.filter("items", lambda x: x % _COUNTED == part)
+def _part(i: int) -> Column:
+    return F.filter("items", lambda x: x % _COUNTED == i)
 
 
-def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that reach the threshold, counted fragment by fragment."""
-    left = segments.select(F.col("node").alias("a"), "part", F.col("segment").alias("_x"))
-    right = segments.select(F.col("node").alias("b"), "part", F.col("segment").alias("_y"))
-    per_part = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_COUNTED - 1)))).join(left, ["a", "part"]).join(right, ["b", "part"])
-    partial = per_part.select("a", "na", "b", "nb", F.size(F.array_intersect("_x", "_y")).alias("overlap"))
-    summed = partial.groupBy("a", "na", "b", "nb").agg(F.sum("overlap").alias("overlap"))
+def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, na, b, nb) that reach the threshold: overlaps counted fragment by fragment and summed.
+
+    ``nodes`` lies in buckets, so that only the pairs move, with the shingles of one side.
+    """
+    left, right = (nodes.select(F.col("node").alias(k), *[F.col(f"part{i}").alias(f"{k}{i}") for i in range(_COUNTED)]) for k in "ab")
+    partial = [F.size(F.array_intersect(f"a{i}", f"b{i}")) for i in range(_COUNTED)]
+    summed = pairs.join(left, "a").join(right, "b").select("a", "na", "b", "nb", sum(partial[1:], partial[0]).alias("overlap"))
     return summed.where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
@@ -194,30 +195,32 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     first = F.slice("items", F.lit(1), F.least(prefix, F.size("items")).cast("int"))
     placed = nodes.where(prefix > 0).select("node", "n", (F.col("n") - F.size("items")).alias("alone"), F.posexplode(first).alias("at", "shingle"))
     prefixes = materialize(placed.select("node", "n", "shingle", (F.col("alone") + F.col("at")).alias("place")))
-    segments = nodes.select("node", F.posexplode(F.array(*[_segment(i) for i in range(_COUNTED)])).alias("part", "segment"))
+    segments = materialize_bucketed(nodes.select("node", *[_part(i).alias(f"part{i}") for i in range(_COUNTED)]), "node")
 
     # names are hashes, so the least of a shingle's nodes is any of them, and mostly the same one for a group of copies
     one = prefixes.withColumn("comp", F.col("node"))
-    links = materialize(_links(_tried(one, F.lit(0), percent), segments, percent))
+    links = first_links = materialize(_links(_tried(one, F.lit(0), percent), segments, percent))
+    used = [nodes, prefixes, segments, first_links]
     comps = materialize(components(nodes, links))
     for turn in range(1, 1 + _ROUNDS):
         apart = materialize(_apart((prefixes if turn == 1 else apart.drop("comp")).join(comps, "node")))
-        some = segments.join(apart.select("node").distinct(), "node", "left_semi")
         order = F.xxhash64(F.lit(turn), "node", F.pmod("shingle", F.lit(_CENTRES)))
-        links = links.union(materialize(_links(_tried(apart, order, percent), some, percent)))
+        further = materialize(_links(_tried(apart, order, percent), segments, percent))
+        links = links.union(further)
+        used += [apart, further]
         comps = materialize(components(nodes, links))
 
     # all pairs that may link and still stand apart
     own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).alias("alone"))
     open_ = materialize(_apart(apart.drop("comp").join(comps, "node")).join(own, "node"))
-    some = segments.join(open_.select("node").distinct(), "node", "left_semi")
     other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "place", "bitmap", "alone")])
     differ = sum((F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b"))
     near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
     rest = open_.join(other, "shingle").where((F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near).select(*_pair("node", "n", "node_b", "n_b"))
-    found = materialize(_links(_fit(rest, percent), some, percent))
+    found = materialize(_links(_fit(rest, percent), segments, percent))
     if not found.isEmpty():
         comps = materialize(components(nodes, links.union(found)))
+    discard(*used, open_, found)
 
     member = classes.join(comps, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))
     least = member.groupBy("comp").agg(F.min("first").alias("least"))
