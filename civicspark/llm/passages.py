@@ -330,10 +330,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             late = first[string] < np.repeat(read["_owners"], counts)
             of = np.repeat(np.arange(len(counts)), counts)[late]
             start = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))[late] + read["_places"][of]
-            for b in np.unique(bucket[of]):
-                here = bucket[of] == b
-                to.append(int(b))
-                marks.append(_merged(read["_rows"][of][here].astype(np.int64), start[here], start[here] + length).tobytes())
+            by = np.argsort(bucket[of], kind="stable")
+            of, start = of[by], start[by]
+            held, cut = np.unique(bucket[of], return_index=True)
+            for b, a, e in zip(held.tolist(), cut, [*cut[1:], len(of)], strict=False):
+                to.append(b)
+                marks.append(_merged(read["_rows"][of[a:e]].astype(np.int64), start[a:e], start[a:e] + length).tobytes())
         return pa.table({"_b": pa.array(to, pa.int32()), "_marks": pa.array(marks, pa.binary())})
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
