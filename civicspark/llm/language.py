@@ -203,8 +203,8 @@ def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: st
             # rows are taken some at a time, so that the windows of a batch never stand in memory together
             step = np.searchsorted(offsets, np.arange(0, len(data) + 1, windows_at_once * net.settings.window), side="left")
             for lo, hi in zip(step, [*step[1:], rows], strict=True):
-                for a in range(int(offsets[lo]), int(offsets[hi]), 1 << 22):
-                    b = min(a + (1 << 22), int(offsets[hi]))
+                for a in range(int(offsets[lo]), int(offsets[hi]), 1 << 20):
+                    b = min(a + (1 << 20), int(offsets[hi]))
                     made, row = cut(data[a:b], np.clip(offsets[lo : hi + 1], a, b) - a, net.settings.window)
                     for at in range(0, len(row), windows_at_once if net.languages else len(row) or 1):
                         if not net.languages:

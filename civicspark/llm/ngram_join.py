@@ -25,7 +25,9 @@ from .frames import discard, materialize, materialize_bucketed, partitions, text
 from .kernels import mix, shingle_sets, utf8
 
 _FRAGMENT_BYTES = 8 << 20
-_SLICE = 4 << 20
+_SLICE = 2 << 20
+#: Shingles that a task gathers before it sends them off by fragment.
+_GATHERED = 1 << 20
 #: Fragments of the order in which a pair's overlap is counted.
 _COUNTED = 4
 #: 64-bit words of a parity bitmap; further rounds against centres, and a group's centres in each. None changes the result.
@@ -69,8 +71,9 @@ def _fragments(docs: DataFrame, text: str, words: int, fragments: int) -> DataFr
     """The sets of each batch of rows, equal sets once, cut into fragments of the shingle order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros(0, np.int64)
+        shingles, owners = [], []
         for batch in batches:
-            shingles, owners, met = [], [], np.zeros(0, np.int64)
             for _, _, values, at in _sets(batch.column(0), words):
                 names, size = _keys(values, at), np.diff(at)
                 _, first = np.unique(names, return_index=True)
@@ -81,21 +84,28 @@ def _fragments(docs: DataFrame, text: str, words: int, fragments: int) -> DataFr
                 keep = np.repeat(new, size)
                 shingles.append(values[keep])
                 owners.append(np.repeat(names, size)[keep])
-            value, owner = np.concatenate([np.zeros(0, np.uint64), *shingles]), np.concatenate([np.zeros(0, np.int64), *owners])
-            fragment = (value >> np.uint64(32)) % np.uint64(fragments)
-            order = np.argsort(fragment.astype(np.uint32), kind="stable")
-            fragment, value, owner = fragment[order].astype(np.int32), value[order].astype(np.uint32), owner[order]
-            # owners follow each other: each once, with its number of shingles
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (fragment[1:] != fragment[:-1])
-            starts = np.flatnonzero(new)
-            counts = np.diff(np.concatenate([starts, [len(owner)]])).astype(np.int32)
-            to, first = np.unique(fragment[starts], return_index=True)
-            cuts = np.concatenate([first, [len(starts)]])
-            edges = np.concatenate([starts, [len(owner)]])[cuts]
-            rows = [(int(f), value[edges[i] : edges[i + 1]].tobytes(), owner[starts[cuts[i] : cuts[i + 1]]].tobytes(), counts[cuts[i] : cuts[i + 1]].tobytes()) for i, f in enumerate(to)]
-            for i in range(0, len(rows), 32):
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows[i : i + 32]], t) for j, t in enumerate([pa.int32(), *[pa.binary()] * 3])], names=["fragment", "shingles", "nodes", "counts"])
+                if sum(map(len, shingles)) >= _GATHERED:
+                    yield from packed(shingles, owners)
+                    shingles, owners = [], []
+        if shingles:
+            yield from packed(shingles, owners)
+
+    def packed(shingles: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        value, owner = np.concatenate(shingles), np.concatenate(owners)
+        fragment = (value >> np.uint64(32)) % np.uint64(fragments)
+        order = np.argsort(fragment.astype(np.uint32), kind="stable")
+        fragment, value, owner = fragment[order].astype(np.int32), value[order].astype(np.uint32), owner[order]
+        # owners follow each other: each once, with its number of shingles
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (fragment[1:] != fragment[:-1])
+        starts = np.flatnonzero(new)
+        counts = np.diff(np.concatenate([starts, [len(owner)]])).astype(np.int32)
+        to, first = np.unique(fragment[starts], return_index=True)
+        cuts = np.concatenate([first, [len(starts)]])
+        edges = np.concatenate([starts, [len(owner)]])[cuts]
+        rows = [(int(f), value[edges[i] : edges[i + 1]].tobytes(), owner[starts[cuts[i] : cuts[i + 1]]].tobytes(), counts[cuts[i] : cuts[i + 1]].tobytes()) for i, f in enumerate(to)]
+        for i in range(0, len(rows), 32):
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows[i : i + 32]], t) for j, t in enumerate([pa.int32(), *[pa.binary()] * 3])], names=["fragment", "shingles", "nodes", "counts"])
 
     return docs.select(text).mapInArrow(run, "fragment int, shingles binary, nodes binary, counts binary")
 
