@@ -1,8 +1,10 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The points j * (golden ratio) mod 1 are mapped through the cumulative target weights: slot j of the mix goes to the
-source whose interval holds the point. Slots are ranked within their source, and the slot of rank k gets the k-th of
-the equal blocks of words into which the source's documents, in shuffled order and as often as needed, are cut.
+Each source's target is cut into blocks of a size of its own, so that small sources have many blocks too; the last one
+holds the rest. The points j * (golden ratio) mod 1 are mapped through the cumulative numbers of blocks: slot j of the mix
+goes to the source whose interval holds the point. Slots are ranked within their source, and the slot of rank k gets the
+k-th block of the source's documents, in shuffled order and as often as needed. The few slots that a source gets above its
+blocks go to the blocks of others that got none, so that every block has one slot and every source its target.
 Hot sources are never in one task: ranks and running sums are taken within segments and hash buckets, and the
 offsets of these are summed from one row per segment or bucket.
 """
@@ -22,6 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The fraction of the golden ratio, times 2**53, rounded to an odd number: j times it, modulo 2**53, is exact.
 _GOLDEN = round((math.sqrt(5) - 1) / 2 * 2**53) | 1
 _PER_BUCKET = 512
+#: Blocks of a source, where its target has as many words.
+_BLOCKS = 1000
 
 
 @dataclass(frozen=True)
@@ -74,9 +78,9 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     """Mix all documents; see ``Mix`` for the result.
 
     Null text has size 0 and is never taken, null is a source like any other (the last), equal keys are ordered by their
-    text and repeated rows count as so many documents; an empty table gives empty results. Blocks hold ``block_words``
-    words, fewer where the whole mix would otherwise have under ``least_slots`` slots. Reruns agree: the order is that
-    of a seeded hash of the key.
+    text and repeated rows count as so many documents; an empty table gives empty results. Of each source its target is
+    taken, to the nearest word. Blocks hold ``block_words`` words, fewer where the whole mix would otherwise have under
+    ``least_slots`` slots or the source under 1,000. Reruns agree: the order is that of a seeded hash of the key.
 
     The table of sources (one row each) passes through the driver; it is bounded by their number, not by the documents.
     """
@@ -87,12 +91,13 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     plan = targets([(r["_source"], r["n"]) for r in per_source], weights=weights, share=share, most=most)
     total = sum(t.target for t in plan)
     block = max(1, min(block_words, int(total // least_slots)))
-    slots = int(total // block)
-    edge, sources = 0.0, []
-    for i, t in enumerate(plan):
-        sources.append((i, t.source, t.size, t.target, edge, edge := edge + t.target / total if total else 0.0))
+    goals = [min(int(t.target + 0.5), int(most * t.size)) for t in plan]
+    blocks = [max(1, min(block, goal // _BLOCKS)) for goal in goals]
+    counts = [-(-goal // b) for goal, b in zip(goals, blocks, strict=True)]
+    slots = sum(counts)
     kind = docs.schema[source].dataType.simpleString()
-    table = spark.createDataFrame(sources, f"_s int, _source {kind}, source_size long, target double, _from double, _to double")
+    sources = [(i, t.source, t.size, t.target, *x) for i, (t, *x) in enumerate(zip(plan, goals, blocks, strict=True))]
+    table = spark.createDataFrame(sources, f"_s int, _source {kind}, source_size long, target double, _goal long, _block long")
 
     # the source's stream: rows by hashed place; running sums within hash buckets
     buckets = 1 << max(0, math.ceil(math.log2(max(1, sum(r["rows"] for r in per_source)) / _PER_BUCKET)))
@@ -105,20 +110,38 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     start = F.col("_before") + F.coalesce(F.col("_sum"), F.lit(0))
     placed = inner.join(_offset(rows, ["_s"], "_bucket", F.col("size")), ["_s", "_bucket"]).withColumn("_start", start)
 
-    # pieces of each pass: the words that a document has in each block of its source's repeated stream
+    # pieces of each pass: the words that a document has in each block of its source's repeated stream, up to the target
     passes = math.ceil(most)
     repeated = placed.where("size > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))).withColumn("_a", F.col("_start") + F.col("_pass") * F.col("source_size"))
-    pieces = repeated.withColumn("block", F.explode(F.sequence(F.expr(f"_a div {block}"), F.expr(f"(_a + size - 1) div {block}"))))
-    lo, hi = F.greatest(F.col("_a"), F.col("block") * block), F.least(F.col("_a") + F.col("size"), (F.col("block") + 1) * block)
+    wanted = repeated.where("_a < _goal").withColumn("_e", F.least(F.col("_a") + F.col("size"), F.col("_goal")))
+    pieces = wanted.withColumn("block", F.explode(F.expr("sequence(_a div _block, (_e - 1) div _block)")))
+    lo, hi = F.greatest(F.col("_a"), F.col("block") * F.col("_block")), F.least(F.col("_e"), (F.col("block") + 1) * F.col("_block"))
     pieces = pieces.select("_s", "_bucket", "_row", F.col("_key"), "block", (lo - F.col("_a")).alias("first_word"), (hi - lo).alias("words"), "_pass")
 
-    # slots: golden-ratio points through the cumulative weights, ranked in their source by segment
+    # slots: golden-ratio points through the cumulative numbers of blocks, ranked in their source by segment
     points = spark.range(slots).select(F.col("id").alias("slot"), (F.pmod(F.col("id").cast("decimal(20,0)") * F.lit(_GOLDEN).cast("decimal(18,0)"), F.lit(1 << 53).cast("decimal(18,0)")).cast("double") / float(1 << 53)).alias("_u"))
-    last = F.col("_s") == len(plan) - 1
-    ranges = F.broadcast(table.select("_s", "_from", "_to"))
-    hit = points.join(ranges, (F.col("_u") >= F.col("_from")) & ((F.col("_u") < F.col("_to")) | last)).select("slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment"))
+    cells, before, ranges = len(plan), 0, []
+    for i, n in enumerate(counts):
+        low, high = before / max(1, slots), (before + n) / max(1, slots)
+        ranges += [(cell, i, low, high) for cell in range(int(low * cells), int(high * cells) + 1) if n]
+        before += n
+    intervals = spark.createDataFrame(ranges, "_cell int, _s int, _from double, _to double")
+    near = points.withColumn("_cell", F.floor(F.col("_u") * cells).cast("int")).join(F.broadcast(intervals), "_cell")
+    hit = near.where((F.col("_u") >= F.col("_from")) & (F.col("_u") < F.col("_to"))).select("slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment"))
     rank = F.row_number().over(Window.partitionBy("_s", "_segment").orderBy("slot"))
-    ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select("slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("block"))
+    ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select("slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
+    # as many slots are above a source's blocks as blocks have no slot: the first of these gets the first of those, and so on
+    got = {r["_s"]: r["count"] for r in hit.groupBy("_s").count().collect()}
+    above, spare, bare = 0, [], []
+    for i, n in enumerate(counts):
+        spare.append((i, n, above))
+        above += max(0, got.get(i, 0) - n)
+        bare += [(i, k) for k in range(got.get(i, 0), n)]
+    limits = spark.createDataFrame(spare, "_s int, _count long, _above long")
+    given = spark.createDataFrame([(k, *x) for k, x in enumerate(bare)], "_spare long, _to int, _bare long")
+    over = F.when(F.col("_rank") >= F.col("_count"), F.col("_above") + F.col("_rank") - F.col("_count"))
+    full = ranked.join(F.broadcast(limits), "_s").withColumn("_spare", over).join(F.broadcast(given), "_spare", "left")
+    ranked = full.select("slot", F.coalesce("_to", "_s").alias("_s"), F.coalesce("_bare", "_rank").alias("block"))
 
     joined = pieces.join(ranked, ["_s", "block"])
     schedule = joined.join(F.broadcast(table.select("_s", F.col("_source").alias("source"))), "_s").select("slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words")

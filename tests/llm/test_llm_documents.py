@@ -176,6 +176,23 @@ def test_mix_schedule_covers_what_is_taken(fixture_docs):
     assert slots.count() == slots.select("slot").distinct().count()
 
 
+def test_mix_small_sources_beside_a_large_one(spark):
+    """Blocks of 4,096 words, as in a corpus of any size, against sources of less than one and of a few."""
+    small = [("s%d" % i, 1 + n // 7, n) for i, n in enumerate((1, 40, 300, 700, 3000, 9000))] + [(None, 9, 400)]
+    rows = [(1000 * i + k, s, " w" * (n // parts + (k < n % parts))) for i, (s, parts, n) in enumerate(small) for k in range(parts)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").union(spark.range(1000).selectExpr("id + 100000", "'large'", "repeat(' w', 1500)"))
+    mix = mixing.mix(docs, share=0.5, least_slots=10)
+    got = mix.documents.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert sorted(r.source_size for r in got) == sorted([1_500_000, *[n for _, _, n in small]])
+    assert all(abs(r.taken - r.target) <= 0.5 for r in got), got
+    slots = mix.schedule.groupBy("slot").agg(F.count_distinct("source", "block").alias("n"), F.count("*").alias("rows"))
+    assert slots.where("n > 1").isEmpty()
+    # each source is spread over the mix: half of its words are in the first half of the slots
+    last = mix.schedule.agg(F.max("slot")).first()[0]
+    for r in mix.schedule.groupBy("source").agg(F.sum("words").alias("n"), F.sum(F.when(F.col("slot") * 2 <= last, F.col("words"))).alias("half")).collect():
+        assert r.n < 200 or abs(r.half / r.n - 0.5) < 0.03, r
+
+
 def test_targets_reshare_the_excess():
     found = mixing.targets([("b", 10), ("a", 1000), (None, 10)])
     assert [t.source for t in found] == ["a", "b", None]
