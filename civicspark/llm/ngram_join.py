@@ -53,18 +53,20 @@ def _keys(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
-def set_names(docs: DataFrame, *, key: str, text: str, words: int) -> DataFrame:
-    """``_k``, ``n`` (shingles) and ``node``, the name of the row's shingle set, null if that is empty."""
-    frame = docs.select(F.col(key).alias("_k"), text)
+def set_names(docs: DataFrame, *, key: str, text: str, words: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``_k``, the columns named in ``carry``, ``n`` (shingles) and ``node``, the name of the row's shingle set, null if that is empty."""
+    frame = docs.select(F.col(key).alias("_k"), text, *carry)
     arrow = to_arrow_type(frame.schema["_k"].dataType)
+    kinds = "".join(f"`{c}` {frame.schema[c].dataType.simpleString()}, " for c in carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, values, at in _sets(batch.column(1), words):
                 n = np.diff(at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(arrow), pa.array(n), pa.array(_keys(values, at), mask=n == 0)], names=["_k", "n", "node"])
+                carried = [batch.column(2 + i).slice(lo, hi - lo) for i in range(len(carry))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(arrow), *carried, pa.array(n), pa.array(_keys(values, at), mask=n == 0)], names=["_k", *carry, "n", "node"])
 
-    return frame.mapInArrow(run, f"_k {frame.schema['_k'].dataType.simpleString()}, n long, node long")
+    return frame.mapInArrow(run, f"_k {frame.schema['_k'].dataType.simpleString()}, {kinds}n long, node long")
 
 
 def _fragments(docs: DataFrame, text: str, words: int, fragments: int) -> DataFrame:
@@ -179,9 +181,12 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
 
 
-def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
+def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, carry: tuple[str, ...] = ()) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach, of every row.
 
+    With ``carry`` also the columns named there and ``component``, a name of the component that doesn't hang on keys:
+    one number for all its rows, null for a row without words.
+
     Words are split at ASCII white space, A-Z lower-cased; a text with fewer words than a shingle has one, of all its
     words; one without words, or null, has none, and is linked with nothing: its component is its own key. Rows link
     when 100 * overlap >= ``percent`` * union. Repeated rows are one class; null keys are never a component's smallest
@@ -192,7 +197,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     spark = docs.sparkSession
     parts = partitions(spark)
     fragments = max(2 * parts, text_bytes(docs, text) // _FRAGMENT_BYTES)
-    named = materialize(set_names(docs, key=key, text=text, words=words))
+    named = materialize(set_names(docs, key=key, text=text, words=words, carry=carry))
     classes = named.where("node is not null").groupBy("node", "n").agg(F.min("_k").alias("first"))
 
     shared = _fragments(docs, text, words, fragments).groupBy("fragment").applyInArrow(_shared, "node long, fragment int, shingles binary, df binary")
@@ -235,8 +240,9 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     member = classes.join(comps, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))
     least = member.groupBy("comp").agg(F.min("first").alias("least"))
     # few components hold more than one class; the others' smallest key is at hand
-    merged = member.join(least, "comp").select("node", "least")
-    return named.join(merged, "node", "left").select(F.col("_k").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("_k")).otherwise(F.col("least")).alias("component_id"))
+    merged = member.join(least, "comp").select("node", "least", "comp")
+    more = [*carry, F.col("comp").alias("component")] if carry else []
+    return named.join(merged, "node", "left").select(F.col("_k").alias(key), *more, F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("_k")).otherwise(F.col("least")).alias("component_id"))
 
 
 def _pair(a: str, na: str, b: str, nb: str) -> list[Column]:

@@ -26,9 +26,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest id stays."""
-    kept = ngram_join.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """Of each component of linked rows one row stays: that of the smallest id, of equal ids that of the smallest hash.
+
+    Null ids are larger than all others: a row with one stays if its component has no other ids, and then alone. Of rows
+    that are equal in all columns one stays. Rows without words are linked with nothing, and all stay.
+    """
+    hashed = docs.withColumn("_row", F.xxhash64(*[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]))
+    found = ngram_join.join(hashed.select("doc_id", "text", "_row"), carry=("_row",))
+    rows = found.groupBy("component", "doc_id", "_row").agg(F.count("*").alias("_n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "_n")).alias("least")
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(least).select("least.doc_id", "least._row", (F.col("least._n") > 1).alias("_repeated"))
+    wordless = rows.where("component IS NULL").select("doc_id", "_row", F.lit(False).alias("_repeated"))
+    kept = materialize(first.union(wordless).toDF("_kept", "_kept_row", "_repeated"))
+    matched = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_kept"]) & (hashed["_row"] == kept["_kept_row"]))
+    # only rows that stand more than once are grouped
+    once = matched.where("_repeated").dropDuplicates(["doc_id", "_row"])
+    return matched.where("NOT _repeated").union(once).select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

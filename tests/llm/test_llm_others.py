@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -113,6 +114,37 @@ def test_pipeline_stages(spark, fixture_docs):
     assert last.count() == counts[-1]
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark, fixture_rows):
+    """Repeated rows, another text under a kept id, components of null ids alone and beside others."""
+    null = lambda i, lang: (None, fixture_rows[i][1], lang, "a")
+    alone = " ".join(f"only{i} null{i}" for i in range(40))
+    rows = [*fixture_rows, fixture_rows[0], fixture_rows[5], null(3, "en"), null(41, None), (None, alone, "en", "a"), (None, alone, "en", "a"), (None, alone + " end", "de", None), (fixture_rows[2][0], fixture_rows[0][1], "de", None)]
+    kinds = "doc_id long, text string, lang string, source string"
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kinds), "").collect()
+    sets = []
+    for _, text, *_ in rows:
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", w) if x]
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    kept = [tuple(r) for r in got]
+    left = list(kept)
+    for g in set(group):
+        members = [rows[i] for i in range(len(rows)) if group[i] == g]
+        least = min((m[0] is None, m[0] or 0) for m in members)
+        own = [m for m in members if m in left and (m[0] is None, m[0] or 0) == least]
+        assert own, members
+        left.remove(own[0])
+    assert left == []
+    again = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows[::-1], kinds).repartition(3), "").collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
 def test_pipeline_of_nothing(spark, no_docs):
     docs = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
