@@ -8,7 +8,7 @@ rows. Null texts and texts without letters leave at the first stage; an empty ta
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.llm import language, mixing, ngram_join, passages, sentencepieces
@@ -18,11 +18,17 @@ from civicspark.llm.frames import materialize
 LEAST_SCORE = 0.3
 
 
+def _others(docs: DataFrame) -> Column:
+    """All columns but the id and the text in one, so that no name meets those of an operator."""
+    return F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias("_others")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay, with that language where they had none."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = language.identify(docs, language.learn(docs), carry=others).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    packed = docs.select("doc_id", "text", _others(docs))
+    found = language.identify(packed, language.learn(docs), carry=("text", "_others")).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    given = {"doc_id": F.col("doc_id"), "text": F.col("text"), "lang": F.coalesce("_others.lang", "lang_pred").alias("lang")}
+    return found.select([given.get(c, F.col("_others")[c].alias(c)) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +52,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut; a document of which no letter or digit is left goes."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = passages.remove_repeats(docs, carry=others, decode=True)
-    left = found.withColumn("text", F.col("kept")).where((F.size("spans") == 0) | F.col("text").rlike(r"[\p{L}\p{N}]"))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    packed = docs.select("doc_id", "text", _others(docs))
+    found = passages.remove_repeats(packed, carry=("_others",), decode=True)
+    left = found.where((F.size("spans") == 0) | F.col("kept").rlike(r"[\p{L}\p{N}]"))
+    given = {"doc_id": F.col("doc_id"), "text": F.col("kept").alias("text"), "n_chars": F.length("kept").cast("long").alias("n_chars")}
+    return left.select([given.get(c, F.col("_others")[c].alias(c)) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +81,7 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
     ("SentencePiece encoding and decoding", encode),
 ]
-#: Trained models, segmentation and hashing of whole corpora aren't SQL; the tests compare with a brute-force version.
+#: Trained models, segmentation and hashing of whole corpora aren't SQL; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 

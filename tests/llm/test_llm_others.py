@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import duckdb
+import public_tokenizers
 import pytest
+import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from civicspark.llm import chat, pages, queries, topk
+from civicspark.llm import chat, language, mixing, pages, queries, topk
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -114,24 +118,30 @@ def test_pipeline_stages(spark, fixture_docs):
     assert last.count() == counts[-1]
 
 
-def test_pipeline_keeps_one_row_of_each_component(spark, fixture_rows):
-    """Repeated rows, another text under a kept id, components of null ids alone and beside others."""
-    null = lambda i, lang: (None, fixture_rows[i][1], lang, "a")
-    alone = " ".join(f"only{i} null{i}" for i in range(40))
-    rows = [*fixture_rows, fixture_rows[0], fixture_rows[5], null(3, "en"), null(41, None), (None, alone, "en", "a"), (None, alone, "en", "a"), (None, alone + " end", "de", None), (fixture_rows[2][0], fixture_rows[0][1], "de", None)]
-    kinds = "doc_id long, text string, lang string, source string"
-    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kinds), "").collect()
+def components(texts):
+    """The number of each text's component of near copies."""
     sets = []
-    for _, text, *_ in rows:
+    for text in texts:
         w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", w) if x]
         sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    group = list(range(len(rows)))
+    group = list(range(len(texts)))
     for i, a in enumerate(sets):
         for j in range(i):
             if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
                 old, new = group[i], group[j]
                 group = [new if g == old else g for g in group]
+    return group
+
+
+def test_pipeline_keeps_one_row_of_each_component(spark, fixture_rows):
+    """Repeated rows, another text under a kept id, components of null ids alone and beside others."""
+    null = lambda i, lang: (None, fixture_rows[i][1], lang, "a")
+    alone = " ".join(f"only{i} null{i}" for i in range(40))
+    rows = [*fixture_rows, fixture_rows[0], fixture_rows[5], null(3, "en"), null(41, None), (None, alone, "en", "a"), (None, alone, "en", "a"), (None, alone + " end", "de", None), (fixture_rows[2][0], fixture_rows[0][1], "de", None)]
+    kinds = "doc_id long, text string, lang string, source string"
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kinds), "").collect()
+    group = components([r[1] for r in rows])
     kept = [tuple(r) for r in got]
     left = list(kept)
     for g in set(group):
@@ -145,6 +155,85 @@ def test_pipeline_keeps_one_row_of_each_component(spark, fixture_rows):
     assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
+def without_repeats(rows, key, text, length=50):
+    """What is left of each text without strings that stand in a row of smaller key."""
+    place = lambda r: 1 << 60 if r[key] is None else r[key]
+    first = {}
+    for r in rows:
+        data = (r[text] or "").encode()
+        for i in range(len(data) - length + 1):
+            s = data[i : i + length]
+            first[s] = min(first.get(s, 1 << 60), place(r))
+    out = []
+    for r in rows:
+        data = (r[text] or "").encode()
+        gone = {k for i in range(len(data) - length + 1) if first[data[i : i + length]] < place(r) for k in range(i, i + length)}
+        out.append((bytes(c for k, c in enumerate(data) if k not in gone).decode("utf-8", "ignore"), bool(gone)))
+    return out
+
+
+def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
+    """Each stage against a brute-force version, with repeated rows, null ids and columns named as the operators' own."""
+    known = fixture_docs.where("doc_id IN (6, 27)").withColumn("doc_id", F.lit(None).cast("long"))
+    docs = corpus_pipeline.materialize(fixture_docs.unionByName(known).withColumns({"kept": F.lit("k"), "n_bytes": F.lit(8), "spans": F.lit(9), "lang_pred": F.lit("xx")}))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    columns = docs.columns
+    read = lambda df: [tuple(r) for r in df.collect()]
+    key, text, lang, n_chars, source = (columns.index(c) for c in ("doc_id", "text", "lang", "n_chars", "source"))
+
+    def put(row, **values):
+        return tuple(values.get(c, x) for c, x in zip(columns, row, strict=True))
+
+    def run(name, df):
+        out = corpus_pipeline.materialize(dict(corpus_pipeline.STAGES)[name](spark, df, ""))
+        assert out.columns == columns
+        return out
+
+    narrow = docs.select("doc_id", "text", "lang")
+    found = {r.text: (r.lang_pred, r.score) for r in language.identify(narrow, language.learn(narrow), carry=("text",)).collect()}
+    spoken = run("language ID", docs)
+    want = [put(r, lang=found[r[text]][0] if r[lang] is None else r[lang]) for r in read(docs) if found[r[text]][0] != "und" and found[r[text]][1] >= 0.3]
+    assert Counter(read(spoken)) == Counter(want)
+
+    single = run("n-gram Jaccard join", spoken)
+    before, after = read(spoken), Counter(read(single))
+    group, count = components([r[text] for r in before]), 0
+    for g in set(group):
+        members = [r for r, x in zip(before, group, strict=True) if x == g]
+        least = min((r[key] is None, r[key] or 0) for r in members)
+        assert sum(after[r] for r in {r for r in members if (r[key] is None, r[key] or 0) == least}) == 1
+        count += 1
+    assert after.total() == count < len(before)
+
+    cut = run("suffix-array dedup", single)
+    before = read(single)
+    want = [put(r, text=t, n_chars=len(t)) for r, (t, gone) in zip(before, without_repeats(before, key, text), strict=True) if not gone or any(c.isalnum() for c in t)]
+    assert Counter(read(cut)) == Counter(want)
+
+    # the first words of each source's stream, in hashed order, up to its target
+    mixed = run("mixing sources to target weights", cut)
+    place = cut.select("*", F.xxhash64(F.lit(42), "doc_id").alias("place"), F.xxhash64("text").alias("tie")).collect()
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[text] or ""))
+    total = Counter()
+    for r in place:
+        total[r[source]] += size(r)
+    want = Counter()
+    for t in mixing.targets(list(total.items())):
+        start, goal = 0, int(t.target + 0.5)
+        for r in sorted((r for r in place if r[source] == t.source), key=lambda r: (r.place % 2**64, r[key] is not None, r[key] or 0, r.tie)):
+            n = size(r)
+            taken = sum(max(0, min(goal, k * t.size + start + n) - k * t.size - start) for k in (0, 1))
+            want[tuple(r)[: len(columns)]] += int(taken / n + 0.5) if n else 0
+            start += n
+    assert Counter(read(mixed)) == +want
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    last = corpus_pipeline.encode(spark, mixed, "").collect()
+    want = Counter((r[key], ",".join(map(str, model.encode(r[text])))) for r in read(mixed))
+    assert Counter((r.doc_id, r.ids if isinstance(r.ids, str) else ",".join(map(str, r.ids))) for r in last) == want
+    assert Counter(map(tuple, (r[:2] + r[3:] for r in last))) == Counter(map(tuple, (r[:2] + r[3:] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())))
+
+
 def test_pipeline_of_nothing(spark, no_docs):
     docs = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
