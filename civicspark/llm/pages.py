@@ -1,7 +1,7 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped into lines, one for each block; what stands in menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments leaves gaps of empty lines. Text lengths are summed over a sliding window of
+forms, scripts, styles and reader comments leaves gaps of empty lines, unless the text goes on around it. Text lengths are summed over a sliding window of
 lines; the text begins at surge points, where that sum leaves nothing on its way to a threshold, and ends at dive points,
 where it has fallen to nothing. Everything between a surge and its dive is kept, short lines included.
 """
@@ -25,6 +25,8 @@ _RAW = frozenset("script style noscript template textarea title select svg math
 _CHROME = frozenset("nav header footer aside form menu dialog button".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ARTICLE = frozenset("article main".split())
+#: What holds paragraphs; outside of them the page does.
+_BOXES = frozenset("article center details div fieldset main section td th".split())
 _CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer form header "
     "masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related search share sharing "
@@ -51,15 +53,25 @@ def _is_chrome(name: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
-    """The page's blocks in order, white space turned into single spaces; whether each stands in page furniture; and
-    whether it stands in an article."""
+def lines_of(page: str) -> tuple[list[str], list[bool], list[int], list[bool]]:
+    """The page's blocks in order, white space turned into single spaces; whether each stands in page furniture; the
+    number of the article it stands in, or 0; and whether it is furniture around which one text goes on."""
     texts: list[str] = []
     furniture: list[bool] = []
-    article: list[bool] = []
+    article: list[int] = []
+    box_of: list[int] = []  # the innermost box of each block; of furniture, what stands around it
     part: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in furniture, in an article
-    chrome = inside = False
+    stack: list[tuple[str, bool, int, int]] = []  # name, in furniture, article, box
+    outside = ("", False, 0, 0)
+    chrome, inside, box, articles = False, 0, 0, 0
+    opened, closed, around = [0], [size_ := len(page) + 1], [0]  # of each box: the block at its start and end, and its own box
+
+    def close(depth: int) -> tuple[bool, int, int]:
+        for _, _, _, b in stack[depth:]:
+            if b and b != (stack[depth - 1][3] if depth else 0):
+                closed[b] = min(closed[b], len(texts))
+        del stack[depth:]
+        return (stack[-1] if stack else outside)[1:]
 
     def end() -> None:
         if part:
@@ -67,6 +79,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
                 texts.append(line)
                 furniture.append(chrome)
                 article.append(inside)
+                box_of.append(box)
             part.clear()
 
     place, size = 0, len(page)
@@ -85,8 +98,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
                 if stack[depth][0] == name:
                     if name in _BLOCKS or stack[depth][1] != (depth > 0 and stack[depth - 1][1]):
                         end()
-                    del stack[depth:]
-                    _, chrome, inside = stack[-1] if stack else ("", False, False)
+                    chrome, inside, box = close(depth)
                     break
                 if stack[depth][0] in _ARTICLE | _CHROME and name not in _ARTICLE | _CHROME | {"body", "html"}:
                     break  # a stray end tag doesn't close what stands around the section
@@ -111,8 +123,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
             if name in _CLOSES_P:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == "p":
-                        del stack[depth:]
-                        _, chrome, inside = stack[-1] if stack else ("", False, False)
+                        chrome, inside, box = close(depth)
                         break
                     if stack[depth][0] in _BLOCKS:
                         break
@@ -121,24 +132,66 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
         now = chrome or _is_chrome(name, attributes)
         if now != chrome:
             end()
-        chrome, inside = now, inside or name in _ARTICLE
-        stack.append((name, chrome, inside))
+        chrome = now
+        if name in _ARTICLE and not inside:
+            inside = articles = articles + 1
+        if name in _BOXES and not chrome:
+            around.append(box)
+            opened.append(len(texts))
+            closed.append(size_)
+            box = len(opened) - 1
+        stack.append((name, chrome, inside, box))
     end()
-    return texts, furniture, article
+
+    def goes_on(before: int, after: int, b: int) -> bool:
+        if not all(opened[b] <= i < closed[b] for i in (before, after)):
+            return False
+        own = [box_of[before], box_of[after]]
+        # a box of one block is a paragraph of the box around it
+        outer = [around[o] if closed[o] - opened[o] == 1 else o for o in own]
+        return b in own or b != 0 and outer == [b, b]
+
+    passed, last = [False] * len(texts), -1
+    for i, f in enumerate(furniture):
+        if not f:
+            if 0 <= last < i - 1 and all(goes_on(last, i, b) for b in set(box_of[last + 1 : i])):
+                passed[last + 1 : i] = [True] * (i - 1 - last)
+            last = i
+    return texts, furniture, article, passed
 
 
 def main_text(page: str, *, window: int = 3, threshold: int = 80) -> str:
     """The text between surge and dive points, blocks in page order, joined by two line feeds.
 
-    Blocks inside an article or main element, where the page has one with text, are the only candidates. The threshold
-    falls to the largest window sum where no window reaches it, so that a short text is found too.
+    Blocks inside article or main elements are the only candidates, where one of these holds the main surge: at least as
+    much text as any run outside that reaches the threshold. Furniture within an article, or around which one text goes
+    on, leaves no gap. The threshold falls to the largest window sum where no window reaches it, so that a short text is
+    found too.
     """
-    texts, furniture, article = lines_of(page)
-    if any(a and not f for a, f in zip(article, furniture, strict=True)):
-        # furniture within the article leaves no gap, all else does
-        rows = [(t, f or not a) for t, f, a in zip(texts, furniture, article, strict=True) if not (a and f)]
-    else:
-        rows = [*zip(texts, furniture, strict=True)]
+    texts, furniture, article, passed = lines_of(page)
+    # furniture within an article leaves no gap, all else does
+    of_articles = [(t, f or not a) for t, f, a in zip(texts, furniture, article, strict=True) if not (a and f)]
+    held: dict[int, int] = {}
+    for text, f, a in zip(texts, furniture, article, strict=True):
+        if a and not f:
+            held[a] = held.get(a, 0) + len(text)
+    if held:
+        others = [(t, f or a > 0) for t, f, a, p in zip(texts, furniture, article, passed, strict=True) if not p]
+        best = max((sum(map(len, run)) for run in _runs(others, window, threshold)), default=0)
+        if max(held.values()) >= best:
+            return "\n\n".join(text for run in _runs(of_articles, window, threshold, fall=True) for text in run)
+    rows, last = [], 0
+    for text, f, a, p in zip(texts, furniture, article, passed, strict=True):
+        if a != last:
+            rows.append(("", True))  # an article begins or ends
+            last = a
+        if not (p or a and f):
+            rows.append((text, f))
+    return "\n\n".join(text for run in _runs(rows, window, threshold, fall=True) for text in run)
+
+
+def _runs(rows: list[tuple[str, bool]], window: int, threshold: int, *, fall: bool = False) -> list[list[str]]:
+    """The texts of each run of rows (text, whether it is a gap) that reaches the threshold, or the largest sum if none does."""
     lengths, kept = [], []
     for text, gap in rows:
         if gap:
@@ -148,14 +201,17 @@ def main_text(page: str, *, window: int = 3, threshold: int = 80) -> str:
             lengths.append(len(text))
             kept.append(text)
     if not any(lengths):
-        return ""
+        return []
     sums = np.convolve(np.array([*lengths, *[0] * window]), np.ones(window, int))[window - 1 : window - 1 + len(lengths)]
-    least = min(threshold, int(sums.max()))
+    least = min(threshold, int(sums.max())) if fall else threshold
     # from surge to dive: a run of sums above nothing, if one of them reaches the threshold
     run = np.cumsum(sums == 0)
     reached = set(run[sums >= least].tolist())
-    out = [text for text, r in zip(kept, run.tolist(), strict=True) if text is not None and r in reached]
-    return "\n\n".join(out)
+    out: dict[int, list[str]] = {}
+    for text, r in zip(kept, run.tolist(), strict=True):
+        if text is not None and r in reached:
+            out.setdefault(r, []).append(text)
+    return [*out.values()]
 
 
 def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", page: str = "html", window: int = 3, threshold: int = 80) -> DataFrame:

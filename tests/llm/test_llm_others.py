@@ -72,6 +72,28 @@ def test_main_text(html, text):
     assert pages.main_text(html or "") == text
 
 
+LONG = "long " * 29 + "long"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div><p>{LONG}</p><div class=ad>x</div><p>Short end.</p></div>", LONG + "\n\nShort end."),
+        (f"<div><p>First.</p><aside>note</aside><div class='share'><a>s</a></div><p>{LONG}</p></div><footer>f</footer>", "First.\n\n" + LONG),
+        (f"<body><p>{LONG}</p><div class=ad>x</div><p>Short end.</p><footer>me</footer></body>", LONG + "\n\nShort end."),
+        (f"<div id=t><div>{LONG}</div><div class=ad>x</div><div>Short end.</div></div>", LONG + "\n\nShort end."),
+        (f"<div><p>{LONG}</p><div class=ad>x</div><ul><li>one</li><li>two</li></ul></div>", LONG + "\n\none\n\ntwo"),
+        (f"<div id=w><div>Logo</div><nav>menu</nav><div><h1>T</h1><p>{LONG}</p><div class=share>s</div></div><nav>more</nav><div>Imprint</div></div>", "T\n\n" + LONG),
+        (f"<article><h2>Teaser</h2><p>Short.</p></article><div><h1>T</h1><p>{LONG}</p><p>End.</p></div>", f"T\n\n{LONG}\n\nEnd."),
+        (f"<div><h1>T</h1><p>{LONG}</p><div class=ad>x</div><p>End.</p></div><article><p>Teaser</p></article><article><p>Other</p></article>", f"T\n\n{LONG}\n\nEnd."),
+        (f"<div><p>words {'beside ' * 15}</p></div><article><p>{LONG}</p><aside>x</aside><p>End.</p></article>", LONG + "\n\nEnd."),
+        ("<p>Beside it.</p><article><p>A</p></article>", "A"),
+    ],
+)
+def test_main_text_around_furniture_and_articles(html, text):
+    assert pages.main_text(html) == text
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>x</p>"), (3, "u", "<p>x</p>"), (None, "v", "<article>" + "<p>word</p>" * 20000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text")
