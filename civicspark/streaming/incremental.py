@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,9 @@ def clean_new_files(spark: SparkSession, landed: str, schema: StructType, transf
             held = spark.read.schema(rows.schema).parquet(table).join(touched, partition, "left_semi")
             rows = newest_by(held.unionByName(rows), keys, version)
             # the rows are read from the partitions that they replace
-            rows = rows.checkpoint() if spark.sparkContext.getCheckpointDir() else spark.createDataFrame(rows.toArrow(), rows.schema)
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+            rows = rows.checkpoint()
         elif keys:
             rows = newest_by(rows, keys, version)
         write_partitions(rows, table, partition)

@@ -53,3 +53,20 @@ def test_boundaries(spark, tmp_path):
     assert len([p for p in (tmp_path / "table").iterdir() if p.suffix == ".parquet"]) == 1
     with pytest.raises(TooFewRows):
         jobs.clean_boundaries(spark, landed, table, rejects, "S", expected=6)
+
+
+def test_merged_days_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
+    """Without a checkpoint folder too, the rows of touched days are written, not collected."""
+    from civicspark.streaming import incremental
+
+    def collected(self):
+        raise AssertionError("rows pass through the driver")
+
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", collected)
+    landed, table, state = (f"{tmp_path}/{x}" for x in ("landed", "table", "state"))
+    for version, keys in ((1, [1, 2]), (2, [2, 3])):
+        rows = spark.createDataFrame([(k, version, "2024-01-01") for k in keys], "k int, version int, date string")
+        rows.write.mode("append").parquet(landed)
+        incremental.clean_new_files(spark, landed, rows.schema, lambda batch: batch, table, state, file_format="parquet", keys=["k"], version=["version"])
+    assert sorted((r.k, r.version) for r in spark.read.parquet(table).collect()) == [(1, 1), (2, 2), (3, 2)]
