@@ -3,7 +3,7 @@
 Documents with equal shingle sets form one class and stand for one node. The hashed shingles are cut into fragments;
 each fragment alone finds the shingles that more than one node holds, and how many do. A node's shared shingles, rarest
 first, are its place in the global order: two nodes can only reach the threshold if they meet in the first part of it
-(prefix filter). Candidate pairs are counted fragment by fragment, and the partial overlaps summed per pair.
+(prefix filter). Candidate pairs are verified by intersecting their whole sets of shared shingles.
 
 Links matter as far as they connect. Candidates are first tried against a centre for each shingle, and where a shingle's
 nodes still stand apart, against others; then all candidate pairs that still stand in different components are counted,
@@ -155,7 +155,7 @@ def _part(i: int) -> Column:
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that reach the threshold: overlaps counted fragment by fragment and summed.
+    """The pairs (a, na, b, nb) that reach the threshold, by the overlap of their whole sets, a part at a time in one row.
 
     ``nodes`` lies in buckets, so that only the pairs move, with the shingles of one side.
     """
