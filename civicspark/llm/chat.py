@@ -15,17 +15,30 @@ from pyspark.sql import functions as F
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
 
+def _hashed(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """Conversation, turn, role, text and a hash of the last two, of rows that have a conversation."""
+    content = F.to_json(F.struct(F.col(role).alias("r"), F.col(text).alias("x")))
+    return turns.where(F.col(conv).isNotNull()).select(F.col(conv).alias("_c"), F.col(turn).alias("_t"), F.col(role).alias("_r"), F.col(text).alias("_x"), F.sha2(content, 256).alias("_h"))
+
+
 def maximal(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``conv``, ``n_turns``, ``n_copies`` and ``n_prefixes`` of each conversation that is no prefix of a longer one.
 
     Of equal conversations the one with the smallest id stays; ``n_copies`` counts them, ``n_prefixes`` the logged
-    conversations (copies counted) that are proper prefixes. Turns stand by ``turn`` (null first), then role and text;
-    repeated rows are one turn; null roles and texts are equal to each other and to nothing else; rows without a
-    conversation id are left out; an empty table gives no rows; other columns are not read.
+    conversations (copies counted) that are proper prefixes. Turns stand by ``turn``, then role, then text (null first);
+    repeated rows are one turn; null roles and texts are equal to each other and to nothing else; texts of any length go
+    through a hash, whole; rows without a conversation id are left out; an empty table gives no rows; other columns are
+    not read.
     """
-    rows = turns.where(F.col(conv).isNotNull()).select(F.col(conv).alias("_c"), F.col(turn).alias("_t"), F.sha2(F.to_json(F.struct(F.col(role).alias("r"), F.col(text).alias("x"))), 256).alias("_h"), F.col(role).alias("_r"), F.xxhash64(text).alias("_x"))
-    rows = rows.dropDuplicates(["_c", "_t", "_h"])
-    at = Window.partitionBy("_c").orderBy(F.asc_nulls_first("_t"), F.asc_nulls_first("_r"), "_h")
+    hashed = _hashed(turns, conv, turn, role, text)
+    rows = hashed.select("_c", "_t", "_r", "_h").dropDuplicates(["_c", "_t", "_h"])
+    # texts decide the order only where a turn and role stand twice in a conversation, so only these travel
+    twice = rows.groupBy("_c", "_t", "_r").agg(F.count("*").alias("_k")).where("_k > 1").select(F.col("_c").alias("_c2"), F.col("_t").alias("_t2"), F.col("_r").alias("_r2"))
+    same = (F.col("_c") == F.col("_c2")) & F.col("_t").eqNullSafe(F.col("_t2")) & F.col("_r").eqNullSafe(F.col("_r2"))
+    tied = hashed.join(twice, same, "left_semi").dropDuplicates(["_c", "_t", "_h"])
+    tied = tied.select(F.col("_c").alias("_c2"), F.col("_t").alias("_t2"), F.col("_h").alias("_h2"), F.row_number().over(Window.partitionBy("_c", "_t", "_r").orderBy(F.asc_nulls_first("_x"))).alias("_i"))
+    rows = rows.join(tied, (F.col("_c") == F.col("_c2")) & F.col("_t").eqNullSafe(F.col("_t2")) & (F.col("_h") == F.col("_h2")), "left")
+    at = Window.partitionBy("_c").orderBy(F.asc_nulls_first("_t"), F.asc_nulls_first("_r"), F.asc_nulls_first("_i"))
     placed = rows.select("_c", "_h", F.row_number().over(at).alias("_n"))
     # two words of 64 bits: the hash of a turn and its place
     placed = placed.withColumns({"_a": F.xxhash64("_n", "_h"), "_b": F.xxhash64("_h", "_n", F.lit("b"))})
@@ -47,7 +60,7 @@ def render(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role:
     """
     kept = maximal(turns, conv=conv, turn=turn, role=role, text=text)
     rows = turns.where(F.col(conv).isNotNull()).select(F.col(conv), F.col(turn).alias("_t"), F.col(role).alias("_r"), F.col(text).alias("_x")).join(kept.select(conv), conv, "left_semi").distinct()
-    key = F.struct("_t", "_r", F.sha2(F.to_json(F.struct(F.col("_r").alias("r"), F.col("_x").alias("x"))), 256).alias("_h"), "_x")
+    key = F.struct("_t", "_r", "_x")  # in a struct null comes first
     line = F.transform(F.array_sort(F.collect_list(key)), lambda s: F.concat(F.lit(BEGIN), F.coalesce(s["_r"], F.lit("unknown")), F.lit("\n"), F.coalesce(s["_x"], F.lit("")), F.lit(END), F.lit("\n")))
     chats = rows.groupBy(conv).agg(F.array_join(line, "").alias("chat"))
     return kept.join(chats, conv)

@@ -23,6 +23,8 @@ FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 FOLD[0x80:] = np.arange(0x80, 0x100)
 UNKNOWN = "und"
+#: Bytes of text whose windows are made at once.
+_PIECE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -187,6 +189,7 @@ def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: st
     """``key``, the columns named in ``carry``, ``lang_pred`` and ``score`` (mean probability, 0 to 1) of every row, from its whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if the network knows no language.
+    Texts of any length count whole, in windows from their first byte on, so that equal texts have equal results.
     Repeated rows each get a row, ties go to the language first in order, an empty table gives no rows; no other column
     is read.
     """
@@ -200,19 +203,20 @@ def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: st
             data, offsets = utf8(batch.column(1))
             rows, names = batch.num_rows, [*net.languages, UNKNOWN]
             total, mass = np.zeros((rows, len(net.languages))), np.zeros(rows)
-            # rows are taken some at a time, so that the windows of a batch never stand in memory together
-            step = np.searchsorted(offsets, np.arange(0, len(data) + 1, windows_at_once * net.settings.window), side="left")
-            for lo, hi in zip(step, [*step[1:], rows], strict=True):
-                for a in range(int(offsets[lo]), int(offsets[hi]), 1 << 20):
-                    b = min(a + (1 << 20), int(offsets[hi]))
+            # rows are taken some at a time, a long text in pieces of its own, so that the windows of a batch never stand
+            # in memory together and a text's windows hang on its own bytes alone
+            piece, lo = _PIECE // net.settings.window * net.settings.window, 0
+            while lo < rows and net.languages:
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + piece, side="right")) - 1)
+                for a in range(int(offsets[lo]), int(offsets[hi]), piece):
+                    b = min(a + piece, int(offsets[hi]))
                     made, row = cut(data[a:b], np.clip(offsets[lo : hi + 1], a, b) - a, net.settings.window)
-                    for at in range(0, len(row), windows_at_once if net.languages else len(row) or 1):
-                        if not net.languages:
-                            break
+                    for at in range(0, len(row), windows_at_once):
                         part, of = made[at : at + windows_at_once], row[at : at + windows_at_once] + lo
                         weight = (part != 0x20).sum(axis=1) + 1e-9
                         np.add.at(total, of, net.probabilities(part) * weight[:, None])
                         np.add.at(mass, of, weight)
+                lo = hi
             known = (mass > 0) & (np.diff(offsets) > 0)
             best = total.argmax(axis=1) if net.languages else np.zeros(rows, int)
             score = np.where(known, total[np.arange(rows), best] / np.maximum(mass, 1e-12), 0.0) if net.languages else np.zeros(rows)

@@ -6,8 +6,9 @@ stay under what the best five candidates so far have reached are non-essential.
 whole shard at once, and the others are probed, largest bound first, for the vectors that can still compete. Shards
 merge by score.
 
-Queries travel in packed blocks to every lane of shards, each lane scoring its own shards: no pair of rows is ever
-joined, and memory is one block of queries and one shard.
+Vectors are dealt to lanes and packed into shards, queries to groups of packed blocks. One task scores one lane for one
+group: every query's threshold holds over all shards of the lane, no pair of rows is ever joined, and memory is a lane
+and a group, whatever the tables' size.
 """
 
 from __future__ import annotations
@@ -21,9 +22,6 @@ from pyspark.sql import functions as F
 
 from .frames import partitions
 
-_SHARD = 4096
-_BLOCK = 2048
-
 
 def scaled(vector: Column, scale: int) -> Column:
     """Integer components, floor(scale * x); null where the vector or a component is null or a component isn't finite."""
@@ -32,24 +30,44 @@ def scaled(vector: Column, scale: int) -> Column:
     return F.when(vector.isNotNull() & ~bad, ints)
 
 
-def _pack(rows: DataFrame, lane: Column, size: int, out: str) -> DataFrame:
-    """Rows of (key long, v array<double>) packed into matrices of at most ``size`` rows."""
+def _matrix(lists: pa.ListArray) -> np.ndarray:
+    """Rows of numbers as a matrix; missing last components are 0."""
+    length = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), length)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+    matrix = np.zeros((len(lists), int(length.max(initial=0))))
+    matrix[row, place] = lists.flatten().to_numpy(zero_copy_only=False)
+    return matrix
+
+
+def _pack(rows: DataFrame, group: str, groups: int, size: int) -> DataFrame:
+    """Distinct rows of (k long, v array<double>), dealt to ``groups`` numbered groups and packed there into matrices of
+    at most ``size`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, size):
-                part = batch.slice(start, size)
-                keys = part.column(0).cast(pa.int64()).to_numpy()
-                lists = part.column(1).to_pylist()
-                width = max(map(len, lists), default=0)
-                matrix = np.zeros((len(keys), width))
-                for i, x in enumerate(lists):
-                    matrix[i, : len(x)] = x
-                kind = np.float32 if np.abs(matrix).max(initial=0) < 1 << 24 else np.float64
-                yield pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary()), pa.array([matrix.astype(kind).tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([kind == np.float32])], names=[f"{out}_keys", f"{out}_matrix", f"{out}_width", f"{out}_single"])
-
-    made = rows.mapInArrow(run, f"{out}_keys binary, {out}_matrix binary, {out}_width int, {out}_single boolean")
-    return made.withColumn("lane", lane)
+            at = batch.column(2).to_numpy()
+            for g in np.unique(at).tolist():
+                own = batch.filter(pa.array(at == g)) if g != at[0] or g != at[-1] else batch
+                step = -(-own.num_rows // -(-own.num_rows // size))
+                for start in range(0, own.num_rows, step):
+                    part = own.slice(start, step)
+                    matrix = _matrix(part.column(1))
+                    kind = np.float32 if np.abs(matrix).max(initial=0) < 1 << 24 else np.float64
+                    packed = [part.column(0).to_numpy().tobytes(), matrix.astype(kind).tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *[pa.array([x], pa.binary()) for x in packed], pa.array([matrix.shape[1]], pa.int32()), pa.array([kind == np.float32])], names=[group, "keys", "matrix", "width", "single"])
+
+    dealt = rows.dropDuplicates(["k", "v"]).withColumn("g", F.pmod(F.xxhash64("k", "v"), F.lit(groups)).cast("int")).repartition(groups, "g")
+    return dealt.mapInArrow(run, f"{group} int, keys binary, matrix binary, width int, single boolean")
+
+
+def _unpack(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and matrix of each packed row, by first key, whatever order the shuffle brought."""
+    found = []
+    for keys, matrix, width, single in zip(*[table.column(c) for c in ("keys", "matrix", "width", "single")], strict=True):
+        keys = np.frombuffer(keys.as_py(), np.int64)
+        found.append((keys, np.frombuffer(matrix.as_py(), np.float32 if single.as_py() else np.float64).reshape(len(keys), width.as_py())))
+    yield from sorted(found, key=lambda x: int(x[0][0]))
 
 
 class TopK:
@@ -66,8 +84,9 @@ class TopK:
     def offer(self, query: int, scores: np.ndarray, keys: np.ndarray) -> None:
         if query in self.best:
             scores, keys = np.concatenate([self.best[query][0], scores]), np.concatenate([self.best[query][1], keys])
-        order = np.lexsort((keys, -scores))[: self.k]
-        self.best[query] = scores[order], keys[order]
+        order = np.lexsort((keys, -scores))
+        once = np.sort(np.unique(keys[order], return_index=True)[1])[: self.k]  # of a repeated key its best score
+        self.best[query] = scores[order][once], keys[order][once]
 
 
 def maxscore(query: np.ndarray, shard: np.ndarray, high: np.ndarray, low: np.ndarray, threshold: float, probe: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -94,65 +113,68 @@ def maxscore(query: np.ndarray, shard: np.ndarray, high: np.ndarray, low: np.nda
     return rows, partial
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding", seed_rows: int = 64) -> DataFrame:
+def score(shards: pa.Table, blocks: pa.Table, k: int, seed_rows: int = 64) -> tuple[TopK, int]:
+    """The best of all packed ``shards`` for each query of the packed ``blocks``, and the number of scores that were completed.
+
+    The shards of a block come one after the other, so that what the first ones have reached bounds the later ones.
+    """
+    top, completed = TopK(k), 0
+    lane = [(ids, shard, len(np.unique(ids)) == len(ids)) for ids, shard in _unpack(shards)]
+    for asked, queries in _unpack(blocks):
+        for ids, shard, distinct in lane:
+            width = max(shard.shape[1], queries.shape[1])
+            wide, block = [m if m.shape[1] == width else np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (shard, queries)]
+            high, low = wide.max(axis=0), wide.min(axis=0)
+            # float32 holds whole numbers below 2**24
+            reach = np.abs(np.maximum(high, -low)) @ np.abs(block).max(axis=0).astype(np.float64)
+            if reach >= 1 << 24:
+                wide, block, high, low = (m.astype(np.float64) for m in (wide, block, high, low))
+            for own, query in zip(asked.tolist(), block, strict=True):
+                if own not in top.best:  # a first threshold from a few rows
+                    few = np.flatnonzero(ids[:seed_rows] != own)
+                    top.offer(own, (wide[few] @ query).astype(np.float64), ids[few])
+                rows, scores = maxscore(query, wide, high, low, top.threshold(own))
+                completed += len(rows)
+                keep = ids[rows] != own
+                scores, rows = scores[keep].astype(np.float64), rows[keep]
+                if len(rows):
+                    # the k-th best row is no bound where a key stands in several
+                    if len(rows) > 4 * k and distinct:
+                        cutoff = np.partition(scores, -k)[-k]
+                        scores, rows = scores[scores >= cutoff], rows[scores >= cutoff]
+                    top.offer(own, scores, ids[rows])
+    return top, completed
+
+
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding", shard_rows: int = 4096, lane_rows: int = 1 << 17, block_rows: int = 2048, group_rows: int = 1 << 15) -> DataFrame:
     """``query_id``, ``rank`` (from 1), the neighbour's ``key`` and ``score``, an exact integer inner product.
 
     Every row of ``vectors`` but those with the query's own key is a candidate. Vectors that are null or hold a null or
-    non-finite component take no part, as query or candidate, nor do null keys; missing last components count as 0;
-    ties go to the smaller key; a query with fewer candidates than ``k`` gets all; repeated rows count once. Empty
-    tables give no rows and no other column is read. Scores are exact below 2**53.
+    non-finite component take no part, as query or candidate, nor do null keys; missing last components count as 0, so
+    that vectors may have any length; ties go to the smaller key; a query with fewer candidates than ``k`` gets all. A
+    key that stands in several rows counts once, with the best score of these rows, as a query too. Empty tables give no
+    rows and no other column is read. Scores are exact below 2**53.
+
+    Vectors are dealt to lanes of about ``lane_rows`` rows and queries to groups of about ``group_rows``; each lane scores
+    each group in a task of its own, which gives ``k`` rows a query.
     """
     spark = vectors.sparkSession
-    lanes = partitions(spark)
-
-    def ready(df: DataFrame) -> DataFrame:
-        return df.select(F.col(key).cast("long").alias("k"), scaled(F.col(vector), scale).alias("v")).where("k is not null and v is not null")
-
-    shards = _pack(ready(vectors).repartition(lanes, "k"), F.pmod(F.xxhash64("s_keys"), F.lit(lanes)), _SHARD, "s")
-    # about a million neighbouring keys a task, so that blocks are full and no task packs more than its share
-    blocks = _pack(ready(queries).repartition(F.expr("k div 1000003")), F.lit(0), _BLOCK, "q").withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-    # each lane sorts its shards behind one query block after the other
-    pairs = shards.join(blocks, "lane").select("s_keys", "s_matrix", "s_width", "s_single", "q_keys", "q_matrix", "q_width", "q_single")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, seen = TopK(k), None
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard, queries_ = [np.frombuffer(row[f"{x}_matrix"], np.float32 if row[f"{x}_single"] else np.float64).reshape(-1, row[f"{x}_width"]) for x in "sq"]
-                ids, asked = np.frombuffer(row["s_keys"], np.int64), np.frombuffer(row["q_keys"], np.int64)
-                width = max(shard.shape[1], queries_.shape[1])
-                shard, queries_ = [np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (shard, queries_)]
-                if seen != (got := hash(row["q_keys"])):
-                    if seen is not None:
-                        yield from emit(top)
-                    top, seen = TopK(k), got
-                high, low = shard.max(axis=0), shard.min(axis=0)
-                # float32 holds whole numbers below 2**24
-                reach = np.abs(np.maximum(high, -low)) @ np.abs(queries_).max(axis=0).astype(np.float64)
-                if reach >= 1 << 24:
-                    shard, queries_, high, low = (m.astype(np.float64) for m in (shard, queries_, high, low))
-                for i, query in enumerate(queries_):
-                    own = int(asked[i])
-                    if own not in top.best:  # a first threshold from a few rows
-                        few = np.unique(ids[:seed_rows], return_index=True)[1]
-                        few = few[ids[few] != own]
-                        top.offer(own, (shard[few] @ query).astype(np.float64), ids[few])
-                    floor = top.threshold(own)
-                    rows, scores = maxscore(query, shard, high, low, floor)
-                    keep = (ids[rows] != own) & ~np.isin(ids[rows], top.best[own][1])
-                    if keep.any():
-                        scores, rows = scores[keep].astype(np.float64), rows[keep]
-                        if len(rows) > 4 * k:
-                            cutoff = np.partition(scores, -k)[-k]
-                            scores, rows = scores[scores >= cutoff], rows[scores >= cutoff]
-                        _, one = np.unique(ids[rows], return_index=True)
-                        top.offer(own, scores[one], ids[rows][one])
-        yield from emit(top)
-
-    def emit(top: TopK) -> Iterator[pa.RecordBatch]:
+    candidates, asked = _ready(vectors, key, vector, scale), _ready(queries, key, vector, scale)
+    lanes = max(partitions(spark), -(-vectors.count() // lane_rows))
+    groups = max(1, -(-asked.count() // group_rows))
+    shards = _pack(candidates, "lane", lanes, shard_rows).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    blocks = _pack(asked, "group", groups, block_rows).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        top, _ = score(left, right, k)
         rows = [(q, int(i), int(s)) for q, (scores, ids) in top.best.items() for s, i in zip(scores, ids, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)], names=["query_id", key, "score"])
+        return pa.table({n: pa.array([r[j] for r in rows], pa.int64()) for j, n in enumerate(("query_id", key, "score"))})
 
-    found = pairs.mapInArrow(run, f"query_id long, `{key}` long, score long").groupBy("query_id", key).agg(F.max("score").alias("score"))
+    found = shards.groupBy("lane", "group").cogroup(blocks.groupBy("lane", "group")).applyInArrow(run, f"query_id long, `{key}` long, score long")
+    best = found.groupBy("query_id", key).agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
+
+
+def _ready(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
+    return df.select(F.col(key).cast("long").alias("k"), scaled(F.col(vector), scale).alias("v")).where("k is not null and v is not null")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -39,6 +42,36 @@ def test_topk_odd_vectors(spark):
     assert got == brute_topk(rows)
 
 
+def test_topk_many_lanes_and_groups(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randint(-9, 9) / 4 for _ in range(5)]) for i in range(0, 3000, 10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(df, df.where("vec_id % 50 = 0"), shard_rows=8, lane_rows=20, block_rows=4, group_rows=6)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == brute_topk(rows)
+
+
+def test_topk_best_row_of_a_repeated_key(spark):
+    df = spark.createDataFrame([(0, [1.0]), (7, [1.0]), (7, [3.0]), (7, [2.0]), (8, [2.5]), (9, [0.5])], "vec_id long, embedding array<double>")
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.search(df, df.where("vec_id = 0"), k=2).orderBy("rank").collect()]
+    assert got == [(1, 7, 256 * 768), (2, 8, 256 * 640)]
+
+
+def test_topk_threshold_holds_over_shards():
+    """The last shards of a lane have to complete fewer scores than they would alone."""
+    rng = np.random.default_rng(1)
+    matrix = np.floor(rng.normal(0, 1, (4000, 32)) * rng.uniform(0.02, 3, 32) * 256).astype(np.float32)
+
+    def packed(rows, size):
+        cut = range(rows.start, rows.stop, size)
+        return pa.table({"keys": [np.arange(a, min(a + size, rows.stop)).tobytes() for a in cut], "matrix": [matrix[a : min(a + size, rows.stop)].tobytes() for a in cut], "width": [32 for _ in cut], "single": [True for _ in cut]})
+
+    queries = packed(range(0, 40), 8)
+    whole, together = topk.score(packed(range(4000), 250), queries, 5)
+    alone = [topk.score(packed(range(a, a + 250), 250), queries, 5) for a in range(0, 4000, 250)]
+    assert together < 0.9 * sum(n for _, n in alone)
+    assert all(len(scores) == 5 for scores, _ in whole.best.values()) and len(whole.best) == 40
+
+
 def test_topk_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.search(df, df.where("vec_id = 0")).collect()] == [(0, 1, 1, 256 * 512)]
@@ -116,6 +149,18 @@ def test_chats_collapse(spark):
     assert chat.render(df.limit(0)).collect() == []
 
 
+def test_chats_with_ties(spark):
+    """Turns of one place and role stand by text, null first, so that what comes behind them is a prefix by text too."""
+    tied = [(1, 0, "user", t) for t in ("gamma", "delta", None, "beta", "alpha", "delta")]
+    longer = [*[(2, 0, "user", t) for t in (None, "alpha", "beta", "delta", "gamma")], (2, 1, "bot", "end"), (3, 0, "user", "alpha"), (4, None, None, "b"), (4, None, None, "a")]
+    df = spark.createDataFrame(tied + longer, "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.n_prefixes, r.chat) for r in chat.render(df).collect()}
+    block = lambda role, text: f"{chat.BEGIN}{role}\n{text}{chat.END}\n"
+    assert got[2] == (6, 1, "".join(block("user", t) for t in ("", "alpha", "beta", "delta", "gamma")) + block("bot", "end"))
+    assert got[4] == (2, 0, block("unknown", "a") + block("unknown", "b"))
+    assert set(got) == {2, 3, 4}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_operator_matches_sql(spark, name):
     con = duckdb.connect()
