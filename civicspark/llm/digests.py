@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .frames import partitions
+from .frames import partitions, tidy
 from .kernels import mix, sliding_min, utf8
 
 _CLASSES = 1000
@@ -95,7 +95,7 @@ def histogram(docs: DataFrame, *, text: str = "text", settings: Settings = Setti
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["class", "n"])
 
     out = np.zeros(_CLASSES, np.int64)
-    for r in docs.select(text).mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select(text).mapInArrow(tidy(run), "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
         out[r["class"]] = r["n"]
     return out
 
@@ -270,7 +270,7 @@ def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(7)], names=names)
 
     arrow = to_arrow_type(docs.schema[key].dataType)
-    return ordered.mapInArrow(run, f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.mapInArrow(tidy(run), f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def _ranged(rows: DataFrame, bounds: list) -> DataFrame:

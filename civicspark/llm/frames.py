@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +29,49 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def tidy(run: Callable) -> Callable:
+    """A function of batches after which the worker gives back the memory that Arrow and the C library keep."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return over
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The same for a function of one group."""
+
+    def over(group):  # noqa: ANN001, ANN202
+        try:
+            return run(group)
+        finally:
+            give_back()
+
+    return over
+
+
+def tidy_groups(run: Callable) -> Callable:
+    """The same for a function of two groups of one key."""
+
+    def over(left, right):  # noqa: ANN001, ANN202
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return over
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, and any executor can be lost."""
     spark = df.sparkSession
@@ -38,22 +86,9 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
 
 
-def materialize_bucketed(df: DataFrame, key: str) -> DataFrame:
-    """The same, with rows of a key in one bucket: joins on it then shuffle the other side alone."""
-    spark = df.sparkSession
-    name = f"t_{uuid.uuid4().hex}"
-    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}"
-    df.write.bucketBy(partitions(spark), key).sortBy(key).option("path", path).saveAsTable(name)
-    out = spark.table(name)
-    out.written_to, out.table_name = path, name
-    return out
-
-
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that no result depends on any more."""
     for table in tables:
         spark = table.sparkSession
-        if hasattr(table, "table_name"):
-            spark.sql(f"DROP TABLE IF EXISTS {table.table_name}")
         path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import tidy
 from .kernels import utf8
 
 #: Lower case for A-Z; digits, ASCII punctuation, control bytes and white space all read as one space.
@@ -168,7 +169,7 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
             keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[keep])), batch.column(1).take(pa.array(row[keep])), pa.array([m.tobytes() for m in made[keep]], pa.binary())], names=["place", "lang", "bytes"])
 
-    rows = sorted((tuple(r) for r in picked.mapInArrow(windows, "place double, lang string, bytes binary").collect()), key=lambda r: r[0])
+    rows = sorted((tuple(r) for r in picked.mapInArrow(tidy(windows), "place double, lang string, bytes binary").collect()), key=lambda r: r[0])
     x, y, seen = [], [], dict.fromkeys(network.languages, 0)
     for _, language, content in rows:
         if seen[language] < settings.docs_per_language * each:
@@ -224,4 +225,4 @@ def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: st
             made = [pa.array([names[i] for i in best], pa.string()), pa.array(np.clip(score, 0, 1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *made], names=[key, *carry, "lang_pred", "score"])
 
-    return frame.mapInArrow(run, ", ".join([*kinds, "lang_pred string, score double"]))
+    return frame.mapInArrow(tidy(run), ", ".join([*kinds, "lang_pred string, score double"]))

@@ -1,19 +1,21 @@
 """Jaccard self-join of documents on word shingles, by vertical partitioning of the shingle order.
 
-Documents with equal shingle sets form one class and stand for one node. The hashed shingles are cut into fragments;
-each fragment alone finds the shingles that more than one node holds, and how many do. A node's shared shingles, rarest
-first, are its place in the global order: two nodes can only reach the threshold if they meet in the first part of it
-(prefix filter). Candidate pairs are verified by intersecting their whole sets of shared shingles.
+Documents with equal shingle sets form one class and stand for one node. First the shingles that more than one node
+holds are found, and how many do, in groups dealt by hash. They make up the global order, rarest first, and two nodes
+can only reach the threshold if they meet in the first part of it (prefix filter).
+
+The order is cut at its quantiles into fragments. Each node's shingles lie in segments, one a fragment; for candidate
+pairs every fragment counts the overlap of two segments for itself, and the partial overlaps are summed per pair.
 
 Links matter as far as they connect. Candidates are first tried against a centre for each shingle, and where a shingle's
 nodes still stand apart, against others; then all candidate pairs that still stand in different components are counted,
-but for those whose parity bitmaps already differ in more bits than the sets may in shingles. A group of m near copies so costs about m pairs
-instead of m * m / 2, and no link between components is lost.
+but for those whose parity bitmaps already differ in more bits than the sets may in shingles. A group of m near copies
+so costs about m pairs instead of m * m / 2, and no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,19 +23,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .frames import discard, materialize, materialize_bucketed, partitions, text_bytes
+from .frames import discard, materialize, partitions, tidy, tidy_group, tidy_groups
 from .kernels import mix, shingle_sets, utf8
 
-_FRAGMENT_BYTES = 8 << 20
-_SLICE = 2 << 20
-#: Shingles that a task gathers before it sends them off by fragment.
+#: Shingles of a group in which equal ones are sought, and of the slices of text that are hashed at once, in bytes.
+_GROUP = 5 << 19
+_SLICE = 1 << 20
+#: Shingles that a task gathers before it sends them off.
 _GATHERED = 1 << 20
-#: Fragments of the order in which a pair's overlap is counted.
-_COUNTED = 4
+#: Fragments that the order is cut into.
+_FRAGMENTS = 8
 #: 64-bit words of a parity bitmap; further rounds against centres, and a group's centres in each. None changes the result.
 _WORDS = 8
 _ROUNDS = 2
 _CENTRES = 8
+#: Nodes of pairs that are broadcast, 16 bytes each; more are joined by shuffle.
+_BROADCAST = 1 << 20
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -66,15 +71,15 @@ def set_names(docs: DataFrame, *, key: str, text: str, words: int, carry: tuple[
                 carried = [batch.column(2 + i).slice(lo, hi - lo) for i in range(len(carry))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(arrow), *carried, pa.array(n), pa.array(_keys(values, at), mask=n == 0)], names=["_k", *carry, "n", "node"])
 
-    return frame.mapInArrow(run, f"_k {frame.schema['_k'].dataType.simpleString()}, {kinds}n long, node long")
+    return frame.mapInArrow(tidy(run), f"_k {frame.schema['_k'].dataType.simpleString()}, {kinds}n long, node long")
 
 
-def _fragments(docs: DataFrame, text: str, words: int, fragments: int) -> DataFrame:
-    """The sets of each batch of rows, equal sets once, cut into fragments of the shingle order."""
+def _dealt(docs: DataFrame, text: str, words: int, groups: int) -> DataFrame:
+    """The sets of each batch of rows, equal sets once, dealt to groups by hash: shingles one after the other, by node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = np.zeros(0, np.int64)
-        shingles, owners = [], []
+        shingles, owners, gathered = [], [], 0
         for batch in batches:
             for _, _, values, at in _sets(batch.column(0), words):
                 names, size = _keys(values, at), np.diff(at)
@@ -86,102 +91,150 @@ def _fragments(docs: DataFrame, text: str, words: int, fragments: int) -> DataFr
                 keep = np.repeat(new, size)
                 shingles.append(values[keep])
                 owners.append(np.repeat(names, size)[keep])
-                if sum(map(len, shingles)) >= _GATHERED:
+                gathered += len(shingles[-1])
+                if gathered >= _GATHERED:
                     yield from packed(shingles, owners)
-                    shingles, owners = [], []
+                    shingles, owners, gathered = [], [], 0
         if shingles:
             yield from packed(shingles, owners)
 
     def packed(shingles: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         value, owner = np.concatenate(shingles), np.concatenate(owners)
-        fragment = (value >> np.uint64(32)) % np.uint64(fragments)
-        order = np.argsort(fragment.astype(np.uint32), kind="stable")
-        fragment, value, owner = fragment[order].astype(np.int32), value[order].astype(np.uint32), owner[order]
-        # owners follow each other: each once, with its number of shingles
-        new = np.ones(len(owner), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (fragment[1:] != fragment[:-1])
-        starts = np.flatnonzero(new)
-        counts = np.diff(np.concatenate([starts, [len(owner)]])).astype(np.int32)
-        to, first = np.unique(fragment[starts], return_index=True)
+        group = ((value >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
+        order = np.argsort(group, kind="stable")
+        group, value, owner = group[order], value[order].astype(np.uint32), owner[order]
+        # owners follow each other: each once, with its number of shingles, in parts that a byte can count
+        starts = _runs(255, group, owner)
+        counts = np.diff(np.concatenate([starts, [len(owner)]])).astype(np.uint8)
+        to, first = np.unique(group[starts], return_index=True)
         cuts = np.concatenate([first, [len(starts)]])
         edges = np.concatenate([starts, [len(owner)]])[cuts]
-        rows = [(int(f), value[edges[i] : edges[i + 1]].tobytes(), owner[starts[cuts[i] : cuts[i + 1]]].tobytes(), counts[cuts[i] : cuts[i + 1]].tobytes()) for i, f in enumerate(to)]
-        for i in range(0, len(rows), 32):
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows[i : i + 32]], t) for j, t in enumerate([pa.int32(), *[pa.binary()] * 3])], names=["fragment", "shingles", "nodes", "counts"])
-
-    return docs.select(text).mapInArrow(run, "fragment int, shingles binary, nodes binary, counts binary")
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one fragment: each node's shingles that others hold too, with the number of nodes that hold them."""
-    value = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("shingles")])
-    node = np.concatenate([np.repeat(np.frombuffer(x.as_py(), np.int64), np.frombuffer(c.as_py(), np.int32)) for x, c in zip(table.column("nodes"), table.column("counts"), strict=True)])
-    order = np.lexsort((node, value))
-    value, node = value[order], node[order]
-    keep = np.ones(len(value), bool)
-    keep[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])
-    value, node = value[keep], node[keep]
-    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-    df = np.repeat(np.diff(np.concatenate([first, [len(value)]])), np.diff(np.concatenate([first, [len(value)]])))
-    value, node, df = value[df > 1], node[df > 1], df[df > 1]
-    order = np.argsort(node, kind="stable")
-    value, node, df = value[order], node[order], df[order].astype(np.int32)
-    to, first = np.unique(node, return_index=True)
-    split = [[x.tobytes() for x in np.split(a, first[1:])][: len(to)] for a in (value, df)]
-    fragment = table.column("fragment")[0].as_py()
-    return pa.table({"node": pa.array(to), "fragment": pa.array([fragment] * len(to), pa.int32()), "shingles": pa.array(split[0], pa.binary()), "df": pa.array(split[1], pa.binary())})
-
-
-def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node's shared shingles in the global order: rarest first, then by hash."""
-    for batch in batches:
-        items = []
-        for row in batch.column(2).to_pylist():
-            value = np.concatenate([np.frombuffer(r["shingles"], np.uint32).astype(np.int64) | np.int64(r["fragment"]) << 32 for r in row])
-            df = np.concatenate([np.frombuffer(r["df"], np.int32) for r in row])
-            items.append(value[np.lexsort((value, df))])
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int32)
-        flat = np.concatenate([np.zeros(0, np.int64), *items])
+        for i, g in enumerate(to.tolist()):
+            row = (g, value[edges[i] : edges[i + 1]].tobytes(), owner[starts[cuts[i] : cuts[i + 1]]].tobytes(), counts[cuts[i] : cuts[i + 1]].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int32(), *[pa.binary()] * 3], strict=True)], names=["group", "shingles", "nodes", "counts"])
+
+    return docs.select(text).mapInArrow(tidy(run), "group int, shingles binary, nodes binary, counts binary")
+
+
+def _runs(most: int, *columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, a long run every ``most`` places."""
+    n = len(columns[0])
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    return np.flatnonzero((np.arange(n) - first) % most == 0)
+
+
+def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_py(), kind) for x in table.column(column)]])
+
+
+def _shared(groups: int) -> Callable[[pa.Table], pa.Table]:
+    """Of one group: the shingles that more than one node holds, with a measure of how many do, dealt to buckets of nodes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names, of = np.unique(_joined(table, "nodes", np.int64), return_inverse=True)
+        of = np.repeat(of.astype(np.uint64), _joined(table, "counts", np.uint8))
+        pairs = np.unique(_joined(table, "shingles", np.uint32).astype(np.uint64) << np.uint64(32) | of)
+        value = (pairs >> np.uint64(32)).astype(np.uint32)
+        begin = _runs(len(value) + 1, value)
+        holders = np.diff(np.concatenate([begin, [len(value)]]))
+        rank = np.minimum(127, 8 * np.log2(holders)).astype(np.uint8)  # grows with the number of holders
+        held = np.repeat(holders > 1, holders)
+        value, of, rank = value[held], (pairs[held] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.repeat(rank, holders)[held]
+        bucket = (names % groups).astype(np.int32)[of]
+        order = np.lexsort((of, bucket))
+        value, of, rank, bucket = value[order], of[order], rank[order], bucket[order]
+        starts = _runs(255, bucket, of) if len(of) else np.zeros(0, np.int64)
+        counts = np.diff(np.concatenate([starts, [len(of)]])).astype(np.uint8)
+        to, first = np.unique(bucket[starts], return_index=True)
+        cuts = np.concatenate([first, [len(starts)]]).astype(np.int64)
+        edges = np.concatenate([starts, [len(of)]]).astype(np.int64)[cuts]
+        group, out = table.column("group")[0].as_py(), []
+        for i, b in enumerate(to.tolist()):
+            of_bucket, here = slice(cuts[i], cuts[i + 1]), slice(edges[i], edges[i + 1])
+            out.append((b, group, names[of[starts[of_bucket]]].tobytes(), counts[of_bucket].tobytes(), value[here].tobytes(), rank[here].tobytes()))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+        return pa.table({n: pa.array([r[i] for r in out], kinds[i]) for i, n in enumerate(("bucket", "group", "nodes", "counts", "shingles", "ranks"))})
+
+    return run
+
+
+def _placed(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of one bucket of nodes: those of which enough shingles are shared, with these in the global order.
+
+    An item is a shingle and its place in the order: rank, group and hash, the rarest first.
+    """
+
+    def run(pieces: pa.Table, classes: pa.Table) -> pa.Table:
+        names, size = classes.column("node").to_numpy(), classes.column("n").to_numpy()
+        by = np.argsort(names)
+        names, size = names[by], size[by]
+        counts = [np.frombuffer(c.as_py(), np.uint8) for c in pieces.column("counts")]
+        group = np.repeat(pieces.column("group").to_numpy().astype(np.int64), [int(c.sum()) for c in counts])
+        node = np.searchsorted(names, np.repeat(_joined(pieces, "nodes", np.int64), np.concatenate([np.zeros(0, np.uint8), *counts])))
+        item = _joined(pieces, "ranks", np.uint8).astype(np.int64) << 55 | group << 32 | _joined(pieces, "shingles", np.uint32).astype(np.int64)
+        held = np.bincount(node, minlength=len(names))
+        able = 100 * held >= percent * size
+        keep = able[node]
+        order = np.lexsort((item[keep], node[keep]))
+        item, node = item[keep][order], node[keep][order]
+        names, size, held = names[able], size[able], held[able]
+        offsets = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
         # a bit is on if it is hit by an odd number of shingles: two sets differ by at least as many as their bitmaps
-        row = np.repeat(np.arange(len(items)), np.diff(offsets))
-        hits = np.bincount(row * (64 * _WORDS) + (mix(flat.view(np.uint64)) % np.uint64(64 * _WORDS)).astype(np.int64), minlength=len(items) * 64 * _WORDS)
+        row = np.repeat(np.arange(len(names)), held)
+        hits = np.bincount(row * (64 * _WORDS) + (mix(item.view(np.uint64)) % np.uint64(64 * _WORDS)).astype(np.int64), minlength=len(names) * 64 * _WORDS)
         bits = np.packbits((hits % 2).astype(np.uint8).reshape(-1, 64), axis=1).reshape(-1).view(np.int64)
-        bitmap = pa.ListArray.from_arrays(pa.array(np.arange(len(items) + 1, dtype=np.int32) * _WORDS), pa.array(bits))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), bitmap], names=["node", "n", "items", "bitmap"])
+        bitmap = pa.ListArray.from_arrays(pa.array(np.arange(len(names) + 1, dtype=np.int32) * _WORDS), pa.array(bits))
+        return pa.table({"node": names, "n": size, "items": pa.ListArray.from_arrays(pa.array(offsets), pa.array(item)), "bitmap": bitmap})
 
+    return run
 
-def _part(i: int) -> Column:
-    return F.filter("items", lambda x: x % _COUNTED == i)
 
+def _cuts(nodes: DataFrame, fragments: int) -> list[int]:
+    """Where the order is cut so that fragments hold about as many shingles of nodes."""
+    at = [i / fragments for i in range(1, fragments)]
+    found = nodes.select(F.explode("items").alias("item")).agg(F.percentile_approx("item", at, 1000).alias("at")).first()["at"] if at else None
+    return sorted(set(found or []))
 
-def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that reach the threshold, by the overlap of their whole sets, a part at a time in one row.
 
-    ``nodes`` lies in buckets, so that only the pairs move, with the shingles of one side.
+def _links(pairs: DataFrame, nodes: DataFrame, cuts: list[int], percent: int) -> DataFrame:
+    """The pairs (a, na, b, nb), a written table, that reach the threshold.
+
+    Each fragment of the order counts the overlap of the segments that a pair has there; these are summed per pair.
     """
-    left, right = (nodes.select(F.col("node").alias(k), *[F.col(f"part{i}").alias(f"{k}{i}") for i in range(_COUNTED)]) for k in "ab")
-    partial = [F.size(F.array_intersect(f"a{i}", f"b{i}")) for i in range(_COUNTED)]
-    summed = pairs.join(left, "a").join(right, "b").select("a", "na", "b", "nb", sum(partial[1:], partial[0]).alias("overlap"))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    needed = nodes.select("node", "items").join(F.broadcast(ends) if pairs.count() <= _BROADCAST // 2 else ends, "node", "left_semi")
+    lows, highs = [None, *cuts], [*cuts, None]
+    inside = lambda lo, hi: lambda x: (F.lit(True) if lo is None else x >= lo) & (F.lit(True) if hi is None else x < hi)
+    cut = F.array(*[F.filter("items", inside(lo, hi)) for lo, hi in zip(lows, highs, strict=True)])
+    segments = needed.select("node", F.posexplode(cut).alias("fragment", "segment")).where(F.size("segment") > 0)
+    left, right = (segments.select(F.col("node").alias(k), "fragment", F.col("segment").alias(f"segment_{k}")) for k in "ab")
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "na", "b", "nb", F.size(F.array_intersect("segment_a", "segment_b")).alias("part"))
+    summed = partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("overlap"))
     return summed.where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node`` and ``comp``, the smallest node that links reach, by least labels and pointer jumping; written each round."""
+    """``node`` and ``comp``, the smallest node that links reach, a written table, by least labels and pointer jumping."""
     edges = materialize(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
     ends = edges.select(F.col("a").alias("node")).distinct()
-    labels = materialize(ends.withColumn("comp", F.col("node")))
+    labels = written = materialize(ends.withColumn("comp", F.col("node")))
     while True:
         told = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("told"))
         lower = labels.join(told, "node").select("node", F.col("comp").alias("old"), F.least("comp", "told").alias("comp"))
         further = labels.select(F.col("node").alias("comp"), F.col("comp").alias("jump"))
         new = materialize(lower.join(further, "comp").select("node", "old", F.least("comp", "jump").alias("comp")))
-        labels = new.select("node", "comp")
+        discard(written)
+        written, labels = new, new.select("node", "comp")
         if new.where("comp <> old").isEmpty():
             break
-    return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    out = materialize(nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
+    discard(edges, written)
+    return out
 
 
-def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, carry: tuple[str, ...] = ()) -> DataFrame:
+def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, carry: tuple[str, ...] = (), fragments: int = _FRAGMENTS) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach, of every row.
 
     With ``carry`` also the columns named there and ``component``, a name of the component that doesn't hang on keys:
@@ -192,38 +245,43 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     when 100 * overlap >= ``percent`` * union. Repeated rows are one class; null keys are never a component's smallest
     (a component of null keys only is null); an empty table gives no rows; no other column is read.
 
-    Sets are told apart by 64-bit names, shingles by 32 bits and their fragment.
+    Texts of any length count whole; ``fragments`` of the order change the work, not the result. Sets are told apart by
+    64-bit names, shingles by 32 bits and their group.
     """
-    spark = docs.sparkSession
-    parts = partitions(spark)
-    fragments = max(2 * parts, text_bytes(docs, text) // _FRAGMENT_BYTES)
     named = materialize(set_names(docs, key=key, text=text, words=words, carry=carry))
+    groups = max(partitions(docs.sparkSession), (named.agg(F.sum("n")).first()[0] or 0) // _GROUP)
     classes = named.where("node is not null").groupBy("node", "n").agg(F.min("_k").alias("first"))
 
-    shared = _fragments(docs, text, words, fragments).groupBy("fragment").applyInArrow(_shared, "node long, fragment int, shingles binary, df binary")
+    dealt = _dealt(docs, text, words, groups).groupBy("group").applyInArrow(tidy_group(_shared(groups)), "bucket int, group int, nodes binary, counts binary, shingles binary, ranks binary")
+    sizes = classes.select("node", "n", F.pmod("node", F.lit(groups)).cast("int").alias("bucket"))
     # a node can link only if others hold enough of its shingles, by number
-    held = shared.groupBy("node").agg(F.sum(F.octet_length("shingles") / 4).cast("long").alias("held"), F.collect_list(F.struct("fragment", "shingles", "df")).alias("pieces"))
-    able = held.join(classes.select("node", "n"), "node").where(100 * F.col("held") >= percent * F.col("n")).select("node", "n", "pieces")
-    nodes = materialize(able.mapInArrow(_ordered, "node long, n long, items array<long>, bitmap array<long>"))
+    nodes = materialize(dealt.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(tidy_groups(_placed(percent)), "node long, n long, items array<long>, bitmap array<long>"))
+    cuts = _cuts(nodes, fragments)
     # the first part of the order, of which shingles that nobody else holds come first
     prefix = F.floor(F.col("n") * (100 - percent) / 100.0 + 1e-9) + 1 - (F.col("n") - F.size("items"))
     first = F.slice("items", F.lit(1), F.least(prefix, F.size("items")).cast("int"))
-    placed = nodes.where(prefix > 0).select("node", "n", (F.col("n") - F.size("items")).alias("alone"), F.posexplode(first).alias("at", "shingle"))
+    placed = nodes.where(prefix > 0).select("node", F.col("n").cast("int").alias("n"), (F.col("n") - F.size("items")).cast("int").alias("alone"), F.posexplode(first).alias("at", "shingle"))
     prefixes = materialize(placed.select("node", "n", "shingle", (F.col("alone") + F.col("at")).alias("place")))
-    segments = materialize_bucketed(nodes.select("node", *[_part(i).alias(f"part{i}") for i in range(_COUNTED)]), "node")
 
     # names are hashes, so the least of a shingle's nodes is any of them, and mostly the same one for a group of copies
     one = prefixes.withColumn("comp", F.col("node"))
-    links = first_links = materialize(_links(_tried(one, F.lit(0), percent), segments, percent))
-    used = [nodes, prefixes, segments, first_links]
-    comps = materialize(components(nodes, links))
+    used = [nodes, prefixes]
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        tried = materialize(pairs)
+        found = materialize(_links(tried, nodes, cuts, percent))
+        discard(tried)
+        used.append(found)
+        return found
+
+    links = linked(_tried(one, F.lit(0), percent))
+    comps = components(nodes, links)
     for turn in range(1, 1 + _ROUNDS):
         apart = materialize(_apart((prefixes if turn == 1 else apart.drop("comp")).join(comps, "node")))
+        used += [apart, comps]
         order = F.xxhash64(F.lit(turn), "node", F.pmod("shingle", F.lit(_CENTRES)))
-        further = materialize(_links(_tried(apart, order, percent), segments, percent))
-        links = links.union(further)
-        used += [apart, further]
-        comps = materialize(components(nodes, links))
+        links = links.union(linked(_tried(apart, order, percent)))
+        comps = components(nodes, links)
 
     # all pairs that may link and still stand apart
     own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).alias("alone"))
@@ -232,10 +290,11 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     differ = sum((F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b"))
     near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
     rest = open_.join(other, "shingle").where((F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near).select(*_pair("node", "n", "node_b", "n_b"))
-    found = materialize(_links(_fit(rest, percent), segments, percent))
+    found = linked(_fit(rest, percent))
     if not found.isEmpty():
-        comps = materialize(components(nodes, links.union(found)))
-    discard(*used, open_, found)
+        used.append(comps)
+        comps = components(nodes, links.union(found))
+    discard(*used, open_)
 
     member = classes.join(comps, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))
     least = member.groupBy("comp").agg(F.min("first").alias("least"))

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .frames import tidy
+
 # Element names of the HTML standard, and words of class, id and role names.
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -230,4 +232,4 @@ def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", page: s
                 found = [main_text(x.as_py() or "", window=window, threshold=threshold) for x in part.column(2)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string())], names=[key, url, "text"])
 
-    return frame.mapInArrow(run, f"`{key}` {kind}, `{url}` string, text string")
+    return frame.mapInArrow(tidy(run), f"`{key}` {kind}, `{url}` string, text string")

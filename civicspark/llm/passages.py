@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import partitions, text_bytes
+from .frames import partitions, text_bytes, tidy_group, tidy_groups
 from .kernels import gram_hashes, mix, sliding_min, utf8
 
 _STEP = 1 << 16
@@ -358,11 +358,11 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         carried = {c: table.column(f"_carry{i}") for i, c in enumerate(carry)}
         return pa.table({key: table.column("_k"), **carried, "n_bytes": pa.array(np.diff(offsets)), "spans": pa.array(removed, span), "kept": pa.array(kept, pa.string() if decode else pa.binary())})
 
-    asked = rows.groupBy("_b").applyInArrow(ask, "_shard int, _b int, _codes binary")
-    shared = asked.groupBy("_shard").applyInArrow(answer, "_shard int, _b int, _codes binary")
-    sent = rows.groupBy("_b").cogroup(shared.groupBy("_b")).applyInArrow(send, _PIECES)
-    marks = sent.groupBy("_shard").applyInArrow(decide, "_b int, _marks binary")
-    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(apply, ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]) + ", n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if decode else "binary"))
+    asked = rows.groupBy("_b").applyInArrow(tidy_group(ask), "_shard int, _b int, _codes binary")
+    shared = asked.groupBy("_shard").applyInArrow(tidy_group(answer), "_shard int, _b int, _codes binary")
+    sent = rows.groupBy("_b").cogroup(shared.groupBy("_b")).applyInArrow(tidy_groups(send), _PIECES)
+    marks = sent.groupBy("_shard").applyInArrow(tidy_group(decide), "_b int, _marks binary")
+    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(tidy_groups(apply), ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]) + ", n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if decode else "binary"))
 
 
 def _content(data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .frames import tidy
+
 _CHUNK = re.compile(" +[^ ]*")
 _MARK = "▁"
 
@@ -88,4 +90,4 @@ def encode_decode(docs: DataFrame, model_file: str, *, key: str = "doc_id", text
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(decoded, pa.string())], names=[key, "ids", "decoded"])
 
-    return frame.mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded string")
+    return frame.mapInArrow(tidy(run), f"`{key}` {kind}, ids array<int>, decoded string")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import partitions
+from .frames import partitions, tidy, tidy_groups
 
 
 def scaled(vector: Column, scale: int) -> Column:
@@ -58,7 +58,7 @@ def _pack(rows: DataFrame, group: str, groups: int, size: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *[pa.array([x], pa.binary()) for x in packed], pa.array([matrix.shape[1]], pa.int32()), pa.array([kind == np.float32])], names=[group, "keys", "matrix", "width", "single"])
 
     dealt = rows.dropDuplicates(["k", "v"]).withColumn("g", F.pmod(F.xxhash64("k", "v"), F.lit(groups)).cast("int")).repartition(groups, "g")
-    return dealt.mapInArrow(run, f"{group} int, keys binary, matrix binary, width int, single boolean")
+    return dealt.mapInArrow(tidy(run), f"{group} int, keys binary, matrix binary, width int, single boolean")
 
 
 def _unpack(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -170,7 +170,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 2
         rows = [(q, int(i), int(s)) for q, (scores, ids) in top.best.items() for s, i in zip(scores, ids, strict=True)]
         return pa.table({n: pa.array([r[j] for r in rows], pa.int64()) for j, n in enumerate(("query_id", key, "score"))})
 
-    found = shards.groupBy("lane", "group").cogroup(blocks.groupBy("lane", "group")).applyInArrow(run, f"query_id long, `{key}` long, score long")
+    found = shards.groupBy("lane", "group").cogroup(blocks.groupBy("lane", "group")).applyInArrow(tidy_groups(run), f"query_id long, `{key}` long, score long")
     best = found.groupBy("query_id", key).agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")

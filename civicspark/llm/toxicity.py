@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import tidy
 from .kernels import utf8, word_hashes
 
 #: Every ASCII byte but letters and digits separates words here.
@@ -106,7 +107,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             ends = np.searchsorted(pairs, np.arange(batch.num_rows + 1) << s.bits)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.int32).tobytes() for x in np.split(pairs & ((1 << s.bits) - 1), ends[1:-1])][: batch.num_rows], pa.binary()), pa.array(np.zeros(batch.num_rows, np.int64)) if batch.column(0).type == pa.null() else batch.column(0).cast(pa.string())], names=["y", "x", "k"])
 
-    got = sorted(((r["k"], *r["y"], bytes(r["x"])) for r in rows.mapInArrow(run, "y array<int>, x binary, k string").collect()))
+    got = sorted(((r["k"], *r["y"], bytes(r["x"])) for r in rows.mapInArrow(tidy(run), "y array<int>, x binary, k string").collect()))
     if not got:
         return Chain(names, s, [(np.zeros(1 << s.bits, np.float32), np.zeros(i), -30.0) for i in range(len(names))])
     x = [np.frombuffer(r[-1], np.int32).astype(np.int64) for r in got]
@@ -148,4 +149,4 @@ def score(docs: DataFrame, chain: Chain, *, key: str = "doc_id", text: str = "te
                     earlier = np.concatenate([earlier, _predict(model, place, row, earlier)[:, None]], axis=1)
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(p) for p in earlier.T]], names=[key, *[f"p_{c}" for c in chain.categories]])
 
-    return frame.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"`p_{c}` double" for c in chain.categories))
+    return frame.mapInArrow(tidy(run), f"`{key}` {kind}, " + ", ".join(f"`p_{c}` double" for c in chain.categories))
