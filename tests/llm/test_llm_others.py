@@ -127,6 +127,57 @@ def test_main_text_around_furniture_and_articles(html, text):
     assert pages.main_text(html) == text
 
 
+LINKS = "".join(f"<div><a href='/{i}'>Menu entry {i}</a></div>" for i in range(6))
+UNMARKED = HEAD + LINKS + f"<h1><a href='/'>Title</a></h1><p>{LONG}</p><p>Short.</p><p><a href='/c'>cited</a></p><p>End.</p>" + LINKS + "<div>(c) us</div>"
+
+
+def test_surge_and_dive_points_locate_the_text(monkeypatch):
+    """On pages without any marked section only the distribution tells the text from what stands around it."""
+    want = f"Title\n\n{LONG}\n\nShort.\n\ncited\n\nEnd."
+    assert pages.main_text(UNMARKED) == want
+    assert pages.main_text(UNMARKED, window=100) != want  # a window over the whole page finds no dive
+    monkeypatch.setattr(pages, "_runs", lambda rows, *_, **__: [[text for text, _ in rows if text]])
+    assert pages.main_text(UNMARKED) != want
+
+
+def brute_runs(weights, window=3, threshold=80):
+    """Line numbers of the text, by its definition, for lines that weigh these characters."""
+    sums = [sum(weights[max(0, i - window + 1) : i + 1]) for i in range(len(weights))]
+    least, kept, i = min(threshold, max(sums, default=0)), [], 0
+    while i < len(weights):
+        j = i
+        while j < len(weights) and sums[j] > 0:
+            j += 1
+        if j > i and max(sums[i:j]) >= least:
+            kept += range(i, max(k for k in range(i, j) if weights[k]) + 1)
+        i = j + 1 if j == i else j
+    return kept
+
+
+def test_distribution_matches_brute_force():
+    rng = random.Random(8)
+    for _ in range(300):
+        weights = [rng.choice([0, 0, 0, rng.randint(1, 30), rng.randint(30, 200)]) for _ in range(rng.randint(1, 40))]
+        blocks = ["x" * n if n else "link" for n in weights]
+        page = "".join(f"<div>{b}</div>" if n else f"<div><a href='/'>{b}</a></div>" for n, b in zip(weights, blocks, strict=True))
+        want = [blocks[i] for i in brute_runs(weights)] if any(weights) else blocks
+        assert pages.main_text(page) == "\n\n".join(want) or not any(weights)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div><h1>Head</h1></div><nav>menu</nav><div>{LONG}</div><aside>side</aside><div><p>Closing line.</p></div>", f"Head\n\n{LONG}\n\nClosing line."),
+        ("<article><p>x <math><mi>y</mi></math> z</p><div class='related-work'>Related</div><div class='header-image'>Image</div><div class='related-posts'>no</div></article>", "x y z\n\nRelated\n\nImage"),
+        ("<article><p>One <a href='/'>two</a></p><p><a href='/'>three</a></p></article>", "One two\n\nthree"),
+        ("<ul><li><a href='/'>only</a></li><li><a href='/'>links</a></li></ul>", "only\n\nlinks"),
+        ("<article><p>&lt<b>;</b></p><video>clip</video><select><option>1</option></select></article>", "<;\n\nclip"),
+    ],
+)
+def test_main_text_drops_nothing_else(html, text):
+    assert pages.main_text(html) == text
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>x</p>"), (3, "u", "<p>x</p>"), (None, "v", "<article>" + "<p>word</p>" * 20000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text")
