@@ -12,12 +12,17 @@ string names its shard, so that equal strings meet. Documents lie in hash bucket
    stops, and what is still together is a repeated string, first held by the smallest document of its interval;
 5. each bucket takes the marked bytes out of its texts.
 
-A stretch that thousands of documents share is sent once by each bucket, so that no group of copies grows beyond the
-number of buckets. Texts are shuffled once; the three steps on buckets read the same exchange.
+A stretch that thousands of documents share is sent once by each bucket (equal hashes only propose that; the bytes are
+compared), so that no group of copies grows beyond the number of buckets. A gram that many buckets hold may stand in as
+many contexts as there are documents: its stretches are cut once more, by the bytes around the gram that its strings have
+in common, and each part goes to a shard of its own. Texts are shuffled once; the three steps on buckets read the same
+exchange.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,8 +34,9 @@ from .kernels import gram_hashes, mix, sliding_min, utf8
 
 _STEP = 1 << 16
 _BUCKET_BYTES = 8 << 20
-#: Bytes of stretches in one transform; a gram's stretches always share one.
+#: Bytes of stretches in one transform; those of one gram always share one, unless so many buckets hold the gram.
 _TRANSFORM = 1 << 20
+_COMMON = 64
 _LATE = np.iinfo(np.int64).max
 
 
@@ -62,6 +68,30 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     return np.concatenate(grams), *(np.concatenate(x).astype(np.int64) for x in (rows, places, counts))
 
 
+def by_context(data: np.ndarray, grams: np.ndarray, places: np.ndarray, counts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches cut where the bytes around their least gram change: hash of these bytes, the stretch, place and count.
+
+    A string has ``length - gram`` bytes besides its first least gram, on the left or on the right. Thirds of them make
+    three kinds of strings, and all strings of a kind with one gram hold the same two thirds, whatever else they hold.
+    """
+    third = -(-(length - gram) // 3)
+    text, starts = _gather(data, places, counts + length - 1, 0)
+    of = np.repeat(np.arange(len(places)), counts + length - 1)
+    hashes = gram_hashes(text, gram)
+    at = np.where(hashes == grams[of[: len(hashes)]], np.arange(len(hashes)), len(text))
+    nearest = np.minimum.accumulate(at[::-1])[::-1]  # the first least gram from each place on
+    stretch = np.repeat(np.arange(len(places)), counts)
+    inner = np.arange(len(stretch)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = starts[stretch] + inner
+    found = nearest[first]
+    left = third * np.maximum(0, (found - first - 1) // third)
+    context = gram_hashes(text, length - third)[found - left]
+    new = np.ones(len(stretch), bool)
+    new[1:] = (stretch[1:] != stretch[:-1]) | (context[1:] != context[:-1])
+    begin = np.flatnonzero(new)
+    return mix(context[begin] + np.uint64(1)), stretch[begin], places[stretch[begin]] + inner[begin], np.diff(np.concatenate([begin, [len(stretch)]]))
+
+
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes in order of at least their first ``depth`` symbols; equals by place. ``codes`` ends with its only 0."""
     n = len(codes)
@@ -220,7 +250,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     buckets = max(2 * parts, text_bytes(docs, text) // _BUCKET_BYTES)
     shards = buckets
     rows = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(key).cast("long"), F.lit(_LATE)).alias("_o"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)])
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("_o"), F.lit(buckets)).cast("int"))
+    # by text too, so that rows of one key, or of none, don't share a bucket
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64("_o", "_text"), F.lit(buckets)).cast("int"))
 
     def code(grams: np.ndarray) -> np.ndarray:
         return (grams >> np.uint64(32)) % np.uint64(shards) << np.uint64(32) | grams & np.uint64(0xFFFFFFFF)
@@ -238,12 +269,14 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         new = np.concatenate([[True], codes[by][1:] != codes[by][:-1]])
         size = np.diff(np.concatenate([np.flatnonzero(new), [len(codes)]]))
         shared = np.repeat(size > 1, size)
-        codes, bucket = codes[by][shared], bucket[by][shared]
+        codes, bucket, common = codes[by][shared], bucket[by][shared], np.repeat(size >= _COMMON, size)[shared]
         by = np.lexsort((codes, bucket))
-        codes, bucket = codes[by], bucket[by]
+        codes, bucket, common = codes[by], bucket[by], common[by]
         to, first = np.unique(bucket, return_index=True)
         shard = table.column("_shard")[0].as_py()
-        return pa.table({"_shard": pa.array([shard] * len(to), pa.int32()), "_b": pa.array(to, pa.int32()), "_codes": pa.array([x.tobytes() for x in np.split(codes, first[1:])][: len(to)], pa.binary())})
+        edges = [*first, len(codes)]
+        parts_ = [slice(a, e) for a, e in zip(edges, edges[1:], strict=False)][: len(to)]
+        return pa.table({"_shard": pa.array([shard] * len(to), pa.int32()), "_b": pa.array(to, pa.int32()), "_codes": pa.array([codes[i].tobytes() for i in parts_], pa.binary()), "_common": pa.array([codes[i][common[i]].tobytes() for i in parts_], pa.binary())})
 
     def _by_shard(codes: np.ndarray, bucket: int) -> pa.Table:
         shard = (codes >> np.uint64(32)).astype(np.int32)
@@ -259,7 +292,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         bucket = left.column("_b")[0].as_py()
         grams, row, place, count = stretches(data, offsets, length, gram)
         codes = code(grams)
-        asked = [np.uint64(s.as_py()) << np.uint64(32) | np.frombuffer(c.as_py(), np.uint32).astype(np.uint64) for s, c in zip(right.column("_shard"), right.column("_codes"), strict=True)]
+        whole = lambda column: [np.uint64(s.as_py()) << np.uint64(32) | np.frombuffer(c.as_py(), np.uint32).astype(np.uint64) for s, c in zip(right.column("_shard"), right.column(column), strict=True)]
+        asked, common = whole("_codes"), np.concatenate([np.zeros(0, np.uint64), *whole("_common")])
         # shared with other buckets, or by two documents of this one
         by = np.lexsort((keys[row], codes))
         differ = (codes[by][1:] == codes[by][:-1]) & (keys[row][by][1:] != keys[row][by][:-1])
@@ -268,13 +302,15 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         take = np.flatnonzero((at < len(wanted)) & (wanted[np.minimum(at, max(0, len(wanted) - 1))] == codes)) if len(wanted) else np.zeros(0, np.int64)
         if not len(take):
             return empty
-        codes, row, place, count = codes[take], row[take], place[take], count[take]
+        grams, codes, row, place, count = grams[take], codes[take], row[take], place[take], count[take]
+        if (cut := np.isin(codes, common)).any():
+            contexts, of, *parts_ = by_context(data, grams[cut], place[cut], count[cut], length, gram)
+            codes = np.concatenate([codes[~cut], code(contexts)])
+            row = np.concatenate([row[~cut], row[cut][of]])
+            place, count = (np.concatenate([x[~cut], y]) for x, y in zip((place, count), parts_, strict=True))
         size = count + length - 1
         # equal stretches: the smallest document keeps its own, the others are marked
-        content = _content(data, place, size)
-        by = np.lexsort((keys[row], content, size, codes))
-        new = np.ones(len(by), bool)
-        new[1:] = (codes[by][1:] != codes[by][:-1]) | (size[by][1:] != size[by][:-1]) | (content[by][1:] != content[by][:-1])
+        by, new = _equals(data, codes, place, size, keys[row])
         least = np.repeat(keys[row][by][new], np.diff(np.concatenate([np.flatnonzero(new), [len(by)]])))
         own = keys[row][by] == least
         marked, kept = by[~own], by[own]
@@ -304,10 +340,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             bucket = np.repeat(table.column("_b").to_numpy(), per_row)
             size = read["_sizes"].astype(np.int64)
             begin = np.cumsum(size) - size
-            content = _content(read["_bytes"], begin, size)
-            by = np.lexsort((read["_owners"], content, size, read["_grams"]))
-            new = np.ones(len(by), bool)
-            new[1:] = (read["_grams"][by][1:] != read["_grams"][by][:-1]) | (size[by][1:] != size[by][:-1]) | (content[by][1:] != content[by][:-1])
+            by, new = _equals(read["_bytes"], read["_grams"], begin, size, read["_owners"])
             one = by[new]  # each stretch once, with its smallest document
             same = np.empty(len(by), np.int64)
             same[by] = np.cumsum(new) - 1
@@ -359,23 +392,50 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         return pa.table({key: table.column("_k"), **carried, "n_bytes": pa.array(np.diff(offsets)), "spans": pa.array(removed, span), "kept": pa.array(kept, pa.string() if decode else pa.binary())})
 
     asked = rows.groupBy("_b").applyInArrow(tidy_group(ask), "_shard int, _b int, _codes binary")
-    shared = asked.groupBy("_shard").applyInArrow(tidy_group(answer), "_shard int, _b int, _codes binary")
+    shared = asked.groupBy("_shard").applyInArrow(tidy_group(answer), "_shard int, _b int, _codes binary, _common binary")
     sent = rows.groupBy("_b").cogroup(shared.groupBy("_b")).applyInArrow(tidy_groups(send), _PIECES)
     marks = sent.groupBy("_shard").applyInArrow(tidy_group(decide), "_b int, _marks binary")
     return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(tidy_groups(apply), ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]) + ", n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if decode else "binary"))
 
 
-def _content(data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each piece of data, 8 bytes at a time."""
-    value = mix(sizes.astype(np.uint64))
-    if not len(value):
-        return value
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    for k in range(0, int(sizes.max()), 8):
+def _equals(data: np.ndarray, grams: np.ndarray, places: np.ndarray, sizes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal pieces of data with one gram follow each other, by owner, and where each set of these begins.
+
+    Hashes bring equal pieces together, and their bytes are compared; pieces that only share a hash stay apart.
+    """
+    content = _content(data, places, sizes)
+    by = np.lexsort((owners, content, sizes, grams))
+    new = np.ones(len(by), bool)
+    new[1:] = (grams[by][1:] != grams[by][:-1]) | (sizes[by][1:] != sizes[by][:-1]) | (content[by][1:] != content[by][:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    again = np.flatnonzero(~new)
+    differ = again[~_same(data, places[by[first[again]]], places[by[again]], sizes[by[again]])]
+    if len(differ):
+        new |= np.isin(first, first[differ])
+    return by, new
+
+
+def _words(data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of pieces of data 8 bytes after the other as numbers, what lies beyond a piece as 0; and which pieces reach there."""
+    words = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    for k in range(0, int(sizes.max(initial=0)), 8):
         live = np.flatnonzero(sizes > k)
-        word = np.ascontiguousarray(words[places[live] + k]).view(np.uint64)[:, 0]
         over = np.maximum(0, 8 - (sizes[live] - k)).astype(np.uint64) * np.uint64(8)
-        word = word & (np.uint64(0xFFFFFFFFFFFFFFFF) >> over)  # little-endian: bytes beyond the piece are the high ones
+        # little-endian: bytes beyond the piece are the high ones
+        yield live, np.ascontiguousarray(words[places[live] + k]).view(np.uint64)[:, 0] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> over)
+
+
+def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the pieces at ``a`` and ``b`` hold the same bytes."""
+    same = np.ones(len(a), bool)
+    for (live, left), (_, right) in zip(_words(data, a, sizes), _words(data, b, sizes), strict=True):
+        same[live] &= left == right
+    return same
+
+
+def _content(data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each piece of data."""
+    value = mix(sizes.astype(np.uint64))
+    for live, word in _words(data, places, sizes):
         value[live] = mix(value[live] * np.uint64(0x9E3779B97F4A7C15) + word)
     return value

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -111,6 +113,39 @@ def test_passages_empty(no_docs):
     assert passages.remove_repeats(no_docs).collect() == []
 
 
+def test_repeats_where_common_grams_are_split(fixture_docs, monkeypatch):
+    """Grams that few buckets hold are cut by context too: the result is the same."""
+    want = sorted((r.doc_id, r.n_bytes, str(r.spans)) for r in passages.remove_repeats(fixture_docs).collect())
+    monkeypatch.setattr(passages, "_COMMON", 2)
+    assert sorted((r.doc_id, r.n_bytes, str(r.spans)) for r in passages.remove_repeats(fixture_docs).collect()) == want
+
+
+def test_repeats_where_all_hashes_are_equal(fixture_docs, monkeypatch):
+    """Equal hashes of stretches decide nothing."""
+    want = sorted((r.doc_id, r.n_bytes, str(r.spans)) for r in passages.remove_repeats(fixture_docs).collect())
+    monkeypatch.setattr(passages, "_content", lambda data, places, sizes: np.zeros(len(places), np.uint64))
+    assert sorted((r.doc_id, r.n_bytes, str(r.spans)) for r in passages.remove_repeats(fixture_docs).collect()) == want
+
+
+def test_contexts_of_a_common_gram_part():
+    """Ten thousand contexts of one phrase don't make one group."""
+    rng = random.Random(4)
+    text = lambda n=60: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    phrase = min((text(20) for _ in range(20_000)), key=lambda x: int(passages.gram_hashes(np.frombuffer(x.encode(), np.uint8), 20)[0]))
+    data, offsets = kernels.utf8(pa.array([text() + phrase + text() for _ in range(10_000)]))
+    grams, _, places, counts = passages.stretches(data, offsets, 50, 20)
+    common = grams == Counter(grams.tolist()).most_common(1)[0][0]
+    assert common.sum() >= 5000
+    strings = lambda places, counts: Counter(bytes(data[p + i : p + i + 50]) for p, n in zip(places, counts, strict=True) for i in range(n))
+    keys, of, at, n = passages.by_context(data, grams[common], places[common], counts[common], 50, 20)
+    assert strings(at, n) == strings(places[common], counts[common])
+    assert Counter(keys.tolist()).most_common(1)[0][1] < 0.05 * common.sum()
+    # equal strings have equal keys
+    doubled = np.concatenate([grams[common]] * 2), np.concatenate([places[common]] * 2), np.concatenate([counts[common]] * 2)
+    again = passages.by_context(data, *doubled, 50, 20)[0]
+    assert again.tolist() == keys.tolist() * 2
+
+
 def test_common_prefixes_come_out_exactly():
     rng = np.random.default_rng(1)
     for length in (2, 7, 20):
