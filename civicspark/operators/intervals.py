@@ -38,7 +38,7 @@ def latest_before(left: DataFrame, right: DataFrame, *, on: list[str], left_time
 def supply_gaps(events: DataFrame, zones: DataFrame, shifts: DataFrame, *, supply_start: object, event: str = "event_id", span: tuple[str, str] = ("start_date", "end_date"), zone: str = "zone", shift_span: tuple[str, str] = ("shift_start", "shift_end")) -> DataFrame:
     """Every event and zone with ``supply_gap``: 1 if no shift of the zone overlaps the event, 0 if one does, null for
     events before the supply series begins. ``zones`` is a list of areas, in one row each, bounded by the city."""
-    grid = events.select(event, *span).crossJoin(F.broadcast(zones.select(zone)))
+    grid = events.select(event, *span).crossJoin(zones.select(zone))
     met = overlaps(grid, shifts.select(zone, *shift_span), on=[zone], left_span=span, right_span=shift_span).select(event, zone).distinct().withColumn("_met", F.lit(True))
     gap = F.when(F.col(span[0]) >= F.lit(supply_start).cast("date"), F.when(F.col("_met").isNull(), 1).otherwise(0))
     return grid.join(met, [event, zone], "left").select(event, zone, *span, gap.alias("supply_gap"))

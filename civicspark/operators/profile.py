@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field as default
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import missing
+from .audit import coverage_summary
 
 
 def null_rates(df: DataFrame, high: float = 0.05) -> DataFrame:
@@ -70,3 +72,64 @@ def report(tables: dict[tuple[str, str], DataFrame], numeric: dict[tuple[str, st
             rows = part.select(F.lit(source).alias("source"), F.lit(dataset).alias("dataset"), "field", "metric", F.col("value").cast("double").alias("value"))
             out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@dataclass(frozen=True)
+class Dataset:
+    """What is profiled of a dataset: its records, and where they have them a timestamp, a field of categories with its
+    valid values, numeric fields, and the manifests of its partitions."""
+
+    records: DataFrame
+    timestamp: str | None = None
+    category: str | None = None
+    valid: DataFrame | Sequence[str] = ()
+    numeric: Sequence[str] = default(default_factory=tuple)
+    manifests: DataFrame | None = None
+
+
+def dataset_profile(datasets: dict[tuple[str, str], Dataset], high: float = 0.05) -> DataFrame:
+    """All profiles of all datasets in one long table: ``source``, ``dataset``, ``section``, ``field``, ``metric``, ``value``
+    and ``text`` for what isn't a number.
+
+    Sections: coverage (totals over manifests), records (their number and that of their fields), null_rates (with
+    ``high_place``, the place among those above ``high``, highest rate first, then by name), timestamps, categories and
+    numerics.
+    """
+    out = None
+    for (source, dataset), d in datasets.items():
+        for section, part in _sections(d, high):
+            rows = part.select(F.lit(source).alias("source"), F.lit(dataset).alias("dataset"), F.lit(section).alias("section"), "field", "metric", "value", "text")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _sections(d: Dataset, high: float) -> list[tuple[str, DataFrame]]:
+    records, none = d.records, F.lit(None).cast("string")
+    rates = null_rates(records, high)  # a row for each column, in one partition
+    place = F.size(F.filter(F.col("_all"), lambda x: (x["null_rate"] > F.col("null_rate")) | ((x["null_rate"] == F.col("null_rate")) & (x["field"] < F.col("field"))))) + 1
+    ranked = rates.crossJoin(rates.where("is_high").agg(F.collect_list(F.struct("field", "null_rate")).alias("_all"))).withColumn("high_place", F.when(F.col("is_high"), place))
+    n_fields = F.lit(float(len(records.columns))).alias("field_count")
+    parts = [
+        ("records", _long(records.agg(none.alias("field"), F.count("*").alias("record_count"), n_fields))),
+        ("null_rates", _long(ranked.select("field", "null_rate", "high_place"))),
+    ]
+    if d.manifests is not None:
+        parts.append(("coverage", _long(coverage_summary(d.manifests).withColumn("field", none))))
+    if d.timestamp:
+        parts.append(("timestamps", _long(timestamps(records, d.timestamp), texts=("min_ts", "max_ts"))))
+    if d.category:
+        found = categories(records, d.category, d.valid)
+        dirty = F.array_join(F.array_sort(F.collect_set(F.when(F.col("dirty"), F.col("value")))), "|").alias("dirty_values")
+        parts.append(("categories", _long(found.agg(F.lit(d.category).alias("field"), F.count("*").alias("distinct_count"), F.count_if("dirty").alias("dirty_count"), F.max("missing_pct").alias("missing_pct"), dirty), texts=("dirty_values",))))
+    if d.numeric:
+        parts.append(("numerics", _long(numerics(records, d.numeric))))
+    return parts
+
+
+def _long(wide: DataFrame, texts: Sequence[str] = ()) -> DataFrame:
+    """``field``, ``metric``, ``value``, ``text`` of each other column that isn't null."""
+    metrics = [c for c in wide.columns if c != "field"]
+    value = lambda c: F.lit(None).cast("double") if c in texts else F.col(c).cast("double")
+    text = lambda c: F.col(c) if c in texts else F.lit(None).cast("string")
+    each = F.array(*[F.struct(F.lit(c).alias("metric"), value(c).alias("value"), text(c).alias("text")) for c in metrics])
+    return wide.select("field", F.inline(each)).where("value is not null or text is not null")

@@ -63,7 +63,8 @@ def enforce_schema(df: DataFrame, schema: StructType, mode: str = "strict") -> D
         raise ValueError(f"missing columns: {lacking}")
     if extra and mode == "strict":
         raise ValueError(f"unexpected columns: {extra}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    casts = {f.name: df[f.name].cast(f.dataType) for f in schema.fields}
+    return df.withColumns(casts).select(*casts)
 
 
 class TooFewRows(ValueError):

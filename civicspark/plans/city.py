@@ -23,7 +23,7 @@ def volumes(interactions: DataFrame, case: str, by: Sequence[str] = ()) -> DataF
 
 def normalise(df: DataFrame, column: str, mapping: DataFrame, out: str) -> DataFrame:
     """Adds ``out``: the value that the vocabulary (``raw``, ``value``) gives, else the value itself. Vocabularies are small by nature."""
-    return df.join(F.broadcast(mapping.select(F.col("raw").alias("_raw"), F.col("value").alias("_value"))), F.col(column) == F.col("_raw"), "left").withColumn(out, F.coalesce("_value", column)).drop("_raw", "_value")
+    return df.join(mapping.select(F.col("raw").alias("_raw"), F.col("value").alias("_value")), F.col(column) == F.col("_raw"), "left").withColumn(out, F.coalesce("_value", column)).drop("_raw", "_value")
 
 
 def type_dictionary(types: DataFrame, column: str) -> DataFrame:
@@ -142,7 +142,7 @@ def recommend(scored: DataFrame, rules: DataFrame, *, event: str, zone: str, top
     rank = F.row_number().over(Window.partitionBy(event).orderBy(F.desc("score"), zone))
     exact = rules.where(F.col("driver").isNotNull()).select("level", "driver", F.col("text").alias("_exact"))
     general = rules.where(F.col("driver").isNull()).select("level", F.col("text").alias("_general"))
-    out = scored.withColumn("place", rank).join(F.broadcast(exact), ["level", "driver"], "left").join(F.broadcast(general), "level", "left")
+    out = scored.withColumn("place", rank).join(exact, ["level", "driver"], "left").join(general, "level", "left")
     out = out.withColumn("recommendation", F.coalesce("_exact", "_general")).drop("_exact", "_general")
     return out if top is None else out.where(F.col("place") <= top)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from ..functions.columns import partition_date
 from ..operators import profile, quality
-from ..plans import silver
+from ..plans import jobs, silver
 from ..session import scratch
 from ..sources import landing
 from .common import Registry, iso, six, table
@@ -47,7 +47,7 @@ def archive_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 
 _FORECAST = """
-WITH r AS (SELECT CASE WHEN event_id % 40 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS t, strftime(ts + INTERVAL 1 DAY * (event_id % 5), '%Y-%m-%d') AS ingest_date, value AS temperature_2m, value / 10 AS precipitation, user_id FROM events WHERE value < 500),
+WITH r AS (SELECT CASE WHEN event_id % 40 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS t, strftime(ts + INTERVAL 1 DAY * (event_id % 5), '%Y-%m-%d') AS ingest_date, value AS temperature_2m, value / 10 AS precipitation, user_id FROM events),
 n AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY ingest_date DESC, temperature_2m DESC, precipitation DESC) AS k FROM r),
 x AS (SELECT strftime(timezone('UTC', timezone('America/Winnipeg', t)), '%Y-%m-%d %H:%M:%S') AS time_utc, strftime(timezone('UTC', timezone('America/Winnipeg', t)), '%Y-%m-%d') AS date, ingest_date, temperature_2m, precipitation,
   CASE WHEN t IS NULL THEN 'null_time_utc' WHEN temperature_2m > 50 THEN 'temperature_2m_out_of_range' END AS reason FROM n WHERE k = 1)
@@ -55,7 +55,7 @@ x AS (SELECT strftime(timezone('UTC', timezone('America/Winnipeg', t)), '%Y-%m-%
 
 
 def _forecast(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("value < 500")
+    e = table(spark, d, "events")
     time = F.when(F.col("event_id") % 40 != 0, F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm"))
     raw = e.select(time.alias("time"), partition_date(F.expr("date_add(cast(ts as date), cast(event_id % 5 as int))")).alias("ingest_date"), F.col("value").alias("temperature_2m"), (F.col("value") / 10).alias("precipitation"))
     return silver.forecast_hours(raw, "SRC", "America/Winnipeg").withColumn("time_utc", iso(F.col("time_utc")))
@@ -93,6 +93,9 @@ def boundary_wkt(spark: SparkSession, d: str) -> DataFrame:
     geometry = F.when(F.col("vec_id") % 9 != 0, F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring)).alias("coordinates")))
     number = F.col("vec_id") % 7
     raw = e.select("vec_id", F.when(number == 6, "x").otherwise(number.cast("string")).alias("borocode"), F.lit("n").alias("boroname"), F.col("vec_id").cast("string").alias("shape_area"), F.lit("1").alias("shape_leng"), geometry.cast(_GEOMETRY).alias("the_geom"))
+    path = scratch(spark, "boundaries")
+    landing.write_json(raw, path, [])
+    raw = landing.read_json(spark, path, StructType([StructField("vec_id", LongType()), *jobs.BOUNDARY_RAW.fields]))
     return silver.boundaries(raw, "SRC").select("vec_id", "borough_id", "shape_area_sqft", "geometry_wkt", F.col("_reject_reason").alias("reason"))
 
 
@@ -106,10 +109,33 @@ def geometry_json(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", geojson(F.struct(F.lit("Point").alias("type"), F.array(q(0), q(1)).alias("coordinates"))).alias("geojson"))
 
 
-@query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_acctbal AS VARCHAR) = CAST(c_acctbal AS VARCHAR) AS ok FROM customer")
+_CUSTOMER = StructType([StructField("c_custkey", IntegerType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())])
+
+
+@query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer")
 def schema_enforced(spark: SparkSession, d: str) -> DataFrame:
-    schema = StructType([StructField("c_custkey", IntegerType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())])
-    return quality.enforce_schema(table(spark, d, "customer"), schema, "lenient").select("c_custkey", "c_name", F.col("c_acctbal").isNotNull().alias("ok"))
+    return quality.enforce_schema(table(spark, d, "customer"), _CUSTOMER, "lenient")
+
+
+@query("""
+SELECT m AS mode, k AS shape, CASE WHEN k = 'whole' OR m = 'lenient' AND k = 'extra' THEN n END AS n, CASE WHEN k = 'whole' OR m = 'lenient' AND k = 'extra' THEN NULL
+  WHEN m = 'report' THEN 'columns don''t match the schema: missing=' || CASE WHEN k = 'extra' THEN '[]' ELSE '[''c_name'']' END || ' unexpected=' || CASE WHEN k = 'lacking' THEN '[]' ELSE '[''c_mktsegment'', ''c_nationkey'']' END
+  WHEN k = 'extra' THEN 'unexpected columns: [''c_mktsegment'', ''c_nationkey'']' ELSE 'missing columns: [''c_name'']' END AS error
+FROM (SELECT count(*) AS n FROM customer), (VALUES ('strict'), ('report'), ('lenient')) a(m), (VALUES ('whole'), ('lacking'), ('extra'), ('both')) b(k)
+""")
+def schema_modes(spark: SparkSession, d: str) -> DataFrame:
+    """Each mode on tables that fit, lack a column, have others, or both: rows that pass, or the error."""
+    customer, out = table(spark, d, "customer"), None
+    shapes = {"whole": ["c_acctbal", "c_name", "c_custkey"], "lacking": ["c_custkey", "c_acctbal"], "extra": ["c_mktsegment", "c_custkey", "c_name", "c_acctbal", "c_nationkey"], "both": ["c_mktsegment", "c_custkey", "c_acctbal", "c_nationkey"]}
+    for mode in ("strict", "report", "lenient"):
+        for shape, columns in shapes.items():
+            try:
+                rows = quality.enforce_schema(customer.select(columns), _CUSTOMER, mode).agg(F.count("*").alias("n"), F.lit(None).cast("string").alias("error"))
+            except ValueError as error:
+                rows = spark.createDataFrame([(None, str(error))], "n long, error string")
+            rows = rows.select(F.lit(mode).alias("mode"), F.lit(shape).alias("shape"), "n", "error")
+            out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("""
@@ -127,6 +153,51 @@ def row_count_gates(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([("window", held, int(days * 0.9)), ("collections", n, 12 * held), ("exact", n, 5)], "gate string, n long, floor long").withColumn("passed", F.col("n") >= F.col("floor"))
 
 
+@query("""
+WITH e AS (SELECT CAST(ts AS DATE) AS day FROM events), w AS (SELECT date_diff('day', min(day), max(day)) + 1 AS days, count(DISTINCT day) AS held, count(*) AS n FROM e)
+SELECT g AS gate, CASE g WHEN 'window' THEN 'window of ' || 2 * days || ' days: ' || held || ' rows, at least ' || CAST(floor(2 * days * 0.9) AS BIGINT) WHEN 'collections' THEN held || ' collections: ' || n || ' rows, at least ' || n * held
+  WHEN 'none' THEN 'collections: 0 rows, at least 1' ELSE 'events: ' || n || ' rows, at least ' || n + 1 END || ' are needed' AS error
+FROM w, (VALUES ('window'), ('collections'), ('none'), ('exact')) v(g)
+""")
+def row_count_gates_closed(spark: SparkSession, d: str) -> DataFrame:
+    """What each gate says where too few rows come."""
+    events = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    days, n = events.select("day").distinct(), events.count()
+    length = events.agg(F.datediff(F.max("day"), F.min("day")).alias("n")).first()["n"] + 1
+    gates = {
+        "window": lambda: quality.require_window(days, 2 * length),
+        "collections": lambda: quality.require_collections(events, "day", per_collection=n),
+        "none": lambda: quality.require_collections(events.where("value is null"), "day"),
+        "exact": lambda: quality.require(n, n + 1, "events"),
+    }
+    said = []
+    for name, gate in gates.items():
+        try:
+            gate()
+        except quality.TooFewRows as error:
+            said.append((name, str(error)))
+    return spark.createDataFrame(said, "gate string, error string")
+
+
+@query("""
+WITH a AS (SELECT CAST(ts AS DATE) AS day, round(avg(value) / 10, 2) AS snow, round(min(value) - 20, 2) AS low FROM events GROUP BY 1), q AS (SELECT * FROM a WHERE snow >= 5),
+b AS (SELECT *, CASE WHEN lag(day) OVER (ORDER BY day) = day - 1 THEN 0 ELSE 1 END AS f FROM q), i AS (SELECT *, sum(f) OVER (ORDER BY day) AS k FROM b)
+SELECT 'SNOW-' || strftime(min(day), '%Y%m%d') AS event_id, min(day) AS start_date, max(day) AS end_date, CAST(date_diff('day', min(day), max(day)) + 1 AS INTEGER) AS duration_days, round(sum(snow), 4) AS total, max(snow) AS peak, min(low) AS low FROM i GROUP BY k
+""")
+def archive_to_events(spark: SparkSession, d: str) -> DataFrame:
+    """The job from landed days to the table of events, run twice, with all its gates."""
+    landed, clean, rejects, events = (scratch(spark, n) for n in ("landed", "archive", "archive-rejects", "snow-events"))
+    value, day = F.col("value"), partition_date(F.col("ts")).alias("time")
+    daily = table(spark, d, "events").groupBy(day).agg(F.round(F.avg(value) / 10, 2).alias("snowfall_sum"), F.round(F.min(value) - 20, 2).alias("temperature_2m_min"), F.lit(0.0).alias("temperature_2m_max"))
+    landing.write_daily(daily, landed, "time")
+    first, last = daily.agg(F.min("time"), F.max("time")).first()
+    for _ in range(2):
+        jobs.clean_archive(spark, landed, clean, rejects, date.fromisoformat(first), date.fromisoformat(last) + timedelta(days=1), "SRC")
+        jobs.rebuild_events(spark, clean, events, "SRC", threshold_cm=5.0)
+    found = spark.read.schema(jobs.EVENTS).parquet(events)
+    return found.select("event_id", "start_date", "end_date", "duration_days", F.round("total_snowfall_cm", 4).alias("total"), F.col("peak_daily_snowfall_cm").alias("peak"), F.col("min_temperature_c").alias("low"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events WHERE value >= 120 GROUP BY event_type")
 def threshold_filter(spark: SparkSession, d: str) -> DataFrame:
     return quality.threshold(table(spark, d, "events"), "value", 120.0).groupBy("event_type").agg(F.count("*").alias("n"))
@@ -188,6 +259,34 @@ def dataset_report(spark: SparkSession, d: str) -> DataFrame:
     return profile.report(tables, {("sales", "orders"): ["o_totalprice"]})
 
 
+@query("""
+WITH r AS (SELECT CASE event_id % 20 WHEN 0 THEN NULL WHEN 1 THEN 'garbage' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' END AS time, CASE WHEN event_id % 20 > 1 THEN date_trunc('second', ts) END AS t, CASE event_id % 10 WHEN 0 THEN '' WHEN 1 THEN 'Other' ELSE event_type END AS kind, value FROM events),
+m AS (SELECT CASE WHEN dayofmonth(d) = 3 THEN 0 ELSE n END AS c FROM (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1)), md AS (SELECT median(c) AS med FROM m),
+v AS (SELECT 'time' AS field, round(avg(CASE WHEN time IS NULL THEN 1.0 ELSE 0 END), 4) AS x FROM r UNION ALL SELECT 'kind', round(avg(CASE WHEN kind = '' THEN 1.0 ELSE 0 END), 4) FROM r UNION ALL SELECT 'value', round(avg(CASE WHEN value = 0 THEN 1.0 ELSE 0 END), 4) FROM r),
+o AS (
+  SELECT 'records' AS section, NULL AS field, unnest(['record_count', 'field_count']) AS metric, unnest([CAST(count(*) AS DOUBLE), 3.0]) AS value, NULL AS text FROM r
+  UNION ALL SELECT 'null_rates', field, 'null_rate', x, NULL FROM v
+  UNION ALL SELECT 'null_rates', field, 'high_place', CAST(row_number() OVER (ORDER BY x DESC, field) AS DOUBLE), NULL FROM v WHERE x > 0.02
+  UNION ALL SELECT 'coverage', NULL, unnest(['total_records', 'partition_count', 'min_count', 'max_count', 'median_count', 'gaps', 'anomaly_low']), unnest([CAST(sum(c) AS DOUBLE), CAST(count(*) AS DOUBLE), CAST(min(c) AS DOUBLE), CAST(max(c) AS DOUBLE), any_value(med), CAST(count(*) FILTER (c = 0) AS DOUBLE), CAST(count(*) FILTER (c > 0 AND c < 0.5 * med) AS DOUBLE)]), NULL FROM m, md
+  UNION ALL SELECT 'timestamps', 'time', unnest(['missing_pct', 'parse_error_pct', 'epoch_zero_count', 'far_future_count']), unnest([round(avg(CASE WHEN time IS NULL THEN 1.0 ELSE 0 END), 4), round(avg(CASE WHEN time IS NOT NULL AND t IS NULL THEN 1.0 ELSE 0 END), 4), 0.0, 0.0]), NULL FROM r
+  UNION ALL SELECT 'timestamps', 'time', unnest(['min_ts', 'max_ts']), NULL, unnest([strftime(min(t), '%Y-%m-%dT%H:%M:%S'), strftime(max(t), '%Y-%m-%dT%H:%M:%S')]) FROM r
+  UNION ALL SELECT 'categories', 'kind', unnest(['distinct_count', 'dirty_count', 'missing_pct']), unnest([CAST(count(DISTINCT nullif(kind, '')) AS DOUBLE), CAST(count(DISTINCT kind) FILTER (kind = 'Other') AS DOUBLE), round(avg(CASE WHEN kind = '' THEN 1.0 ELSE 0 END), 4)]), NULL FROM r
+  UNION ALL SELECT 'categories', 'kind', 'dirty_values', NULL, 'Other'
+  UNION ALL SELECT 'numerics', 'value', unnest(['missing_pct', 'min', 'max', 'mean', 'stdev']), unnest([0.0, min(value), max(value), round(avg(value), 4), round(stddev_samp(value), 4)]), NULL FROM r)
+SELECT 'stream' AS source, 'events' AS dataset, * FROM o
+""")
+def dataset_profile(spark: SparkSession, d: str) -> DataFrame:
+    k, events = F.col("event_id") % 20, table(spark, d, "events")
+    time = F.when(k == 1, "garbage").when(k != 0, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    kind = F.when(F.col("event_id") % 10 == 0, "").when(F.col("event_id") % 10 == 1, "Other").otherwise(F.col("event_type"))
+    kinds = events.select(F.col("event_type").alias("value")).distinct()
+    day = F.to_date("ts")
+    manifests = events.groupBy(day.alias("partition_key")).agg(F.when(F.dayofmonth("partition_key") == 3, 0).otherwise(F.count("*")).alias("record_count"))
+    records = events.select(time.alias("time"), kind.alias("kind"), "value")
+    found = profile.Dataset(records, timestamp="time", category="kind", valid=kinds, numeric=["value"], manifests=manifests)
+    return profile.dataset_profile({("stream", "events"): found}, high=0.02)
+
+
 # --- landing ---------------------------------------------------------------------------------------------------------
 
 _RECORD = StructType([StructField("event_id", LongType()), StructField("event_type", StringType()), StructField("ts", StringType()), StructField("value", DoubleType())])
@@ -245,7 +344,7 @@ SELECT event_type, date, count(*) AS record_count, CAST(sum(strlen(line) + 1) AS
 """)
 def partition_manifest(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_type", partition_date(F.col("ts")).alias("date"), "event_id", "user_id")
-    out = landing.manifest(e, ["event_type", "date"], ["event_id"]).drop("xor_checksum", "data_date_min", "data_date_max")
+    out = landing.manifest(e, ["event_type", "date"], ["event_id"]).drop("line_checksum", "data_date_min", "data_date_max")
     return out.withColumns({"data_date_min": F.to_date("date"), "data_date_max": F.to_date("date")})
 
 
@@ -254,17 +353,32 @@ def record_stats(spark: SparkSession, d: str) -> DataFrame:
     return landing.stats(table(spark, d, "events").withColumn("day", F.to_date("ts")), "day", F.octet_length("props"))
 
 
+@query("""
+WITH l AS (SELECT strftime(ts, '%Y-%m-%d') AS date, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"}' AS line FROM events WHERE event_id % 100 <> 0)
+SELECT substr(date, 1, 7) AS month_partition, date AS date_partition, 'SRC' AS source_id, 'events' AS dataset_name, 'ts' AS timestamp_field, 'gzip' AS compression, '2026-08-01' AS ingest_date, '2026-08-01T06:30:00' AS fetch_timestamp,
+  count(*) AS record_count, CAST(sum(strlen(line) + 1) AS BIGINT) AS file_size_bytes, CAST(date AS DATE) AS data_date_min, CAST(date AS DATE) AS data_date_max, true AS stored FROM l GROUP BY date
+""")
+def landed_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Manifests of the files of a daily layout, written beside it, read again and added up by partition."""
+    path, beside = scratch(spark, "daily"), scratch(spark, "manifests")
+    landing.write_daily(_records(spark, d).drop("value"), path, "ts")
+    made = landing.file_manifests(spark, path, source_id="SRC", dataset_name="events", timestamp_field="ts", fetched=datetime(2026, 8, 1, 6, 30))
+    landing.write_manifests(made, beside)
+    found = spark.read.schema(made.schema).json(beside)
+    same = ["month_partition", "date_partition", "source_id", "dataset_name", "timestamp_field", "compression", "ingest_date", "fetch_timestamp"]
+    stored = F.min((F.col("stored_bytes") > 0) & F.col("filename").endswith(".gz") & (F.length("sha256_checksum") == 64) & F.col("line_checksum").isNotNull())
+    return found.groupBy(same).agg(F.sum("record_count").alias("record_count"), F.sum("file_size_bytes").alias("file_size_bytes"), F.min("data_date_min").alias("data_date_min"), F.max("data_date_max").alias("data_date_max"), stored.alias("stored"))
+
+
 @query("SELECT event_type AS dataset_name, count(*) AS record_count FROM events WHERE event_type <> 'error' GROUP BY 1")
 def manifest_scan(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "manifests")
     counts = table(spark, d, "events").groupBy(F.col("event_type").alias("dataset_name")).agg(F.count("*").alias("record_count"))
     # an object each; that of one dataset can't be read
     text = F.when(F.col("dataset_name") == "error", F.lit("{broken")).otherwise(F.to_json(F.struct("dataset_name", "record_count")))
-    counts.select("dataset_name", text.alias("value")).repartition("dataset_name").write.partitionBy("dataset_name").text(path)
+    counts.select(F.col("dataset_name").alias("folder"), text.alias("value")).repartition("folder").write.partitionBy("folder").text(path)
     schema = StructType([StructField("dataset_name", StringType()), StructField("record_count", LongType())])
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    parsed = landing.parse_tolerant(files, "value", schema)
-    return parsed.where(F.col(landing.CORRUPT).isNull() & F.col("dataset_name").isNotNull()).select("dataset_name", "record_count")
+    return landing.read_manifests(spark, path, schema, pattern="part-*.txt")
 
 
 @query("""
@@ -281,8 +395,8 @@ def corrupt_lines(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "lines")
     line = F.when(F.col("event_id") % 7 == 0, "").when(F.col("event_id") % 10 == 0, F.concat(F.lit("not json "), "props")).otherwise(F.col("props"))
     table(spark, d, "events").select(line.alias("value")).write.text(path)
-    good, bad = landing.read_tolerant(spark, path, StructType([StructField("k", LongType())]))
-    return good.agg(F.lit(False).alias("corrupt"), F.count("*").alias("n"), F.sum("k").alias("k")).unionByName(bad.agg(F.lit(True).alias("corrupt"), F.count("*").alias("n"), F.lit(None).cast("long").alias("k")))
+    tagged = landing.read_tagged(spark, path, StructType([StructField("k", LongType())]))
+    return tagged.groupBy(F.col(landing.CORRUPT).isNotNull().alias("corrupt")).agg(F.count("*").alias("n"), F.sum("k").alias("k"))
 
 
 _SERIES = """
@@ -302,6 +416,18 @@ def flattened_series(spark: SparkSession, d: str) -> DataFrame:
     return landing.flatten_series(rows, ["conv_id"], ["hourly", "daily"], ["role", "size"])
 
 
+@query("""
+WITH a AS (SELECT conv_id, list(turn ORDER BY turn) AS time, list(role ORDER BY turn) AS role FROM conversations GROUP BY conv_id)
+SELECT conv_id, time[i] AS time, CASE WHEN i <= 2 AND i <> conv_id % 3 THEN role[i] END AS role, i <= 2 AS has_role FROM (SELECT *, unnest(range(1, len(time) + 1)) AS i FROM a)
+""")
+def flattened_unpadded(spark: SparkSession, d: str) -> DataFrame:
+    """Series whose members are shorter than their times and hold nulls: only what is held counts."""
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("s"))
+    roles = F.transform(F.slice("s.role", 1, 2), lambda x, i: F.when(i + 1 != F.col("conv_id") % 3, x))
+    rows = c.select("conv_id", F.struct(F.col("s.turn").alias("time"), roles.alias("role")).alias("hourly"))
+    return landing.flatten_series(rows, ["conv_id"], ["hourly"], ["role"], pad=False)
+
+
 @query("SELECT conv_id, CASE WHEN conv_id % 3 <> 0 THEN role END AS feature FROM conversations WHERE conv_id % 3 <> 0 UNION ALL SELECT DISTINCT conv_id, NULL FROM conversations WHERE conv_id % 3 = 0")
 def exploded_features(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("roles"))
@@ -335,6 +461,24 @@ def quarantine(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@query("SELECT false AS written, false AS left_over, count(*) FILTER (value > 1e12) AS n FROM events")
+def quarantine_skipped(spark: SparkSession, d: str) -> DataFrame:
+    """Without rejects nothing is written, and those of an earlier run go."""
+    path, events = scratch(spark, "rejects"), table(spark, d, "events").select("event_type", "value")
+    rejects = lambda high: quality.split(quality.tag_rejects(events, ranges=[quality.Range("value", 0, high)]))[1]
+    landing.write_rejects(rejects(300), path)
+    written = landing.write_rejects(rejects(1e12), path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    left = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return rejects(1e12).agg(F.lit(written).alias("written"), F.lit(left).alias("left_over"), F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 500 OFFSET 1000")
+def stable_page(spark: SparkSession, d: str) -> DataFrame:
+    """The third page of 500 orders by date and key."""
+    return landing.stable_page(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 2, 500)
+
+
 @query("SELECT event_type, round(avg(value), 6) AS mean_value FROM events GROUP BY event_type")
 def whole_table_rewrite(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "whole")

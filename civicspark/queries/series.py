@@ -21,7 +21,7 @@ def _daily(spark: SparkSession, d: str) -> DataFrame:
 
 _ISLANDS = """
 WITH s AS ({series}), q AS (SELECT * FROM s WHERE m >= {least}),
-f AS (SELECT *, CASE WHEN coalesce(date_diff('day', lag(day) OVER w, day), 999) > {gap} + 1 THEN 1 ELSE 0 END AS b FROM q WINDOW w AS (PARTITION BY g ORDER BY day)),
+f AS (SELECT *, CASE WHEN lag(day) OVER w IS NULL OR date_diff('day', lag(day) OVER w, day) > {gap} + 1 THEN 1 ELSE 0 END AS b FROM q WINDOW w AS (PARTITION BY g ORDER BY day)),
 i AS (SELECT *, sum(b) OVER (PARTITION BY g ORDER BY day ROWS UNBOUNDED PRECEDING) AS k FROM f)
 SELECT g AS {by}, 'SNOW-' || strftime(min(day), '%Y%m%d') AS event_id, min(day) AS start_date, max(day) AS end_date,
        CAST(date_diff('day', min(day), max(day)) + 1 AS INTEGER) AS duration_days, CAST(count(*) AS INTEGER) AS qualifying_days,

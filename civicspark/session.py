@@ -26,7 +26,29 @@ def session(app: str = "civicspark", master: str | None = None, **settings: str)
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the session's checkpoint folder.
+
+    Where neither is set, a local session gets a folder of its own; on a cluster that is an error, since executors don't
+    see each other's disks.
+    """
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share, below ``spark.checkpoint.dir`` where that is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever it lies, if it exists."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

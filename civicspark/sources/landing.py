@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.quality import require
+from ..session import drop_folder
 
 CORRUPT = "_corrupt_record"
 
@@ -22,12 +23,20 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType | N
     return reader.json(path)
 
 
-def read_days(spark: SparkSession, root: str, schema: StructType, start: date, end: date) -> DataFrame:
-    """Records of the days [start, end) of a daily layout: month=YYYY-MM/date=YYYY-MM-DD folders, pruned by partition.
-    Days without a folder are simply absent."""
-    months = [F.lit(start.strftime("%Y-%m")), F.lit(end.strftime("%Y-%m"))]
-    df = read_partitioned(spark, root, schema, ["month", "date"])
-    return df.where(F.col("month").between(*months) & (F.col("date") >= start.isoformat()) & (F.col("date") < end.isoformat()))
+def read_days(spark: SparkSession, root: str, schema: StructType, start: date, end: date, absent: str = "error") -> DataFrame:
+    """Records of the days [start, end) of a daily layout: month=YYYY-MM/date=YYYY-MM-DD folders.
+
+    A day without a folder is an error; with ``absent`` "skip" it just has no records.
+    """
+    if absent == "skip":
+        months = [F.lit(start.strftime("%Y-%m")), F.lit(end.strftime("%Y-%m"))]
+        df = read_partitioned(spark, root, schema, ["month", "date"])
+        return df.where(F.col("month").between(*months) & (F.col("date") >= start.isoformat()) & (F.col("date") < end.isoformat()))
+    days = [start + timedelta(days=i) for i in range((end - start).days)]
+    full = _with_keys(schema, ["month", "date"])
+    if not days:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", root).json([f"{root}/month={d:%Y-%m}/date={d}" for d in days])
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: StructType, start: date | None = None, end: date | None = None) -> DataFrame:
@@ -40,8 +49,11 @@ def read_snapshots(spark: SparkSession, root: str, schema: StructType, start: da
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: StructType, keys: list[str]) -> DataFrame:
-    full = StructType([*[f for f in schema.fields if f.name not in keys], *[StructField(k, StringType()) for k in keys]])
-    return spark.read.schema(full).option("recursiveFileLookup", "false").json(root)
+    return spark.read.schema(_with_keys(schema, keys)).option("recursiveFileLookup", "false").json(root)
+
+
+def _with_keys(schema: StructType, keys: list[str]) -> StructType:
+    return StructType([*[f for f in schema.fields if f.name not in keys], *[StructField(k, StringType()) for k in keys]])
 
 
 def collection_date(df: DataFrame, path: str = "_source_file", name: str = "ingest_date") -> DataFrame:
@@ -53,12 +65,16 @@ def collection_date(df: DataFrame, path: str = "_source_file", name: str = "inge
     return out
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Readable records, and the lines that aren't (``_corrupt_record``); blank lines are neither. The lines are scanned
-    once a side."""
-    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+def read_tagged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The fields of each line, and ``_corrupt_record`` with the line where it can't be read; blank lines are left out."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    parsed = lines.select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
+    return parse_tolerant(lines, "value", schema).drop("value")
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Readable records, and the lines that aren't (``_corrupt_record``); blank lines are neither. Whoever wants both in
+    one scan takes ``read_tagged``."""
+    parsed = read_tagged(spark, path, schema)
     return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
@@ -68,10 +84,10 @@ def parse_tolerant(df: DataFrame, column: str, schema: StructType) -> DataFrame:
     return df.withColumn("_r", F.from_json(column, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})).select(*df.columns, "_r.*")
 
 
-def read_manifests(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All manifest objects below a folder; those that can't be read are left out."""
+def read_manifests(spark: SparkSession, root: str, schema: StructType, pattern: str = "manifest*.json") -> DataFrame:
+    """All manifest objects below a folder, one a file; those that can't be read are left out."""
     full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.read.schema(full).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "manifest*.json").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read.schema(full).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.json(root).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -91,14 +107,15 @@ def flatten_series(df: DataFrame, keep: list[str], blocks: list[str], members: l
     Shorter arrays are filled up with null, longer ones cut; rows without any time give none. With ``pad`` False a
     value beyond an array's end is told from null by ``has_<member>``.
     """
-    chosen = F.coalesce(*[F.when(F.size(F.coalesce(F.col(f"{b}.time"), F.array())) > 0, _zip(b, members)) for b in blocks])
-    out = df.select(*keep, F.explode(chosen).alias("_s")).select(*keep, "_s.*")
-    return out if pad else out.withColumns({f"has_{m}": F.col(m).isNotNull() for m in members})
+    chosen = F.coalesce(*[F.when(F.size(F.coalesce(F.col(f"{b}.time"), F.array())) > 0, _zip(b, members, pad)) for b in blocks])
+    return df.select(*keep, F.explode(chosen).alias("_s")).select(*keep, "_s.*")
 
 
-def _zip(block: str, members: list[str]) -> Column:
+def _zip(block: str, members: list[str], pad: bool) -> Column:
     time = F.col(f"{block}.time")
-    fields = lambda i: [F.element_at(time, i + 1).alias("time"), *[F.try_element_at(F.col(f"{block}.{m}"), i + 1).alias(m) for m in members]]
+    held = lambda m, i: F.coalesce(F.size(F.col(f"{block}.{m}")) > i, F.lit(False)).alias(f"has_{m}")
+    value = lambda m, i: F.try_element_at(F.col(f"{block}.{m}"), i + 1).alias(m)
+    fields = lambda i: [F.element_at(time, i + 1).alias("time"), *[value(m, i) for m in members], *[held(m, i) for m in members if not pad]]
     return F.transform(F.sequence(F.lit(0), F.size(time) - 1), lambda i: F.struct(*fields(i)))
 
 
@@ -114,8 +131,11 @@ def route(wanted: DataFrame, archive: DataFrame, recent: DataFrame, *, day: str,
     return pick(archive, old, "archive").unionByName(pick(recent, ~old, "recent"))
 
 
-def relative_window(start: date, end: date, today: date) -> tuple[int, int]:
-    """Days back and days ahead of today that [start, end) needs; never negative."""
+def relative_window(start: date, end: date, today: date, *, past: int | None = None, ahead: int | None = None) -> tuple[int, int]:
+    """Days back and days ahead of today that [start, end) needs; never negative. Where either is configured (``past``,
+    ``ahead``) these win, and one that isn't is 0: a collection's own window says nothing of the days it asks for."""
+    if past is not None or ahead is not None:
+        return past or 0, ahead or 0
     return max((today - start).days, 0), max((end - today).days, 0)
 
 
@@ -129,15 +149,26 @@ def by_record_day(records: DataFrame, timestamp: str) -> DataFrame:
     return out.withColumn("month", F.substring("date", 1, 7))
 
 
-def write_json(df: DataFrame, path: str, keys: list[str], compression: str = "gzip") -> None:
-    """Action: one record a line, in folders by ``keys``; folders that get rows are replaced, others stay."""
-    out = df.repartition(*keys) if keys else df
-    writer = out.write.mode("overwrite").option("compression", compression).option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*keys) if keys else writer).json(path)
+def write_json(df: DataFrame, path: str, keys: list[str], compression: str = "gzip", keep_order: bool = False) -> None:
+    """Action: one record a line, in folders by ``keys``; folders that get rows are replaced, others stay.
+
+    Rows are dealt so that large keys go to several tasks and small ones share one (adaptive execution). With
+    ``keep_order`` the records of a key stand in the order that they come in, over its files by name.
+    """
+    if not keys:
+        df.write.mode("overwrite").option("compression", compression).json(path)
+        return
+    if keep_order:
+        numbered = df.withColumn("_at", F.monotonically_increasing_id())
+        out = numbered.repartitionByRange(*keys, "_at").sortWithinPartitions(*keys, "_at").drop("_at")
+    else:
+        out = df.hint("rebalance", *keys)
+    out.write.mode("overwrite").option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(path)
 
 
 def write_daily(records: DataFrame, path: str, timestamp: str) -> None:
-    write_json(by_record_day(records, timestamp), path, ["month", "date"])
+    """Action: a folder for each day of the records' own time, records in the order that they come in."""
+    write_json(by_record_day(records, timestamp), path, ["month", "date"], keep_order=True)
 
 
 def write_monthly(records: DataFrame, path: str, timestamp: str) -> None:
@@ -160,14 +191,16 @@ def write_snapshot(records: DataFrame, path: str, ingest_date: date, min_records
 
 
 def write_partitions(df: DataFrame, path: str, key: str = "date") -> None:
-    """Action: Parquet in folders by ``key``; a rerun replaces only the folders that it writes to."""
-    df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    """Action: Parquet in folders by ``key``; a rerun replaces only the folders that it writes to. A large folder is written
+    by several tasks."""
+    df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def write_rejects(rejected: DataFrame, path: str, key: str | None = None) -> bool:
-    """Action: writes rejected rows, if there are any, and removes what an earlier run has left where there are none."""
+    """Action: writes rejected rows if there are any; where there are none nothing is written, and what an earlier run has
+    left goes."""
     if rejected.isEmpty():
-        rejected.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        drop_folder(rejected.sparkSession, path)
         return False
     writer = rejected.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(key) if key else writer).parquet(path)
@@ -182,15 +215,56 @@ def write_whole(df: DataFrame, path: str, files: int | None = None) -> None:
 def manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None) -> DataFrame:
     """A row for each partition: records, bytes of its lines as JSON, two checksums, first and last record date.
 
-    ``sha256_checksum`` hashes the lines in ``order``, for partitions of a day's size; ``xor_checksum`` combines a hash of
-    each line in any order, for those of any size.
+    ``sha256_checksum`` hashes the lines in ``order``, which takes the lines of a partition into one row: for partitions
+    of a day's size. ``line_checksum`` adds up a hash of each line: in any order, for partitions of any size, and those of
+    parts add up to that of the whole.
     """
     fields = [c for c in records.columns if c not in keys]
     line = F.to_json(F.struct(*fields))
     day = F.to_date(F.try_to_timestamp(F.col(timestamp).cast("string"))) if timestamp else F.lit(None).cast("date")
     rows = records.select(*keys, line.alias("_line"), day.alias("_day"), F.struct(*order, line).alias("_order"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("_order", "_line"))), lambda s: s["_line"])
-    return rows.groupBy(*keys).agg(F.count("*").alias("record_count"), F.sum(F.octet_length("_line") + 1).alias("file_size_bytes"), F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")), 256).alias("sha256_checksum"), F.bit_xor(F.xxhash64("_line")).alias("xor_checksum"), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max"))
+    return rows.groupBy(*keys).agg(*_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max"))
+
+
+def _line_sums() -> list[Column]:
+    hashed = F.sum(F.xxhash64("_line").cast("decimal(20,0)")).alias("line_checksum")
+    return [F.count("*").alias("record_count"), F.sum(F.octet_length("_line") + 1).alias("file_size_bytes"), hashed]
+
+
+def _sha256(lines: Column) -> Column:
+    return F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")), 256).alias("sha256_checksum")
+
+
+def file_manifests(spark: SparkSession, root: str, *, source_id: str, dataset_name: str, timestamp_field: str, fetched: datetime) -> DataFrame:
+    """A manifest row for each file that has landed below ``root``, read from the files themselves.
+
+    Besides names and times: its partition, records, bytes and SHA-256 of its lines as they stand, the mergeable
+    ``line_checksum``, compression, stored bytes, first and last record date (of the field named). The lines of one file
+    come together for its hash, so its memory is bounded by the writer's file size, however large a partition is.
+    """
+    text = spark.read.option("recursiveFileLookup", True).text(root)
+    path, at = F.col("_metadata.file_path"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"))
+    day = F.to_date(F.try_to_timestamp(F.get_json_object("value", f"$.{timestamp_field}")))
+    rows = text.select(path.alias("_path"), F.col("_metadata.file_name").alias("filename"), F.col("_metadata.file_size").alias("stored_bytes"), at.alias("_at"), F.col("value").alias("_line"), day.alias("_day"))
+    lines = F.transform(F.array_sort(F.collect_list("_at")), lambda s: s["line"])
+    found = rows.groupBy("_path", "filename", "stored_bytes").agg(*_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max"))
+    part = lambda key: F.nullif(F.regexp_extract("_path", rf"/{key}=([^/]+)/", 1), F.lit(""))
+    fixed = {"source_id": source_id, "dataset_name": dataset_name, "ingest_date": fetched.date().isoformat(), "timestamp_field": timestamp_field}
+    named = found.withColumns({k: F.lit(v) for k, v in fixed.items()})
+    compression = F.when(F.col("filename").endswith(".gz"), "gzip")
+    return named.withColumns({"fetch_timestamp": F.lit(fetched.isoformat()), "compression": compression, "month_partition": part("month"), "date_partition": part("date")}).drop("_path")
+
+
+def write_manifests(manifests: DataFrame, path: str) -> None:
+    """Action: manifest rows as JSON, a line each, in a folder beside the data; a rerun replaces them."""
+    manifests.write.mode("overwrite").json(path)
+
+
+def stable_page(df: DataFrame, keys: list[str], number: int, size: int) -> DataFrame:
+    """Page ``number`` (from 0) of the rows in a total order: by ``keys``, and rows of equal keys by a hash of all columns,
+    so that pages neither overlap nor leave rows out between runs."""
+    return df.orderBy(*keys, F.xxhash64(*df.columns), *df.columns).offset(number * size).limit(size)
 
 
 def stats(records: DataFrame, day: str, size: Column) -> DataFrame:

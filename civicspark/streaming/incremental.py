@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.timeseries import newest_by
+from ..session import shared_folder
 from ..sources.landing import write_partitions
 
 
@@ -27,8 +27,7 @@ def clean_new_files(spark: SparkSession, landed: str, schema: StructType, transf
             held = spark.read.schema(rows.schema).parquet(table).join(touched, partition, "left_semi")
             rows = newest_by(held.unionByName(rows), keys, version)
             # the rows are read from the partitions that they replace
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+            shared_folder(spark)
             rows = rows.checkpoint()
         elif keys:
             rows = newest_by(rows, keys, version)
@@ -42,7 +41,3 @@ def first_seen(stream: DataFrame, time: str, keys: Sequence[str], horizon: str =
     """Rows of a stream without those whose key has come within the horizon before; the first one seen stays."""
     return stream.withWatermark(time, horizon).dropDuplicatesWithinWatermark([*keys])
 
-
-def windowed_counts(stream: DataFrame, time: str, by: Sequence[str], width: str = "1 hour", late: str = "7 days") -> DataFrame:
-    """Rows for each window and group, once no late row can change them."""
-    return stream.withWatermark(time, late).groupBy(F.window(time, width), *by).agg(F.count("*").alias("n"))

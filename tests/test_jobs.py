@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from civicspark.operators.quality import TooFewRows
 from civicspark.plans import jobs
@@ -26,8 +27,12 @@ def test_archive_and_events(spark, tmp_path):
     found = spark.read.parquet(events).orderBy("start_date").collect()
     assert [(r.event_id, r.duration_days, r.total_snowfall_cm) for r in found] == [("SNOW-20260128", 2, 7.0), ("SNOW-20260201", 1, 5.0)]
     assert spark.read.parquet(rejects).first()._reject_reason == "snowfall_sum_cm_out_of_range"
-    with pytest.raises(TooFewRows):
+    with pytest.raises(AnalysisException):  # days that haven't landed
         jobs.clean_archive(spark, landed, table, rejects, D(2026, 1, 27), D(2026, 3, 1), "S")
+    few, bad = str(tmp_path / "few"), [(day, s if i % 3 else -1.0, low, high) for i, (day, s, low, high) in enumerate(rows)]
+    landing.write_daily(spark.createDataFrame(bad, RAW), few, "time")
+    with pytest.raises(TooFewRows):
+        jobs.clean_archive(spark, few, table, rejects, *window, "S")
     with pytest.raises(TooFewRows):
         jobs.rebuild_events(spark, table, events, "S", threshold_cm=100.0)
 
