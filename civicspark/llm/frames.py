@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,22 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import drop_folder, shared_folder
+
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
 def tidy(run: Callable) -> Callable:
     """A function of batches after which the worker gives back the memory that Arrow and the C library keep."""
 
@@ -89,6 +79,4 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that no result depends on any more."""
     for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_folder(table.sparkSession, table.written_to)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -228,6 +230,48 @@ def test_mix_small_sources_beside_a_large_one(spark):
         assert r.n < 200 or abs(r.half / r.n - 0.5) < 0.03, r
 
 
+def test_mix_matches_a_plain_version(fixture_docs, fixture_rows):
+    """Targets, what is taken of each document and which slots a block gets, by their definitions."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    place = {(r.doc_id, r.text): r.p for r in fixture_docs.select("doc_id", "text", F.xxhash64(F.lit(42), "doc_id").alias("p")).collect()}
+    tie = {r.text: r.t for r in fixture_docs.select("text", F.xxhash64("text").alias("t")).collect()}
+    by_source = defaultdict(list)
+    for k, t, _, s in fixture_rows:
+        by_source[s].append((place[k, t] % (1 << 64), k, tie[t], size(t), t))
+    names = sorted(by_source, key=lambda s: (s is None, s or ""))
+    sizes = {s: sum(x[3] for x in by_source[s]) for s in names}
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, left, open_ = {}, 1.5 * sum(sizes.values()), set(names)
+    while open_:
+        part = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if part[s] > 2 * sizes[s]}
+        for s in over or open_:
+            target[s] = 2.0 * sizes[s] if over else part[s]
+        left, open_ = left - sum(target[s] for s in over), open_ - over if over else set()
+    want, goals = [], {s: min(int(target[s] + 0.5), 2 * sizes[s]) for s in names}
+    for s in names:
+        at = 0
+        for _, k, _, n, _ in sorted(by_source[s], key=lambda x: x[:3]):
+            taken = sum(max(0, min(at + p * sizes[s] + n, goals[s]) - (at + p * sizes[s])) for p in (0, 1))
+            want.append((k, n, sizes[s], round(target[s], 6), taken))
+            at += n
+    mix = mixing.mix(fixture_docs)
+    assert sorted((r.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in mix.documents.collect()) == sorted(want)
+    blocks = defaultdict(set)
+    for r in mix.schedule.collect():
+        blocks[r.source].add((r.slot, r.block))
+    for s in names:  # one slot for each block, in order but for the few blocks that other sources' slots are given to
+        assert len({x for x, _ in blocks[s]}) == len({b for _, b in blocks[s]}) == len(blocks[s])
+        ordered = [b for _, b in sorted(blocks[s])]
+        assert sum(a > b for a, b in zip(ordered, ordered[1:], strict=False)) <= 4
+    golden = (5**0.5 - 1) / 2
+    slots = sorted((slot, s) for s in names for slot, _ in blocks[s])
+    share = {s: len(blocks[s]) / len(slots) for s in names}
+    low = {s: sum(share[x] for x in names[:i]) for i, s in enumerate(names)}
+    hit = sum(low[s] - 1e-9 <= slot * golden % 1 < low[s] + share[s] + 1e-9 for slot, s in slots)
+    assert hit >= len(slots) - 8
+
+
 def test_targets_reshare_the_excess():
     found = mixing.targets([("b", 10), ("a", 1000), (None, 10)])
     assert [t.source for t in found] == ["a", "b", None]
@@ -264,6 +308,45 @@ def test_language_of_odd_texts(fixture_docs, fixture_rows, no_docs):
     assert {r.lang_pred for r in language.identify(fixture_docs, nothing).collect()} == {"und"}
 
 
+def plain_language(network, text):
+    """The network's probabilities for a text, one window, place and filter after the other."""
+    w, size = network.weights, network.settings.window
+    folded = [c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in text.encode()]
+    total, mass = np.zeros(len(network.languages)), 0
+    for a in range(0, len(folded), size):
+        window = (folded[a : a + size] + [32] * size)[:size]
+        hidden = []
+        for k in network.settings.widths:
+            seen = [np.concatenate([w["emb"][c] for c in window[i : i + k]]) for i in range(size - k + 1)]
+            hidden += [max(0.0, max(float(x @ w[f"conv{k}"][:, f]) for x in seen) + float(w[f"off{k}"][f])) for f in range(network.settings.filters)]
+        z = np.array(hidden) @ w["out"] + w["bias"]
+        letters = sum(c != 32 for c in window)
+        total += letters * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        mass += letters
+    return total / max(mass, 1e-12)
+
+
+def test_language_matches_a_plain_forward_pass(fixture_docs, fixture_rows, spark):
+    network = language.learn(fixture_docs, settings=language.Settings(epochs=2, filters=4))
+    texts = [t for _, t, *_ in fixture_rows if t and any(c.isalpha() for c in t) and len(t) < 400][:25]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:3]])], "doc_id long, text string")
+    for r in language.identify(docs, network, carry=("text",)).collect():
+        found = plain_language(network, r.text)
+        assert abs(found.max() - r.score) < 1e-4
+        assert r.lang_pred == network.languages[int(found.argmax())] or np.ptp(found) < 1e-4
+
+
+def test_long_texts_have_windows_of_their_own(spark, monkeypatch, fixture_docs):
+    """What stands in the batch before a text doesn't change its score."""
+    monkeypatch.setattr(language, "_PIECE", 1000)
+    network = language.learn(fixture_docs, settings=language.Settings(epochs=1))
+    long = "some words of one language and über another " * 60
+    docs = spark.createDataFrame([(0, "short one"), (1, long), (2, "x" * 37), (3, long), (4, long + "end")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in language.identify(docs, network).collect()}
+    assert got[1] == got[3]
+    assert abs(got[1] - plain_language(network, long).max()) < 1e-4
+
+
 def test_entropy_classes():
     data = np.frombuffer(b"the quick brown fox jumps over the lazy dog aaaaaaaaaaaaaaaaaaaaaaaaa", np.uint8)
     for i, c in enumerate(digests.entropy_classes(data, 16)):
@@ -292,6 +375,82 @@ def test_fingerprints(fixture_docs, fixture_rows, no_docs):
     assert digests.neighbours(no_docs, ranks).collect() == []
 
 
+M64 = (1 << 64) - 1
+
+
+def plain_mix(h):
+    h ^= h >> 31
+    h = h * 0x7FB5D329728EA185 & M64
+    h ^= h >> 27
+    h = h * 0x81DADEF4BC2DD44D & M64
+    return h ^ (h >> 33)
+
+
+def plain_class(window):
+    """The entropy class of some bytes, counted one by one."""
+    gain = lambda c: round(c * math.log2(c) * 65536)
+    left = gain(len(window)) - sum(gain(n) for n in Counter(window).values())
+    return int(min(left * float(np.float32(1000 / gain(len(window)))), 999.0))
+
+
+def plain_chain(text, ranks):
+    """A digest by its definition: a chain of (set of bits, number of features)."""
+    data = text.encode()
+    if data and len(data) < 16:
+        data += b" " * (16 - len(data))
+    places = range(len(data) - 15)
+    order = [(int(ranks[plain_class(data[i : i + 16])]), i) for i in places]
+    runs = [order[i : i + 16] for i in range(len(order) - 15)] if len(order) >= 16 else [order] if order else []
+    votes = Counter(min(run)[1] for run in runs if min(run)[0] < 1000)
+    values = []
+    for i in sorted(i for i, n in votes.items() if n >= min(4, max(1, len(runs)))):
+        value = 0
+        for k in (0, 8):
+            value = plain_mix(value * 0x9E3779B97F4A7C15 + int.from_bytes(data[i + k : i + k + 8]) & M64)
+        if value not in values:
+            values.append(value)
+    return [({v >> 12 * k & 2047 for v in part for k in range(5)}, len(part)) for part in (values[i : i + 160] for i in range(0, len(values), 160))]
+
+
+def plain_text(chain):
+    rows = b"".join(bytes(sum(128 >> j for j in range(8) if 8 * i + j in bits) for i in range(256)) + bytes([n]) for bits, n in chain)
+    return f"v1:16:{len(chain)}:" + base64.b64encode(rows).decode()
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(len(a) == len(b))
+    if len(a) > len(b):
+        a, b = b, a
+    scores = []
+    for bits, n in a:
+        best = 0.0
+        for other, m in b:
+            chance = len(bits) * len(other) / 2048
+            score = (len(bits & other) - chance) / max(min(len(bits), len(other)) - chance, 1e-9)
+            best = max(best, min(1, max(0, score)) * min(1, 2 * min(n, m) / max(1, n, m)))
+        scores.append((best, n))
+    return sum(x * n for x, n in scores) / sum(n for _, n in scores)
+
+
+def test_fingerprints_match_a_plain_version(fixture_docs, fixture_rows):
+    texts = [(k, t or "") for k, t, *_ in fixture_rows if len(t or "") < 3000]
+    docs = fixture_docs.where("length(coalesce(text, '')) < 3000")
+    counts = Counter(plain_class(t.encode()[i : i + 16]) for _, t in texts for i in range(len(t.encode()) - 15))
+    histogram = digests.histogram(docs)
+    assert {i: n for i, n in enumerate(histogram.tolist()) if n} == counts
+    rarest = sorted(range(1000), key=lambda c: (counts[c], c))
+    ranks = [1000 if c < 150 else rarest.index(c) for c in range(1000)]
+    order = sorted(texts)
+    want = []
+    for (k, t), (_, following) in zip(order, [*order[1:], order[0]], strict=True):
+        changed = t[: len(t) - len(t) // 4] + following[: len(t) // 4]
+        own, other, after = (plain_chain(x, ranks) for x in (t, changed, following))
+        want.append((k, plain_text(own), plain_text(other), round(plain_likeness(own, other), 9), 1.0 if t == following else round(plain_likeness(own, after), 9)))
+    got = digests.neighbours(docs, digests.rarity_ranks(histogram, 150)).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == sorted(want)
+
+
 def test_fingerprint_of_one_document(spark):
     docs = spark.createDataFrame([(1, "some words that stand alone here")], "doc_id long, text string")
     [r] = digests.neighbours(docs, digests.rarity_ranks(digests.histogram(docs), 0)).collect()
@@ -309,6 +468,27 @@ def test_toxicity_chain(spark):
     assert not any(r.p_toxic >= 0.4 for r in got if r.toxic == 0)
 
 
+def test_toxicity_matches_a_plain_chain(spark, fixture_docs, fixture_rows):
+    labels = spark.createDataFrame([(k * 3, int(k % 3 == 0), int(k % 4 == 0)) for k in range(40)], "doc_id long, bad int, worse int")
+    chain = toxicity.learn(fixture_docs, labels, {"bad": F.col("bad"), "worse": F.col("worse")}, settings=toxicity.Settings(l1=0.1, bits=16))
+    assert len(chain.models[1][1]) == 1 and chain.models[1][1][0] != 0  # the second sees the first one's probability
+
+    def plain(text):
+        """Distinct words and first bytes, one model after the other."""
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+        low = lambda word: int(kernels.word_hashes(np.frombuffer(word, np.uint8), np.array([0, len(word)]), gap=toxicity.GAP)[0][0])
+        places = {low(w) >> 48 for w in words} | {(low(w[:4]) ^ 0x5851F42D4C957F2D) >> 48 for w in words}
+        told = []
+        for weights, chained, bias in chain.models:
+            z = sum(float(weights[p]) for p in places) + sum(c * p for c, p in zip(chained, told, strict=True)) + bias
+            told.append(1 / (1 + math.exp(-min(30, max(-30, z)))))
+        return told
+
+    want = sorted((k if k is not None else -1, *[round(p, 5) for p in plain(t)]) for k, t, *_ in fixture_rows)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, round(r.p_bad, 5), round(r.p_worse, 5)) for r in toxicity.score(fixture_docs, chain).collect())
+    assert np.abs(np.array(got) - np.array(want)).max() < 1e-4
+
+
 def test_toxicity_of_odd_texts(fixture_docs, fixture_rows, no_docs, spark):
     labels = spark.createDataFrame([(0, 1), (3, 0), (6, None), (None, 1), (0, 1)], "doc_id long, toxic int")
     chain = toxicity.learn(fixture_docs, labels, {"toxic": F.col("toxic")})
