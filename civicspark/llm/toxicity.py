@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import tidy
@@ -26,9 +26,11 @@ GAP[[b for b in range(128) if not chr(b).isalnum()]] = True
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled rows that are learned from; features are hashed into 2**``bits`` places."""
+    """``sample_rows`` bounds the labelled rows that are learned from and ``sample_bytes`` their features, 4 bytes each;
+    features are hashed into 2**``bits`` places."""
 
     sample_rows: int = 8000
+    sample_bytes: int = 128 << 20
     bits: int = 20
     prefix: int = 4
     folds: int = 3
@@ -90,8 +92,9 @@ def _predict(model: tuple[np.ndarray, np.ndarray, float], place: np.ndarray, row
 def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> Chain:  # noqa: B008
     """A chain over ``categories``: name -> 0/1 column of ``labels``, in order.
 
-    Rows with a null key, text or label teach nothing; of a key that is labelled repeatedly all rows count. Without
-    rows to learn from, every probability is 0.
+    Rows with a null key, text or label teach nothing; of a key that is labelled or stands repeatedly all rows count, up
+    to the bounds of the sample, which is the same at every run. Texts of any length teach whole. Without rows to learn
+    from, every probability is 0.
     """
     s, names = settings, [*categories]
     labelled = labels.select(F.col(key).alias("_k"), *[c.cast("int").alias(f"_y{i}") for i, c in enumerate(categories.values())]).na.drop()
@@ -107,7 +110,11 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             ends = np.searchsorted(pairs, np.arange(batch.num_rows + 1) << s.bits)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.int32).tobytes() for x in np.split(pairs & ((1 << s.bits) - 1), ends[1:-1])][: batch.num_rows], pa.binary()), pa.array(np.zeros(batch.num_rows, np.int64)) if batch.column(0).type == pa.null() else batch.column(0).cast(pa.string())], names=["y", "x", "k"])
 
-    got = sorted(((r["k"], *r["y"], bytes(r["x"])) for r in rows.mapInArrow(tidy(run), "y array<int>, x binary, k string").collect()))
+    made = rows.mapInArrow(tidy(run), "y array<int>, x binary, k string")
+    # rows that repeat a key come on top of the sample, and texts have any length: both bounds hold again here
+    first = [F.xxhash64("k"), "k", "y", "x"]
+    kept = made.orderBy(*first).limit(s.sample_rows).withColumn("so_far", F.sum(F.octet_length("x").cast("long")).over(Window.orderBy(*first)))
+    got = sorted((r["k"], *r["y"], bytes(r["x"])) for r in kept.where(F.col("so_far") <= s.sample_bytes).collect())
     if not got:
         return Chain(names, s, [(np.zeros(1 << s.bits, np.float32), np.zeros(i), -30.0) for i in range(len(names))])
     x = [np.frombuffer(r[-1], np.int32).astype(np.int64) for r in got]
@@ -131,7 +138,8 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
 def score(docs: DataFrame, chain: Chain, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and a probability ``p_<category>`` for each category of every row, from its whole text.
 
-    Null text counts as empty; repeated rows each get a row; an empty table gives no rows; no other column is read.
+    Null text counts as empty; texts of any length count whole; repeated rows each get a row; an empty table gives no
+    rows; no other column is read.
     """
     frame = docs.select(key, text)
     kind = frame.schema[key].dataType.simpleString()

@@ -489,6 +489,17 @@ def test_toxicity_matches_a_plain_chain(spark, fixture_docs, fixture_rows):
     assert np.abs(np.array(got) - np.array(want)).max() < 1e-4
 
 
+def test_toxicity_sample_is_bounded(spark, fixture_docs, monkeypatch):
+    labels = spark.createDataFrame([(k * 3, k % 2) for k in range(40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_fit", lambda rows, earlier, y, s: seen.append((len(rows), sum(map(len, rows)))) or (np.zeros(1 << s.bits, np.float32), np.zeros(earlier.shape[1]), 0.0))
+    many = fixture_docs.unionByName(fixture_docs)  # every key repeats
+    toxicity.learn(many, labels, {"toxic": F.col("toxic")}, settings=toxicity.Settings(sample_rows=12))
+    toxicity.learn(many, labels, {"toxic": F.col("toxic")}, settings=toxicity.Settings(sample_bytes=2000))
+    assert seen[0][0] == 12
+    assert 0 < seen[1][1] <= 500
+
+
 def test_toxicity_of_odd_texts(fixture_docs, fixture_rows, no_docs, spark):
     labels = spark.createDataFrame([(0, 1), (3, 0), (6, None), (None, 1), (0, 1)], "doc_id long, toxic int")
     chain = toxicity.learn(fixture_docs, labels, {"toxic": F.col("toxic")})
