@@ -6,8 +6,10 @@ import datetime as dt
 import gzip
 import hashlib
 import json
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -334,3 +336,19 @@ def test_calendars(spark):
     assert landing.relative_window(D(2026, 1, 1), D(2026, 1, 20), D(2026, 1, 10)) == (9, 10)
     assert landing.relative_window(D(2026, 1, 10), D(2026, 1, 11), D(2026, 1, 10), ahead=7) == (0, 7)
     assert landing.relative_window(D(2026, 1, 1), D(2026, 1, 20), D(2026, 1, 10), past=3) == (3, 0)
+
+
+def test_count_model_matches_a_plain_fit(spark):
+    """The Poisson model's predictions are those of Newton's method on the same rows."""
+    rng = np.random.default_rng(2)
+    x = rng.uniform(0, 2, 200)
+    data = [(float(a), int(n), i >= 150) for i, (a, n) in enumerate(zip(x, rng.poisson(np.exp(0.4 + 0.9 * x)), strict=True))]
+    design = np.array([[1.0, a] for a, _, late in data if not late])
+    counts, beta = np.array([n for _, n, late in data if not late], float), np.zeros(2)
+    for _ in range(50):
+        mean = np.exp(design @ beta)
+        beta += np.linalg.solve(design.T @ (design * mean[:, None]), design.T @ (counts - mean))
+    found = city.count_model(spark.createDataFrame(data, "x double, n int, late boolean"), ["x"], "n", F.col("late")).collect()
+    assert len(found) == 50
+    for r in found:
+        assert abs(r.prediction - math.exp(beta[0] + beta[1] * r.x)) < 1e-3 * r.prediction
