@@ -220,8 +220,8 @@ def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text:
 
     ``key``, ``n_chars`` (code points), ``fingerprint``, ``edited``, ``edited_fingerprint``, ``near_edited``, ``near_next``. The next document is
     that of the next larger key, after the last the first; of equal keys the text decides, and repeated rows follow each
-    other; a lone document is its own next. Null text counts as empty, null keys come first; an empty table gives no
-    rows; no other column is read.
+    other; a lone document is its own next. Keys are numbers. Null text counts as empty, null keys come first; texts of any
+    length count whole; an empty table gives no rows; no other column is read.
 
     Rows are dealt into key ranges; the first row of each range is also sent to the range before it, so that each task
     meets every row's successor as it reads its sorted rows once.

@@ -242,7 +242,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     A byte goes if a string of ``length`` bytes covers it that also starts in a document with a smaller key. Strings are
     judged on the input, in UTF-8; matches don't cross documents; null text is empty. Null keys are larger than all
-    others; rows of equal key don't count against each other; an empty table gives no rows; no other column is read.
+    others; rows of equal key don't count against each other; texts of any length count whole; an empty table gives no rows;
+    no other column is read.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
