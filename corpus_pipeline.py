@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again for the next. All but
 the last return the columns of documents, one row a document; after mixing, a document that the mix takes twice has two
-rows. Null texts and texts without letters leave at the first stage; an empty table passes through as one.
+rows. Texts of any length pass whole, an empty table as an empty one, and columns that documents has besides its own, of
+whatever name, as they are; each stage states what becomes of nulls, ties and repeated rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from civicspark.llm import language, mixing, ngram_join, passages, sentencepieces
 from civicspark.llm.frames import materialize
 
-#: Below this mean probability a text is in none of the learned languages; that of a guess among four is 0.25.
+#: Below this mean probability a text is in none of the learned languages; that of a guess among four is 0.25. It is meant
+#: for other languages: of the 10,000 documents at sf0.1, all in a learned one, none falls under it (the least is 0.307).
 LEAST_SCORE = 0.3
 
 
@@ -24,7 +26,11 @@ def _others(docs: DataFrame) -> Column:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay, with that language where they had none."""
+    """Documents in a learned language stay, with that language where they had none.
+
+    Null texts, empty ones and those without a letter go, as do texts of a probability under ``LEAST_SCORE``. Ties between
+    languages go to the first by name; repeated rows each stay; null ids and sources stay null.
+    """
     packed = docs.select("doc_id", "text", _others(docs))
     found = language.identify(packed, language.learn(docs), carry=("text", "_others")).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     given = {"doc_id": F.col("doc_id"), "text": F.col("text"), "lang": F.coalesce("_others.lang", "lang_pred").alias("lang")}
@@ -51,7 +57,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds are cut; a document of which no letter or digit is left goes."""
+    """Passages that an earlier document holds are cut; a document of which no letter or digit is left goes, unless nothing
+    was cut from it.
+
+    A null text becomes an empty one. Earlier is the smaller id, null last; rows of equal id, repeated ones too, aren't cut
+    against each other.
+    """
     packed = docs.select("doc_id", "text", _others(docs))
     found = passages.remove_repeats(packed, carry=("_others",), decode=True)
     left = found.where((F.size("spans") == 0) | F.col("kept").rlike(r"[\p{L}\p{N}]"))
@@ -60,7 +71,11 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number: 0, 1 or 2 times."""
+    """Each document as often as the mix takes it, to the nearest whole number: 0, 1 or 2 times.
+
+    Documents without words (null texts too) aren't taken. Null is a source like any other, the last. Rows that repeat an
+    id and text are each written as often as they are taken on average; ties in the order go by id and text.
+    """
     taken = mixing.mix(docs).documents.withColumn("_times", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0))
     times = taken.groupBy(F.col("doc_id").alias("_id"), "_tie").agg(F.round(F.avg("_times")).cast("int").alias("_times")).where("_times > 0")
     joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & (F.xxhash64(docs["text"]) == times["_tie"]))
@@ -68,7 +83,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, with digests of the ids and of the text that they decode to."""
+    """Token ids of each row, with digests of the ids and of the text that they decode to.
+
+    A null text has no ids and decodes to an empty one; repeated rows have a row each.
+    """
     found = sentencepieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
