@@ -31,6 +31,8 @@ _GROUP = 5 << 19
 _SLICE = 1 << 20
 #: Shingles that a task gathers before it sends them off.
 _GATHERED = 1 << 20
+#: Of one in so many sets, by hash: shingles that so many of these hold are common; at most so many, 8 bytes each, are listed.
+_SAMPLE, _COMMON, _LISTED = 4096, 64, 100_000
 #: Fragments that the order is cut into.
 _FRAGMENTS = 8
 #: 64-bit words of a parity bitmap; further rounds against centres, and a group's centres in each. None changes the result.
@@ -74,8 +76,35 @@ def set_names(docs: DataFrame, *, key: str, text: str, words: int, carry: tuple[
     return frame.mapInArrow(tidy(run), f"_k {frame.schema['_k'].dataType.simpleString()}, {kinds}n long, node long")
 
 
-def _dealt(docs: DataFrame, text: str, words: int, groups: int) -> DataFrame:
-    """The sets of each batch of rows, equal sets once, dealt to groups by hash: shingles one after the other, by node."""
+def _common(docs: DataFrame, text: str, words: int) -> np.ndarray:
+    """Shingles that a sample of the sets shows to be common, ascending.
+
+    Each has been seen in many sets, so it is shared for certain. Missing one costs only time: the list decides which way
+    a shingle goes, not the result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros(0, np.int64)
+        for batch in batches:
+            for _, _, values, at in _sets(batch.column(0), words):
+                names = _keys(values, at)
+                new = ~np.isin(names, met) & (np.diff(at) > 0)
+                met = np.unique(np.concatenate([met, names[new]]))
+                keep = np.repeat(new, np.diff(at))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, np.diff(at))[keep]), pa.array(values[keep].view(np.int64))], names=["node", "shingle"])
+
+    sampled = docs.where(F.pmod(F.xxhash64(text), F.lit(_SAMPLE)) == 0).select(text).mapInArrow(tidy(run), "node long, shingle long").distinct()
+    counts = sampled.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= _COMMON)
+    found = counts.orderBy(F.desc("n"), "shingle").limit(_LISTED).select("shingle").collect()
+    return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
+
+
+def _dealt(docs: DataFrame, text: str, words: int, groups: int, common: np.ndarray) -> DataFrame:
+    """The sets of each batch of rows, equal sets once, dealt to groups by hash: shingles one after the other, by node.
+
+    A common shingle would bring a row of most nodes into one group. It goes with its place in the list to a group of its
+    nodes' bucket instead, a negative one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = np.zeros(0, np.int64)
@@ -101,6 +130,10 @@ def _dealt(docs: DataFrame, text: str, words: int, groups: int) -> DataFrame:
     def packed(shingles: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         value, owner = np.concatenate(shingles), np.concatenate(owners)
         group = ((value >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
+        if len(common):
+            listed = np.minimum(np.searchsorted(common, value), len(common) - 1)
+            held = common[listed] == value
+            group, value = np.where(held, -1 - owner % groups, group).astype(np.int32), np.where(held, listed.astype(np.uint64), value)
         order = np.argsort(group, kind="stable")
         group, value, owner = group[order], value[order].astype(np.uint32), owner[order]
         # owners follow each other: each once, with its number of shingles, in parts that a byte can count
@@ -130,9 +163,13 @@ def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
 
 
 def _shared(groups: int) -> Callable[[pa.Table], pa.Table]:
-    """Of one group: the shingles that more than one node holds, with a measure of how many do, dealt to buckets of nodes."""
+    """Of one group: the shingles that more than one node holds, with a measure of how many do, dealt to buckets of nodes.
+
+    Of a negative group all are common: they are the last ones of the order, under a group number that no other has.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        group = table.column("group")[0].as_py()
         names, of = np.unique(_joined(table, "nodes", np.int64), return_inverse=True)
         of = np.repeat(of.astype(np.uint64), _joined(table, "counts", np.uint8))
         pairs = np.unique(_joined(table, "shingles", np.uint32).astype(np.uint64) << np.uint64(32) | of)
@@ -140,7 +177,11 @@ def _shared(groups: int) -> Callable[[pa.Table], pa.Table]:
         begin = _runs(len(value) + 1, value)
         holders = np.diff(np.concatenate([begin, [len(value)]]))
         rank = np.minimum(127, 8 * np.log2(holders)).astype(np.uint8)  # grows with the number of holders
-        held = np.repeat(holders > 1, holders)
+        if group < 0:
+            rank[:], holders_needed = 127, 1
+        else:
+            holders_needed = 2
+        held = np.repeat(holders >= holders_needed, holders)
         value, of, rank = value[held], (pairs[held] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.repeat(rank, holders)[held]
         bucket = (names % groups).astype(np.int32)[of]
         order = np.lexsort((of, bucket))
@@ -150,7 +191,7 @@ def _shared(groups: int) -> Callable[[pa.Table], pa.Table]:
         to, first = np.unique(bucket[starts], return_index=True)
         cuts = np.concatenate([first, [len(starts)]]).astype(np.int64)
         edges = np.concatenate([starts, [len(of)]]).astype(np.int64)[cuts]
-        group, out = table.column("group")[0].as_py(), []
+        group, out = group if group >= 0 else groups, []
         for i, b in enumerate(to.tolist()):
             of_bucket, here = slice(cuts[i], cuts[i + 1]), slice(edges[i], edges[i + 1])
             out.append((b, group, names[of[starts[of_bucket]]].tobytes(), counts[of_bucket].tobytes(), value[here].tobytes(), rank[here].tobytes()))
@@ -252,7 +293,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     groups = max(partitions(docs.sparkSession), (named.agg(F.sum("n")).first()[0] or 0) // _GROUP)
     classes = named.where("node is not null").groupBy("node", "n").agg(F.min("_k").alias("first"))
 
-    dealt = _dealt(docs, text, words, groups).groupBy("group").applyInArrow(tidy_group(_shared(groups)), "bucket int, group int, nodes binary, counts binary, shingles binary, ranks binary")
+    dealt = _dealt(docs, text, words, groups, _common(docs, text, words)).groupBy("group").applyInArrow(tidy_group(_shared(groups)), "bucket int, group int, nodes binary, counts binary, shingles binary, ranks binary")
     sizes = classes.select("node", "n", F.pmod("node", F.lit(groups)).cast("int").alias("bucket"))
     # a node can link only if others hold enough of its shingles, by number
     nodes = materialize(dealt.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(tidy_groups(_placed(percent)), "node long, n long, items array<long>, bitmap array<long>"))

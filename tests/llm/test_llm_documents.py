@@ -66,6 +66,16 @@ def test_ngram_join_of_a_large_near_group(spark, words):
     assert got == linked(sets(rows))
 
 
+@pytest.mark.parametrize("fragments", [1, 3])
+def test_ngram_join_with_common_shingles(fixture_docs, fixture_rows, monkeypatch, fragments):
+    """Shingles that take the way of common ones, and other cuts of the order, don't change the result."""
+    monkeypatch.setattr(ngram_join, "_SAMPLE", 1)
+    monkeypatch.setattr(ngram_join, "_COMMON", 3)
+    assert len(ngram_join._common(fixture_docs, "text", 5)) > 20
+    got = sorted(tuple(r) for r in ngram_join.join(fixture_docs, fragments=fragments).collect())
+    assert got == linked(sets(fixture_rows))
+
+
 def test_ngram_join_empty(no_docs):
     assert ngram_join.join(no_docs).collect() == []
 
