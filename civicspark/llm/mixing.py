@@ -24,6 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The fraction of the golden ratio, times 2**53, rounded to an odd number: j times it, modulo 2**53, is exact.
 _GOLDEN = round((math.sqrt(5) - 1) / 2 * 2**53) | 1
 _PER_BUCKET = 512
+#: Sources whose table is broadcast.
+_BROADCAST = 100_000
 #: Blocks of a source, where its target has as many words.
 _BLOCKS = 1000
 
@@ -84,13 +86,14 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     ``least_slots`` slots or the source under 1,000. Reruns agree: the order is that of a seeded hash of the key.
 
     The table of sources (one row each, about 50 bytes) passes through the driver: it is bounded by their number, not by
-    the documents, and is broadcast only while Spark finds it small enough.
+    the documents, and is broadcast up to 100,000 sources, beyond that joined by shuffle.
     """
     spark = docs.sparkSession
     sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), words(text).alias("size"), F.xxhash64(F.lit(seed), F.col(key)).alias("_place"), F.xxhash64(text).alias("_tie"))
     sized = materialize(sized)  # a few numbers a row; the texts are read once
     per_source = sized.groupBy("_source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
     plan = targets([(r["_source"], r["n"]) for r in per_source], weights=weights, share=share, most=most)
+    small = F.broadcast if len(plan) <= _BROADCAST else lambda df: df  # a few rows for each source
     total = sum(t.target for t in plan)
     block = max(1, min(block_words, int(total // least_slots)))
     goals = [min(int(t.target + 0.5), int(most * t.size)) for t in plan]
@@ -106,7 +109,7 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     bucket = F.shiftrightunsigned("_place", 64 - int(math.log2(buckets))) if buckets > 1 else F.lit(0).cast("long")
     at = Window.partitionBy("_s", "_bucket").orderBy("_upper", "_place", "_key", "_tie")
     # unsigned order of the place within a bucket: its sign bit is part of the bucket, or compared first
-    rows = sized.join(table, sized["_source"].eqNullSafe(table["_source"])).drop(table["_source"])
+    rows = sized.join(small(table), sized["_source"].eqNullSafe(table["_source"])).drop(table["_source"])
     rows = rows.withColumns({"_bucket": bucket, "_upper": (F.col("_place") < 0).cast("int")})
     inner = rows.withColumns({"_row": F.row_number().over(at), "_sum": F.sum("size").over(at.rowsBetween(Window.unboundedPreceding, -1))})
     start = F.col("_before") + F.coalesce(F.col("_sum"), F.lit(0))
@@ -128,7 +131,7 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
         ranges += [(cell, i, low, high) for cell in range(int(low * cells), int(high * cells) + 1) if n]
         before += n
     intervals = spark.createDataFrame(ranges, "_cell int, _s int, _from double, _to double")
-    near = points.withColumn("_cell", F.floor(F.col("_u") * cells).cast("int")).join(intervals, "_cell")
+    near = points.withColumn("_cell", F.floor(F.col("_u") * cells).cast("int")).join(small(intervals), "_cell")
     hit = near.where((F.col("_u") >= F.col("_from")) & (F.col("_u") < F.col("_to"))).select("slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment"))
     rank = F.row_number().over(Window.partitionBy("_s", "_segment").orderBy("slot"))
     ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select("slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
@@ -142,11 +145,11 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     limits = spark.createDataFrame(spare, "_s int, _count long, _above long")
     given = spark.createDataFrame([(k, *x) for k, x in enumerate(bare)], "_spare long, _to int, _bare long")
     over = F.when(F.col("_rank") >= F.col("_count"), F.col("_above") + F.col("_rank") - F.col("_count"))
-    full = ranked.join(limits, "_s").withColumn("_spare", over).join(given, "_spare", "left")
+    full = ranked.join(small(limits), "_s").withColumn("_spare", over).join(small(given), "_spare", "left")
     ranked = full.select("slot", F.coalesce("_to", "_s").alias("_s"), F.coalesce("_bare", "_rank").alias("block"))
 
     joined = pieces.join(ranked, ["_s", "block"])
-    schedule = joined.join(table.select("_s", F.col("_source").alias("source")), "_s").select("slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words")
+    schedule = joined.join(small(table.select("_s", F.col("_source").alias("source"))), "_s").select("slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words")
     taken = joined.groupBy("_s", "_bucket", "_row").agg(F.sum("words").alias("_taken"))
     documents = placed.join(taken, ["_s", "_bucket", "_row"], "left").select(F.col("_key").alias(key), "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"), F.col("_tie"))
     return Mix(documents, schedule)
