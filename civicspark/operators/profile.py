@@ -41,17 +41,18 @@ def timestamps(df: DataFrame, field: str) -> DataFrame:
 def categories(df: DataFrame, field: str, valid: DataFrame | Sequence[str], top: int = 20, ignore: str = "Unspecified") -> DataFrame:
     """Trimmed values with their counts: ``value``, ``n``, ``place`` (among the ``top``, else null), ``dirty`` (in no way
     among the valid values, which are lower case; ``ignore`` is never dirty), ``missing_pct`` of the field."""
-    spark = df.sparkSession
-    valid = valid if isinstance(valid, DataFrame) else spark.createDataFrame([(v,) for v in valid], "value string")
     raw = F.col(field).cast("string")
     rows = df.select(F.when(raw != "", F.trim(raw)).alias("value"))
     counts = rows.groupBy("value").agg(F.count("*").alias("n"))
     total = counts.agg(F.round(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)) / F.sum("n"), 4).alias("missing_pct"))
     known = counts.where("value is not null")
     best = known.orderBy(F.desc("n"), "value").limit(top).select("value", F.lit(True).alias("in_top"))
-    allowed = valid.select(F.lower("value").alias("_v")).distinct().withColumn("_ok", F.lit(True))
-    out = known.join(allowed, F.lower(known["value"]) == allowed["_v"], "left").join(best, "value", "left")
-    return out.crossJoin(F.broadcast(total)).select("value", "n", F.coalesce("in_top", F.lit(False)).alias("in_top"), (F.col("_ok").isNull() & (F.col("value") != ignore)).alias("dirty"), "missing_pct")
+    if isinstance(valid, DataFrame):
+        allowed = valid.select(F.lower("value").alias("_v")).distinct().withColumn("_ok", F.lit(True))
+        out = known.join(allowed, F.lower(known["value"]) == allowed["_v"], "left")
+    else:
+        out = known.withColumn("_ok", F.when(F.lower("value").isin([v.lower() for v in valid]), True))
+    return out.join(best, "value", "left").crossJoin(F.broadcast(total)).select("value", "n", F.coalesce("in_top", F.lit(False)).alias("in_top"), (F.col("_ok").isNull() & (F.col("value") != ignore)).alias("dirty"), "missing_pct")
 
 
 def numerics(df: DataFrame, fields: Sequence[str]) -> DataFrame:
