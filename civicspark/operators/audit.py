@@ -15,7 +15,9 @@ def daily_gaps(datasets: DataFrame, present: DataFrame, today: date, *, back: in
     can't be fetched later, ``recoverable`` is False.
     """
     expected = F.sequence(F.date_sub(F.lit(today), back), F.date_sub(F.lit(today), 1))
-    return datasets.select("dataset", F.explode(expected).alias("missing")).join(present.select("dataset", F.col("day").cast("date").alias("missing")), ["dataset", "missing"], "left_anti").withColumn("recoverable", F.lit(recoverable))
+    return datasets.select("dataset", F.explode(expected).alias("missing")).join(
+        present.select("dataset", F.col("day").cast("date").alias("missing")), ["dataset", "missing"], "left_anti"
+    ).withColumn("recoverable", F.lit(recoverable))
 
 
 def monthly_gaps(datasets: DataFrame, present: DataFrame, today: date, *, back: int = 3) -> DataFrame:
@@ -23,7 +25,9 @@ def monthly_gaps(datasets: DataFrame, present: DataFrame, today: date, *, back:
     this = F.trunc(F.lit(today), "MM")
     expected = F.sequence(F.add_months(this, -back), F.add_months(this, -1), F.expr("interval 1 month"))
     held = present.select("dataset", F.trunc(F.col("day"), "MM").alias("missing")).distinct()
-    return datasets.select("dataset", F.explode(expected).alias("missing")).join(held, ["dataset", "missing"], "left_anti").withColumn("recoverable", F.lit(True))
+    return datasets.select(
+        "dataset", F.explode(expected).alias("missing")
+    ).join(held, ["dataset", "missing"], "left_anti").withColumn("recoverable", F.lit(True))
 
 
 def fill_ranges(gaps: DataFrame) -> DataFrame:
@@ -36,8 +40,12 @@ def report(datasets: DataFrame, gaps: dict[str, DataFrame], filled: DataFrame |
     a fill has failed (``filled``: ``dataset`` of the fills that have)."""
     out = None
     for kind, found in gaps.items():
-        counts = found.groupBy("dataset").agg(F.count("*").alias("gaps"), F.min("missing").alias("first_gap"), F.max("missing").alias("last_gap"))
-        rows = datasets.select("dataset").join(counts, "dataset", "left").select("dataset", F.lit(kind).alias("audit"), F.coalesce("gaps", F.lit(0)).alias("gaps"), "first_gap", "last_gap")
+        counts = found.groupBy("dataset").agg(
+            F.count("*").alias("gaps"), F.min("missing").alias("first_gap"), F.max("missing").alias("last_gap")
+        )
+        rows = datasets.select("dataset").join(counts, "dataset", "left").select(
+            "dataset", F.lit(kind).alias("audit"), F.coalesce("gaps", F.lit(0)).alias("gaps"), "first_gap", "last_gap"
+        )
         out = rows if out is None else out.unionByName(rows)
     failed = datasets.sparkSession.createDataFrame([], "dataset string") if filled is None else filled.select("dataset").distinct()
     out = out.join(failed.withColumn("_failed", F.lit(True)), "dataset", "left")
@@ -50,16 +58,31 @@ def coverage(manifests: DataFrame, *, by: list[str], key: str = "partition_key",
     records) and ``anomaly_low`` (some, but under half the median). A manifest is a row; keys may repeat."""
     rows = manifests.select(*by, F.col(key), F.coalesce(F.col(count), F.lit(0)).alias("record_count"))
     c = F.col("record_count")
-    sums = rows.groupBy(*by).agg(F.sum(c).alias("total_records"), F.count("*").alias("partition_count"), F.min(c).alias("min_count"), F.max(c).alias("max_count"), F.percentile(c, F.lit(0.5)).alias("median_count"))
+    sums = rows.groupBy(*by).agg(
+        F.sum(c).alias("total_records"),
+        F.count("*").alias("partition_count"),
+        F.min(c).alias("min_count"),
+        F.max(c).alias("max_count"),
+        F.percentile(c, F.lit(0.5)).alias("median_count"),
+    )
     return rows.join(sums, by).withColumns({"gap": c == 0, "anomaly_low": (c > 0) & (c < 0.5 * F.col("median_count"))})
 
 
 def coverage_summary(manifests: DataFrame, *, count: str = "record_count") -> DataFrame:
     """One row for all manifests: total, number, least, most, median, gaps and low partitions; zeros where there are none."""
     c = F.coalesce(F.col(count), F.lit(0))
-    sums = manifests.agg(F.coalesce(F.sum(c), F.lit(0)).alias("total_records"), F.count("*").alias("partition_count"), F.coalesce(F.min(c), F.lit(0)).alias("min_count"), F.coalesce(F.max(c), F.lit(0)).alias("max_count"), F.coalesce(F.percentile(c, F.lit(0.5)), F.lit(0.0)).alias("median_count"))
+    sums = manifests.agg(
+        F.coalesce(F.sum(c), F.lit(0)).alias("total_records"),
+        F.count("*").alias("partition_count"),
+        F.coalesce(F.min(c), F.lit(0)).alias("min_count"),
+        F.coalesce(F.max(c), F.lit(0)).alias("max_count"),
+        F.coalesce(F.percentile(c, F.lit(0.5)), F.lit(0.0)).alias("median_count"),
+    )
     flags = manifests.select(c.alias("_c")).crossJoin(F.broadcast(sums.select("median_count")))  # one row, whatever the input
-    marked = flags.agg(F.count_if(F.col("_c") == 0).alias("gaps"), F.count_if((F.col("_c") > 0) & (F.col("_c") < 0.5 * F.col("median_count"))).alias("anomaly_low"))
+    marked = flags.agg(
+        F.count_if(F.col("_c") == 0).alias("gaps"),
+        F.count_if((F.col("_c") > 0) & (F.col("_c") < 0.5 * F.col("median_count"))).alias("anomaly_low"),
+    )
     return sums.crossJoin(marked)
 
 
@@ -67,4 +90,6 @@ def volume_alerts(expected: DataFrame, actual: DataFrame, keys: list[str], share
     """Expected rows (``keys``, ``expected``) that came short: no rows at all, or under ``share`` of what is expected."""
     got = F.coalesce("actual", F.lit(0))
     short = expected.join(actual, keys, "left").withColumn("actual", got)
-    return short.where((F.col("actual") == 0) | (F.col("actual") < share * F.col("expected"))).withColumn("alert", F.when(F.col("actual") == 0, "no rows").otherwise("low"))
+    return short.where(
+        (F.col("actual") == 0) | (F.col("actual") < share * F.col("expected"))
+    ).withColumn("alert", F.when(F.col("actual") == 0, "no rows").otherwise("low"))

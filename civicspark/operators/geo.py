@@ -8,16 +8,33 @@ from pyspark.sql import functions as F
 
 def edges(zones: DataFrame, zone: str, coordinates: str) -> DataFrame:
     """``zone``, ``polygon`` and each edge x1, y1, x2, y2 of all rings; holes are rings like any other."""
-    rings = zones.select(F.col(zone).alias("zone"), F.posexplode(coordinates).alias("polygon", "rings")).select("zone", "polygon", F.explode("rings").alias("ring"))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("ring") - 1), lambda i: F.struct(F.element_at("ring", i).alias("a"), F.element_at("ring", i + 1).alias("b")))
-    return rings.where(F.size("ring") >= 2).select("zone", "polygon", F.explode(pairs).alias("e")).select("zone", "polygon", *[F.element_at(f"e.{p}", i).alias(f"{c}{n}") for n, p in ((1, "a"), (2, "b")) for i, c in ((1, "x"), (2, "y"))])
+    rings = zones.select(
+        F.col(zone).alias("zone"), F.posexplode(coordinates).alias("polygon", "rings")
+    ).select("zone", "polygon", F.explode("rings").alias("ring"))
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.size("ring") - 1),
+        lambda i: F.struct(F.element_at("ring", i).alias("a"), F.element_at("ring", i + 1).alias("b")),
+    )
+    return rings.where(F.size("ring") >= 2).select("zone", "polygon", F.explode(pairs).alias("e")).select(
+        "zone", "polygon", *[F.element_at(f"e.{p}", i).alias(f"{c}{n}") for n, p in ((1, "a"), (2, "b")) for i, c in ((1, "x"), (2, "y"))]
+    )
 
 
 def _cell(value: Column, size: float) -> Column:
     return F.floor(value / size).cast("long")
 
 
-def points_in_polygons(points: DataFrame, zones: DataFrame, *, key: str, x: str, y: str, zone: str = "zone", coordinates: str = "coordinates", cell: float = 0.05) -> DataFrame:
+def points_in_polygons(
+    points: DataFrame,
+    zones: DataFrame,
+    *,
+    key: str,
+    x: str,
+    y: str,
+    zone: str = "zone",
+    coordinates: str = "coordinates",
+    cell: float = 0.05,
+) -> DataFrame:
     """``key`` and ``zone`` of each point that lies in a polygon, the smallest zone where several hold it.
 
     A ray to the right crosses an odd number of a polygon's edges. An edge meets only the rows of grid cells that it
@@ -26,14 +43,25 @@ def points_in_polygons(points: DataFrame, zones: DataFrame, *, key: str, x: str,
     """
     border = edges(zones, zone, coordinates)
     boxes = border.groupBy("zone", "polygon").agg(*[f(f"least({c}1, {c}2)" if f is _min else f"greatest({c}1, {c}2)").alias(f"{c}_{n}") for c in "xy" for f, n in ((_min, "lo"), (_max, "hi"))])
-    rows = boxes.select("zone", "polygon", "x_lo", "x_hi", F.explode(F.sequence(_cell(F.col("y_lo"), cell), _cell(F.col("y_hi"), cell))).alias("row"))
-    cells = rows.select("zone", "polygon", "row", F.explode(F.sequence(_cell(F.col("x_lo"), cell), _cell(F.col("x_hi"), cell))).alias("col"))
-    spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(key).alias("_k"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    rows = boxes.select(
+        "zone", "polygon", "x_lo", "x_hi", F.explode(F.sequence(_cell(F.col("y_lo"), cell), _cell(F.col("y_hi"), cell))).alias("row")
+    )
+    cells = rows.select(
+        "zone", "polygon", "row", F.explode(F.sequence(_cell(F.col("x_lo"), cell), _cell(F.col("x_hi"), cell))).alias("col")
+    )
+    spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
+    )
     spots = spots.withColumns({"row": _cell(F.col("_y"), cell), "col": _cell(F.col("_x"), cell)})
     candidates = spots.join(cells, ["row", "col"])
     per_row = border.withColumn("row", F.explode(F.sequence(_cell(F.least("y1", "y2"), cell), _cell(F.greatest("y1", "y2"), cell))))
-    crossed = ((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))) & (F.col("_x") < (F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) + F.col("x1"))
-    hits = candidates.join(per_row, ["zone", "polygon", "row"]).groupBy("_k", "zone", "polygon").agg(F.count_if(crossed).alias("n")).where("n % 2 = 1")
+    crossed = ((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))) & (
+        F.col("_x") < (F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+        + F.col("x1")
+    )
+    hits = candidates.join(
+        per_row, ["zone", "polygon", "row"]
+    ).groupBy("_k", "zone", "polygon").agg(F.count_if(crossed).alias("n")).where("n % 2 = 1")
     return hits.groupBy(F.col("_k").alias(key)).agg(F.min("zone").alias("zone"))
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlaps(left: DataFrame, right: DataFrame, *, on: list[str], left_span: tuple[str, str], right_span: tuple[str, str], bucket_days: int = 30) -> DataFrame:
+def overlaps(
+    left: DataFrame, right: DataFrame, *, on: list[str], left_span: tuple[str, str], right_span: tuple[str, str], bucket_days: int = 30
+) -> DataFrame:
     """Rows of both sides whose closed date intervals meet, with equal ``on``. Column names of the sides must differ.
 
     Intervals are dealt into buckets of days, and a pair is found in the bucket where its later start lies, so that the
@@ -28,17 +30,41 @@ def latest_before(left: DataFrame, right: DataFrame, *, on: list[str], left_time
     Equal times of the right side are taken by the larger values of ``take``.
     """
     only = [c for c in left.columns if c not in on]
-    a = left.select(*on, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*only).alias("_left"), F.lit(None).cast(right.select(F.struct(*take)).schema[0].dataType).alias("_right"))
-    b = right.where(F.col(right_time).isNotNull()).select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*only)).schema[0].dataType).alias("_left"), F.struct(*take).alias("_right"))
+    a = left.select(
+        *on,
+        F.col(left_time).alias("_t"),
+        F.lit(1).alias("_side"),
+        F.struct(*only).alias("_left"),
+        F.lit(None).cast(right.select(F.struct(*take)).schema[0].dataType).alias("_right"),
+    )
+    b = right.where(F.col(right_time).isNotNull()).select(
+        *on,
+        F.col(right_time).alias("_t"),
+        F.lit(0).alias("_side"),
+        F.lit(None).cast(left.select(F.struct(*only)).schema[0].dataType).alias("_left"),
+        F.struct(*take).alias("_right"),
+    )
     line = Window.partitionBy(*on).orderBy("_t", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
     carried = a.unionByName(b).withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
     return carried.select(*on, *[F.col(f"_left.{c}").alias(c) for c in only], *[F.col(f"_last.{c}").alias(c) for c in take])
 
 
-def supply_gaps(events: DataFrame, zones: DataFrame, shifts: DataFrame, *, supply_start: object, event: str = "event_id", span: tuple[str, str] = ("start_date", "end_date"), zone: str = "zone", shift_span: tuple[str, str] = ("shift_start", "shift_end")) -> DataFrame:
+def supply_gaps(
+    events: DataFrame,
+    zones: DataFrame,
+    shifts: DataFrame,
+    *,
+    supply_start: object,
+    event: str = "event_id",
+    span: tuple[str, str] = ("start_date", "end_date"),
+    zone: str = "zone",
+    shift_span: tuple[str, str] = ("shift_start", "shift_end"),
+) -> DataFrame:
     """Every event and zone with ``supply_gap``: 1 if no shift of the zone overlaps the event, 0 if one does, null for
     events before the supply series begins. ``zones`` is a list of areas, in one row each, bounded by the city."""
     grid = events.select(event, *span).crossJoin(zones.select(zone))
-    met = overlaps(grid, shifts.select(zone, *shift_span), on=[zone], left_span=span, right_span=shift_span).select(event, zone).distinct().withColumn("_met", F.lit(True))
+    met = overlaps(
+        grid, shifts.select(zone, *shift_span), on=[zone], left_span=span, right_span=shift_span
+    ).select(event, zone).distinct().withColumn("_met", F.lit(True))
     gap = F.when(F.col(span[0]) >= F.lit(supply_start).cast("date"), F.when(F.col("_met").isNull(), 1).otherwise(0))
     return grid.join(met, [event, zone], "left").select(event, zone, *span, gap.alias("supply_gap"))

@@ -15,7 +15,9 @@ from .audit import coverage_summary
 def null_rates(df: DataFrame, high: float = 0.05) -> DataFrame:
     """``field``, ``null_rate`` (missing values, rounded to 4), ``is_high`` for every column; one scan."""
     fields = [f for f in df.schema.fields]
-    rates = df.agg(*[F.round(F.avg(missing(F.col(f"`{f.name}`"), f.dataType.simpleString()).cast("double")), 4).alias(f.name) for f in fields])
+    rates = df.agg(
+        *[F.round(F.avg(missing(F.col(f"`{f.name}`"), f.dataType.simpleString()).cast("double")), 4).alias(f.name) for f in fields]
+    )
     long = rates.unpivot([], [f"`{f.name}`" for f in fields], "field", "null_rate") if fields else rates
     return long.withColumn("is_high", F.coalesce(F.col("null_rate") > high, F.lit(False)))
 
@@ -52,25 +54,50 @@ def categories(df: DataFrame, field: str, valid: DataFrame | Sequence[str], top:
         out = known.join(allowed, F.lower(known["value"]) == allowed["_v"], "left")
     else:
         out = known.withColumn("_ok", F.when(F.lower("value").isin([v.lower() for v in valid]), True))
-    return out.join(best, "value", "left").crossJoin(F.broadcast(total)).select("value", "n", F.coalesce("in_top", F.lit(False)).alias("in_top"), (F.col("_ok").isNull() & (F.col("value") != ignore)).alias("dirty"), "missing_pct")
+    return out.join(best, "value", "left").crossJoin(F.broadcast(total)).select(
+        "value",
+        "n",
+        F.coalesce("in_top", F.lit(False)).alias("in_top"),
+        (F.col("_ok").isNull() & (F.col("value") != ignore)).alias("dirty"),
+        "missing_pct",
+    )
 
 
 def numerics(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``field``, ``missing_pct`` (null or no number), ``min``, ``max``, ``mean``, ``stdev`` (of a sample; 0 for one value), rounded to 4."""
-    stack = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").try_cast("double").alias("x")) for f in fields])).alias("_s")
+    stack = F.explode(
+        F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").try_cast("double").alias("x")) for f in fields])
+    ).alias("_s")
     x = F.col("x")
-    return df.select(stack).select("_s.*").groupBy("field").agg(F.round(F.avg(x.isNull().cast("double")), 4).alias("missing_pct"), F.min(x).alias("min"), F.max(x).alias("max"), F.round(F.avg(x), 4).alias("mean"), F.when(F.count(x) > 0, F.round(F.coalesce(F.stddev_samp(x), F.lit(0.0)), 4)).alias("stdev"))
+    return df.select(stack).select("_s.*").groupBy("field").agg(
+        F.round(F.avg(x.isNull().cast("double")), 4).alias("missing_pct"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        F.round(F.avg(x), 4).alias("mean"),
+        F.when(F.count(x) > 0, F.round(F.coalesce(F.stddev_samp(x), F.lit(0.0)), 4)).alias("stdev"),
+    )
 
 
 def report(tables: dict[tuple[str, str], DataFrame], numeric: dict[tuple[str, str], Sequence[str]] | None = None) -> DataFrame:
     """One long table over datasets: ``source``, ``dataset``, ``field``, ``metric``, ``value``."""
     out = None
     for (source, dataset), df in tables.items():
-        parts = [null_rates(df).select("field", F.lit("null_rate").alias("metric"), F.col("null_rate").alias("value")), df.agg(F.lit(None).cast("string").alias("field"), F.lit("record_count").alias("metric"), F.count("*").cast("double").alias("value"))]
+        parts = [
+            null_rates(df).select("field", F.lit("null_rate").alias("metric"), F.col("null_rate").alias("value")),
+            df.agg(
+                F.lit(None).cast("string").alias("field"), F.lit("record_count").alias("metric"), F.count("*").cast("double").alias("value")
+            ),
+        ]
         if fields := (numeric or {}).get((source, dataset)):
             parts.append(numerics(df, fields).unpivot("field", ["min", "max", "mean", "stdev"], "metric", "value"))
         for part in parts:
-            rows = part.select(F.lit(source).alias("source"), F.lit(dataset).alias("dataset"), "field", "metric", F.col("value").cast("double").alias("value"))
+            rows = part.select(
+                F.lit(source).alias("source"),
+                F.lit(dataset).alias("dataset"),
+                "field",
+                "metric",
+                F.col("value").cast("double").alias("value"),
+            )
             out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -99,7 +126,15 @@ def dataset_profile(datasets: dict[tuple[str, str], Dataset], high: float = 0.05
     out = None
     for (source, dataset), d in datasets.items():
         for section, part in _sections(d, high):
-            rows = part.select(F.lit(source).alias("source"), F.lit(dataset).alias("dataset"), F.lit(section).alias("section"), "field", "metric", "value", "text")
+            rows = part.select(
+                F.lit(source).alias("source"),
+                F.lit(dataset).alias("dataset"),
+                F.lit(section).alias("section"),
+                "field",
+                "metric",
+                "value",
+                "text",
+            )
             out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -107,8 +142,15 @@ def dataset_profile(datasets: dict[tuple[str, str], Dataset], high: float = 0.05
 def _sections(d: Dataset, high: float) -> list[tuple[str, DataFrame]]:
     records, none = d.records, F.lit(None).cast("string")
     rates = null_rates(records, high)  # a row for each column, in one partition
-    place = F.size(F.filter(F.col("_all"), lambda x: (x["null_rate"] > F.col("null_rate")) | ((x["null_rate"] == F.col("null_rate")) & (x["field"] < F.col("field"))))) + 1
-    ranked = rates.crossJoin(rates.where("is_high").agg(F.collect_list(F.struct("field", "null_rate")).alias("_all"))).withColumn("high_place", F.when(F.col("is_high"), place))
+    place = F.size(
+        F.filter(
+            F.col("_all"),
+            lambda x: (x["null_rate"] > F.col("null_rate")) | ((x["null_rate"] == F.col("null_rate")) & (x["field"] < F.col("field"))),
+        )
+    ) + 1
+    ranked = rates.crossJoin(
+        rates.where("is_high").agg(F.collect_list(F.struct("field", "null_rate")).alias("_all"))
+    ).withColumn("high_place", F.when(F.col("is_high"), place))
     n_fields = F.lit(float(len(records.columns))).alias("field_count")
     parts = [
         ("records", _long(records.agg(none.alias("field"), F.count("*").alias("record_count"), n_fields))),
@@ -121,7 +163,21 @@ def _sections(d: Dataset, high: float) -> list[tuple[str, DataFrame]]:
     if d.category:
         found = categories(records, d.category, d.valid)
         dirty = F.array_join(F.array_sort(F.collect_set(F.when(F.col("dirty"), F.col("value")))), "|").alias("dirty_values")
-        parts.append(("categories", _long(found.agg(F.lit(d.category).alias("field"), F.count("*").alias("distinct_count"), F.count_if("dirty").alias("dirty_count"), F.max("missing_pct").alias("missing_pct"), dirty), texts=("dirty_values",))))
+        parts.append(
+            (
+                "categories",
+                _long(
+                    found.agg(
+                        F.lit(d.category).alias("field"),
+                        F.count("*").alias("distinct_count"),
+                        F.count_if("dirty").alias("dirty_count"),
+                        F.max("missing_pct").alias("missing_pct"),
+                        dirty,
+                    ),
+                    texts=("dirty_values",),
+                ),
+            )
+        )
     if d.numeric:
         parts.append(("numerics", _long(numerics(records, d.numeric))))
     return parts

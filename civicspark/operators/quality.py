@@ -34,7 +34,9 @@ def first_reason(*checks: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(broken, F.lit(reason)) for broken, reason in checks])
 
 
-def tag_rejects(df: DataFrame, *, not_null: Sequence[str] = (), ranges: Iterable[Range] = (), domains: dict[str, tuple[Sequence, str]] | None = None) -> DataFrame:
+def tag_rejects(
+    df: DataFrame, *, not_null: Sequence[str] = (), ranges: Iterable[Range] = (), domains: dict[str, tuple[Sequence, str]] | None = None
+) -> DataFrame:
     """Adds ``_reject_reason``. In order: null keys (``null_<column>``), values outside a domain (its reason), measures out
     of range (``<column>_out_of_range``). Rules on columns that are absent are skipped."""
     checks = [(F.col(c).isNull(), f"null_{c}") for c in not_null]

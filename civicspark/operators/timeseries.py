@@ -23,7 +23,15 @@ def segment_events(
     if gap_days < 0:
         raise ValueError(f"gap_days must not be negative: {gap_days}")
     rows = threshold(df, measure, least, "least").where(F.col(day).isNotNull())
-    rows = rows.select(*by, F.col(day).cast("date").alias("_from"), F.col(day).cast("date").alias("_to"), F.col(measure).alias("_total"), F.col(measure).alias("_peak"), F.lit(1).alias("_days"), (F.col(low) if low else F.lit(None).cast("double")).alias("_low"))
+    rows = rows.select(
+        *by,
+        F.col(day).cast("date").alias("_from"),
+        F.col(day).cast("date").alias("_to"),
+        F.col(measure).alias("_total"),
+        F.col(measure).alias("_peak"),
+        F.lit(1).alias("_days"),
+        (F.col(low) if low else F.lit(None).cast("double")).alias("_low"),
+    )
     parts = _islands(rows.withColumn("_year", F.year("_from")), [*by, "_year"], gap_days).drop("_year")
     found = _islands(parts, [*by], gap_days)
     out = found.select(
@@ -47,7 +55,14 @@ def _islands(rows: DataFrame, by: list[str], gap_days: int) -> DataFrame:
     begins = F.coalesce(F.datediff("_from", reach) > gap_days + 1, F.lit(True)).cast("int")
     island = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
     numbered = rows.withColumn("_begins", begins).withColumn("_island", island)
-    return numbered.groupBy(*by, "_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.sum("_total").alias("_total"), F.max("_peak").alias("_peak"), F.sum("_days").alias("_days"), F.min("_low").alias("_low")).drop("_island")
+    return numbered.groupBy(*by, "_island").agg(
+        F.min("_from").alias("_from"),
+        F.max("_to").alias("_to"),
+        F.sum("_total").alias("_total"),
+        F.max("_peak").alias("_peak"),
+        F.sum("_days").alias("_days"),
+        F.min("_low").alias("_low"),
+    ).drop("_island")
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -84,7 +99,9 @@ def months(spark: SparkSession, start: date, end: date) -> DataFrame:
     return spark.range(1).select(F.explode(span).alias("month"))
 
 
-def rolling_median(df: DataFrame, *, day: str, value: str, by: Sequence[str], days_back: int = 30, include_today: bool = False) -> DataFrame:
+def rolling_median(
+    df: DataFrame, *, day: str, value: str, by: Sequence[str], days_back: int = 30, include_today: bool = False
+) -> DataFrame:
     """Adds ``median``, over the rows of the last ``days_back`` days; with or without the row's own day."""
     number = F.datediff(F.col(day), F.lit(date(1970, 1, 1)))
     last = 0 if include_today else -1
@@ -104,4 +121,6 @@ def time_dimension(spark: SparkSession) -> DataFrame:
     minute = F.col("id").cast("int")
     hour = F.floor(minute / 60).cast("int")
     part = F.when(hour < 6, "night").when(hour < 12, "morning").when(hour < 18, "afternoon").otherwise("evening")
-    return spark.range(24 * 60).select(minute.alias("time_key"), hour.alias("hour"), (minute % 60).alias("minute"), part.alias("part_of_day"))
+    return spark.range(24 * 60).select(
+        minute.alias("time_key"), hour.alias("hour"), (minute % 60).alias("minute"), part.alias("part_of_day")
+    )

@@ -21,17 +21,27 @@ SELECT l_returnflag, count(*) AS rows, count(DISTINCT l_orderkey) AS cases, roun
 """)
 def composite_dedup(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").alias("v"))
-    twice = rows.withColumn("version", F.lit(1)).unionByName(rows.where("l_orderkey % 4 = 0").withColumn("v", F.col("v") + 1).withColumn("version", F.lit(2)))
+    twice = rows.withColumn("version", F.lit(1)).unionByName(
+        rows.where("l_orderkey % 4 = 0").withColumn("v", F.col("v") + 1).withColumn("version", F.lit(2))
+    )
     out = timeseries.newest_by(twice, ["l_orderkey", "l_linenumber"], ["version", "v", "l_returnflag"])
-    return out.groupBy("l_returnflag").agg(F.count("*").alias("rows"), F.count_distinct("l_orderkey").alias("cases"), F.round(F.sum("v"), 2).alias("total"))
+    return out.groupBy("l_returnflag").agg(
+        F.count("*").alias("rows"), F.count_distinct("l_orderkey").alias("cases"), F.round(F.sum("v"), 2).alias("total")
+    )
 
 
-@query("SELECT l_shipyear, l_returnflag, contacts, cases FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS l_shipyear, l_returnflag, count(*) AS contacts, count(DISTINCT l_orderkey) AS cases FROM lineitem GROUP BY 1, 2)")
+@query(
+    "SELECT l_shipyear, l_returnflag, contacts, cases FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS l_shipyear, l_returnflag, count(*) AS contacts, count(DISTINCT l_orderkey) AS cases FROM lineitem GROUP BY 1, 2)"
+)
 def contact_volumes(spark: SparkSession, d: str) -> DataFrame:
-    return city.volumes(table(spark, d, "lineitem").withColumn("l_shipyear", F.year("l_shipdate")), "l_orderkey", ["l_shipyear", "l_returnflag"])
+    return city.volumes(
+        table(spark, d, "lineitem").withColumn("l_shipyear", F.year("l_shipdate")), "l_orderkey", ["l_shipyear", "l_returnflag"]
+    )
 
 
-@query("SELECT CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'VOF' ELSE event_type END AS channel, count(*) AS n FROM events GROUP BY 1")
+@query(
+    "SELECT CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'VOF' ELSE event_type END AS channel, count(*) AS n FROM events GROUP BY 1"
+)
 def channel_normalisation(spark: SparkSession, d: str) -> DataFrame:
     mapping = spark.createDataFrame([("view", "VOF"), ("click", "VOF"), ("signup", "VOF")], "raw string, value string")
     return city.normalise(table(spark, d, "events"), "event_type", mapping, "channel").groupBy("channel").agg(F.count("*").alias("n"))
@@ -42,7 +52,11 @@ _TYPE = "CASE o_orderkey % 4 WHEN 0 THEN 'Snow Removal Priority ' || p || ' Reg'
 
 def _typed(spark: SparkSession, d: str) -> DataFrame:
     k, p = F.col("o_orderkey") % 4, F.substring("o_orderpriority", 1, 1)
-    kind = F.when(k == 0, F.concat(F.lit("Snow Removal Priority "), p, F.lit(" Reg"))).when(k == 1, F.concat(F.lit("Sanding Pr "), p, F.lit(" After"))).when(k == 2, F.concat(F.lit("Frozen Request After Hours P"), p)).otherwise("Notice of Service_vof")
+    kind = F.when(
+        k == 0, F.concat(F.lit("Snow Removal Priority "), p, F.lit(" Reg"))
+    ).when(k == 1, F.concat(
+        F.lit("Sanding Pr "), p, F.lit(" After")
+    )).when(k == 2, F.concat(F.lit("Frozen Request After Hours P"), p)).otherwise("Notice of Service_vof")
     return table(spark, d, "orders").withColumn("type", kind)
 
 
@@ -62,7 +76,9 @@ def winter_keywords(spark: SparkSession, d: str) -> DataFrame:
     return city.keyword_report(city.keyword_flags(_typed(spark, d), "type"))
 
 
-@query("SELECT label, count(*) AS n, count(*) FILTER (vec_id % 5 <> 0) AS n_geo, round(avg(CASE WHEN vec_id % 5 <> 0 THEN 1.0 ELSE 0 END), 6) AS geo_share FROM embeddings GROUP BY label")
+@query(
+    "SELECT label, count(*) AS n, count(*) FILTER (vec_id % 5 <> 0) AS n_geo, round(avg(CASE WHEN vec_id % 5 <> 0 THEN 1.0 ELSE 0 END), 6) AS geo_share FROM embeddings GROUP BY label"
+)
 def geo_availability(spark: SparkSession, d: str) -> DataFrame:
     return city.geo_share(_points(spark, d), ["label"], "x", "y")
 
@@ -79,7 +95,12 @@ def _zones(spark: SparkSession, d: str) -> DataFrame:
     x, y = (F.col("n_nationkey") % 5) * 0.1 - 0.25, F.floor(F.col("n_nationkey") / 5) * 0.1 - 0.25
     ring = F.array(F.array(x, y), F.array(x + 0.11, y), F.array(x, y + 0.13), F.array(x, y))
     second = F.array(F.array(x + 0.05, y + 0.05), F.array(x + 0.1, y + 0.05), F.array(x + 0.1, y + 0.1), F.array(x + 0.05, y + 0.05))
-    return n.select(F.col("n_nationkey").alias("zone"), F.when(F.col("n_nationkey") % 2 == 0, F.array(F.array(ring), F.array(second))).otherwise(F.array(F.array(ring))).alias("coordinates"))
+    return n.select(
+        F.col("n_nationkey").alias("zone"),
+        F.when(
+            F.col("n_nationkey") % 2 == 0, F.array(F.array(ring), F.array(second))
+        ).otherwise(F.array(F.array(ring))).alias("coordinates"),
+    )
 
 
 _PLACED = """
@@ -102,20 +123,28 @@ def points_in_zones(spark: SparkSession, d: str) -> DataFrame:
     return _found(spark, d)
 
 
-@query(_PLACED + "SELECT p.label, p.vec_id, coalesce(f.zone, CASE WHEN p.label < 5 THEN CAST(p.label AS BIGINT) END) AS zone, CASE WHEN f.zone IS NOT NULL THEN 'place' WHEN p.label < 5 THEN 'label' END AS zone_source FROM p LEFT JOIN f USING (vec_id)")
+@query(
+    _PLACED
+    + "SELECT p.label, p.vec_id, coalesce(f.zone, CASE WHEN p.label < 5 THEN CAST(p.label AS BIGINT) END) AS zone, CASE WHEN f.zone IS NOT NULL THEN 'place' WHEN p.label < 5 THEN 'label' END AS zone_source FROM p LEFT JOIN f USING (vec_id)"
+)
 def zone_assignment(spark: SparkSession, d: str) -> DataFrame:
     points = _points(spark, d)
     labels = points.where("label < 5").select("label", F.col("label").cast("long").alias("zone")).distinct()
     return geo.assign_zones(points.select("label", "vec_id"), _found(spark, d), labels, key="vec_id", label="label")
 
 
-@query(_PLACED + "SELECT label, zone, n, round(n / sum(n) OVER (PARTITION BY label), 6) AS share FROM (SELECT p.label, f.zone, count(*) AS n FROM p JOIN f USING (vec_id) GROUP BY ALL)")
+@query(
+    _PLACED
+    + "SELECT label, zone, n, round(n / sum(n) OVER (PARTITION BY label), 6) AS share FROM (SELECT p.label, f.zone, count(*) AS n FROM p JOIN f USING (vec_id) GROUP BY ALL)"
+)
 def zone_crosswalk(spark: SparkSession, d: str) -> DataFrame:
     placed = _points(spark, d).join(_found(spark, d), "vec_id")
     return geo.crosswalk(placed, zone="zone", label="label").withColumn("share", six(F.col("share")))
 
 
-@query("SELECT n_name, r_name, count(*) AS requests, CAST(sum(CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 3 WHEN '2' THEN 2 WHEN '3' THEN 1 ELSE 0 END) AS BIGINT) AS weighted FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
+@query(
+    "SELECT n_name, r_name, count(*) AS requests, CAST(sum(CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 3 WHEN '2' THEN 2 WHEN '3' THEN 1 ELSE 0 END) AS BIGINT) AS weighted FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2"
+)
 def weighted_demand(spark: SparkSession, d: str) -> DataFrame:
     rows = _by_area(spark, d).withColumn("priority", F.substring("o_orderpriority", 1, 1).cast("int"))
     return city.weighted_volume(rows, ["n_name", "r_name"], "priority")
@@ -123,13 +152,21 @@ def weighted_demand(spark: SparkSession, d: str) -> DataFrame:
 
 def _by_area(spark: SparkSession, d: str) -> DataFrame:
     orders, customers, nations, regions = (table(spark, d, t) for t in ("orders", "customer", "nation", "region"))
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey")).join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey")
+    ).join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
-@query("SELECT l_suppkey, count(DISTINCT l_partkey % 22) AS zones_covered, round(count(DISTINCT l_partkey % 22) / 22.0, 6) AS coverage, round(sum(date_diff('second', o_orderdate, l_shipdate)) / 3600.0, 4) AS hours, strftime(max(l_shipdate), '%Y-%m-%d') AS completed FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
+@query(
+    "SELECT l_suppkey, count(DISTINCT l_partkey % 22) AS zones_covered, round(count(DISTINCT l_partkey % 22) / 22.0, 6) AS coverage, round(sum(date_diff('second', o_orderdate, l_shipdate)) / 3600.0, 4) AS hours, strftime(max(l_shipdate), '%Y-%m-%d') AS completed FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1"
+)
 def shift_coverage(spark: SparkSession, d: str) -> DataFrame:
-    shifts = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("zone", F.col("l_partkey") % 22)
-    return city.shift_report(shifts, "l_suppkey", "zone", "o_orderdate", "l_shipdate", 22).withColumn("completed", F.date_format("completed", "yyyy-MM-dd"))
+    shifts = table(spark, d, "lineitem").join(
+        table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).withColumn("zone", F.col("l_partkey") % 22)
+    return city.shift_report(
+        shifts, "l_suppkey", "zone", "o_orderdate", "l_shipdate", 22
+    ).withColumn("completed", F.date_format("completed", "yyyy-MM-dd"))
 
 
 @query("""
@@ -141,8 +178,12 @@ def decision_lag(spark: SparkSession, d: str) -> DataFrame:
     decided = e.where("event_type = 'purchase'").select("user_id", "ts", "event_id")
     peaks = e.where("event_type = 'view'").select("user_id", F.col("ts").alias("seen_at"), F.col("value").alias("peak"))
     out = intervals.latest_before(decided, peaks, on=["user_id"], left_time="ts", right_time="seen_at", take=["seen_at", "peak"])
-    lag = F.unix_timestamp(F.date_trunc("second", "ts").cast("timestamp")) - F.unix_timestamp(F.date_trunc("second", "seen_at").cast("timestamp"))
-    return out.select("user_id", "event_id", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), "peak", lag.alias("lag_seconds"))
+    lag = F.unix_timestamp(F.date_trunc("second", "ts").cast("timestamp")) - F.unix_timestamp(
+        F.date_trunc("second", "seen_at").cast("timestamp")
+    )
+    return out.select(
+        "user_id", "event_id", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), "peak", lag.alias("lag_seconds")
+    )
 
 
 @query("""
@@ -150,13 +191,19 @@ WITH s AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey <> 0)
 SELECT o_orderpriority, count(*) AS declared, count(s.k) AS with_execution, count(*) - count(s.k) AS without_execution FROM orders LEFT JOIN s ON s.k = o_orderkey GROUP BY 1
 """)
 def declared_and_done(spark: SparkSession, d: str) -> DataFrame:
-    return city.declared_and_done(table(spark, d, "orders"), table(spark, d, "lineitem"), key="o_orderkey", done_key="l_orderkey", kind="o_orderpriority")
+    return city.declared_and_done(
+        table(spark, d, "orders"), table(spark, d, "lineitem"), key="o_orderkey", done_key="l_orderkey", kind="o_orderpriority"
+    )
 
 
-@query("WITH s AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000) SELECT n_nationkey, n_name, s.k IS NOT NULL AS has_schedule FROM nation LEFT JOIN s ON s.k = n_nationkey")
+@query(
+    "WITH s AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000) SELECT n_nationkey, n_name, s.k IS NOT NULL AS has_schedule FROM nation LEFT JOIN s ON s.k = n_nationkey"
+)
 def unscheduled_zones(spark: SparkSession, d: str) -> DataFrame:
     schedule = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
-    return city.scheduled(table(spark, d, "nation").select("n_nationkey", "n_name"), schedule, "n_nationkey").select("n_nationkey", "n_name", "has_schedule")
+    return city.scheduled(
+        table(spark, d, "nation").select("n_nationkey", "n_name"), schedule, "n_nationkey"
+    ).select("n_nationkey", "n_name", "has_schedule")
 
 
 _SURGES = """
@@ -170,14 +217,22 @@ gap AS (SELECT ev.event_id, n.n_nationkey AS zone, ev.start_date, ev.end_date, e
 
 
 def _surges(spark: SparkSession, d: str) -> DataFrame:
-    days = table(spark, d, "orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.count("*").cast("double").alias("n"))
+    days = table(spark, d, "orders").groupBy(
+        "o_orderpriority", F.to_date("o_orderdate").alias("day")
+    ).agg(F.count("*").cast("double").alias("n"))
     found = timeseries.segment_events(days, day="day", measure="n", least=4.0, gap_days=2, by=["o_orderpriority"], prefix="E")
     return found.select(F.concat_ws("-", "event_id", "o_orderpriority").alias("event_id"), "start_date", "end_date", "total")
 
 
 def _gaps(spark: SparkSession, d: str) -> DataFrame:
-    shifts = table(spark, d, "lineitem").where("l_quantity >= 49").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    shifts = shifts.select(F.col("s_nationkey").alias("zone"), F.to_date("l_shipdate").alias("shift_start"), F.date_add(F.to_date("l_shipdate"), 2).alias("shift_end"))
+    shifts = table(spark, d, "lineitem").where("l_quantity >= 49").join(
+        table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+    )
+    shifts = shifts.select(
+        F.col("s_nationkey").alias("zone"),
+        F.to_date("l_shipdate").alias("shift_start"),
+        F.date_add(F.to_date("l_shipdate"), 2).alias("shift_end"),
+    )
     zones = table(spark, d, "nation").select(F.col("n_nationkey").alias("zone"))
     return intervals.supply_gaps(_surges(spark, d), zones, shifts, supply_start="1996-01-01")
 
@@ -195,7 +250,9 @@ SELECT event_type, day, snow, cold <= -25 AS is_cold_day, round(0.5 * (snow - s0
 
 @query(_SEVERITY)
 def weather_severity(spark: SparkSession, d: str) -> DataFrame:
-    days = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(six(F.avg("value")).alias("snow"), (-F.max("value") / 10).alias("cold"))
+    days = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        six(F.avg("value")).alias("snow"), (-F.max("value") / 10).alias("cold")
+    )
     return city.severity(days, "snow", "cold").select("event_type", "day", "snow", "is_cold_day", six(F.col("severity")).alias("severity"))
 
 
@@ -203,15 +260,23 @@ _DOSE = "WITH x AS (SELECT event_type, CAST(ts AS DATE) AS day, round(avg(value)
 
 
 def _doses(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(six(F.avg("value")).alias("dose"), F.count("*").cast("double").alias("n"), (F.max("value") >= 200).alias("declared"))
+    return table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        six(F.avg("value")).alias("dose"), F.count("*").cast("double").alias("n"), (F.max("value") >= 200).alias("declared")
+    )
 
 
-@query(_DOSE + "SELECT CAST(floor(dose / 5) AS BIGINT) AS bucket, count(*) AS days, round(avg(n), 6) AS mean_response, CAST(median(n) AS DOUBLE) AS median_response FROM x GROUP BY 1")
+@query(
+    _DOSE
+    + "SELECT CAST(floor(dose / 5) AS BIGINT) AS bucket, count(*) AS days, round(avg(n), 6) AS mean_response, CAST(median(n) AS DOUBLE) AS median_response FROM x GROUP BY 1"
+)
 def dose_response(spark: SparkSession, d: str) -> DataFrame:
     return city.dose_response(_doses(spark, d), "dose", "n", 5.0)
 
 
-@query(_DOSE + "SELECT min(b) * 5.0::DOUBLE AS threshold FROM (SELECT CAST(floor(dose / 5) AS BIGINT) AS b, avg(CASE WHEN declared THEN 1.0 ELSE 0 END) AS r FROM x GROUP BY 1) WHERE r >= 0.5")
+@query(
+    _DOSE
+    + "SELECT min(b) * 5.0::DOUBLE AS threshold FROM (SELECT CAST(floor(dose / 5) AS BIGINT) AS b, avg(CASE WHEN declared THEN 1.0 ELSE 0 END) AS r FROM x GROUP BY 1) WHERE r >= 0.5"
+)
 def declaration_threshold(spark: SparkSession, d: str) -> DataFrame:
     return city.empirical_threshold(_doses(spark, d), "dose", "declared", 5.0)
 
@@ -224,12 +289,16 @@ def _closed(spark: SparkSession, d: str) -> DataFrame:
     return _by_area(spark, d).join(done, "o_orderkey", "left")
 
 
-@query(f"WITH {_DAYS} SELECT o_orderpriority, count(*) AS n, CAST(quantile_cont(n, 0.5) AS DOUBLE) AS p50, CAST(quantile_cont(n, 0.9) AS DOUBLE) AS p90 FROM x GROUP BY 1")
+@query(
+    f"WITH {_DAYS} SELECT o_orderpriority, count(*) AS n, CAST(quantile_cont(n, 0.5) AS DOUBLE) AS p50, CAST(quantile_cont(n, 0.9) AS DOUBLE) AS p90 FROM x GROUP BY 1"
+)
 def response_durations(spark: SparkSession, d: str) -> DataFrame:
     return city.durations(_closed(spark, d), ["o_orderpriority"], "o_orderdate", "done")
 
 
-@query(f"WITH {_DAYS}, m AS (SELECT n_name, CAST(median(n) AS DOUBLE) AS p50 FROM x GROUP BY 1) SELECT count(*) AS areas, round(coalesce(stddev_samp(p50), 0), 6) AS stddev, min(p50) AS least, max(p50) AS most FROM m")
+@query(
+    f"WITH {_DAYS}, m AS (SELECT n_name, CAST(median(n) AS DOUBLE) AS p50 FROM x GROUP BY 1) SELECT count(*) AS areas, round(coalesce(stddev_samp(p50), 0), 6) AS stddev, min(p50) AS least, max(p50) AS most FROM m"
+)
 def response_dispersion(spark: SparkSession, d: str) -> DataFrame:
     return city.dispersion(city.durations(_closed(spark, d), ["n_name"], "o_orderdate", "done"), "p50")
 
@@ -260,7 +329,9 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
     demand = rows.groupBy(F.col("c_nationkey").alias("zone")).agg(F.count("*").alias("demand"))
     addresses = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("zone")).agg(F.count("*").alias("addresses"))
     surges = _surges(spark, d)
-    weather = surges.crossJoin(F.broadcast(surges.agg(F.max("total").alias("mx")))).select("event_id", (F.col("total") / F.col("mx")).alias("weather"))
+    weather = surges.crossJoin(F.broadcast(surges.agg(F.max("total").alias("mx")))).select(
+        "event_id", (F.col("total") / F.col("mx")).alias("weather")
+    )
     grid = _gaps(spark, d).join(weather, "event_id").join(demand, "zone", "left").join(addresses, "zone", "left")
     return city.load_score(grid, demand="demand", addresses="addresses", gap="supply_gap", weather="weather", event="event_id")
 
@@ -275,8 +346,12 @@ SELECT event_id, zone, score, place, CASE WHEN level = 'HIGH' AND driver = 'gap'
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY score DESC, zone) AS INTEGER) AS place FROM lv) WHERE place <= 3
 """)
 def recommendations(spark: SparkSession, d: str) -> DataFrame:
-    rules = spark.createDataFrame([("HIGH", "gap", "send crews"), ("HIGH", None, "stand by"), ("MED", None, "watch")], "level string, driver string, text string")
-    return city.recommend(_scored(spark, d), rules, event="event_id", zone="zone", top=3).select("event_id", "zone", "score", "place", "recommendation")
+    rules = spark.createDataFrame(
+        [("HIGH", "gap", "send crews"), ("HIGH", None, "stand by"), ("MED", None, "watch")], "level string, driver string, text string"
+    )
+    return city.recommend(
+        _scored(spark, d), rules, event="event_id", zone="zone", top=3
+    ).select("event_id", "zone", "score", "place", "recommendation")
 
 
 _SEASONS = """
@@ -286,7 +361,9 @@ WITH s AS (SELECT n_name, CAST(CASE WHEN month(o_orderdate) >= 11 THEN year(o_or
 
 
 def _seasons(spark: SparkSession, d: str) -> DataFrame:
-    rows = _by_area(spark, d).withColumn("winter", winter(F.col("o_orderdate"))).where("winter is not null").groupBy("n_name", "winter").agg(F.count("*").alias("n"))
+    rows = _by_area(spark, d).withColumn(
+        "winter", winter(F.col("o_orderdate"))
+    ).where("winter is not null").groupBy("n_name", "winter").agg(F.count("*").alias("n"))
     return city.seasonal_baseline(rows, area="n_name", season="winter", value="n")
 
 
@@ -295,7 +372,10 @@ def seasonal_baseline(spark: SparkSession, d: str) -> DataFrame:
     return _seasons(spark, d).withColumn("baseline", six(F.col("baseline")))
 
 
-@query(_SEASONS + ", p AS (SELECT *, lag(n) OVER (PARTITION BY n_name ORDER BY winter) AS model FROM b) SELECT count(*) AS n, round(avg(abs(n - model)), 6) AS model_mae, round(avg(abs(n - baseline)), 6) AS baseline_mae FROM p WHERE model IS NOT NULL AND baseline IS NOT NULL")
+@query(
+    _SEASONS
+    + ", p AS (SELECT *, lag(n) OVER (PARTITION BY n_name ORDER BY winter) AS model FROM b) SELECT count(*) AS n, round(avg(abs(n - model)), 6) AS model_mae, round(avg(abs(n - baseline)), 6) AS baseline_mae FROM p WHERE model IS NOT NULL AND baseline IS NOT NULL"
+)
 def forecast_errors(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
@@ -320,12 +400,20 @@ SELECT c_custkey, CAST(d AS INTEGER), 'has_walk', w0, has_walk FROM l WHERE d0 I
 def snapshot_changes(spark: SparkSession, d: str) -> DataFrame:
     c, day = table(spark, d, "customer"), F.col("collected")
     rows = c.withColumn("collected", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    street = F.when(day == 0, F.col("c_acctbal") > 0).when(day == 1, F.col("c_acctbal") > 1000).otherwise((F.col("c_acctbal") > 1000) & (F.col("c_custkey") % 10 != 0))
+    street = F.when(day == 0, F.col("c_acctbal") > 0).when(day == 1, F.col("c_acctbal") > 1000).otherwise(
+        (F.col("c_acctbal") > 1000) & (F.col("c_custkey") % 10 != 0)
+    )
     walk = F.when(~((day == 2) & (F.col("c_custkey") % 13 == 0)), F.col("c_custkey") % 2 == 0)
     rows = rows.select("c_custkey", "collected", street.alias("has_street"), walk.alias("has_walk"))
     return city.snapshot_changes(rows, key="c_custkey", collected="collected", flags=["has_street", "has_walk"])
 
 
-@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS customers, round(avg(CASE WHEN o_totalprice > 100000 THEN 1.0 ELSE 0 END), 6) AS filled_rate FROM orders GROUP BY 1, 2")
+@query(
+    "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS customers, round(avg(CASE WHEN o_totalprice > 100000 THEN 1.0 ELSE 0 END), 6) AS filled_rate FROM orders GROUP BY 1, 2"
+)
 def yearly_distribution(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus").agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("customers"), six(F.avg((F.col("o_totalprice") > 100000).cast("double"))).alias("filled_rate"))
+    return table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("o_custkey").alias("customers"),
+        six(F.avg((F.col("o_totalprice") > 100000).cast("double"))).alias("filled_rate"),
+    )

@@ -32,11 +32,20 @@ x AS (SELECT *, strftime(weather_date, '%Y-%m-%d') AS date, 'SRC' AS source_id,
 
 def _archive(spark: SparkSession, d: str) -> DataFrame:
     e, v = table(spark, d, "events"), F.col("value")
-    raw = e.select("event_id", F.when(F.col("event_id") % 50 == 0, "not-a-date").otherwise(partition_date(F.col("ts"))).alias("time"), F.when(F.col("event_id") % 11 != 0, v).alias("snowfall_sum"), (-v).alias("temperature_2m_min"), (v / 4).alias("temperature_2m_max"))
+    raw = e.select(
+        "event_id",
+        F.when(F.col("event_id") % 50 == 0, "not-a-date").otherwise(partition_date(F.col("ts"))).alias("time"),
+        F.when(F.col("event_id") % 11 != 0, v).alias("snowfall_sum"),
+        (-v).alias("temperature_2m_min"),
+        (v / 4).alias("temperature_2m_max"),
+    )
     return silver.archive_days(raw, "SRC")
 
 
-@query(_ARCHIVE + "SELECT event_id, weather_date, date, snowfall_sum_cm, temperature_2m_min_c, temperature_2m_max_c, source_id FROM x WHERE reason IS NULL")
+@query(
+    _ARCHIVE
+    + "SELECT event_id, weather_date, date, snowfall_sum_cm, temperature_2m_min_c, temperature_2m_max_c, source_id FROM x WHERE reason IS NULL"
+)
 def archive_valid(spark: SparkSession, d: str) -> DataFrame:
     return quality.split(_archive(spark, d))[0].drop("loaded_at")
 
@@ -57,7 +66,12 @@ x AS (SELECT strftime(timezone('UTC', timezone('America/Winnipeg', t)), '%Y-%m-%
 def _forecast(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     time = F.when(F.col("event_id") % 40 != 0, F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm"))
-    raw = e.select(time.alias("time"), partition_date(F.expr("date_add(cast(ts as date), cast(event_id % 5 as int))")).alias("ingest_date"), F.col("value").alias("temperature_2m"), (F.col("value") / 10).alias("precipitation"))
+    raw = e.select(
+        time.alias("time"),
+        partition_date(F.expr("date_add(cast(ts as date), cast(event_id % 5 as int))")).alias("ingest_date"),
+        F.col("value").alias("temperature_2m"),
+        (F.col("value") / 10).alias("precipitation"),
+    )
     return silver.forecast_hours(raw, "SRC", "America/Winnipeg").withColumn("time_utc", iso(F.col("time_utc")))
 
 
@@ -71,7 +85,9 @@ def forecast_rejects(spark: SparkSession, d: str) -> DataFrame:
     return quality.split(_forecast(spark, d))[1].groupBy(F.col("_reject_reason").alias("reason")).agg(F.count("*").alias("n"))
 
 
-_GEOMETRY = StructType([StructField("type", StringType()), StructField("coordinates", ArrayType(ArrayType(ArrayType(ArrayType(DoubleType())))))])
+_GEOMETRY = StructType(
+    [StructField("type", StringType()), StructField("coordinates", ArrayType(ArrayType(ArrayType(ArrayType(DoubleType())))))]
+)
 
 
 @query("""
@@ -92,11 +108,20 @@ def boundary_wkt(spark: SparkSession, d: str) -> DataFrame:
     ring = F.array(F.array(x, y), F.array(x + 1, y), F.array(x + 1, y + 1), last)
     geometry = F.when(F.col("vec_id") % 9 != 0, F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring)).alias("coordinates")))
     number = F.col("vec_id") % 7
-    raw = e.select("vec_id", F.when(number == 6, "x").otherwise(number.cast("string")).alias("borocode"), F.lit("n").alias("boroname"), F.col("vec_id").cast("string").alias("shape_area"), F.lit("1").alias("shape_leng"), geometry.cast(_GEOMETRY).alias("the_geom"))
+    raw = e.select(
+        "vec_id",
+        F.when(number == 6, "x").otherwise(number.cast("string")).alias("borocode"),
+        F.lit("n").alias("boroname"),
+        F.col("vec_id").cast("string").alias("shape_area"),
+        F.lit("1").alias("shape_leng"),
+        geometry.cast(_GEOMETRY).alias("the_geom"),
+    )
     path = scratch(spark, "boundaries")
     landing.write_json(raw, path, [])
     raw = landing.read_json(spark, path, StructType([StructField("vec_id", LongType()), *jobs.BOUNDARY_RAW.fields]))
-    return silver.boundaries(raw, "SRC").select("vec_id", "borough_id", "shape_area_sqft", "geometry_wkt", F.col("_reject_reason").alias("reason"))
+    return silver.boundaries(raw, "SRC").select(
+        "vec_id", "borough_id", "shape_area_sqft", "geometry_wkt", F.col("_reject_reason").alias("reason")
+    )
 
 
 @query("""
@@ -106,10 +131,14 @@ def geometry_json(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.wkt import geojson
 
     q = lambda i: F.floor(256 * F.col("embedding")[i].cast("double")).cast("long")
-    return table(spark, d, "embeddings").select("vec_id", geojson(F.struct(F.lit("Point").alias("type"), F.array(q(0), q(1)).alias("coordinates"))).alias("geojson"))
+    return table(spark, d, "embeddings").select(
+        "vec_id", geojson(F.struct(F.lit("Point").alias("type"), F.array(q(0), q(1)).alias("coordinates"))).alias("geojson")
+    )
 
 
-_CUSTOMER = StructType([StructField("c_custkey", IntegerType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())])
+_CUSTOMER = StructType(
+    [StructField("c_custkey", IntegerType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())]
+)
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer")
@@ -126,11 +155,18 @@ FROM (SELECT count(*) AS n FROM customer), (VALUES ('strict'), ('report'), ('len
 def schema_modes(spark: SparkSession, d: str) -> DataFrame:
     """Each mode on tables that fit, lack a column, have others, or both: rows that pass, or the error."""
     customer, out = table(spark, d, "customer"), None
-    shapes = {"whole": ["c_acctbal", "c_name", "c_custkey"], "lacking": ["c_custkey", "c_acctbal"], "extra": ["c_mktsegment", "c_custkey", "c_name", "c_acctbal", "c_nationkey"], "both": ["c_mktsegment", "c_custkey", "c_acctbal", "c_nationkey"]}
+    shapes = {
+        "whole": ["c_acctbal", "c_name", "c_custkey"],
+        "lacking": ["c_custkey", "c_acctbal"],
+        "extra": ["c_mktsegment", "c_custkey", "c_name", "c_acctbal", "c_nationkey"],
+        "both": ["c_mktsegment", "c_custkey", "c_acctbal", "c_nationkey"],
+    }
     for mode in ("strict", "report", "lenient"):
         for shape, columns in shapes.items():
             try:
-                rows = quality.enforce_schema(customer.select(columns), _CUSTOMER, mode).agg(F.count("*").alias("n"), F.lit(None).cast("string").alias("error"))
+                rows = quality.enforce_schema(customer.select(columns), _CUSTOMER, mode).agg(
+                    F.count("*").alias("n"), F.lit(None).cast("string").alias("error")
+                )
             except ValueError as error:
                 rows = spark.createDataFrame([(None, str(error))], "n long, error string")
             rows = rows.select(F.lit(mode).alias("mode"), F.lit(shape).alias("shape"), "n", "error")
@@ -150,7 +186,9 @@ def row_count_gates(spark: SparkSession, d: str) -> DataFrame:
     held = quality.require_window(events.select("day").distinct(), days)
     n = quality.require_collections(events, "day")
     quality.require(n, 5, "events")
-    return spark.createDataFrame([("window", held, int(days * 0.9)), ("collections", n, 12 * held), ("exact", n, 5)], "gate string, n long, floor long").withColumn("passed", F.col("n") >= F.col("floor"))
+    return spark.createDataFrame(
+        [("window", held, int(days * 0.9)), ("collections", n, 12 * held), ("exact", n, 5)], "gate string, n long, floor long"
+    ).withColumn("passed", F.col("n") >= F.col("floor"))
 
 
 @query("""
@@ -188,14 +226,26 @@ def archive_to_events(spark: SparkSession, d: str) -> DataFrame:
     """The job from landed days to the table of events, run twice, with all its gates."""
     landed, clean, rejects, events = (scratch(spark, n) for n in ("landed", "archive", "archive-rejects", "snow-events"))
     value, day = F.col("value"), partition_date(F.col("ts")).alias("time")
-    daily = table(spark, d, "events").groupBy(day).agg(F.round(F.avg(value) / 10, 2).alias("snowfall_sum"), F.round(F.min(value) - 20, 2).alias("temperature_2m_min"), F.lit(0.0).alias("temperature_2m_max"))
+    daily = table(spark, d, "events").groupBy(day).agg(
+        F.round(F.avg(value) / 10, 2).alias("snowfall_sum"),
+        F.round(F.min(value) - 20, 2).alias("temperature_2m_min"),
+        F.lit(0.0).alias("temperature_2m_max"),
+    )
     landing.write_daily(daily, landed, "time")
     first, last = daily.agg(F.min("time"), F.max("time")).first()
     for _ in range(2):
         jobs.clean_archive(spark, landed, clean, rejects, date.fromisoformat(first), date.fromisoformat(last) + timedelta(days=1), "SRC")
         jobs.rebuild_events(spark, clean, events, "SRC", threshold_cm=5.0)
     found = spark.read.schema(jobs.EVENTS).parquet(events)
-    return found.select("event_id", "start_date", "end_date", "duration_days", F.round("total_snowfall_cm", 4).alias("total"), F.col("peak_daily_snowfall_cm").alias("peak"), F.col("min_temperature_c").alias("low"))
+    return found.select(
+        "event_id",
+        "start_date",
+        "end_date",
+        "duration_days",
+        F.round("total_snowfall_cm", 4).alias("total"),
+        F.col("peak_daily_snowfall_cm").alias("peak"),
+        F.col("min_temperature_c").alias("low"),
+    )
 
 
 @query("SELECT event_type, count(*) AS n FROM events WHERE value >= 120 GROUP BY event_type")
@@ -213,7 +263,15 @@ SELECT field, round(a, 4) AS null_rate, round(a, 4) > 0.05 AS is_high FROM r
 """)
 def null_rates(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    return profile.null_rates(o.select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), (F.col("o_custkey") % 5).alias("grp"), F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.col("o_orderpriority")).alias("priority"), "o_totalprice"))
+    return profile.null_rates(
+        o.select(
+            "o_orderkey",
+            F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+            (F.col("o_custkey") % 5).alias("grp"),
+            F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.col("o_orderpriority")).alias("priority"),
+            "o_totalprice",
+        )
+    )
 
 
 @query("""
@@ -235,7 +293,9 @@ SELECT value, n, row_number() OVER (ORDER BY n DESC, value) <= 4 AS in_top, lowe
 """)
 def category_profile(spark: SparkSession, d: str) -> DataFrame:
     k, v = F.col("c_custkey"), F.col("c_mktsegment")
-    raw = F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, "").when(k % 23 == 0, "Unspecified").when(k % 3 == 0, F.concat(F.lit(" "), v, F.lit(" "))).otherwise(F.lower(v))
+    raw = F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, "").when(k % 23 == 0, "Unspecified").when(
+        k % 3 == 0, F.concat(F.lit(" "), v, F.lit(" "))
+    ).otherwise(F.lower(v))
     return profile.categories(table(spark, d, "customer").select(raw.alias("v")), "v", ["building", "household", "machinery"], top=4)
 
 
@@ -244,7 +304,11 @@ WITH r AS (SELECT unnest(['quantity', 'price', 'text']) AS field, unnest([CASE W
 SELECT field, round(avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0 END), 4) AS missing_pct, min(x) AS min, max(x) AS max, round(avg(x), 4) AS mean, CASE WHEN count(x) > 0 THEN round(coalesce(stddev_samp(x), 0), 4) END AS stdev FROM r GROUP BY field
 """)
 def numeric_profile(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "lineitem").select(F.when(F.col("l_linenumber") != 2, F.col("l_quantity").cast("string")).alias("quantity"), F.col("l_extendedprice").cast("string").alias("price"), F.col("l_returnflag").alias("text"))
+    raw = table(spark, d, "lineitem").select(
+        F.when(F.col("l_linenumber") != 2, F.col("l_quantity").cast("string")).alias("quantity"),
+        F.col("l_extendedprice").cast("string").alias("price"),
+        F.col("l_returnflag").alias("text"),
+    )
     return profile.numerics(raw, ["quantity", "price", "text"])
 
 
@@ -255,7 +319,10 @@ SELECT 'sales' AS source, 'orders' AS dataset, f AS field, m AS metric, v AS val
 UNION ALL SELECT 'stream', 'events', f, m, v FROM (SELECT unnest(['user_id', NULL]) AS f, unnest(['null_rate', 'record_count']) AS m, unnest([round(avg(CASE WHEN user_id = 0 THEN 1.0 ELSE 0 END), 4), CAST(count(*) AS DOUBLE)]) AS v FROM events)
 """)
 def dataset_report(spark: SparkSession, d: str) -> DataFrame:
-    tables = {("sales", "orders"): table(spark, d, "orders").select("o_custkey", "o_totalprice"), ("stream", "events"): table(spark, d, "events").select("user_id")}
+    tables = {
+        ("sales", "orders"): table(spark, d, "orders").select("o_custkey", "o_totalprice"),
+        ("stream", "events"): table(spark, d, "events").select("user_id"),
+    }
     return profile.report(tables, {("sales", "orders"): ["o_totalprice"]})
 
 
@@ -281,7 +348,9 @@ def dataset_profile(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 10 == 0, "").when(F.col("event_id") % 10 == 1, "Other").otherwise(F.col("event_type"))
     kinds = events.select(F.col("event_type").alias("value")).distinct()
     day = F.to_date("ts")
-    manifests = events.groupBy(day.alias("partition_key")).agg(F.when(F.dayofmonth("partition_key") == 3, 0).otherwise(F.count("*")).alias("record_count"))
+    manifests = events.groupBy(day.alias("partition_key")).agg(
+        F.when(F.dayofmonth("partition_key") == 3, 0).otherwise(F.count("*")).alias("record_count")
+    )
     records = events.select(time.alias("time"), kind.alias("kind"), "value")
     found = profile.Dataset(records, timestamp="time", category="kind", valid=kinds, numeric=["value"], manifests=manifests)
     return profile.dataset_profile({("stream", "events"): found}, high=0.02)
@@ -289,14 +358,28 @@ def dataset_profile(spark: SparkSession, d: str) -> DataFrame:
 
 # --- landing ---------------------------------------------------------------------------------------------------------
 
-_RECORD = StructType([StructField("event_id", LongType()), StructField("event_type", StringType()), StructField("ts", StringType()), StructField("value", DoubleType())])
+_RECORD = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("event_type", StringType()),
+        StructField("ts", StringType()),
+        StructField("value", DoubleType()),
+    ]
+)
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", "event_type", F.when(F.col("event_id") % 100 == 0, "bad").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("ts"), "value")
+    return table(spark, d, "events").select(
+        "event_id",
+        "event_type",
+        F.when(F.col("event_id") % 100 == 0, "bad").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("ts"),
+        "value",
+    )
 
 
-@query("SELECT strftime(ts, '%Y-%m') AS month, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE event_id % 100 <> 0 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL")
+@query(
+    "SELECT strftime(ts, '%Y-%m') AS month, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE event_id % 100 <> 0 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL"
+)
 def landed_daily(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "daily")
     landing.write_daily(_records(spark, d), path, "ts")
@@ -348,7 +431,9 @@ def partition_manifest(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"data_date_min": F.to_date("date"), "data_date_max": F.to_date("date")})
 
 
-@query("SELECT min(CAST(ts AS DATE)) AS data_date_min, max(CAST(ts AS DATE)) AS data_date_max, count(*) AS record_count, CAST(sum(strlen(props)) AS BIGINT) AS bytes FROM events")
+@query(
+    "SELECT min(CAST(ts AS DATE)) AS data_date_min, max(CAST(ts AS DATE)) AS data_date_max, count(*) AS record_count, CAST(sum(strlen(props)) AS BIGINT) AS bytes FROM events"
+)
 def record_stats(spark: SparkSession, d: str) -> DataFrame:
     return landing.stats(table(spark, d, "events").withColumn("day", F.to_date("ts")), "day", F.octet_length("props"))
 
@@ -362,12 +447,27 @@ def landed_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Manifests of the files of a daily layout, written beside it, read again and added up by partition."""
     path, beside = scratch(spark, "daily"), scratch(spark, "manifests")
     landing.write_daily(_records(spark, d).drop("value"), path, "ts")
-    made = landing.file_manifests(spark, path, source_id="SRC", dataset_name="events", timestamp_field="ts", fetched=datetime(2026, 8, 1, 6, 30))
+    made = landing.file_manifests(
+        spark, path, source_id="SRC", dataset_name="events", timestamp_field="ts", fetched=datetime(2026, 8, 1, 6, 30)
+    )
     landing.write_manifests(made, beside)
     found = spark.read.schema(made.schema).json(beside)
-    same = ["month_partition", "date_partition", "source_id", "dataset_name", "timestamp_field", "compression", "ingest_date", "fetch_timestamp"]
-    stored = F.min((F.col("stored_bytes") > 0) & F.col("filename").endswith(".gz") & (F.length("sha256_checksum") == 64) & F.col("line_checksum").isNotNull())
-    return found.groupBy(same).agg(F.sum("record_count").alias("record_count"), F.sum("file_size_bytes").alias("file_size_bytes"), F.min("data_date_min").alias("data_date_min"), F.max("data_date_max").alias("data_date_max"), stored.alias("stored"))
+    same = [
+        "month_partition", "date_partition", "source_id", "dataset_name", "timestamp_field", "compression", "ingest_date", "fetch_timestamp"
+    ]
+    stored = F.min(
+        (F.col("stored_bytes") > 0)
+        & F.col("filename").endswith(".gz")
+        & (F.length("sha256_checksum") == 64)
+        & F.col("line_checksum").isNotNull()
+    )
+    return found.groupBy(same).agg(
+        F.sum("record_count").alias("record_count"),
+        F.sum("file_size_bytes").alias("file_size_bytes"),
+        F.min("data_date_min").alias("data_date_min"),
+        F.max("data_date_max").alias("data_date_max"),
+        stored.alias("stored"),
+    )
 
 
 @query("SELECT event_type AS dataset_name, count(*) AS record_count FROM events WHERE event_type <> 'error' GROUP BY 1")
@@ -386,14 +486,20 @@ WITH n AS (SELECT DISTINCT 'data_' || strftime(o_orderdate, '%Y-%m-%d') || '.ndj
 SELECT name FROM r WHERE n <= 3 OR (i % (n // 3) = 0 AND i // (n // 3) < 3)
 """)
 def sampled_files(spark: SparkSession, d: str) -> DataFrame:
-    names = table(spark, d, "orders").select(F.concat(F.lit("data_"), partition_date(F.col("o_orderdate")), F.lit(".ndjson.gz")).alias("name"))
+    names = table(spark, d, "orders").select(
+        F.concat(F.lit("data_"), partition_date(F.col("o_orderdate")), F.lit(".ndjson.gz")).alias("name")
+    )
     return landing.sample_names(names, "name", 3)
 
 
-@query("SELECT event_id % 10 = 0 AS corrupt, count(*) AS n, CAST(sum(CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END) AS BIGINT) AS k FROM events WHERE event_id % 7 <> 0 GROUP BY 1")
+@query(
+    "SELECT event_id % 10 = 0 AS corrupt, count(*) AS n, CAST(sum(CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END) AS BIGINT) AS k FROM events WHERE event_id % 7 <> 0 GROUP BY 1"
+)
 def corrupt_lines(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "lines")
-    line = F.when(F.col("event_id") % 7 == 0, "").when(F.col("event_id") % 10 == 0, F.concat(F.lit("not json "), "props")).otherwise(F.col("props"))
+    line = F.when(F.col("event_id") % 7 == 0, "").when(
+        F.col("event_id") % 10 == 0, F.concat(F.lit("not json "), "props")
+    ).otherwise(F.col("props"))
     table(spark, d, "events").select(line.alias("value")).write.text(path)
     tagged = landing.read_tagged(spark, path, StructType([StructField("k", LongType())]))
     return tagged.groupBy(F.col(landing.CORRUPT).isNotNull().alias("corrupt")).agg(F.count("*").alias("n"), F.sum("k").alias("k"))
@@ -407,12 +513,22 @@ SELECT conv_id, time[i] AS time, CASE WHEN conv_id % 2 = 0 THEN role[i] WHEN i <
 
 @query(_SERIES)
 def flattened_series(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("s"))
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("s")
+    )
     role = F.when(F.col("conv_id") % 2 == 0, F.col("s.role")).otherwise(F.slice("s.role", 1, 2))
     block = F.struct(F.col("s.turn").alias("time"), role.alias("role"), F.col("s.n").alias("size"))
-    none = F.struct(F.array().cast("array<bigint>").alias("time"), F.array().cast("array<string>").alias("role"), F.array().cast("array<int>").alias("size"))
+    none = F.struct(
+        F.array().cast("array<bigint>").alias("time"),
+        F.array().cast("array<string>").alias("role"),
+        F.array().cast("array<int>").alias("size"),
+    )
     # even ids hold their series under hourly, odd ones under daily
-    rows = c.select("conv_id", F.when(F.col("conv_id") % 2 == 0, block).otherwise(none).alias("hourly"), F.when(F.col("conv_id") % 2 == 1, block).alias("daily"))
+    rows = c.select(
+        "conv_id",
+        F.when(F.col("conv_id") % 2 == 0, block).otherwise(none).alias("hourly"),
+        F.when(F.col("conv_id") % 2 == 1, block).alias("daily"),
+    )
     return landing.flatten_series(rows, ["conv_id"], ["hourly", "daily"], ["role", "size"])
 
 
@@ -428,7 +544,9 @@ def flattened_unpadded(spark: SparkSession, d: str) -> DataFrame:
     return landing.flatten_series(rows, ["conv_id"], ["hourly"], ["role"], pad=False)
 
 
-@query("SELECT conv_id, CASE WHEN conv_id % 3 <> 0 THEN role END AS feature FROM conversations WHERE conv_id % 3 <> 0 UNION ALL SELECT DISTINCT conv_id, NULL FROM conversations WHERE conv_id % 3 = 0")
+@query(
+    "SELECT conv_id, CASE WHEN conv_id % 3 <> 0 THEN role END AS feature FROM conversations WHERE conv_id % 3 <> 0 UNION ALL SELECT DISTINCT conv_id, NULL FROM conversations WHERE conv_id % 3 = 0"
+)
 def exploded_features(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("roles"))
     return landing.explode_features(c.select("conv_id", F.when(F.col("conv_id") % 3 != 0, F.col("roles")).alias("features")), "features")
@@ -444,7 +562,9 @@ def routed_sources(spark: SparkSession, d: str) -> DataFrame:
     return landing.route(e.select("day").distinct(), e, e, day="day", today=today).groupBy("day", "source").agg(F.count("*").alias("n"))
 
 
-@query("SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-02' OR event_id % 2 = 0 GROUP BY 1")
+@query(
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-02' OR event_id % 2 = 0 GROUP BY 1"
+)
 def partition_overwrite(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "silver")
     rows = table(spark, d, "events").select("event_id", partition_date(F.col("ts")).alias("date"))

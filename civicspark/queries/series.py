@@ -16,7 +16,9 @@ query = registry.query
 
 
 def _daily(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(six(F.avg("value")).alias("mean_value"), F.min("value").alias("least"))
+    return table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        six(F.avg("value")).alias("mean_value"), F.min("value").alias("least")
+    )
 
 
 _ISLANDS = """
@@ -39,14 +41,20 @@ def event_segmentation(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_ISLANDS.format(series=_EVENT_SERIES, least=52.0, gap=2, by="event_type", low=", min(low) AS low"))
 def event_segmentation_bridged(spark: SparkSession, d: str) -> DataFrame:
-    out = timeseries.segment_events(_daily(spark, d), day="day", measure="mean_value", least=52.0, gap_days=2, by=["event_type"], low="least")
+    out = timeseries.segment_events(
+        _daily(spark, d), day="day", measure="mean_value", least=52.0, gap_days=2, by=["event_type"], low="least"
+    )
     return out.withColumn("total", F.round("total", 4))
 
 
 @query(_ISLANDS.format(series=_ORDER_SERIES, least=2.0, gap=1, by="o_orderpriority", low=""))
 def order_surges(spark: SparkSession, d: str) -> DataFrame:
-    days = table(spark, d, "orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.count("*").cast("double").alias("n"))
-    return timeseries.segment_events(days, day="day", measure="n", least=2.0, gap_days=1, by=["o_orderpriority"]).withColumn("total", F.round("total", 4))
+    days = table(spark, d, "orders").groupBy(
+        "o_orderpriority", F.to_date("o_orderdate").alias("day")
+    ).agg(F.count("*").cast("double").alias("n"))
+    return timeseries.segment_events(
+        days, day="day", measure="n", least=2.0, gap_days=1, by=["o_orderpriority"]
+    ).withColumn("total", F.round("total", 4))
 
 
 _NEWEST = """
@@ -79,8 +87,12 @@ SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice, versio
 def late_upsert(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     old = orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("version"))
-    changed = orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(2).alias("version"))
-    added = orders.where("o_orderkey % 7 = 0").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice", F.lit(1).alias("version"))
+    changed = orders.where("o_orderkey % 3 = 0").select(
+        "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(2).alias("version")
+    )
+    added = orders.where("o_orderkey % 7 = 0").select(
+        (F.col("o_orderkey") + 100000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice", F.lit(1).alias("version")
+    )
     out = timeseries.upsert(old, changed.unionByName(added), ["o_orderkey"], ["version"])
     return out.withColumn("o_totalprice", F.round("o_totalprice", 2))
 
@@ -99,7 +111,9 @@ SELECT c.day AS day, count(o.o_orderkey) AS orders FROM c LEFT JOIN orders o ON
 def calendar_days(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     counts = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
-    return timeseries.days(spark, *_span(orders, "o_orderdate")).join(counts, "day", "left").select("day", F.coalesce("orders", F.lit(0)).cast("long").alias("orders"))
+    return timeseries.days(spark, *_span(orders, "o_orderdate")).join(counts, "day", "left").select(
+        "day", F.coalesce("orders", F.lit(0)).cast("long").alias("orders")
+    )
 
 
 @query("""
@@ -110,7 +124,9 @@ SELECT c.month AS month, count(o.o_orderkey) AS orders FROM c LEFT JOIN orders o
 def calendar_months(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     counts = orders.groupBy(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month")).agg(F.count("*").alias("orders"))
-    return timeseries.months(spark, *_span(orders, "o_orderdate")).join(counts, "month", "left").select("month", F.coalesce("orders", F.lit(0)).cast("long").alias("orders"))
+    return timeseries.months(spark, *_span(orders, "o_orderdate")).join(counts, "month", "left").select(
+        "month", F.coalesce("orders", F.lit(0)).cast("long").alias("orders")
+    )
 
 
 @query("""
@@ -132,7 +148,9 @@ FROM t LEFT JOIN events e ON hour(e.ts) * 60 + minute(e.ts) = t.m GROUP BY m
 """)
 def time_dimension(spark: SparkSession, d: str) -> DataFrame:
     counts = table(spark, d, "events").groupBy((F.hour("ts") * 60 + F.minute("ts")).alias("time_key")).agg(F.count("*").alias("events"))
-    return timeseries.time_dimension(spark).join(counts, "time_key", "left").withColumn("events", F.coalesce("events", F.lit(0)).cast("long"))
+    return timeseries.time_dimension(spark).join(counts, "time_key", "left").withColumn(
+        "events", F.coalesce("events", F.lit(0)).cast("long")
+    )
 
 
 @query("""
@@ -145,7 +163,9 @@ def trailing_lookback(spark: SparkSession, d: str) -> DataFrame:
     return events.where(in_lookback(F.col("day"), F.lit(last))).groupBy("event_type", "day").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:00' GROUP BY event_type")
+@query(
+    "SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:00' GROUP BY event_type"
+)
 def incremental_window(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
     bounds = [F.lit(x).cast("timestamp_ntz") for x in ("2024-01-10 00:00:00", "2024-01-20 12:00:00")]
@@ -184,8 +204,12 @@ x AS (SELECT dataset, CAST(unnest(generate_series(date_trunc('month', today) - I
 SELECT x.dataset, x.missing, true AS recoverable FROM x ANTI JOIN p ON x.dataset = p.dataset AND x.missing = p.m
 """)
 def monthly_gap_audit(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").select(F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("dataset"), F.to_date("o_orderdate").alias("day"), "o_totalprice")
-    return audit.monthly_gaps(orders.select("dataset").distinct(), orders.where("o_totalprice >= 480000").select("dataset", "day"), _span(orders, "day")[1])
+    orders = table(spark, d, "orders").select(
+        F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("dataset"), F.to_date("o_orderdate").alias("day"), "o_totalprice"
+    )
+    return audit.monthly_gaps(
+        orders.select("dataset").distinct(), orders.where("o_totalprice >= 480000").select("dataset", "day"), _span(orders, "day")[1]
+    )
 
 
 @query(_AUDIT + "SELECT dataset, min(missing) AS fill_start, max(missing) + 1 AS fill_end FROM g GROUP BY dataset")
@@ -213,7 +237,9 @@ def coverage_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _manifests(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("dataset"), partition_date(F.col("ts")).alias("partition_key")).agg(F.count_if(F.col("value") >= 150).alias("record_count"))
+    return table(spark, d, "events").groupBy(
+        F.col("event_type").alias("dataset"), partition_date(F.col("ts")).alias("partition_key")
+    ).agg(F.count_if(F.col("value") >= 150).alias("record_count"))
 
 
 @query("""
@@ -256,4 +282,6 @@ SELECT CAST(CASE WHEN month(o_orderdate) >= 11 THEN year(o_orderdate) ELSE year(
 FROM orders WHERE month(o_orderdate) >= 11 OR month(o_orderdate) <= 3 GROUP BY 1
 """)
 def winter_seasons(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").withColumn("winter", winter(F.col("o_orderdate"))).where("winter is not null").groupBy("winter").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return table(spark, d, "orders").withColumn("winter", winter(F.col("o_orderdate"))).where("winter is not null").groupBy("winter").agg(
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )

@@ -18,18 +18,24 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
 
 
-@query("SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(value + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END), 4) AS total FROM events GROUP BY 1")
+@query(
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(value + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END), 4) AS total FROM events GROUP BY 1"
+)
 def stream_to_silver(spark: SparkSession, d: str) -> DataFrame:
     landed, clean, state = (scratch(spark, n) for n in ("landed", "clean", "state"))
     rows = _rows(spark, d).withColumn("version", F.lit(1))
     transform = lambda df: df.withColumn("date", partition_date(F.col("ts")))
-    run = lambda: incremental.clean_new_files(spark, landed, rows.schema, transform, clean, state, file_format="parquet", keys=["event_id"], version=["version"])
+    run = lambda: incremental.clean_new_files(
+        spark, landed, rows.schema, transform, clean, state, file_format="parquet", keys=["event_id"], version=["version"]
+    )
     rows.write.parquet(landed)
     run()
     rows.where("event_id % 5 = 0").withColumns({"value": F.col("value") + 1, "version": F.lit(2)}).write.mode("append").parquet(landed)
     run()  # takes the new files alone, and keeps the other rows of their days
     run()  # nothing new
-    return spark.read.schema(transform(rows).schema).parquet(clean).groupBy("date").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return spark.read.schema(transform(rows).schema).parquet(clean).groupBy("date").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")
+    )
 
 
 @query("SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events")
@@ -38,5 +44,7 @@ def stream_late_duplicates(spark: SparkSession, d: str) -> DataFrame:
     rows = _rows(spark, d)
     rows.union(rows.where("event_id % 3 = 0")).write.parquet(landed)
     stream = spark.readStream.schema(rows.schema).parquet(landed)
-    incremental.first_seen(stream, "ts", ["event_id"]).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    incremental.first_seen(stream, "ts", ["event_id"]).writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", state
+    ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(out).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))

@@ -81,7 +81,9 @@ def read_tolerant(spark: SparkSession, path: str, schema: StructType) -> tuple[D
 def parse_tolerant(df: DataFrame, column: str, schema: StructType) -> DataFrame:
     """The fields of a column of JSON text, and ``_corrupt_record`` where it can't be read."""
     full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    return df.withColumn("_r", F.from_json(column, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})).select(*df.columns, "_r.*")
+    return df.withColumn(
+        "_r", F.from_json(column, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    ).select(*df.columns, "_r.*")
 
 
 def read_manifests(spark: SparkSession, root: str, schema: StructType, pattern: str = "manifest*.json") -> DataFrame:
@@ -95,7 +97,9 @@ def sample_names(names: DataFrame, name: str, n: int = 3) -> DataFrame:
     """Up to ``n`` of the distinct names, spread evenly: all, or those at places 0, s, 2s, ... of the sorted list, where s
     is how often n goes into its length. The list is one of files, not of their rows."""
     listed = names.select(name).distinct()
-    placed = listed.withColumn("_i", F.row_number().over(Window.orderBy(name)) - 1).crossJoin(F.broadcast(listed.agg(F.count("*").alias("_n"))))
+    placed = listed.withColumn(
+        "_i", F.row_number().over(Window.orderBy(name)) - 1
+    ).crossJoin(F.broadcast(listed.agg(F.count("*").alias("_n"))))
     step = F.expr(f"_n div {n}")
     return placed.where((F.col("_n") <= n) | ((F.col("_i") % step == 0) & (F.col("_i") / step < n))).select(name)
 
@@ -115,7 +119,9 @@ def _zip(block: str, members: list[str], pad: bool) -> Column:
     time = F.col(f"{block}.time")
     held = lambda m, i: F.coalesce(F.size(F.col(f"{block}.{m}")) > i, F.lit(False)).alias(f"has_{m}")
     value = lambda m, i: F.try_element_at(F.col(f"{block}.{m}"), i + 1).alias(m)
-    fields = lambda i: [F.element_at(time, i + 1).alias("time"), *[value(m, i) for m in members], *[held(m, i) for m in members if not pad]]
+    fields = lambda i: [
+        F.element_at(time, i + 1).alias("time"), *[value(m, i) for m in members], *[held(m, i) for m in members if not pad]
+    ]
     return F.transform(F.sequence(F.lit(0), F.size(time) - 1), lambda i: F.struct(*fields(i)))
 
 
@@ -127,7 +133,9 @@ def explode_features(df: DataFrame, features: str) -> DataFrame:
 def route(wanted: DataFrame, archive: DataFrame, recent: DataFrame, *, day: str, today: date, after_days: int = 92) -> DataFrame:
     """Rows for the wanted days, older ones from the archive and others from the recent source (more than ``after_days`` back)."""
     old = F.datediff(F.lit(today), F.col(day)) > after_days
-    pick = lambda source, which, name: source.join(wanted.where(which).select(day).distinct(), day, "left_semi").withColumn("source", F.lit(name))
+    pick = lambda source, which, name: source.join(
+        wanted.where(which).select(day).distinct(), day, "left_semi"
+    ).withColumn("source", F.lit(name))
     return pick(archive, old, "archive").unionByName(pick(recent, ~old, "recent"))
 
 
@@ -224,7 +232,9 @@ def manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: s
     day = F.to_date(F.try_to_timestamp(F.col(timestamp).cast("string"))) if timestamp else F.lit(None).cast("date")
     rows = records.select(*keys, line.alias("_line"), day.alias("_day"), F.struct(*order, line).alias("_order"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("_order", "_line"))), lambda s: s["_line"])
-    return rows.groupBy(*keys).agg(*_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max"))
+    return rows.groupBy(*keys).agg(
+        *_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max")
+    )
 
 
 def _line_sums() -> list[Column]:
@@ -236,7 +246,9 @@ def _sha256(lines: Column) -> Column:
     return F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")), 256).alias("sha256_checksum")
 
 
-def file_manifests(spark: SparkSession, root: str, *, source_id: str, dataset_name: str, timestamp_field: str, fetched: datetime) -> DataFrame:
+def file_manifests(
+    spark: SparkSession, root: str, *, source_id: str, dataset_name: str, timestamp_field: str, fetched: datetime
+) -> DataFrame:
     """A manifest row for each file that has landed below ``root``, read from the files themselves.
 
     Besides names and times: its partition, records, bytes and SHA-256 of its lines as they stand, the mergeable
@@ -244,16 +256,36 @@ def file_manifests(spark: SparkSession, root: str, *, source_id: str, dataset_na
     come together for its hash, so its memory is bounded by the writer's file size, however large a partition is.
     """
     text = spark.read.option("recursiveFileLookup", True).text(root)
-    path, at = F.col("_metadata.file_path"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"))
+    path, at = F.col("_metadata.file_path"), F.struct(
+        "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"), F.col("value").alias("line")
+    )
     day = F.to_date(F.try_to_timestamp(F.get_json_object("value", f"$.{timestamp_field}")))
-    rows = text.select(path.alias("_path"), F.col("_metadata.file_name").alias("filename"), F.col("_metadata.file_size").alias("stored_bytes"), at.alias("_at"), F.col("value").alias("_line"), day.alias("_day"))
+    rows = text.select(
+        path.alias("_path"),
+        F.col("_metadata.file_name").alias("filename"),
+        F.col("_metadata.file_size").alias("stored_bytes"),
+        at.alias("_at"),
+        F.col("value").alias("_line"),
+        day.alias("_day"),
+    )
     lines = F.transform(F.array_sort(F.collect_list("_at")), lambda s: s["line"])
-    found = rows.groupBy("_path", "filename", "stored_bytes").agg(*_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max"))
+    found = rows.groupBy("_path", "filename", "stored_bytes").agg(
+        *_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max")
+    )
     part = lambda key: F.nullif(F.regexp_extract("_path", rf"/{key}=([^/]+)/", 1), F.lit(""))
-    fixed = {"source_id": source_id, "dataset_name": dataset_name, "ingest_date": fetched.date().isoformat(), "timestamp_field": timestamp_field}
+    fixed = {
+        "source_id": source_id, "dataset_name": dataset_name, "ingest_date": fetched.date().isoformat(), "timestamp_field": timestamp_field
+    }
     named = found.withColumns({k: F.lit(v) for k, v in fixed.items()})
     compression = F.when(F.col("filename").endswith(".gz"), "gzip")
-    return named.withColumns({"fetch_timestamp": F.lit(fetched.isoformat()), "compression": compression, "month_partition": part("month"), "date_partition": part("date")}).drop("_path")
+    return named.withColumns(
+        {
+            "fetch_timestamp": F.lit(fetched.isoformat()),
+            "compression": compression,
+            "month_partition": part("month"),
+            "date_partition": part("date"),
+        }
+    ).drop("_path")
 
 
 def write_manifests(manifests: DataFrame, path: str) -> None:
@@ -269,4 +301,9 @@ def stable_page(df: DataFrame, keys: list[str], number: int, size: int) -> DataF
 
 def stats(records: DataFrame, day: str, size: Column) -> DataFrame:
     """First and last day, number and bytes of records, in one pass."""
-    return records.agg(F.min(day).alias("data_date_min"), F.max(day).alias("data_date_max"), F.count("*").alias("record_count"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+    return records.agg(
+        F.min(day).alias("data_date_min"),
+        F.max(day).alias("data_date_max"),
+        F.count("*").alias("record_count"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
+    )

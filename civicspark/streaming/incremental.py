@@ -13,7 +13,19 @@ from ..session import shared_folder
 from ..sources.landing import write_partitions
 
 
-def clean_new_files(spark: SparkSession, landed: str, schema: StructType, transform: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, *, file_format: str = "json", partition: str = "date", keys: Sequence[str] = (), version: Sequence[str] = ()) -> None:
+def clean_new_files(
+    spark: SparkSession,
+    landed: str,
+    schema: StructType,
+    transform: Callable[[DataFrame], DataFrame],
+    table: str,
+    checkpoint: str,
+    *,
+    file_format: str = "json",
+    partition: str = "date",
+    keys: Sequence[str] = (),
+    version: Sequence[str] = (),
+) -> None:
     """Action: takes each file that has landed since the last run once, and replaces the partitions that it touches.
 
     With ``keys`` the rows that a partition already has are merged in, and the newest ``version`` of a key stays, so that
@@ -22,7 +34,9 @@ def clean_new_files(spark: SparkSession, landed: str, schema: StructType, transf
 
     def merge(batch: DataFrame, _: int) -> None:
         rows = transform(batch)
-        if keys and spark._jvm.org.apache.hadoop.fs.Path(table).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(table)):
+        if keys and spark._jvm.org.apache.hadoop.fs.Path(table).getFileSystem(spark._jsc.hadoopConfiguration()).exists(
+            spark._jvm.org.apache.hadoop.fs.Path(table)
+        ):
             touched = rows.select(partition).distinct()
             held = spark.read.schema(rows.schema).parquet(table).join(touched, partition, "left_semi")
             rows = newest_by(held.unionByName(rows), keys, version)

@@ -32,7 +32,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     languages go to the first by name; repeated rows each stay; null ids and sources stay null.
     """
     packed = docs.select("doc_id", "text", _others(docs))
-    found = language.identify(packed, language.learn(docs), carry=("text", "_others")).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    found = language.identify(packed, language.learn(docs), carry=("text", "_others")).where(
+        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    )
     given = {"doc_id": F.col("doc_id"), "text": F.col("text"), "lang": F.coalesce("_others.lang", "lang_pred").alias("lang")}
     return found.select([given.get(c, F.col("_others")[c].alias(c)) for c in docs.columns])
 
@@ -47,7 +49,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = ngram_join.join(hashed.select("doc_id", "text", "_row"), carry=("_row",))
     rows = found.groupBy("component", "doc_id", "_row").agg(F.count("*").alias("_n"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "_n")).alias("least")
-    first = rows.where("component IS NOT NULL").groupBy("component").agg(least).select("least.doc_id", "least._row", (F.col("least._n") > 1).alias("_repeated"))
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(least).select(
+        "least.doc_id", "least._row", (F.col("least._n") > 1).alias("_repeated")
+    )
     wordless = rows.where("component IS NULL").select("doc_id", "_row", F.lit(False).alias("_repeated"))
     kept = materialize(first.union(wordless).toDF("_kept", "_kept_row", "_repeated"))
     matched = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_kept"]) & (hashed["_row"] == kept["_kept_row"]))
@@ -77,7 +81,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id and text are each written as often as they are taken on average; ties in the order go by id and text.
     """
     taken = mixing.mix(docs).documents.withColumn("_times", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0))
-    times = taken.groupBy(F.col("doc_id").alias("_id"), "_tie").agg(F.round(F.avg("_times")).cast("int").alias("_times")).where("_times > 0")
+    times = taken.groupBy(F.col("doc_id").alias("_id"), "_tie").agg(
+        F.round(F.avg("_times")).cast("int").alias("_times")
+    ).where("_times > 0")
     joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & (F.xxhash64(docs["text"]) == times["_tie"]))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
 
@@ -89,7 +95,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = sentencepieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [

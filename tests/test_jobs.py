@@ -41,9 +41,15 @@ def test_forecast_keeps_newer_revisions(spark, tmp_path):
     landed, table, rejects = (str(tmp_path / n) for n in ("landed", "table", "rejects"))
     for day, shift in ((27, 0.0), (28, 1.0)):
         rows = [(f"2026-06-28T{h:02d}:00", 20.0 + shift, 0.0, 0.0, 5.0) for h in range(24)]
-        landing.write_snapshot(spark.createDataFrame(rows, "time string, temperature_2m double, precipitation double, snowfall double, windspeed_10m double"), landed, D(2026, 6, day))
+        landing.write_snapshot(
+            spark.createDataFrame(rows, "time string, temperature_2m double, precipitation double, snowfall double, windspeed_10m double"),
+            landed,
+            D(2026, 6, day),
+        )
     for end in (29, 28):  # a rerun of the older window doesn't lose the newer collection
-        assert jobs.clean_forecast(spark, landed, table, rejects, D(2026, 6, 27), D(2026, 6, end), "S", "America/Winnipeg") == jobs.Outcome(24, 0)
+        assert jobs.clean_forecast(
+            spark, landed, table, rejects, D(2026, 6, 27), D(2026, 6, end), "S", "America/Winnipeg"
+        ) == jobs.Outcome(24, 0)
         assert {r.temperature_2m for r in spark.read.parquet(table).collect()} == {21.0}
     with pytest.raises(TooFewRows):
         jobs.clean_forecast(spark, landed, table, rejects, D(2026, 7, 27), D(2026, 7, 29), "S", "America/Winnipeg")
@@ -73,5 +79,7 @@ def test_merged_days_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
     for version, keys in ((1, [1, 2]), (2, [2, 3])):
         rows = spark.createDataFrame([(k, version, "2024-01-01") for k in keys], "k int, version int, date string")
         rows.write.mode("append").parquet(landed)
-        incremental.clean_new_files(spark, landed, rows.schema, lambda batch: batch, table, state, file_format="parquet", keys=["k"], version=["version"])
+        incremental.clean_new_files(
+            spark, landed, rows.schema, lambda batch: batch, table, state, file_format="parquet", keys=["k"], version=["version"]
+        )
     assert sorted((r.k, r.version) for r in spark.read.parquet(table).collect()) == [(1, 1), (2, 2), (3, 2)]

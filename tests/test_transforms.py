@@ -28,7 +28,9 @@ def rows(df):
 
 
 def snow(spark, values, start=D(2026, 1, 10)):
-    return spark.createDataFrame([(start + dt.timedelta(days=i), v, -15.0 - i) for i, v in enumerate(values)], "day date, snow double, cold double")
+    return spark.createDataFrame(
+        [(start + dt.timedelta(days=i), v, -15.0 - i) for i, v in enumerate(values)], "day date, snow double, cold double"
+    )
 
 
 def segment(df, least=2.0, gap=0, by=()):
@@ -36,11 +38,23 @@ def segment(df, least=2.0, gap=0, by=()):
 
 
 def test_archive_days(spark):
-    raw = spark.createDataFrame([("2026-01-15", 4.0, -20.0, -8.0), ("2026-01-16", 900.0, -20.0, -8.0), ("not-a-date", 1.0, 0.0, 0.0), ("2026-01-17", None, -20.0, None)], "time string, snowfall_sum double, temperature_2m_min double, temperature_2m_max double")
+    raw = spark.createDataFrame(
+        [
+            ("2026-01-15", 4.0, -20.0, -8.0),
+            ("2026-01-16", 900.0, -20.0, -8.0),
+            ("not-a-date", 1.0, 0.0, 0.0),
+            ("2026-01-17", None, -20.0, None),
+        ],
+        "time string, snowfall_sum double, temperature_2m_min double, temperature_2m_max double",
+    )
     valid, rejected = quality.split(silver.archive_days(raw, "S"))
     assert "time" not in valid.columns
-    assert rows(valid.select("date", "snowfall_sum_cm", "temperature_2m_min_c", "temperature_2m_max_c", "source_id")) == [("2026-01-15", 4.0, -20.0, -8.0, "S"), ("2026-01-17", None, -20.0, None, "S")]
-    assert rows(rejected.select("weather_date", "_reject_reason")) == [(None, "null_weather_date"), (D(2026, 1, 16), "snowfall_sum_cm_out_of_range")]
+    assert rows(
+        valid.select("date", "snowfall_sum_cm", "temperature_2m_min_c", "temperature_2m_max_c", "source_id")
+    ) == [("2026-01-15", 4.0, -20.0, -8.0, "S"), ("2026-01-17", None, -20.0, None, "S")]
+    assert rows(rejected.select("weather_date", "_reject_reason")) == [
+        (None, "null_weather_date"), (D(2026, 1, 16), "snowfall_sum_cm_out_of_range")
+    ]
 
 
 def test_strict_dates(spark):
@@ -50,7 +64,9 @@ def test_strict_dates(spark):
 
 def test_segments(spark):
     [event] = segment(snow(spark, [0.5, 3.0, 7.5, 2.0, 0.0])).collect()
-    assert (event.event_id, event.start_date, event.end_date, event.duration_days, event.total, event.peak, event.low) == ("SNOW-20260111", D(2026, 1, 11), D(2026, 1, 13), 3, 12.5, 7.5, -18.0)
+    assert (
+        event.event_id, event.start_date, event.end_date, event.duration_days, event.total, event.peak, event.low
+    ) == ("SNOW-20260111", D(2026, 1, 11), D(2026, 1, 13), 3, 12.5, 7.5, -18.0)
 
 
 @pytest.mark.parametrize(("gap", "events"), [(0, 2), (1, 1)])
@@ -96,17 +112,24 @@ def test_newest(spark):
 
 @pytest.mark.parametrize(("zone", "hour"), [("America/Winnipeg", "15:00"), ("America/New_York", "14:00")])
 def test_wall_clock(spark, zone, hour):
-    df = spark.createDataFrame([("2026-06-28T10:00:00",), ("bad",)], "t string").select(F.date_format(columns.wall_clock_to_utc(F.col("t"), zone), "HH:mm"))
+    df = spark.createDataFrame([("2026-06-28T10:00:00",), ("bad",)], "t string").select(
+        F.date_format(columns.wall_clock_to_utc(F.col("t"), zone), "HH:mm")
+    )
     assert [r[0] for r in df.collect()] == [hour, None]
 
 
 def test_clock_changes(spark):
-    df = spark.createDataFrame([("2026-11-01T01:30",), ("2026-03-08T02:30",)], "t string").select(F.date_format(columns.wall_clock_to_utc(F.col("t"), "America/Winnipeg"), "HH:mm"))
+    df = spark.createDataFrame([("2026-11-01T01:30",), ("2026-03-08T02:30",)], "t string").select(
+        F.date_format(columns.wall_clock_to_utc(F.col("t"), "America/Winnipeg"), "HH:mm")
+    )
     assert [r[0] for r in df.collect()] == ["06:30", "08:30"]
 
 
 def test_forecast_reasons(spark):
-    raw = spark.createDataFrame([("2026-06-28T10:00", "2026-06-28", 20.0, None), ("2026-06-28T11:00", "2026-06-28", 999.0, -1.0), (None, "2026-06-28", 20.0, 0.0)], "time string, ingest_date string, temperature_2m double, precipitation double")
+    raw = spark.createDataFrame(
+        [("2026-06-28T10:00", "2026-06-28", 20.0, None), ("2026-06-28T11:00", "2026-06-28", 999.0, -1.0), (None, "2026-06-28", 20.0, 0.0)],
+        "time string, ingest_date string, temperature_2m double, precipitation double",
+    )
     valid, rejected = quality.split(silver.forecast_hours(raw, "S", "America/Winnipeg"))
     assert valid.count() == 1
     assert {r._reject_reason for r in rejected.collect()} == {"temperature_2m_out_of_range", "null_time_utc"}
@@ -146,11 +169,21 @@ SQUARE = [[[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.5], [0.0, 0.0]]]]
 
 def test_boundaries(spark):
     kind = "borocode string, boroname string, shape_area string, shape_leng string, the_geom struct<type:string,coordinates:array<array<array<array<double>>>>>"
-    df = spark.createDataFrame([("1", "n", "636631537.285", "1", ("MultiPolygon", SQUARE)), ("99", "n", "x", "1", ("MultiPolygon", SQUARE)), ("2", "n", "1", "1", None), ("3", "n", "1", "1", ("MultiPolygon", [[SQUARE[0][0][:3]]]))], kind)
+    df = spark.createDataFrame(
+        [
+            ("1", "n", "636631537.285", "1", ("MultiPolygon", SQUARE)),
+            ("99", "n", "x", "1", ("MultiPolygon", SQUARE)),
+            ("2", "n", "1", "1", None),
+            ("3", "n", "1", "1", ("MultiPolygon", [[SQUARE[0][0][:3]]])),
+        ],
+        kind,
+    )
     found = silver.boundaries(df, "S")
     assert [r._reject_reason for r in found.collect()] == [None, "invalid_borough_id", "null_geometry", "open_ring"]
     first = found.first()
-    assert (first.borough_id, first.shape_area_sqft, first.geometry_wkt) == (1, 636631537.285, "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4.5, 0 0)))")
+    assert (first.borough_id, first.shape_area_sqft, first.geometry_wkt) == (
+        1, 636631537.285, "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4.5, 0 0)))"
+    )
 
 
 def test_wkt_with_hole(spark):
@@ -161,11 +194,15 @@ def test_wkt_with_hole(spark):
 
 
 def manifests(spark, counts):
-    return spark.createDataFrame([("d", str(i), c) for i, c in enumerate(counts)], "dataset string, partition_key string, record_count long")
+    return spark.createDataFrame(
+        [("d", str(i), c) for i, c in enumerate(counts)], "dataset string, partition_key string, record_count long"
+    )
 
 
 def test_coverage(spark):
-    assert [r.anomaly_low for r in audit.coverage(manifests(spark, [500, 500, 50]), by=["dataset"]).orderBy("partition_key").collect()] == [False, False, True]
+    assert [
+        r.anomaly_low for r in audit.coverage(manifests(spark, [500, 500, 50]), by=["dataset"]).orderBy("partition_key").collect()
+    ] == [False, False, True]
     found = audit.coverage_summary(manifests(spark, [1000, 0, 10])).first()
     assert (found.total_records, found.gaps) == (1010, 1)
     none = audit.coverage_summary(manifests(spark, [])).first()
@@ -173,7 +210,10 @@ def test_coverage(spark):
 
 
 def test_profiles(spark):
-    df = spark.createDataFrame([("A", "2026-01-01T00:00:00", "brooklyn", "2"), (None, "1970-01-01T00:00:00", "R1", "0"), ("B", None, "Unspecified", None)], "agency string, t string, region string, n string")
+    df = spark.createDataFrame(
+        [("A", "2026-01-01T00:00:00", "brooklyn", "2"), (None, "1970-01-01T00:00:00", "R1", "0"), ("B", None, "Unspecified", None)],
+        "agency string, t string, region string, n string",
+    )
     rates = {r.field: r.null_rate for r in profile.null_rates(df).collect()}
     assert rates == {"agency": 0.3333, "t": 0.3333, "region": 0.0, "n": 0.3333}
     stamp = profile.timestamps(df, "t").first()
@@ -196,10 +236,14 @@ def test_tolerant_read(spark, tmp_path):
 
 
 def test_flatten(spark):
-    df = spark.createDataFrame([(1, (["t1", "t2", "t3"], [5.0])), (2, ([], [])), (3, None)], "id int, hourly struct<time:array<string>,x:array<double>>")
+    df = spark.createDataFrame(
+        [(1, (["t1", "t2", "t3"], [5.0])), (2, ([], [])), (3, None)], "id int, hourly struct<time:array<string>,x:array<double>>"
+    )
     assert rows(landing.flatten_series(df, ["id"], ["hourly"], ["x"])) == [(1, "t1", 5.0), (1, "t2", None), (1, "t3", None)]
     held = spark.createDataFrame([(1, (["t1", "t2", "t3"], [5.0, None])), (2, (["t1"], None))], df.schema)
-    assert rows(landing.flatten_series(held, ["id"], ["hourly"], ["x"], pad=False)) == [(1, "t1", 5.0, True), (1, "t2", None, True), (1, "t3", None, False), (2, "t1", None, False)]
+    assert rows(landing.flatten_series(held, ["id"], ["hourly"], ["x"], pad=False)) == [
+        (1, "t1", 5.0, True), (1, "t2", None, True), (1, "t3", None, False), (2, "t1", None, False)
+    ]
 
 
 @pytest.mark.parametrize(("n", "want"), [(2, ["a", "b"]), (7, ["a", "c", "e"]), (3, ["a", "b", "c"])])
@@ -220,7 +264,9 @@ def test_days_that_are_absent_fail(spark, tmp_path):
     df = spark.createDataFrame([("2026-01-31T10:00:00", 1), ("2026-02-01T10:00:00", 2)], "ts string, n int")
     landing.write_daily(df, str(tmp_path / "d"), "ts")
     read = lambda a, z: landing.read_days(spark, str(tmp_path / "d"), df.schema, a, z)
-    assert rows(read(D(2026, 1, 31), D(2026, 2, 2)).select("month", "date", "n")) == [("2026-01", "2026-01-31", 1), ("2026-02", "2026-02-01", 2)]
+    assert rows(
+        read(D(2026, 1, 31), D(2026, 2, 2)).select("month", "date", "n")
+    ) == [("2026-01", "2026-01-31", 1), ("2026-02", "2026-02-01", 2)]
     assert read(D(2026, 2, 1), D(2026, 2, 1)).count() == 0
     with pytest.raises(AnalysisException):
         read(D(2026, 1, 31), D(2026, 2, 3))
@@ -243,7 +289,9 @@ def test_daily_landing_keeps_the_order(spark, tmp_path):
 def test_file_manifests(spark, tmp_path):
     df = spark.range(500).selectExpr("id", "date_format(date_add(date'2026-01-30', cast(id % 3 as int)), 'yyyy-MM-dd') as ts")
     landing.write_daily(df, str(tmp_path / "d"), "ts")
-    made = landing.file_manifests(spark, str(tmp_path / "d"), source_id="S", dataset_name="x", timestamp_field="ts", fetched=dt.datetime(2026, 2, 3))
+    made = landing.file_manifests(
+        spark, str(tmp_path / "d"), source_id="S", dataset_name="x", timestamp_field="ts", fetched=dt.datetime(2026, 2, 3)
+    )
     for r in made.collect():
         file = tmp_path / "d" / f"month={r.month_partition}" / f"date={r.date_partition}" / r.filename
         payload = gzip.open(file).read()
@@ -300,21 +348,41 @@ def test_point_on_other_side_of_hole(spark):
 
 def test_overlaps_once(spark):
     a = spark.createDataFrame([(1, D(2026, 1, 1), D(2026, 6, 1))], "k int, s date, e date")
-    b = spark.createDataFrame([(1, D(2026, 2, 1), D(2026, 5, 1)), (1, D(2026, 6, 1), D(2026, 6, 2)), (1, D(2026, 6, 2), D(2026, 6, 3)), (2, D(2026, 2, 1), D(2026, 2, 1))], "k int, s2 date, e2 date")
+    b = spark.createDataFrame(
+        [
+            (1, D(2026, 2, 1), D(2026, 5, 1)),
+            (1, D(2026, 6, 1), D(2026, 6, 2)),
+            (1, D(2026, 6, 2), D(2026, 6, 3)),
+            (2, D(2026, 2, 1), D(2026, 2, 1)),
+        ],
+        "k int, s2 date, e2 date",
+    )
     found = intervals.overlaps(a, b, on=["k"], left_span=("s", "e"), right_span=("s2", "e2"))
     assert rows(found.select("s2")) == [(D(2026, 2, 1),), (D(2026, 6, 1),)]
 
 
 def test_supply_gap_is_null_before_the_series(spark):
-    events = spark.createDataFrame([("old", D(2010, 1, 1), D(2010, 1, 2)), ("new", D(2020, 1, 1), D(2020, 1, 2))], "event_id string, start_date date, end_date date")
+    events = spark.createDataFrame(
+        [("old", D(2010, 1, 1), D(2010, 1, 2)), ("new", D(2020, 1, 1), D(2020, 1, 2))], "event_id string, start_date date, end_date date"
+    )
     zones = spark.createDataFrame([("a",), ("b",)], "zone string")
     shifts = spark.createDataFrame([("a", D(2020, 1, 2), D(2020, 1, 5))], "zone string, shift_start date, shift_end date")
     found = intervals.supply_gaps(events, zones, shifts, supply_start="2015-12-01")
-    assert rows(found.select("event_id", "zone", "supply_gap")) == [("new", "a", 0), ("new", "b", 1), ("old", "a", None), ("old", "b", None)]
+    assert rows(found.select("event_id", "zone", "supply_gap")) == [
+        ("new", "a", 0), ("new", "b", 1), ("old", "a", None), ("old", "b", None)
+    ]
 
 
 def test_request_types(spark):
-    df = spark.createDataFrame([("Snow Removal High Piles Pr 2",), ("Snow Removal Request Sidewalk After Hours P1",), ("Frozen Catch Basin Priority 3 Reg",), ("Service_vof",)], "type string")
+    df = spark.createDataFrame(
+        [
+            ("Snow Removal High Piles Pr 2",),
+            ("Snow Removal Request Sidewalk After Hours P1",),
+            ("Frozen Catch Basin Priority 3 Reg",),
+            ("Service_vof",),
+        ],
+        "type string",
+    )
     found = {r.type: (r.priority, r["shift"], r.is_vof) for r in city.type_dictionary(df, "type").collect()}
     assert list(found.values()).count((None, None, True)) == 1
     assert set(found.values()) == {(2, None, False), (1, "After", False), (3, "Reg", False), (None, None, True)}
@@ -327,7 +395,9 @@ def test_keywords_leave_service_alone(spark):
 
 def test_seasonal_baseline_looks_back_only(spark):
     df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, 20.0), ("a", 3, 60.0)], "area string, season int, v double")
-    assert [r.baseline for r in city.seasonal_baseline(df, area="area", season="season", value="v").orderBy("season").collect()] == [None, 10.0, 15.0]
+    assert [
+        r.baseline for r in city.seasonal_baseline(df, area="area", season="season", value="v").orderBy("season").collect()
+    ] == [None, 10.0, 15.0]
 
 
 def test_calendars(spark):
