@@ -215,7 +215,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:  # noqa: B008
+def neighbours(
+    docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:  # noqa: B008
     """Each document's fingerprint, its edited text with its fingerprint, and its likeness to that and to the next document.
 
     ``key``, ``n_chars`` (code points), ``fingerprint``, ``edited``, ``edited_fingerprint``, ``near_edited``, ``near_next``. The next document is
@@ -231,13 +233,21 @@ def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text:
     rows = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     parts = partitions(spark)
     # as many bounds as partitions: a few numbers, whatever the input
-    quantiles = rows.agg(F.percentile_approx(F.col("_k"), [i / parts for i in range(1, parts)], 10 * parts).alias("q")).first()["q"] if parts > 1 else None
+    quantiles = rows.agg(
+        F.percentile_approx(F.col("_k"), [i / parts for i in range(1, parts)], 10 * parts).alias("q")
+    ).first()["q"] if parts > 1 else None
     bounds = sorted(set(quantiles or []))
     ranged = _ranged(rows, bounds)
     nulls = F.max(F.col("_k").isNull().cast("int"))
-    heads = [(r["_range"], r["head"]) for r in ranged.groupBy("_range").agg(F.when(nulls == 0, F.min("_k")).alias("head")).orderBy("_range").collect()]
+    heads = [
+        (r["_range"], r["head"])
+        for r in ranged.groupBy("_range").agg(F.when(nulls == 0, F.min("_k")).alias("head")).orderBy("_range").collect()
+    ]
     if not heads:
-        return spark.createDataFrame([], f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double")
+        return spark.createDataFrame(
+            [],
+            f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double",
+        )
     table = spark.createDataFrame([(r, heads[i - 1][0], h) for i, (r, h) in enumerate(heads)], f"_range int, _before int, _head {kind}")
     ranged = ranged.join(F.broadcast(table), "_range")
     own, sent = F.struct(F.col("_range").alias("r"), F.lit(0).alias("copy")), F.struct(F.col("_before").alias("r"), F.lit(1).alias("copy"))
@@ -270,7 +280,10 @@ def neighbours(docs: DataFrame, ranks: np.ndarray, *, key: str = "doc_id", text:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(7)], names=names)
 
     arrow = to_arrow_type(docs.schema[key].dataType)
-    return ordered.mapInArrow(tidy(run), f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.mapInArrow(
+        tidy(run),
+        f"`{key}` {kind}, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double",
+    )
 
 
 def _ranged(rows: DataFrame, bounds: list) -> DataFrame:

@@ -52,7 +52,11 @@ class Network:
 
     def start(self) -> Network:
         s, rng = self.settings, np.random.default_rng(self.settings.seed)
-        w = {"emb": rng.normal(0, 0.5, (256, s.embedding)), "out": rng.normal(0, 0.1, (s.filters * len(s.widths), len(self.languages))), "bias": np.zeros(len(self.languages))}
+        w = {
+            "emb": rng.normal(0, 0.5, (256, s.embedding)),
+            "out": rng.normal(0, 0.1, (s.filters * len(s.widths), len(self.languages))),
+            "bias": np.zeros(len(self.languages)),
+        }
         for k in s.widths:
             w[f"conv{k}"] = rng.normal(0, (k * s.embedding) ** -0.5, (k * s.embedding, s.filters))
             w[f"off{k}"] = np.zeros(s.filters)
@@ -142,7 +146,9 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> Network:  # noqa: B008
+def learn(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: Settings = Settings()
+) -> Network:  # noqa: B008
     """A network trained on at most ``docs_per_language`` documents of each language that are not held out.
 
     Rows whose text or language is null teach nothing. Without any the network has no languages.
@@ -165,11 +171,23 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
             made, row = cut(data, offsets, width)
             first = np.searchsorted(row, np.arange(batch.num_rows + 1))
             places = batch.column(0).to_numpy()
-            keep = [first[i] + np.random.default_rng([seed, int(places[i] * (1 << 30))]).permutation(n)[:each] for i in range(batch.num_rows) if (n := first[i + 1] - first[i])]
+            keep = [
+                first[i] + np.random.default_rng([seed, int(places[i] * (1 << 30))]).permutation(n)[:each]
+                for i in range(batch.num_rows) if (n := first[i + 1] - first[i])
+            ]
             keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[keep])), batch.column(1).take(pa.array(row[keep])), pa.array([m.tobytes() for m in made[keep]], pa.binary())], names=["place", "lang", "bytes"])
-
-    rows = sorted((tuple(r) for r in picked.mapInArrow(tidy(windows), "place double, lang string, bytes binary").collect()), key=lambda r: r[0])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row[keep])),
+                    batch.column(1).take(pa.array(row[keep])),
+                    pa.array([m.tobytes() for m in made[keep]], pa.binary()),
+                ],
+                names=["place", "lang", "bytes"],
+            )
+
+    rows = sorted(
+        (tuple(r) for r in picked.mapInArrow(tidy(windows), "place double, lang string, bytes binary").collect()), key=lambda r: r[0]
+    )
     x, y, seen = [], [], dict.fromkeys(network.languages, 0)
     for _, language, content in rows:
         if seen[language] < settings.docs_per_language * each:
@@ -186,7 +204,9 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     return network.fit(np.concatenate([x, short]), np.concatenate([y, y]))
 
 
-def identify(docs: DataFrame, network: Network, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), windows_at_once: int = 512) -> DataFrame:
+def identify(
+    docs: DataFrame, network: Network, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), windows_at_once: int = 512
+) -> DataFrame:
     """``key``, the columns named in ``carry``, ``lang_pred`` and ``score`` (mean probability, 0 to 1) of every row, from its whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if the network knows no language.

@@ -41,7 +41,9 @@ def words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def targets(sizes: list[tuple[str | None, int]], *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> list[Target]:
+def targets(
+    sizes: list[tuple[str | None, int]], *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0
+) -> list[Target]:
     """The words wanted of each source. Sources stand by code point, null last, and weigh ``weights`` in turn; together
     they get ``share`` of all words. A target stops at ``most`` times its source's size; the excess is shared again by
     weight among the others until none is above."""
@@ -76,7 +78,19 @@ def _offset(df: DataFrame, by: list[str], place: str, value: Column) -> DataFram
     return sums.select(*by, place, F.coalesce(F.sum("_here").over(w), F.lit(0)).cast("long").alias("_before"))
 
 
-def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 42, block_words: int = 4096, least_slots: int = 20_000) -> Mix:
+def mix(
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[float, ...] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 42,
+    block_words: int = 4096,
+    least_slots: int = 20_000,
+) -> Mix:
     """Mix all documents; see ``Mix`` for the result.
 
     Null text has size 0 and is never taken, null is a source like any other (the last), equal keys are ordered by their
@@ -89,7 +103,13 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     the documents, and is broadcast up to 100,000 sources, beyond that joined by shuffle.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), words(text).alias("size"), F.xxhash64(F.lit(seed), F.col(key)).alias("_place"), F.xxhash64(text).alias("_tie"))
+    sized = docs.select(
+        F.col(key).alias("_key"),
+        F.col(source).alias("_source"),
+        words(text).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(key)).alias("_place"),
+        F.xxhash64(text).alias("_tie"),
+    )
     sized = materialize(sized)  # a few numbers a row; the texts are read once
     per_source = sized.groupBy("_source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
     plan = targets([(r["_source"], r["n"]) for r in per_source], weights=weights, share=share, most=most)
@@ -117,14 +137,25 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
 
     # pieces of each pass: the words that a document has in each block of its source's repeated stream, up to the target
     passes = math.ceil(most)
-    repeated = placed.where("size > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))).withColumn("_a", F.col("_start") + F.col("_pass") * F.col("source_size"))
+    repeated = placed.where("size > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))).withColumn(
+        "_a", F.col("_start") + F.col("_pass") * F.col("source_size")
+    )
     wanted = repeated.where("_a < _goal").withColumn("_e", F.least(F.col("_a") + F.col("size"), F.col("_goal")))
     pieces = wanted.withColumn("block", F.explode(F.expr("sequence(_a div _block, (_e - 1) div _block)")))
     lo, hi = F.greatest(F.col("_a"), F.col("block") * F.col("_block")), F.least(F.col("_e"), (F.col("block") + 1) * F.col("_block"))
-    pieces = pieces.select("_s", "_bucket", "_row", F.col("_key"), "block", (lo - F.col("_a")).alias("first_word"), (hi - lo).alias("words"), "_pass")
+    pieces = pieces.select(
+        "_s", "_bucket", "_row", F.col("_key"), "block", (lo - F.col("_a")).alias("first_word"), (hi - lo).alias("words"), "_pass"
+    )
 
     # slots: golden-ratio points through the cumulative numbers of blocks, ranked in their source by segment
-    points = spark.range(slots).select(F.col("id").alias("slot"), (F.pmod(F.col("id").cast("decimal(20,0)") * F.lit(_GOLDEN).cast("decimal(18,0)"), F.lit(1 << 53).cast("decimal(18,0)")).cast("double") / float(1 << 53)).alias("_u"))
+    points = spark.range(slots).select(
+        F.col("id").alias("slot"),
+        (
+            F.pmod(
+                F.col("id").cast("decimal(20,0)") * F.lit(_GOLDEN).cast("decimal(18,0)"), F.lit(1 << 53).cast("decimal(18,0)")
+            ).cast("double") / float(1 << 53)
+        ).alias("_u"),
+    )
     cells, before, ranges = len(plan), 0, []
     for i, n in enumerate(counts):
         low, high = before / max(1, slots), (before + n) / max(1, slots)
@@ -132,9 +163,13 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
         before += n
     intervals = spark.createDataFrame(ranges, "_cell int, _s int, _from double, _to double")
     near = points.withColumn("_cell", F.floor(F.col("_u") * cells).cast("int")).join(small(intervals), "_cell")
-    hit = near.where((F.col("_u") >= F.col("_from")) & (F.col("_u") < F.col("_to"))).select("slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment"))
+    hit = near.where((F.col("_u") >= F.col("_from")) & (F.col("_u") < F.col("_to"))).select(
+        "slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment")
+    )
     rank = F.row_number().over(Window.partitionBy("_s", "_segment").orderBy("slot"))
-    ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select("slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
+    ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select(
+        "slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("_rank")
+    )
     # as many slots are above a source's blocks as blocks have no slot: the first of these gets the first of those, and so on
     got = {r["_s"]: r["count"] for r in hit.groupBy("_s").count().collect()}
     above, spare, bare = 0, [], []
@@ -149,7 +184,11 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     ranked = full.select("slot", F.coalesce("_to", "_s").alias("_s"), F.coalesce("_bare", "_rank").alias("block"))
 
     joined = pieces.join(ranked, ["_s", "block"])
-    schedule = joined.join(small(table.select("_s", F.col("_source").alias("source"))), "_s").select("slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words")
+    schedule = joined.join(small(table.select("_s", F.col("_source").alias("source"))), "_s").select(
+        "slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words"
+    )
     taken = joined.groupBy("_s", "_bucket", "_row").agg(F.sum("words").alias("_taken"))
-    documents = placed.join(taken, ["_s", "_bucket", "_row"], "left").select(F.col("_key").alias(key), "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"), F.col("_tie"))
+    documents = placed.join(taken, ["_s", "_bucket", "_row"], "left").select(
+        F.col("_key").alias(key), "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"), F.col("_tie")
+    )
     return Mix(documents, schedule)

@@ -71,7 +71,10 @@ def set_names(docs: DataFrame, *, key: str, text: str, words: int, carry: tuple[
             for lo, hi, values, at in _sets(batch.column(1), words):
                 n = np.diff(at)
                 carried = [batch.column(2 + i).slice(lo, hi - lo) for i in range(len(carry))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(arrow), *carried, pa.array(n), pa.array(_keys(values, at), mask=n == 0)], names=["_k", *carry, "n", "node"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo).cast(arrow), *carried, pa.array(n), pa.array(_keys(values, at), mask=n == 0)],
+                    names=["_k", *carry, "n", "node"],
+                )
 
     return frame.mapInArrow(tidy(run), f"_k {frame.schema['_k'].dataType.simpleString()}, {kinds}n long, node long")
 
@@ -91,9 +94,13 @@ def _common(docs: DataFrame, text: str, words: int) -> np.ndarray:
                 new = ~np.isin(names, met) & (np.diff(at) > 0)
                 met = np.unique(np.concatenate([met, names[new]]))
                 keep = np.repeat(new, np.diff(at))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, np.diff(at))[keep]), pa.array(values[keep].view(np.int64))], names=["node", "shingle"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(names, np.diff(at))[keep]), pa.array(values[keep].view(np.int64))], names=["node", "shingle"]
+                )
 
-    sampled = docs.where(F.pmod(F.xxhash64(text), F.lit(_SAMPLE)) == 0).select(text).mapInArrow(tidy(run), "node long, shingle long").distinct()
+    sampled = docs.where(
+        F.pmod(F.xxhash64(text), F.lit(_SAMPLE)) == 0
+    ).select(text).mapInArrow(tidy(run), "node long, shingle long").distinct()
     counts = sampled.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= _COMMON)
     found = counts.orderBy(F.desc("n"), "shingle").limit(_LISTED).select("shingle").collect()
     return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
@@ -143,8 +150,16 @@ def _dealt(docs: DataFrame, text: str, words: int, groups: int, common: np.ndarr
         cuts = np.concatenate([first, [len(starts)]])
         edges = np.concatenate([starts, [len(owner)]])[cuts]
         for i, g in enumerate(to.tolist()):
-            row = (g, value[edges[i] : edges[i + 1]].tobytes(), owner[starts[cuts[i] : cuts[i + 1]]].tobytes(), counts[cuts[i] : cuts[i + 1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int32(), *[pa.binary()] * 3], strict=True)], names=["group", "shingles", "nodes", "counts"])
+            row = (
+                g,
+                value[edges[i] : edges[i + 1]].tobytes(),
+                owner[starts[cuts[i] : cuts[i + 1]]].tobytes(),
+                counts[cuts[i] : cuts[i + 1]].tobytes(),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip(row, [pa.int32(), *[pa.binary()] * 3], strict=True)],
+                names=["group", "shingles", "nodes", "counts"],
+            )
 
     return docs.select(text).mapInArrow(tidy(run), "group int, shingles binary, nodes binary, counts binary")
 
@@ -194,9 +209,13 @@ def _shared(groups: int) -> Callable[[pa.Table], pa.Table]:
         group, out = group if group >= 0 else groups, []
         for i, b in enumerate(to.tolist()):
             of_bucket, here = slice(cuts[i], cuts[i + 1]), slice(edges[i], edges[i + 1])
-            out.append((b, group, names[of[starts[of_bucket]]].tobytes(), counts[of_bucket].tobytes(), value[here].tobytes(), rank[here].tobytes()))
+            out.append(
+                (b, group, names[of[starts[of_bucket]]].tobytes(), counts[of_bucket].tobytes(), value[here].tobytes(), rank[here].tobytes())
+            )
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-        return pa.table({n: pa.array([r[i] for r in out], kinds[i]) for i, n in enumerate(("bucket", "group", "nodes", "counts", "shingles", "ranks"))})
+        return pa.table(
+            {n: pa.array([r[i] for r in out], kinds[i]) for i, n in enumerate(("bucket", "group", "nodes", "counts", "shingles", "ranks"))}
+        )
 
     return run
 
@@ -214,7 +233,9 @@ def _placed(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         counts = [np.frombuffer(c.as_py(), np.uint8) for c in pieces.column("counts")]
         group = np.repeat(pieces.column("group").to_numpy().astype(np.int64), [int(c.sum()) for c in counts])
         node = np.searchsorted(names, np.repeat(_joined(pieces, "nodes", np.int64), np.concatenate([np.zeros(0, np.uint8), *counts])))
-        item = _joined(pieces, "ranks", np.uint8).astype(np.int64) << 55 | group << 32 | _joined(pieces, "shingles", np.uint32).astype(np.int64)
+        item = _joined(pieces, "ranks", np.uint8).astype(np.int64) << 55 | group << 32 | _joined(
+            pieces, "shingles", np.uint32
+        ).astype(np.int64)
         held = np.bincount(node, minlength=len(names))
         able = 100 * held >= percent * size
         keep = able[node]
@@ -224,7 +245,9 @@ def _placed(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         offsets = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
         # a bit is on if it is hit by an odd number of shingles: two sets differ by at least as many as their bitmaps
         row = np.repeat(np.arange(len(names)), held)
-        hits = np.bincount(row * (64 * _WORDS) + (mix(item.view(np.uint64)) % np.uint64(64 * _WORDS)).astype(np.int64), minlength=len(names) * 64 * _WORDS)
+        hits = np.bincount(
+            row * (64 * _WORDS) + (mix(item.view(np.uint64)) % np.uint64(64 * _WORDS)).astype(np.int64), minlength=len(names) * 64 * _WORDS
+        )
         bits = np.packbits((hits % 2).astype(np.uint8).reshape(-1, 64), axis=1).reshape(-1).view(np.int64)
         bitmap = pa.ListArray.from_arrays(pa.array(np.arange(len(names) + 1, dtype=np.int32) * _WORDS), pa.array(bits))
         return pa.table({"node": names, "n": size, "items": pa.ListArray.from_arrays(pa.array(offsets), pa.array(item)), "bitmap": bitmap})
@@ -235,7 +258,9 @@ def _placed(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _cuts(nodes: DataFrame, fragments: int) -> list[int]:
     """Where the order is cut so that fragments hold about as many shingles of nodes."""
     at = [i / fragments for i in range(1, fragments)]
-    found = nodes.select(F.explode("items").alias("item")).agg(F.percentile_approx("item", at, 1000).alias("at")).first()["at"] if at else None
+    found = nodes.select(F.explode("items").alias("item")).agg(
+        F.percentile_approx("item", at, 1000).alias("at")
+    ).first()["at"] if at else None
     return sorted(set(found or []))
 
 
@@ -251,7 +276,9 @@ def _links(pairs: DataFrame, nodes: DataFrame, cuts: list[int], percent: int) ->
     cut = F.array(*[F.filter("items", inside(lo, hi)) for lo, hi in zip(lows, highs, strict=True)])
     segments = needed.select("node", F.posexplode(cut).alias("fragment", "segment")).where(F.size("segment") > 0)
     left, right = (segments.select(F.col("node").alias(k), "fragment", F.col("segment").alias(f"segment_{k}")) for k in "ab")
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "na", "b", "nb", F.size(F.array_intersect("segment_a", "segment_b")).alias("part"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
+        "a", "na", "b", "nb", F.size(F.array_intersect("segment_a", "segment_b")).alias("part")
+    )
     summed = partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("overlap"))
     return summed.where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
@@ -275,7 +302,16 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return out
 
 
-def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, carry: tuple[str, ...] = (), fragments: int = _FRAGMENTS) -> DataFrame:
+def join(
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    percent: int = 75,
+    carry: tuple[str, ...] = (),
+    fragments: int = _FRAGMENTS,
+) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach, of every row.
 
     With ``carry`` also the columns named there and ``component``, a name of the component that doesn't hang on keys:
@@ -293,15 +329,26 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     groups = max(partitions(docs.sparkSession), (named.agg(F.sum("n")).first()[0] or 0) // _GROUP)
     classes = named.where("node is not null").groupBy("node", "n").agg(F.min("_k").alias("first"))
 
-    dealt = _dealt(docs, text, words, groups, _common(docs, text, words)).groupBy("group").applyInArrow(tidy_group(_shared(groups)), "bucket int, group int, nodes binary, counts binary, shingles binary, ranks binary")
+    dealt = _dealt(docs, text, words, groups, _common(docs, text, words)).groupBy("group").applyInArrow(
+        tidy_group(_shared(groups)), "bucket int, group int, nodes binary, counts binary, shingles binary, ranks binary"
+    )
     sizes = classes.select("node", "n", F.pmod("node", F.lit(groups)).cast("int").alias("bucket"))
     # a node can link only if others hold enough of its shingles, by number
-    nodes = materialize(dealt.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(tidy_groups(_placed(percent)), "node long, n long, items array<long>, bitmap array<long>"))
+    nodes = materialize(
+        dealt.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(
+            tidy_groups(_placed(percent)), "node long, n long, items array<long>, bitmap array<long>"
+        )
+    )
     cuts = _cuts(nodes, fragments)
     # the first part of the order, of which shingles that nobody else holds come first
     prefix = F.floor(F.col("n") * (100 - percent) / 100.0 + 1e-9) + 1 - (F.col("n") - F.size("items"))
     first = F.slice("items", F.lit(1), F.least(prefix, F.size("items")).cast("int"))
-    placed = nodes.where(prefix > 0).select("node", F.col("n").cast("int").alias("n"), (F.col("n") - F.size("items")).cast("int").alias("alone"), F.posexplode(first).alias("at", "shingle"))
+    placed = nodes.where(prefix > 0).select(
+        "node",
+        F.col("n").cast("int").alias("n"),
+        (F.col("n") - F.size("items")).cast("int").alias("alone"),
+        F.posexplode(first).alias("at", "shingle"),
+    )
     prefixes = materialize(placed.select("node", "n", "shingle", (F.col("alone") + F.col("at")).alias("place")))
 
     # names are hashes, so the least of a shingle's nodes is any of them, and mostly the same one for a group of copies
@@ -328,9 +375,13 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).alias("alone"))
     open_ = materialize(_apart(apart.drop("comp").join(comps, "node")).join(own, "node"))
     other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "place", "bitmap", "alone")])
-    differ = sum((F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b"))
+    differ = sum(
+        (F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b")
+    )
     near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
-    rest = open_.join(other, "shingle").where((F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near).select(*_pair("node", "n", "node_b", "n_b"))
+    rest = open_.join(other, "shingle").where(
+        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near
+    ).select(*_pair("node", "n", "node_b", "n_b"))
     found = linked(_fit(rest, percent))
     if not found.isEmpty():
         used.append(comps)
@@ -342,7 +393,12 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int
     # few components hold more than one class; the others' smallest key is at hand
     merged = member.join(least, "comp").select("node", "least", "comp")
     more = [*carry, F.col("comp").alias("component")] if carry else []
-    return named.join(merged, "node", "left").select(F.col("_k").alias(key), *more, F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("_k")).otherwise(F.col("least")).alias("component_id"))
+    return named.join(merged, "node", "left").select(
+        F.col("_k").alias(key),
+        *more,
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("_k")).otherwise(F.col("least")).alias("component_id"),
+    )
 
 
 def _pair(a: str, na: str, b: str, nb: str) -> list[Column]:

@@ -244,7 +244,9 @@ def _runs(rows: list[tuple[str | None, int]], window: int, threshold: int, *, fa
     return [*out.values()]
 
 
-def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", page: str = "html", window: int = 3, threshold: int = 80) -> DataFrame:
+def extract(
+    pages: DataFrame, *, key: str = "page_id", url: str = "url", page: str = "html", window: int = 3, threshold: int = 80
+) -> DataFrame:
     """``key``, ``url`` and ``text`` of every row, from its whole page.
 
     A null or empty page, or one without text, gives ""; null urls stay null; repeated rows give a row each; an empty

@@ -68,7 +68,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     return np.concatenate(grams), *(np.concatenate(x).astype(np.int64) for x in (rows, places, counts))
 
 
-def by_context(data: np.ndarray, grams: np.ndarray, places: np.ndarray, counts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def by_context(
+    data: np.ndarray, grams: np.ndarray, places: np.ndarray, counts: np.ndarray, length: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stretches cut where the bytes around their least gram change: hash of these bytes, the stretch, place and count.
 
     A string has ``length - gram`` bytes besides its first least gram, on the left or on the right. Thirds of them make
@@ -89,7 +91,9 @@ def by_context(data: np.ndarray, grams: np.ndarray, places: np.ndarray, counts:
     new = np.ones(len(stretch), bool)
     new[1:] = (stretch[1:] != stretch[:-1]) | (context[1:] != context[:-1])
     begin = np.flatnonzero(new)
-    return mix(context[begin] + np.uint64(1)), stretch[begin], places[stretch[begin]] + inner[begin], np.diff(np.concatenate([begin, [len(stretch)]]))
+    return mix(context[begin] + np.uint64(1)), stretch[begin], places[stretch[begin]] + inner[begin], np.diff(
+        np.concatenate([begin, [len(stretch)]])
+    )
 
 
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -235,7 +239,16 @@ def _sorted_docs(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.
 _PIECES = "_shard int, _b int, _bytes binary, _sizes binary, _grams binary, _owners binary, _rows binary, _places binary, _marks binary"
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), length: int = 50, gram: int = 20, decode: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    carry: tuple[str, ...] = (),
+    length: int = 50,
+    gram: int = 20,
+    decode: bool = False,
+) -> DataFrame:
     """``key``, the columns named in ``carry``, ``n_bytes``, ``spans`` (removed: array of start and end, maximal) and ``kept`` (binary) of every row.
 
     With ``decode``, ``kept`` is a string; of a character that is cut through, what is left is dropped.
@@ -250,7 +263,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     parts = partitions(spark)
     buckets = max(2 * parts, text_bytes(docs, text) // _BUCKET_BYTES)
     shards = buckets
-    rows = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(key).cast("long"), F.lit(_LATE)).alias("_o"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)])
+    rows = docs.select(
+        F.col(key).alias("_k"),
+        F.coalesce(F.col(key).cast("long"), F.lit(_LATE)).alias("_o"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+        *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
+    )
     # by text too, so that rows of one key, or of none, don't share a bucket
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("_o", "_text"), F.lit(buckets)).cast("int"))
 
@@ -277,13 +295,26 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         shard = table.column("_shard")[0].as_py()
         edges = [*first, len(codes)]
         parts_ = [slice(a, e) for a, e in zip(edges, edges[1:], strict=False)][: len(to)]
-        return pa.table({"_shard": pa.array([shard] * len(to), pa.int32()), "_b": pa.array(to, pa.int32()), "_codes": pa.array([codes[i].tobytes() for i in parts_], pa.binary()), "_common": pa.array([codes[i][common[i]].tobytes() for i in parts_], pa.binary())})
+        return pa.table(
+            {
+                "_shard": pa.array([shard] * len(to), pa.int32()),
+                "_b": pa.array(to, pa.int32()),
+                "_codes": pa.array([codes[i].tobytes() for i in parts_], pa.binary()),
+                "_common": pa.array([codes[i][common[i]].tobytes() for i in parts_], pa.binary()),
+            }
+        )
 
     def _by_shard(codes: np.ndarray, bucket: int) -> pa.Table:
         shard = (codes >> np.uint64(32)).astype(np.int32)
         to, first = np.unique(shard, return_index=True)
         low = (codes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pa.table({"_shard": pa.array(to, pa.int32()), "_b": pa.array([bucket] * len(to), pa.int32()), "_codes": pa.array([x.tobytes() for x in np.split(low, first[1:])][: len(to)], pa.binary())})
+        return pa.table(
+            {
+                "_shard": pa.array(to, pa.int32()),
+                "_b": pa.array([bucket] * len(to), pa.int32()),
+                "_codes": pa.array([x.tobytes() for x in np.split(low, first[1:])][: len(to)], pa.binary()),
+            }
+        )
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({n: pa.array([], t) for n, t in zip("_shard _b _bytes _sizes _grams _owners _rows _places _marks".split(), [pa.int32()] * 2 + [pa.binary()] * 7, strict=True)})
@@ -300,7 +331,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         differ = (codes[by][1:] == codes[by][:-1]) & (keys[row][by][1:] != keys[row][by][:-1])
         wanted = np.unique(np.concatenate([*asked, codes[by][1:][differ]])) if asked or differ.any() else np.zeros(0, np.uint64)
         at = np.searchsorted(wanted, codes)
-        take = np.flatnonzero((at < len(wanted)) & (wanted[np.minimum(at, max(0, len(wanted) - 1))] == codes)) if len(wanted) else np.zeros(0, np.int64)
+        take = np.flatnonzero(
+            (at < len(wanted)) & (wanted[np.minimum(at, max(0, len(wanted) - 1))] == codes)
+        ) if len(wanted) else np.zeros(0, np.int64)
         if not len(take):
             return empty
         grams, codes, row, place, count = grams[take], codes[take], row[take], place[take], count[take]
@@ -322,10 +355,26 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         cut = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
         for a, e in zip(cut, [*cut[1:], len(kept)], strict=True):
             i = kept[a:e]
-            packed = [_gather(data, place[i], size[i], 0)[0], size[i].astype(np.int32), codes[i].astype(np.uint32), keys[row[i]], row[i].astype(np.int32), start[i].astype(np.int32)]
+            packed = [
+                _gather(data, place[i], size[i], 0)[0],
+                size[i].astype(np.int32),
+                codes[i].astype(np.uint32),
+                keys[row[i]],
+                row[i].astype(np.int32),
+                start[i].astype(np.int32),
+            ]
             out.append(pa.table({"_shard": pa.array([shard[a]], pa.int32()), "_b": pa.array([bucket], pa.int32()), **{n: pa.array([x.tobytes()], pa.binary()) for n, x in zip("_bytes _sizes _grams _owners _rows _places".split(), packed, strict=True)}, "_marks": pa.array([None], pa.binary())}))
         if len(marks):
-            out.append(pa.table({"_shard": pa.array([bucket % shards], pa.int32()), "_b": pa.array([bucket], pa.int32()), **{n: pa.array([None], pa.binary()) for n in "_bytes _sizes _grams _owners _rows _places".split()}, "_marks": pa.array([marks.tobytes()], pa.binary())}))
+            out.append(
+                pa.table(
+                    {
+                        "_shard": pa.array([bucket % shards], pa.int32()),
+                        "_b": pa.array([bucket], pa.int32()),
+                        **{n: pa.array([None], pa.binary()) for n in "_bytes _sizes _grams _owners _rows _places".split()},
+                        "_marks": pa.array([marks.tobytes()], pa.binary()),
+                    }
+                )
+            )
         return pa.concat_tables(out)
 
     def decide(table: pa.Table) -> pa.Table:
@@ -374,7 +423,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         table, _, data, offsets = _sorted_docs(left)
-        spans = np.concatenate([np.zeros((0, 3), np.int32), *[np.frombuffer(x.as_py(), np.int32).reshape(-1, 3) for x in right.column("_marks")]]).astype(np.int64)
+        spans = np.concatenate(
+            [np.zeros((0, 3), np.int32), *[np.frombuffer(x.as_py(), np.int32).reshape(-1, 3) for x in right.column("_marks")]]
+        ).astype(np.int64)
         spans = _merged(spans[:, 0], spans[:, 1], spans[:, 2]).astype(np.int64)
         first = np.searchsorted(spans[:, 0], np.arange(table.num_rows + 1))
         raw, kept, removed = data.tobytes(), [], []
@@ -390,16 +441,31 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             removed.append([{"start": int(s), "end": int(e)} for s, e in own])
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         carried = {c: table.column(f"_carry{i}") for i, c in enumerate(carry)}
-        return pa.table({key: table.column("_k"), **carried, "n_bytes": pa.array(np.diff(offsets)), "spans": pa.array(removed, span), "kept": pa.array(kept, pa.string() if decode else pa.binary())})
+        return pa.table(
+            {
+                key: table.column("_k"),
+                **carried,
+                "n_bytes": pa.array(np.diff(offsets)),
+                "spans": pa.array(removed, span),
+                "kept": pa.array(kept, pa.string() if decode else pa.binary()),
+            }
+        )
 
     asked = rows.groupBy("_b").applyInArrow(tidy_group(ask), "_shard int, _b int, _codes binary")
     shared = asked.groupBy("_shard").applyInArrow(tidy_group(answer), "_shard int, _b int, _codes binary, _common binary")
     sent = rows.groupBy("_b").cogroup(shared.groupBy("_b")).applyInArrow(tidy_groups(send), _PIECES)
     marks = sent.groupBy("_shard").applyInArrow(tidy_group(decide), "_b int, _marks binary")
-    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(tidy_groups(apply), ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]) + ", n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if decode else "binary"))
+    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(
+        tidy_groups(apply),
+        ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]])
+        + ", n_bytes long, spans array<struct<start:long,end:long>>, kept "
+        + ("string" if decode else "binary"),
+    )
 
 
-def _equals(data: np.ndarray, grams: np.ndarray, places: np.ndarray, sizes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _equals(
+    data: np.ndarray, grams: np.ndarray, places: np.ndarray, sizes: np.ndarray, owners: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal pieces of data with one gram follow each other, by owner, and where each set of these begins.
 
     Hashes bring equal pieces together, and their bytes are compared; pieces that only share a hash stay apart.

@@ -17,7 +17,9 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = digests.rarity_ranks(digests.histogram(docs), digests.Settings().least)
     found = digests.neighbours(docs.withColumn("text", F.coalesce("text", F.lit(""))), ranks)
-    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +59,13 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +81,12 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepieces.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,5 +113,19 @@ FROM kept k LEFT JOIN w s ON s.n < k.n AND s.turns = k.turns[1:s.n]
 GROUP BY k.conv_id, k.n, k.n_copies, k.chat
 """
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_exact_topk, op3_language_id, op4_html_extraction, op5_source_mixing, op6_suffix_dedup, op7_toxicity, op8_ngram_jaccard_join, op9_sentencepiece, op10_chat_formatting)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_document_fingerprints,
+        op2_exact_topk,
+        op3_language_id,
+        op4_html_extraction,
+        op5_source_mixing,
+        op6_suffix_dedup,
+        op7_toxicity,
+        op8_ngram_jaccard_join,
+        op9_sentencepiece,
+        op10_chat_formatting,
+    )
+}
 ORACLES = {"op2_exact_topk": OP2_SQL, "op10_chat_formatting": OP10_SQL}

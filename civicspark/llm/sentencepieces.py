@@ -71,7 +71,9 @@ class ChunkTable:
         return ids, counts, ["".join(map(self.decoded.__getitem__, row))[1:] for row in at]
 
 
-def encode_decode(docs: DataFrame, model_file: str, *, key: str = "doc_id", text: str = "text", table_chunks: int = 300_000, rows_at_once: int = 256) -> DataFrame:
+def encode_decode(
+    docs: DataFrame, model_file: str, *, key: str = "doc_id", text: str = "text", table_chunks: int = 300_000, rows_at_once: int = 256
+) -> DataFrame:
     """``key``, ``ids`` (array of int, as the library's encode without begin or end ids) and ``decoded`` (its decode).
 
     Null text counts as empty: no ids, decoded "". Texts of any length go through whole; equal texts and repeated rows
@@ -88,6 +90,9 @@ def encode_decode(docs: DataFrame, model_file: str, *, key: str = "doc_id", text
                 part = batch.slice(start, rows_at_once)
                 ids, counts, decoded = table.lookup([t or "" for t in part.column(1).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(decoded, pa.string())], names=[key, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(decoded, pa.string())],
+                    names=[key, "ids", "decoded"],
+                )
 
     return frame.mapInArrow(tidy(run), f"`{key}` {kind}, ids array<int>, decoded string")

@@ -55,9 +55,19 @@ def _pack(rows: DataFrame, group: str, groups: int, size: int) -> DataFrame:
                     matrix = _matrix(part.column(1))
                     kind = np.float32 if np.abs(matrix).max(initial=0) < 1 << 24 else np.float64
                     packed = [part.column(0).to_numpy().tobytes(), matrix.astype(kind).tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *[pa.array([x], pa.binary()) for x in packed], pa.array([matrix.shape[1]], pa.int32()), pa.array([kind == np.float32])], names=[group, "keys", "matrix", "width", "single"])
-
-    dealt = rows.dropDuplicates(["k", "v"]).withColumn("g", F.pmod(F.xxhash64("k", "v"), F.lit(groups)).cast("int")).repartition(groups, "g")
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([g], pa.int32()),
+                            *[pa.array([x], pa.binary()) for x in packed],
+                            pa.array([matrix.shape[1]], pa.int32()),
+                            pa.array([kind == np.float32]),
+                        ],
+                        names=[group, "keys", "matrix", "width", "single"],
+                    )
+
+    dealt = rows.dropDuplicates(["k", "v"]).withColumn(
+        "g", F.pmod(F.xxhash64("k", "v"), F.lit(groups)).cast("int")
+    ).repartition(groups, "g")
     return dealt.mapInArrow(tidy(run), f"{group} int, keys binary, matrix binary, width int, single boolean")
 
 
@@ -89,7 +99,9 @@ class TopK:
         self.best[query] = scores[order][once], keys[order][once]
 
 
-def maxscore(query: np.ndarray, shard: np.ndarray, high: np.ndarray, low: np.ndarray, threshold: float, probe: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def maxscore(
+    query: np.ndarray, shard: np.ndarray, high: np.ndarray, low: np.ndarray, threshold: float, probe: int = 8
+) -> tuple[np.ndarray, np.ndarray]:
     """The rows of a shard whose score may reach ``threshold``, and their exact scores.
 
     ``high`` and ``low`` hold the greatest and least component of each term in the shard.
@@ -146,7 +158,19 @@ def score(shards: pa.Table, blocks: pa.Table, k: int, seed_rows: int = 64) -> tu
     return top, completed
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding", shard_rows: int = 4096, lane_rows: int = 1 << 17, block_rows: int = 2048, group_rows: int = 1 << 15) -> DataFrame:
+def search(
+    vectors: DataFrame,
+    queries: DataFrame,
+    *,
+    k: int = 5,
+    scale: int = 256,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    shard_rows: int = 4096,
+    lane_rows: int = 1 << 17,
+    block_rows: int = 2048,
+    group_rows: int = 1 << 15,
+) -> DataFrame:
     """``query_id``, ``rank`` (from 1), the neighbour's ``key`` and ``score``, an exact integer inner product.
 
     Every row of ``vectors`` but those with the query's own key is a candidate. Vectors that are null or hold a null or
@@ -170,7 +194,9 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 2
         rows = [(q, int(i), int(s)) for q, (scores, ids) in top.best.items() for s, i in zip(scores, ids, strict=True)]
         return pa.table({n: pa.array([r[j] for r in rows], pa.int64()) for j, n in enumerate(("query_id", key, "score"))})
 
-    found = shards.groupBy("lane", "group").cogroup(blocks.groupBy("lane", "group")).applyInArrow(tidy_groups(run), f"query_id long, `{key}` long, score long")
+    found = shards.groupBy("lane", "group").cogroup(blocks.groupBy("lane", "group")).applyInArrow(
+        tidy_groups(run), f"query_id long, `{key}` long, score long"
+    )
     best = found.groupBy("query_id", key).agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")

@@ -89,7 +89,15 @@ def _predict(model: tuple[np.ndarray, np.ndarray, float], place: np.ndarray, row
     return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> Chain:  # noqa: B008
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: dict[str, Column],
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    settings: Settings = Settings(),
+) -> Chain:  # noqa: B008
     """A chain over ``categories``: name -> 0/1 column of ``labels``, in order.
 
     Rows with a null key, text or label teach nothing; of a key that is labelled or stands repeatedly all rows count, up
@@ -108,12 +116,24 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             place, row = features(data, offsets, s)
             pairs = np.unique(row << s.bits | place)
             ends = np.searchsorted(pairs, np.arange(batch.num_rows + 1) << s.bits)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.astype(np.int32).tobytes() for x in np.split(pairs & ((1 << s.bits) - 1), ends[1:-1])][: batch.num_rows], pa.binary()), pa.array(np.zeros(batch.num_rows, np.int64)) if batch.column(0).type == pa.null() else batch.column(0).cast(pa.string())], names=["y", "x", "k"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1),
+                    pa.array(
+                        [x.astype(np.int32).tobytes() for x in np.split(pairs & ((1 << s.bits) - 1), ends[1:-1])][: batch.num_rows],
+                        pa.binary(),
+                    ),
+                    pa.array(np.zeros(batch.num_rows, np.int64)) if batch.column(0).type == pa.null() else batch.column(0).cast(pa.string()),
+                ],
+                names=["y", "x", "k"],
+            )
 
     made = rows.mapInArrow(tidy(run), "y array<int>, x binary, k string")
     # rows that repeat a key come on top of the sample, and texts have any length: both bounds hold again here
     first = [F.xxhash64("k"), "k", "y", "x"]
-    kept = made.orderBy(*first).limit(s.sample_rows).withColumn("so_far", F.sum(F.octet_length("x").cast("long")).over(Window.orderBy(*first)))
+    kept = made.orderBy(*first).limit(s.sample_rows).withColumn(
+        "so_far", F.sum(F.octet_length("x").cast("long")).over(Window.orderBy(*first))
+    )
     got = sorted((r["k"], *r["y"], bytes(r["x"])) for r in kept.where(F.col("so_far") <= s.sample_bytes).collect())
     if not got:
         return Chain(names, s, [(np.zeros(1 << s.bits, np.float32), np.zeros(i), -30.0) for i in range(len(names))])
@@ -130,7 +150,9 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
                 rest, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
                 if len(rest) and len(own):
                     model = _fit([x[j] for j in rest], earlier[rest], y[rest, i], s)
-                    out[own] = _predict(model, np.concatenate([x[j] for j in own]), np.repeat(np.arange(len(own)), [len(x[j]) for j in own]), earlier[own])
+                    out[own] = _predict(
+                        model, np.concatenate([x[j] for j in own]), np.repeat(np.arange(len(own)), [len(x[j]) for j in own]), earlier[own]
+                    )
             earlier = np.concatenate([earlier, out[:, None]], axis=1)
     return Chain(names, s, models)
 
@@ -155,6 +177,8 @@ def score(docs: DataFrame, chain: Chain, *, key: str = "doc_id", text: str = "te
                 earlier = np.zeros((part.num_rows, 0))
                 for model in sent.value:
                     earlier = np.concatenate([earlier, _predict(model, place, row, earlier)[:, None]], axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(p) for p in earlier.T]], names=[key, *[f"p_{c}" for c in chain.categories]])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *[pa.array(p) for p in earlier.T]], names=[key, *[f"p_{c}" for c in chain.categories]]
+                )
 
     return frame.mapInArrow(tidy(run), f"`{key}` {kind}, " + ", ".join(f"`p_{c}` double" for c in chain.categories))

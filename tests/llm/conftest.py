@@ -21,8 +21,15 @@ def fixture_rows(words):
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
     texts = [text(rng.randint(1, 120)) for _ in range(40)]
     base, passage = text(100), text(30)
-    texts += [base, base, base.upper(), *[" ".join(rng.choice(words) if rng.random() < p else w for w in base.split()) for p in (0.01, 0.02, 0.03, 0.05, 0.1)]]
-    texts += [f"{text(10)} {passage} {text(10)}" for _ in range(6)] + [passage, passage[:50], passage[:49], text(4), *ODD, "ö".join(texts[:3]), " ".join(texts[:20]) * 3]
+    texts += [
+        base,
+        base,
+        base.upper(),
+        *[" ".join(rng.choice(words) if rng.random() < p else w for w in base.split()) for p in (0.01, 0.02, 0.03, 0.05, 0.1)],
+    ]
+    texts += [f"{text(10)} {passage} {text(10)}" for _ in range(6)] + [
+        passage, passage[:50], passage[:49], text(4), *ODD, "ö".join(texts[:3]), " ".join(texts[:20]) * 3
+    ]
     rows = [(i * 3, t, ["en", "de", None][i % 3], ["b", "a", None, "é"][i % 4]) for i, t in enumerate(texts)]
     return [*rows, rows[0], (rows[5][0], "another text under a known id", "en", "a")]
 
@@ -31,7 +38,18 @@ def fixture_rows(words):
 def fixture_docs(spark, fixture_rows):
     """The rows, and columns whose names operators use inside."""
     df = spark.createDataFrame(fixture_rows, "doc_id long, text string, lang string, source string")
-    return df.selectExpr("*", "length(text) as n_chars", "'x' as score", "1 as _b", "2 as node", "3 as comp", "4 as size", "5 as taken", "'k' as ids", "6 as n")
+    return df.selectExpr(
+        "*",
+        "length(text) as n_chars",
+        "'x' as score",
+        "1 as _b",
+        "2 as node",
+        "3 as comp",
+        "4 as size",
+        "5 as taken",
+        "'k' as ids",
+        "6 as n",
+    )
 
 
 @pytest.fixture()

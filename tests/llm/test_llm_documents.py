@@ -103,21 +103,33 @@ def cut(rows, length=50):
 
 
 def test_passages_match_brute_force(fixture_docs, fixture_rows):
-    got = sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in passages.remove_repeats(fixture_docs).collect())
+    got = sorted(
+        (r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in passages.remove_repeats(fixture_docs).collect()
+    )
     assert got == cut(fixture_rows)
 
 
 def test_passages_of_few_symbols(spark):
     """Periodic and tightly repeated texts, and a shorter length."""
     rng = np.random.default_rng(2)
-    rows = [(i, "".join(rng.choice(["a", "b"], rng.integers(0, 80)))) for i in range(30)] + [(40, "ab" * 60), (41, "ab" * 80), (42, "a" * 200), (43, "a" * 90)]
-    got = sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=12, gram=5).collect())
+    rows = [
+        (i, "".join(rng.choice(["a", "b"], rng.integers(0, 80)))) for i in range(30)
+    ] + [(40, "ab" * 60), (41, "ab" * 80), (42, "a" * 200), (43, "a" * 90)]
+    got = sorted(
+        (r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept))
+        for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=12, gram=5).collect()
+    )
     assert got == cut(rows, 12)
 
 
 def test_passages_decode_and_carry(spark):
     rows = [(1, "é" * 40, "s"), (2, "x" + "é" * 40 + "y", "t"), (3, None, None)]
-    got = {r.doc_id: (r.source, r.kept) for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, source string"), carry=("source",), decode=True).collect()}
+    got = {
+        r.doc_id: (r.source, r.kept)
+        for r in passages.remove_repeats(
+            spark.createDataFrame(rows, "doc_id long, text string, source string"), carry=("source",), decode=True
+        ).collect()
+    }
     assert got == {1: ("s", "é" * 40), 2: ("t", "xy"), 3: (None, "")}
 
 
@@ -148,7 +160,9 @@ def test_contexts_of_a_common_gram_part():
     grams, _, places, counts = passages.stretches(data, offsets, 50, 20)
     common = grams == Counter(grams.tolist()).most_common(1)[0][0]
     assert common.sum() >= 5000
-    strings = lambda places, counts: Counter(bytes(data[p + i : p + i + 50]) for p, n in zip(places, counts, strict=True) for i in range(n))
+    strings = lambda places, counts: Counter(
+        bytes(data[p + i : p + i + 50]) for p, n in zip(places, counts, strict=True) for i in range(n)
+    )
     keys, of, at, n = passages.by_context(data, grams[common], places[common], counts[common], 50, 20)
     assert strings(at, n) == strings(places[common], counts[common])
     assert Counter(keys.tolist()).most_common(1)[0][1] < 0.05 * common.sum()
@@ -185,7 +199,9 @@ def test_long_suffix_order_agrees():
 def test_sentencepiece_is_the_library(fixture_docs, fixture_rows):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     extra = [(9001, "  lead"), (9002, "trail "), (9003, "a▁b▁▁"), (9004, "x\u0000y\t\n"), (9005, "日本語 😀 ﬁ")]
-    docs = fixture_docs.select("doc_id", "text", "ids").union(fixture_docs.sparkSession.createDataFrame(extra, "doc_id long, text string").withColumn("ids", F.lit("k")))
+    docs = fixture_docs.select("doc_id", "text", "ids").union(
+        fixture_docs.sparkSession.createDataFrame(extra, "doc_id long, text string").withColumn("ids", F.lit("k"))
+    )
     got = sorted((r.doc_id, r.ids, r.decoded) for r in sentencepieces.encode_decode(docs, MODEL, table_chunks=50, rows_at_once=7).collect())
     want = sorted((k, ids := model.encode(t or ""), model.decode(ids)) for k, t, *_ in [*fixture_rows, *extra])
     assert got == want
@@ -201,7 +217,9 @@ def test_mix_targets_and_limits(fixture_docs, fixture_rows):
     sizes = sorted((k, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for k, t, *_ in fixture_rows)
     assert sorted((r.doc_id, r["size"]) for r in got) == sizes
     assert all(r.taken <= 2 * r["size"] for r in got)
-    assert sum(r["size"] for r in got) * 1.5 == pytest.approx(sum({(r.source_size, r.target) for r in got} and {r.target: r.target for r in got}.values()), rel=1e-6)
+    assert sum(r["size"] for r in got) * 1.5 == pytest.approx(
+        sum({(r.source_size, r.target) for r in got} and {r.target: r.target for r in got}.values()), rel=1e-6
+    )
     source = Counter()
     total = Counter()
     for k, t, _, s in fixture_rows:
@@ -227,7 +245,9 @@ def test_mix_small_sources_beside_a_large_one(spark):
     """Blocks of 4,096 words, as in a corpus of any size, against sources of less than one and of a few."""
     small = [("s%d" % i, 1 + n // 7, n) for i, n in enumerate((1, 40, 300, 700, 3000, 9000))] + [(None, 9, 400)]
     rows = [(1000 * i + k, s, " w" * (n // parts + (k < n % parts))) for i, (s, parts, n) in enumerate(small) for k in range(parts)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").union(spark.range(1000).selectExpr("id + 100000", "'large'", "repeat(' w', 1500)"))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").union(
+        spark.range(1000).selectExpr("id + 100000", "'large'", "repeat(' w', 1500)")
+    )
     mix = mixing.mix(docs, share=0.5, least_slots=10)
     got = mix.documents.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
     assert sorted(r.source_size for r in got) == sorted([1_500_000, *[n for _, _, n in small]])
@@ -236,7 +256,9 @@ def test_mix_small_sources_beside_a_large_one(spark):
     assert slots.where("n > 1").isEmpty()
     # each source is spread over the mix: half of its words are in the first half of the slots
     last = mix.schedule.agg(F.max("slot")).first()[0]
-    for r in mix.schedule.groupBy("source").agg(F.sum("words").alias("n"), F.sum(F.when(F.col("slot") * 2 <= last, F.col("words"))).alias("half")).collect():
+    for r in mix.schedule.groupBy("source").agg(
+        F.sum("words").alias("n"), F.sum(F.when(F.col("slot") * 2 <= last, F.col("words"))).alias("half")
+    ).collect():
         assert r.n < 200 or abs(r.half / r.n - 0.5) < 0.03, r
 
 
@@ -311,8 +333,12 @@ def test_language_of_odd_texts(fixture_docs, fixture_rows, no_docs):
     for r in got:
         assert 0 <= r.score <= 1
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
-    again = language.identify(fixture_docs.repartition(3), language.learn(fixture_docs.repartition(2), settings=language.Settings(epochs=1))).collect()
-    assert sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in got) == sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in again)
+    again = language.identify(
+        fixture_docs.repartition(3), language.learn(fixture_docs.repartition(2), settings=language.Settings(epochs=1))
+    ).collect()
+    assert sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in got) == sorted(
+        (r.doc_id, r.lang_pred, round(r.score, 6)) for r in again
+    )
     assert language.identify(no_docs, network).collect() == []
     nothing = language.learn(no_docs)
     assert {r.lang_pred for r in language.identify(fixture_docs, nothing).collect()} == {"und"}
@@ -328,7 +354,10 @@ def plain_language(network, text):
         hidden = []
         for k in network.settings.widths:
             seen = [np.concatenate([w["emb"][c] for c in window[i : i + k]]) for i in range(size - k + 1)]
-            hidden += [max(0.0, max(float(x @ w[f"conv{k}"][:, f]) for x in seen) + float(w[f"off{k}"][f])) for f in range(network.settings.filters)]
+            hidden += [
+                max(0.0, max(float(x @ w[f"conv{k}"][:, f]) for x in seen) + float(w[f"off{k}"][f]))
+                for f in range(network.settings.filters)
+            ]
         z = np.array(hidden) @ w["out"] + w["bias"]
         letters = sum(c != 32 for c in window)
         total += letters * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
@@ -351,7 +380,9 @@ def test_long_texts_have_windows_of_their_own(spark, monkeypatch, fixture_docs):
     monkeypatch.setattr(language, "_PIECE", 1000)
     network = language.learn(fixture_docs, settings=language.Settings(epochs=1))
     long = "some words of one language and über another " * 60
-    docs = spark.createDataFrame([(0, "short one"), (1, long), (2, "x" * 37), (3, long), (4, long + "end")], "doc_id long, text string").coalesce(1)
+    docs = spark.createDataFrame(
+        [(0, "short one"), (1, long), (2, "x" * 37), (3, long), (4, long + "end")], "doc_id long, text string"
+    ).coalesce(1)
     got = {r.doc_id: r.score for r in language.identify(docs, network).collect()}
     assert got[1] == got[3]
     assert abs(got[1] - plain_language(network, long).max()) < 1e-4
@@ -419,7 +450,10 @@ def plain_chain(text, ranks):
             value = plain_mix(value * 0x9E3779B97F4A7C15 + int.from_bytes(data[i + k : i + k + 8]) & M64)
         if value not in values:
             values.append(value)
-    return [({v >> 12 * k & 2047 for v in part for k in range(5)}, len(part)) for part in (values[i : i + 160] for i in range(0, len(values), 160))]
+    return [
+        ({v >> 12 * k & 2047 for v in part for k in range(5)}, len(part))
+        for part in (values[i : i + 160] for i in range(0, len(values), 160))
+    ]
 
 
 def plain_text(chain):
@@ -456,9 +490,19 @@ def test_fingerprints_match_a_plain_version(fixture_docs, fixture_rows):
     for (k, t), (_, following) in zip(order, [*order[1:], order[0]], strict=True):
         changed = t[: len(t) - len(t) // 4] + following[: len(t) // 4]
         own, other, after = (plain_chain(x, ranks) for x in (t, changed, following))
-        want.append((k, plain_text(own), plain_text(other), round(plain_likeness(own, other), 9), 1.0 if t == following else round(plain_likeness(own, after), 9)))
+        want.append(
+            (
+                k,
+                plain_text(own),
+                plain_text(other),
+                round(plain_likeness(own, other), 9),
+                1.0 if t == following else round(plain_likeness(own, after), 9),
+            )
+        )
     got = digests.neighbours(docs, digests.rarity_ranks(histogram, 150)).collect()
-    assert sorted((r.doc_id, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == sorted(want)
+    assert sorted(
+        (r.doc_id, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got
+    ) == sorted(want)
 
 
 def test_fingerprint_of_one_document(spark):
@@ -470,7 +514,10 @@ def test_fingerprint_of_one_document(spark):
 
 def test_toxicity_chain(spark):
     docs, labels = (spark.read.parquet(f"{SF_SMALL}/../sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    train, test = (labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0) if held else labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0) for held in (False, True))
+    train, test = (
+        labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0) if held else labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0)
+        for held in (False, True)
+    )
     chain = toxicity.learn(docs, train, {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")})
     got = toxicity.score(docs, chain).join(test, "doc_id").collect()
     caught = [r.p_toxic >= 0.4 for r in got if r.toxic == 1]
@@ -480,13 +527,17 @@ def test_toxicity_chain(spark):
 
 def test_toxicity_matches_a_plain_chain(spark, fixture_docs, fixture_rows):
     labels = spark.createDataFrame([(k * 3, int(k % 3 == 0), int(k % 4 == 0)) for k in range(40)], "doc_id long, bad int, worse int")
-    chain = toxicity.learn(fixture_docs, labels, {"bad": F.col("bad"), "worse": F.col("worse")}, settings=toxicity.Settings(l1=0.1, bits=16))
+    chain = toxicity.learn(
+        fixture_docs, labels, {"bad": F.col("bad"), "worse": F.col("worse")}, settings=toxicity.Settings(l1=0.1, bits=16)
+    )
     assert len(chain.models[1][1]) == 1 and chain.models[1][1][0] != 0  # the second sees the first one's probability
 
     def plain(text):
         """Distinct words and first bytes, one model after the other."""
         words = re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
-        low = lambda word: int(kernels.word_hashes(np.frombuffer(word, np.uint8), np.array([0, len(word)]), gap=toxicity.GAP)[0][0])
+        low = lambda word: int(
+            kernels.word_hashes(np.frombuffer(word, np.uint8), np.array([0, len(word)]), gap=toxicity.GAP)[0][0]
+        )
         places = {low(w) >> 48 for w in words} | {(low(w[:4]) ^ 0x5851F42D4C957F2D) >> 48 for w in words}
         told = []
         for weights, chained, bias in chain.models:
@@ -495,14 +546,24 @@ def test_toxicity_matches_a_plain_chain(spark, fixture_docs, fixture_rows):
         return told
 
     want = sorted((k if k is not None else -1, *[round(p, 5) for p in plain(t)]) for k, t, *_ in fixture_rows)
-    got = sorted((r.doc_id if r.doc_id is not None else -1, round(r.p_bad, 5), round(r.p_worse, 5)) for r in toxicity.score(fixture_docs, chain).collect())
+    got = sorted(
+        (r.doc_id if r.doc_id is not None else -1, round(r.p_bad, 5), round(r.p_worse, 5))
+        for r in toxicity.score(fixture_docs, chain).collect()
+    )
     assert np.abs(np.array(got) - np.array(want)).max() < 1e-4
 
 
 def test_toxicity_sample_is_bounded(spark, fixture_docs, monkeypatch):
     labels = spark.createDataFrame([(k * 3, k % 2) for k in range(40)], "doc_id long, toxic int")
     seen = []
-    monkeypatch.setattr(toxicity, "_fit", lambda rows, earlier, y, s: seen.append((len(rows), sum(map(len, rows)))) or (np.zeros(1 << s.bits, np.float32), np.zeros(earlier.shape[1]), 0.0))
+    monkeypatch.setattr(
+        toxicity,
+        "_fit",
+        lambda rows,
+        earlier,
+        y,
+        s: seen.append((len(rows), sum(map(len, rows)))) or (np.zeros(1 << s.bits, np.float32), np.zeros(earlier.shape[1]), 0.0),
+    )
     many = fixture_docs.unionByName(fixture_docs)  # every key repeats
     toxicity.learn(many, labels, {"toxic": F.col("toxic")}, settings=toxicity.Settings(sample_rows=12))
     toxicity.learn(many, labels, {"toxic": F.col("toxic")}, settings=toxicity.Settings(sample_bytes=2000))
@@ -541,4 +602,6 @@ def test_digest_columns(spark):
         assert got[d.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[d.doc_id].decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
     want = {k: (n, sum(e - s for s, e in spans), len(spans), hashlib.sha256(kept).hexdigest()) for k, n, spans, kept in cut([(d.doc_id, d.text) for d in docs])}
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op6_suffix_dedup(spark, SF_SMALL).collect()} == want
+    assert {
+        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op6_suffix_dedup(spark, SF_SMALL).collect()
+    } == want

@@ -36,8 +36,20 @@ def brute_topk(rows, k=5, scale=256):
 
 def test_topk_odd_vectors(spark):
     rows = [(i, [((i * 7 + j * 3) % 11 - 5) / 8 for j in range(6)]) for i in range(120)]  # many ties
-    rows += [(200, None), (201, [1.0, None]), (202, [float("nan")]), (203, [float("inf")]), (250, [0.5, -0.5]), (300, [1e5] * 6), (301, []), (None, [1.0] * 6), (350, [-0.0, 0.001])]
-    df = spark.createDataFrame([*rows, rows[3], rows[0]], "vec_id long, embedding array<double>").selectExpr("*", "1 as score", "2 as lane", "3 as rank")
+    rows += [
+        (200, None),
+        (201, [1.0, None]),
+        (202, [float("nan")]),
+        (203, [float("inf")]),
+        (250, [0.5, -0.5]),
+        (300, [1e5] * 6),
+        (301, []),
+        (None, [1.0] * 6),
+        (350, [-0.0, 0.001]),
+    ]
+    df = spark.createDataFrame(
+        [*rows, rows[3], rows[0]], "vec_id long, embedding array<double>"
+    ).selectExpr("*", "1 as score", "2 as lane", "3 as rank")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(df, df.where("vec_id % 50 = 0")).collect())
     assert got == brute_topk(rows)
 
@@ -51,7 +63,9 @@ def test_topk_many_lanes_and_groups(spark):
 
 
 def test_topk_best_row_of_a_repeated_key(spark):
-    df = spark.createDataFrame([(0, [1.0]), (7, [1.0]), (7, [3.0]), (7, [2.0]), (8, [2.5]), (9, [0.5])], "vec_id long, embedding array<double>")
+    df = spark.createDataFrame(
+        [(0, [1.0]), (7, [1.0]), (7, [3.0]), (7, [2.0]), (8, [2.5]), (9, [0.5])], "vec_id long, embedding array<double>"
+    )
     got = [(r["rank"], r.vec_id, r.score) for r in topk.search(df, df.where("vec_id = 0"), k=2).orderBy("rank").collect()]
     assert got == [(1, 7, 256 * 768), (2, 8, 256 * 640)]
 
@@ -63,7 +77,14 @@ def test_topk_threshold_holds_over_shards():
 
     def packed(rows, size):
         cut = range(rows.start, rows.stop, size)
-        return pa.table({"keys": [np.arange(a, min(a + size, rows.stop)).tobytes() for a in cut], "matrix": [matrix[a : min(a + size, rows.stop)].tobytes() for a in cut], "width": [32 for _ in cut], "single": [True for _ in cut]})
+        return pa.table(
+            {
+                "keys": [np.arange(a, min(a + size, rows.stop)).tobytes() for a in cut],
+                "matrix": [matrix[a : min(a + size, rows.stop)].tobytes() for a in cut],
+                "width": [32 for _ in cut],
+                "single": [True for _ in cut],
+            }
+        )
 
     queries = packed(range(0, 40), 8)
     whole, together = topk.score(packed(range(4000), 250), queries, 5)
@@ -191,7 +212,9 @@ def test_chats_collapse(spark):
     a, b, c = ("user", "hi"), ("assistant", "yes"), ("user", "more")
     chats = {1: [a], 2: [a, b], 3: [a, b, c], 4: [a, c], 5: [a, c], 6: [("user", None)], 7: [("user", None), b], 8: [(None, "hi")]}
     rows = [(k, i, r, t) for k, turns in chats.items() for i, (r, t) in enumerate(turns)]
-    df = spark.createDataFrame([*rows, rows[0], rows[-1], (None, 0, "user", "x")], "conv_id long, turn long, role string, text string").selectExpr("*", "1 as n_turns", "2 as _c")
+    df = spark.createDataFrame(
+        [*rows, rows[0], rows[-1], (None, 0, "user", "x")], "conv_id long, turn long, role string, text string"
+    ).selectExpr("*", "1 as n_turns", "2 as _c")
     got = {r.conv_id: (r.n_turns, r.n_copies, r.n_prefixes) for r in chat.maximal(df).collect()}
     assert got == {3: (3, 1, 2), 4: (2, 2, 1), 7: (2, 1, 1), 8: (1, 1, 0)}
     text = {r.conv_id: r.chat for r in chat.render(df).collect()}
@@ -203,7 +226,13 @@ def test_chats_collapse(spark):
 def test_chats_with_ties(spark):
     """Turns of one place and role stand by text, null first, so that what comes behind them is a prefix by text too."""
     tied = [(1, 0, "user", t) for t in ("gamma", "delta", None, "beta", "alpha", "delta")]
-    longer = [*[(2, 0, "user", t) for t in (None, "alpha", "beta", "delta", "gamma")], (2, 1, "bot", "end"), (3, 0, "user", "alpha"), (4, None, None, "b"), (4, None, None, "a")]
+    longer = [
+        *[(2, 0, "user", t) for t in (None, "alpha", "beta", "delta", "gamma")],
+        (2, 1, "bot", "end"),
+        (3, 0, "user", "alpha"),
+        (4, None, None, "b"),
+        (4, None, None, "a"),
+    ]
     df = spark.createDataFrame(tied + longer, "conv_id long, turn int, role string, text string")
     got = {r.conv_id: (r.n_turns, r.n_prefixes, r.chat) for r in chat.render(df).collect()}
     block = lambda role, text: f"{chat.BEGIN}{role}\n{text}{chat.END}\n"
@@ -256,7 +285,17 @@ def test_pipeline_keeps_one_row_of_each_component(spark, fixture_rows):
     """Repeated rows, another text under a kept id, components of null ids alone and beside others."""
     null = lambda i, lang: (None, fixture_rows[i][1], lang, "a")
     alone = " ".join(f"only{i} null{i}" for i in range(40))
-    rows = [*fixture_rows, fixture_rows[0], fixture_rows[5], null(3, "en"), null(41, None), (None, alone, "en", "a"), (None, alone, "en", "a"), (None, alone + " end", "de", None), (fixture_rows[2][0], fixture_rows[0][1], "de", None)]
+    rows = [
+        *fixture_rows,
+        fixture_rows[0],
+        fixture_rows[5],
+        null(3, "en"),
+        null(41, None),
+        (None, alone, "en", "a"),
+        (None, alone, "en", "a"),
+        (None, alone + " end", "de", None),
+        (fixture_rows[2][0], fixture_rows[0][1], "de", None),
+    ]
     kinds = "doc_id long, text string, lang string, source string"
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kinds), "").collect()
     group = components([r[1] for r in rows])
@@ -293,7 +332,9 @@ def without_repeats(rows, key, text, length=50):
 def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     """Each stage against a brute-force version, with repeated rows, null ids and columns named as the operators' own."""
     known = fixture_docs.where("doc_id IN (6, 27)").withColumn("doc_id", F.lit(None).cast("long"))
-    docs = corpus_pipeline.materialize(fixture_docs.unionByName(known).withColumns({"kept": F.lit("k"), "n_bytes": F.lit(8), "spans": F.lit(9), "lang_pred": F.lit("xx")}))
+    docs = corpus_pipeline.materialize(
+        fixture_docs.unionByName(known).withColumns({"kept": F.lit("k"), "n_bytes": F.lit(8), "spans": F.lit(9), "lang_pred": F.lit("xx")})
+    )
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     columns = docs.columns
     read = lambda df: [tuple(r) for r in df.collect()]
@@ -310,7 +351,10 @@ def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     narrow = docs.select("doc_id", "text", "lang")
     found = {r.text: (r.lang_pred, r.score) for r in language.identify(narrow, language.learn(narrow), carry=("text",)).collect()}
     spoken = run("language ID", docs)
-    want = [put(r, lang=found[r[text]][0] if r[lang] is None else r[lang]) for r in read(docs) if found[r[text]][0] != "und" and found[r[text]][1] >= 0.3]
+    want = [
+        put(r, lang=found[r[text]][0] if r[lang] is None else r[lang])
+        for r in read(docs) if found[r[text]][0] != "und" and found[r[text]][1] >= 0.3
+    ]
     assert Counter(read(spoken)) == Counter(want)
 
     single = run("n-gram Jaccard join", spoken)
@@ -338,7 +382,9 @@ def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     want = Counter()
     for t in mixing.targets(list(total.items())):
         start, goal = 0, int(t.target + 0.5)
-        for r in sorted((r for r in place if r[source] == t.source), key=lambda r: (r.place % 2**64, r[key] is not None, r[key] or 0, r.tie)):
+        for r in sorted(
+            (r for r in place if r[source] == t.source), key=lambda r: (r.place % 2**64, r[key] is not None, r[key] or 0, r.tie)
+        ):
             n = size(r)
             taken = sum(max(0, min(goal, k * t.size + start + n) - k * t.size - start) for k in (0, 1))
             want[tuple(r)[: len(columns)]] += int(taken / n + 0.5) if n else 0
@@ -349,7 +395,9 @@ def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     last = corpus_pipeline.encode(spark, mixed, "").collect()
     want = Counter((r[key], ",".join(map(str, model.encode(r[text])))) for r in read(mixed))
     assert Counter((r.doc_id, r.ids if isinstance(r.ids, str) else ",".join(map(str, r.ids))) for r in last) == want
-    assert Counter(map(tuple, (r[:2] + r[3:] for r in last))) == Counter(map(tuple, (r[:2] + r[3:] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())))
+    assert Counter(map(tuple, (r[:2] + r[3:] for r in last))) == Counter(
+        map(tuple, (r[:2] + r[3:] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    )
 
 
 def test_pipeline_of_nothing(spark, no_docs):
