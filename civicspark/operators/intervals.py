@@ -26,8 +26,9 @@ def overlaps(
 def latest_before(left: DataFrame, right: DataFrame, *, on: list[str], left_time: str, right_time: str, take: list[str]) -> DataFrame:
     """Each left row with ``take`` of the right row that is latest at or before it, for equal ``on``; null without one.
 
-    Both sides are laid in one line by time and the last right row is carried forward: one shuffle, and no pairs.
-    Equal times of the right side are taken by the larger values of ``take``.
+    Both sides are laid in one line by time and the last right row is carried forward, within each month; what a month
+    begins with is the last row of the months before, of which each has one row. So no pairs are made, and a key of many
+    rows isn't in one task. Equal times of the right side are taken by the larger values of ``take``; null keys are equal.
     """
     only = [c for c in left.columns if c not in on]
     a = left.select(
@@ -44,9 +45,20 @@ def latest_before(left: DataFrame, right: DataFrame, *, on: list[str], left_time
         F.lit(None).cast(left.select(F.struct(*only)).schema[0].dataType).alias("_left"),
         F.struct(*take).alias("_right"),
     )
-    line = Window.partitionBy(*on).orderBy("_t", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
-    carried = a.unionByName(b).withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
-    return carried.select(*on, *[F.col(f"_left.{c}").alias(c) for c in only], *[F.col(f"_last.{c}").alias(c) for c in take])
+    rows = a.unionByName(b).withColumn("_month", F.date_trunc("month", "_t"))
+    line = Window.partitionBy(*on, "_month").orderBy("_t", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
+    ends = rows.groupBy(*on, "_month").agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_right"))).alias("_end"))
+    months = Window.partitionBy(*on).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(
+        *[F.col(c).alias(f"_{c}_2") for c in on], F.col("_month").alias("_month_2"), F.last("_end", ignorenulls=True).over(months).alias("_before")
+    )
+    same = F.col("_month").eqNullSafe(F.col("_month_2"))
+    for c in on:
+        same = same & carried[c].eqNullSafe(before[f"_{c}_2"])
+    last = F.coalesce("_last", "_before._right")
+    found = carried.join(before, same, "left").withColumn("_last", last)
+    return found.select(*[carried[c] for c in on], *[F.col(f"_left.{c}").alias(c) for c in only], *[F.col(f"_last.{c}").alias(c) for c in take])
 
 
 def supply_gaps(

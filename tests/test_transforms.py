@@ -422,3 +422,15 @@ def test_count_model_matches_a_plain_fit(spark):
     assert len(found) == 50
     for r in found:
         assert abs(r.prediction - math.exp(beta[0] + beta[1] * r.x)) < 1e-3 * r.prediction
+
+
+def test_latest_before_over_months(spark):
+    rng = random.Random(9)
+    day = lambda: D(2025, 1, 1) + dt.timedelta(days=rng.randrange(300))
+    left = [(rng.choice(["a", "b", None]), i, day() if i else None) for i in range(120)]
+    right = [(rng.choice(["a", "b", None]), day(), rng.randrange(9)) for _ in range(25)]
+    found = intervals.latest_before(
+        spark.createDataFrame(left, "k string, id int, at date"), spark.createDataFrame(right, "k string, seen date, v int"), on=["k"], left_time="at", right_time="seen", take=["seen", "v"]
+    )
+    want = [(k, i, at, *max([(s, v) for kk, s, v in right if kk == k and at and s <= at], default=(None, None))) for k, i, at in left]
+    assert rows(found) == sorted(want, key=repr)
