@@ -39,6 +39,8 @@ _FRAGMENTS = 8
 _WORDS = 8
 _ROUNDS = 2
 _CENTRES = 8
+#: Parts that a shingle's nodes are dealt to.
+_PARTS = 8
 #: Nodes of pairs that are broadcast, 16 bytes each; more are joined by shuffle.
 _BROADCAST = 1 << 20
 
@@ -406,17 +408,29 @@ def _pair(a: str, na: str, b: str, nb: str) -> list[Column]:
     return [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(n) for x, y, n in ((a, b, "a"), (na, nb, "na"), (b, a, "b"), (nb, na, "nb"))]
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """Rows with a part of their shingle, so that those of a frequent one are in several tasks."""
+    return rows.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(_PARTS)).cast("int"))
+
+
 def _tried(rows: DataFrame, order: Column, percent: int) -> DataFrame:
-    """Pairs of each shingle's nodes with the one that is first in ``order``, where these stand in different components."""
-    centres = rows.groupBy("shingle").agg(F.min(F.struct(order.alias("o"), "node", "n", "comp", "place")).alias("c"))
-    paired = rows.join(centres, "shingle").where((F.col("comp") != F.col("c.comp")) & _reach("n", "place", "c.n", "c.place", percent))
-    return _fit(paired.select(*_pair("node", "n", "c.node", "c.n")), percent)
+    """Pairs of nodes that stand in different components: of each part of a shingle with the part's node that is first in
+    ``order``, and of these with the shingle's first."""
+    parted = _parted(rows)
+    centres = parted.groupBy("shingle", "part").agg(F.min(F.struct(order.alias("o"), "node", "n", "comp", "place")).alias("c"))
+    paired = parted.join(centres, ["shingle", "part"])
+    several = centres.groupBy("shingle").agg(F.min("c").alias("c"), F.collect_list("c").alias("parts")).where(F.size("parts") > 1)
+    heads = several.select("c", F.explode("parts").alias("of")).select("c", "of.node", "of.n", "of.comp", "of.place")
+    fit = (F.col("comp") != F.col("c.comp")) & _reach("n", "place", "c.n", "c.place", percent)
+    pairs = [df.where(fit).select(*_pair("node", "n", "c.node", "c.n")) for df in (paired, heads)]
+    return _fit(pairs[0].union(pairs[1]), percent)
 
 
 def _apart(rows: DataFrame) -> DataFrame:
     """The rows of shingles whose nodes stand in different components."""
     torn = rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle")
-    return rows.join(torn, "shingle", "left_semi")
+    parts = torn.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(_PARTS)])))
+    return _parted(rows).join(parts, ["shingle", "part"], "left_semi").drop("part")
 
 
 def _reach(n: str, place: str, n_b: str, place_b: str, percent: int) -> Column:
