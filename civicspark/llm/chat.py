@@ -11,18 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import materialize
+
 #: The fixed markers of the template.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
+#: Rows of keys that are broadcast, up to about 50 bytes each.
+_BROADCAST = 500_000
 
 
 def _hashed(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """Conversation, turn, role, text and a hash of the last two, of rows that have a conversation."""
     content = F.to_json(F.struct(F.col(role).alias("r"), F.col(text).alias("x")))
     return turns.where(F.col(conv).isNotNull()).select(
-        F.col(conv).alias("_c"), F.col(turn).alias("_t"), F.col(role).alias("_r"), F.col(text).alias("_x"), F.sha2(content, 256).alias("_h")
+        F.col(conv).alias("_c"), F.col(turn).alias("_t"), F.col(role).alias("_r"), F.col(text).alias("_x"), F.unhex(F.sha2(content, 256)).alias("_h")
     )
 
 
+def _broadcast(keys: DataFrame) -> DataFrame:
+    """Keys of few rows are broadcast, so that texts that don't have them aren't shuffled; more are joined by shuffle."""
+    return F.broadcast(keys) if keys.count() <= _BROADCAST else keys
+
+
 def maximal(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``conv``, ``n_turns``, ``n_copies`` and ``n_prefixes`` of each conversation that is no prefix of a longer one.
 
@@ -33,13 +42,12 @@ def maximal(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role
     not read.
     """
     hashed = _hashed(turns, conv, turn, role, text)
-    rows = hashed.select("_c", "_t", "_r", "_h").dropDuplicates(["_c", "_t", "_h"])
+    rows = hashed.select("_c", "_t", "_r", "_h").dropDuplicates(["_c", "_t", "_h"]).repartition("_c")
+    rows = materialize(rows.withColumn("_k", F.count("*").over(Window.partitionBy("_c", "_t", "_r"))))
     # texts decide the order only where a turn and role stand twice in a conversation, so only these travel
-    twice = rows.groupBy("_c", "_t", "_r").agg(F.count("*").alias("_k")).where("_k > 1").select(
-        F.col("_c").alias("_c2"), F.col("_t").alias("_t2"), F.col("_r").alias("_r2")
-    )
+    twice = rows.where("_k > 1").select(F.col("_c").alias("_c2"), F.col("_t").alias("_t2"), F.col("_r").alias("_r2")).distinct()
     same = (F.col("_c") == F.col("_c2")) & F.col("_t").eqNullSafe(F.col("_t2")) & F.col("_r").eqNullSafe(F.col("_r2"))
-    tied = hashed.join(twice, same, "left_semi").dropDuplicates(["_c", "_t", "_h"])
+    tied = hashed.join(_broadcast(twice), same, "left_semi").dropDuplicates(["_c", "_t", "_h"])
     tied = tied.select(
         F.col("_c").alias("_c2"),
         F.col("_t").alias("_t2"),
@@ -59,6 +67,7 @@ def maximal(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role
         F.expr("bit_xor(_b)").over(so_far).alias("_pb"),
         F.lead("_n").over(Window.partitionBy("_c").orderBy("_n")).isNull().alias("_whole"),
     )
+    rolled = materialize(rolled)  # a few numbers a turn
     whole = rolled.where("_whole").groupBy("_n", "_pa", "_pb").agg(F.min("_c").alias(conv), F.count("*").alias("n_copies"))
     proper = rolled.where("not _whole").select("_n", "_pa", "_pb").distinct()
     kept = whole.join(proper, ["_n", "_pa", "_pb"], "left_anti")
@@ -77,10 +86,10 @@ def render(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role:
 
     A null role is written "unknown", a null text as nothing; cases otherwise as in ``maximal``.
     """
-    kept = maximal(turns, conv=conv, turn=turn, role=role, text=text)
+    kept = materialize(maximal(turns, conv=conv, turn=turn, role=role, text=text))
     rows = turns.where(F.col(conv).isNotNull()).select(
         F.col(conv), F.col(turn).alias("_t"), F.col(role).alias("_r"), F.col(text).alias("_x")
-    ).join(kept.select(conv), conv, "left_semi").distinct()
+    ).join(_broadcast(kept.select(conv)), conv, "left_semi").distinct()
     key = F.struct("_t", "_r", "_x")  # in a struct null comes first
     line = F.transform(
         F.array_sort(F.collect_list(key)),
