@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.quality import require
+from ..operators.ranks import ranked
 from ..session import drop_folder
 
 CORRUPT = "_corrupt_record"
@@ -94,14 +95,11 @@ def read_manifests(spark: SparkSession, root: str, schema: StructType, pattern:
 
 
 def sample_names(names: DataFrame, name: str, n: int = 3) -> DataFrame:
-    """Up to ``n`` of the distinct names, spread evenly: all, or those at places 0, s, 2s, ... of the sorted list, where s
-    is how often n goes into its length. The list is one of files, not of their rows."""
-    listed = names.select(name).distinct()
-    placed = listed.withColumn(
-        "_i", F.row_number().over(Window.orderBy(name)) - 1
-    ).crossJoin(F.broadcast(listed.agg(F.count("*").alias("_n"))))
-    step = F.expr(f"_n div {n}")
-    return placed.where((F.col("_n") <= n) | ((F.col("_i") % step == 0) & (F.col("_i") / step < n))).select(name)
+    """Action: up to ``n`` of the distinct names, spread evenly: all, or those at places 0, s, 2s, ... of the sorted list,
+    where s is how often n goes into its length. Only the ranges of the list that hold them are read again."""
+    listed = ranked(names.select(name).distinct(), [name])
+    step = max(listed.total // n, 1)
+    return listed.at([i * step for i in range(min(n, listed.total))], "_rank").select(name)
 
 
 def flatten_series(df: DataFrame, keep: list[str], blocks: list[str], members: list[str], pad: bool = True) -> DataFrame:
@@ -294,9 +292,10 @@ def write_manifests(manifests: DataFrame, path: str) -> None:
 
 
 def stable_page(df: DataFrame, keys: list[str], number: int, size: int) -> DataFrame:
-    """Page ``number`` (from 0) of the rows in a total order: by ``keys``, and rows of equal keys by a hash of all columns,
-    so that pages neither overlap nor leave rows out between runs."""
-    return df.orderBy(*keys, F.xxhash64(*df.columns), *df.columns).offset(number * size).limit(size)
+    """Action: page ``number`` (from 0) of the rows in a total order: by ``keys``, and rows of equal keys by a hash of all
+    columns, so that pages neither overlap nor leave rows out between runs. Whoever wants several pages takes ``ranked``
+    once: a page reads the ranges that hold it, however deep it lies."""
+    return ranked(df, keys).between(number * size, (number + 1) * size, "_rank").drop("_rank")
 
 
 def stats(records: DataFrame, day: str, size: Column) -> DataFrame:
