@@ -130,3 +130,32 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         values = np.minimum(values[: len(values) - size], values[size:])
         size *= 2
     return np.minimum(values[:n], values[width - size : width - size + n])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words, A-Z lower-cased; of each word its place among these and where it begins; the number of words
+    before each row (one more than rows). ``gap`` tells of each byte whether it separates words."""
+    n = len(data)
+    if not n:
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    low = _LOWER[data]
+    word = ~gap[low]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    edges = offsets[(offsets > 0) & (offsets < n)]
+    first[edges] = word[edges]
+    begin = np.flatnonzero(first)
+    # the bytes of words, one word after the other
+    ends = np.concatenate([np.cumsum(word)[begin] - 1, [word.sum()]]).astype(np.int64)
+    coded = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(low[word])).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), begin, np.searchsorted(begin, offsets)
+
+
+def slices(offsets: np.ndarray, most: int = 1 << 20) -> list[tuple[int, int]]:
+    """Ranges of rows of about ``most`` bytes, a longer row alone."""
+    out, lo = [], 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
+        out.append((lo, hi))
+        lo = hi
+    return out

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, digests, language, mixing, ngram_join, pages, passages, sentencepieces, topk, toxicity
+from . import chat, digests, divergence, language, minhash, mixing, ngram_join, pages, passages, phrases, sentencepieces, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +113,129 @@ FROM kept k LEFT JOIN w s ON s.n < k.n AND s.turns = k.turns[1:s.n]
 GROUP BY k.conv_id, k.n, k.n_copies, k.chat
 """
 
+
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest([array_to_string(w[i:i + 1], ' ') FOR i IN range(1, len(w))]) FROM w
+  UNION ALL SELECT lang, 3, unnest([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) FROM w
+), f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10
+), cut AS (
+  SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS j FROM c
+), s AS (
+  SELECT cut.*, x.a AS l, y.a AS r, 1000000 * cut.a * cut.a // (x.a * y.a) AS score FROM cut
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(ws[1:j], ' ') AND x.k = j
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(ws[j + 1:], ' ') AND y.k = cut.k - j
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE low.k = 2 AND c.k = 3 AND c.lang = low.lang AND 100 * c.a >= 50 * low.a
+      AND (array_to_string(c.ws[1:2], ' ') = low.phrase OR array_to_string(c.ws[2:3], ' ') = low.phrase))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT d, lang, source, unnest(w) AS term FROM d
+), v AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), ls AS (
+  SELECT lang, CAST(sum(c) AS HUGEINT) AS n, CAST(count(*) AS HUGEINT) AS v FROM v GROUP BY lang
+), c AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM t SEMI JOIN v USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), gs AS (
+  SELECT g.lang, g.source, CAST(coalesce(sum(c.c), 0) AS HUGEINT) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT gs.lang, gs.source, v.term, coalesce(c.c, 0) AS c, 1 + 1000000000 * (coalesce(c.c, 0) + 1) // (gs.n + ls.v) AS p,
+         1 + 1000000000 * (v.c + 1) // (ls.n + ls.v) AS q
+  FROM gs JOIN ls USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = gs.lang AND c.source = gs.source AND c.term = v.term
+), pf AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(pf.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pf ON pf.lang = a.lang AND pf.source = a.source AND pf.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM p WHERE c > 0 AND p > q
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(_table(spark, sf_dir, "documents"))
+
+
+def _linked_sql(words: int, percent: int) -> str:
+    """Shingle sets, pairs by counted overlap, and the smallest id that links reach."""
+    return rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + {words - 1}], ' ') FOR i IN range(1, len(w) - {words - 2})] END)) AS s
+  FROM d
+), c AS (
+  SELECT row_number() OVER () AS node, s, len(s) AS n FROM (SELECT DISTINCT s FROM s WHERE len(s) > 0)
+), u AS (
+  SELECT node, n, unnest(s) AS shingle FROM c
+), x AS (
+  SELECT shingle, row_number() OVER () AS id FROM u GROUP BY shingle HAVING count(*) > 1
+), i AS (
+  SELECT u.node, u.n, x.id FROM u JOIN x USING (shingle)
+), e AS (
+  SELECT a.node AS a, b.node AS b FROM i a JOIN i b ON a.id = b.id AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+), reach AS (
+  SELECT node AS a, node AS b FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b
+), m AS (
+  SELECT s.doc_id, c.node, len(s.s) AS n FROM s LEFT JOIN c ON c.s = s.s
+), least AS (
+  SELECT reach.a AS node, min(m.doc_id) AS least FROM reach JOIN m ON m.node = reach.b GROUP BY reach.a
+), r AS (
+  SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles, coalesce(least.least, m.doc_id) AS component_id FROM m LEFT JOIN least USING (node)
+)
+"""
+
+
+OP8_SQL = _linked_sql(5, 75) + "SELECT doc_id, n_shingles, component_id FROM r"
+OP13_SQL = _linked_sql(4, 80) + "SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM r"
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,6 +249,16 @@ QUERIES = {
         op8_ngram_jaccard_join,
         op9_sentencepiece,
         op10_chat_formatting,
+        op11_phrase_collocations,
+        op12_source_divergence,
+        op13_minhash_dedup,
     )
 }
-ORACLES = {"op2_exact_topk": OP2_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLES = {
+    "op2_exact_topk": OP2_SQL,
+    "op8_ngram_jaccard_join": OP8_SQL,
+    "op10_chat_formatting": OP10_SQL,
+    "op11_phrase_collocations": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
+    "op13_minhash_dedup": OP13_SQL,
+}
