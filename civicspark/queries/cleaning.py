@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.columns import partition_date
-from ..operators import profile, quality
+from ..operators import checksums, profile, quality
 from ..plans import jobs, silver
 from ..session import scratch
 from ..sources import landing
@@ -451,7 +451,7 @@ def landed_manifest(spark: SparkSession, d: str) -> DataFrame:
         spark, path, source_id="SRC", dataset_name="events", timestamp_field="ts", fetched=datetime(2026, 8, 1, 6, 30)
     )
     landing.write_manifests(made, beside)
-    found = spark.read.schema(made.schema).json(beside)
+    found = landing.read_manifests(spark, beside, made.schema)
     same = [
         "month_partition", "date_partition", "source_id", "dataset_name", "timestamp_field", "compression", "ingest_date", "fetch_timestamp"
     ]
@@ -470,6 +470,34 @@ def landed_manifest(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_TREE = """
+WITH l AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS line FROM events),
+  r AS (SELECT *, row_number() OVER (PARTITION BY event_type, date ORDER BY event_id) - 1 AS node FROM l),
+  a AS (SELECT event_type, date, node // 32 AS node, sha256(string_agg(sha256(line), '' ORDER BY node)) AS hash, count(*) AS n, sum(strlen(line) + 1) AS bytes FROM r GROUP BY event_type, date, node // 32),
+  b AS (SELECT event_type, date, CASE WHEN count(*) = 1 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY node)) END AS tree_checksum, CAST(sum(n) AS BIGINT) AS record_count, CAST(sum(bytes) AS BIGINT) AS file_size_bytes FROM a GROUP BY event_type, date)
+"""
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_type", partition_date(F.col("ts")).alias("date"), "event_id", "user_id")
+
+
+@query(_TREE + "SELECT event_type, date, record_count, file_size_bytes, tree_checksum FROM b")
+def tree_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered checksums of partitions of any size, as roots of hash trees (SQL has two levels, for up to 1,024 lines)."""
+    found, _ = landing.tree_manifest(_lines(spark, d), ["event_type", "date"], ["event_id"])
+    return found.select("event_type", "date", "record_count", "file_size_bytes", "tree_checksum")
+
+
+@query(_TREE + "SELECT event_type, date, node FROM r WHERE event_id % 97 = 3")
+def changed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines that a second landing has changed, located by the branches of two hash trees."""
+    first = _lines(spark, d)
+    second = first.withColumn("user_id", F.col("user_id") + F.when(F.col("event_id") % 97 == 3, 1).otherwise(0))
+    trees = [landing.tree_manifest(rows, ["event_type", "date"], ["event_id"])[1] for rows in (first, second)]
+    return checksums.differences(*trees, ["event_type", "date"])
+
+
 @query("SELECT event_type AS dataset_name, count(*) AS record_count FROM events WHERE event_type <> 'error' GROUP BY 1")
 def manifest_scan(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "manifests")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators import checksums
 from ..operators.quality import require
 from ..operators.ranks import ranked
 from ..session import drop_folder
@@ -88,10 +89,14 @@ def parse_tolerant(df: DataFrame, column: str, schema: StructType) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, root: str, schema: StructType, pattern: str = "manifest*.json") -> DataFrame:
-    """All manifest objects below a folder, one a file; those that can't be read are left out."""
-    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.read.schema(full).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(root).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """All manifest objects below a folder: a file is one object over any number of lines, or has an object on each line.
+    What can't be read is left out; any selection of columns, none too, has all rows."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root, wholetext=True)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    objects = F.when(F.try_parse_json(F.try_element_at(lines, F.lit(1))).isNotNull(), lines).otherwise(F.array("value"))
+    # parsed before a selection is made, so that pruned columns don't make a broken object whole
+    read = parse_tolerant(files.select(F.explode(objects).alias("_object")), "_object", schema)
+    return read.where(F.col(CORRUPT).isNull() & F.try_parse_json("_object").isNotNull()).select(*[f.name for f in schema])
 
 
 def sample_names(names: DataFrame, name: str, n: int = 3) -> DataFrame:
@@ -159,19 +164,29 @@ def write_json(df: DataFrame, path: str, keys: list[str], compression: str = "gz
     """Action: one record a line, in folders by ``keys``; folders that get rows are replaced, others stay.
 
     Rows are dealt so that large keys go to several tasks and small ones share one (adaptive execution). With
-    ``keep_order`` the records of a key stand in the order that they come in, over its files by name.
+    ``keep_order`` the records of a key stand in the order that they come in, over its files by name; the number that
+    keeps it has a name that no field has.
     """
     if not keys:
         df.write.mode("overwrite").option("compression", compression).json(path)
         return
     if keep_order:
-        numbered = df.withColumn("_at", F.monotonically_increasing_id())
-        out = numbered.repartitionByRange(*keys, "_at").sortWithinPartitions(*keys, "_at").drop("_at")
+        at = free_name(df, "_at")
+        numbered = df.withColumn(at, F.monotonically_increasing_id())
+        out = numbered.repartitionByRange(*keys, at).sortWithinPartitions(*keys, at).drop(at)
     else:
         out = df.hint("rebalance", *keys)
     out.write.mode("overwrite").option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def write_daily(records: DataFrame, path: str, timestamp: str) -> None:
     """Action: a folder for each day of the records' own time, records in the order that they come in."""
     write_json(by_record_day(records, timestamp), path, ["month", "date"], keep_order=True)
@@ -218,23 +233,39 @@ def write_whole(df: DataFrame, path: str, files: int | None = None) -> None:
     (df.coalesce(files) if files else df).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None) -> DataFrame:
-    """A row for each partition: records, bytes of its lines as JSON, two checksums, first and last record date.
+def manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None, *, ordered: bool = True) -> DataFrame:
+    """A row for each partition: records, bytes of its lines as JSON, checksums, first and last record date.
 
-    ``sha256_checksum`` hashes the lines in ``order``, which takes the lines of a partition into one row: for partitions
-    of a day's size. ``line_checksum`` adds up a hash of each line: in any order, for partitions of any size, and those of
-    parts add up to that of the whole.
+    ``line_checksum`` adds up a hash of each line: in any order, for partitions of any size, and those of parts add up to
+    that of the whole. ``sha256_checksum`` hashes the lines in ``order``, which takes the lines of a partition into one
+    row: for partitions of a day's size; with ``ordered`` False it is left out. ``tree_manifest`` has an ordered checksum
+    for partitions of any size.
     """
     fields = [c for c in records.columns if c not in keys]
     line = F.to_json(F.struct(*fields))
-    day = F.to_date(F.try_to_timestamp(F.col(timestamp).cast("string"))) if timestamp else F.lit(None).cast("date")
-    rows = records.select(*keys, line.alias("_line"), day.alias("_day"), F.struct(*order, line).alias("_order"))
+    rows = records.select(*keys, line.alias("_line"), _day(timestamp).alias("_day"), F.struct(*order, line).alias("_order"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("_order", "_line"))), lambda s: s["_line"])
+    hashes = [_sha256(lines)] if ordered else []
     return rows.groupBy(*keys).agg(
-        *_line_sums(), _sha256(lines), F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max")
+        *_line_sums(), *hashes, F.min("_day").alias("data_date_min"), F.max("_day").alias("data_date_max")
     )
 
 
+def tree_manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Action: a row for each partition as ``manifest`` has them, with ``tree_checksum``, the root of a hash tree over its
+    lines in ``order``, in place of one hash of all; and the trees, by which ``checksums.differences`` finds changed lines."""
+    fields = [c for c in records.columns if c not in keys]
+    line, name = F.to_json(F.struct(*fields)), free_name(records, "_line")
+    tree = checksums.hash_tree(records.withColumn(name, line), keys, order, name)
+    root = checksums.roots(tree, keys).select(F.struct(*keys).alias("_key"), "tree_checksum")
+    sums = manifest(records, keys, order, timestamp, ordered=False).withColumn("_key", F.struct(*keys))
+    return sums.join(root, "_key").drop("_key"), tree
+
+
+def _day(timestamp: str | None) -> Column:
+    return F.to_date(F.try_to_timestamp(F.col(timestamp).cast("string"))) if timestamp else F.lit(None).cast("date")
+
+
 def _line_sums() -> list[Column]:
     hashed = F.sum(F.xxhash64("_line").cast("decimal(20,0)")).alias("line_checksum")
     return [F.count("*").alias("record_count"), F.sum(F.octet_length("_line") + 1).alias("file_size_bytes"), hashed]
@@ -286,9 +317,17 @@ def file_manifests(
     ).drop("_path")
 
 
-def write_manifests(manifests: DataFrame, path: str) -> None:
-    """Action: manifest rows as JSON, a line each, in a folder beside the data; a rerun replaces them."""
-    manifests.write.mode("overwrite").json(path)
+def write_manifests(manifests: DataFrame, path: str, most: int = 10_000) -> None:
+    """Action: manifest rows as JSON in a folder of their own, an object on each line and at most ``most`` in a file, under
+    names that ``read_manifests`` looks for; a rerun replaces them."""
+    spark = manifests.sparkSession
+    manifests.write.mode("overwrite").option("maxRecordsPerFile", most).json(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, f"manifest-{name}"))
 
 
 def stable_page(df: DataFrame, keys: list[str], number: int, size: int) -> DataFrame:
