@@ -74,9 +74,9 @@ def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame
 
 
 def _added(tables: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-    kinds = [*[(c, pa.string()) for c in ("lang", "source", "term")], ("n", pa.int64()), ("docs", pa.int64())]
-    return out.rename_columns([c for c, _ in kinds]).cast(pa.schema(kinds))
+    kind = pa.schema([*[(c, pa.string()) for c in ("lang", "source", "term")], ("n", pa.int64()), ("docs", pa.int64())])
+    found = pa.concat_tables(t.cast(kind) for t in tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    return found.rename_columns(kind.names).cast(kind)
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -174,7 +174,8 @@ def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text:
     )
     profiles = kept.groupBy("lang", "held").agg(F.count("*").alias("terms"))
     # the order of profiles in ranges, and these in blocks of about so many counts
-    ordered = profiles.repartitionByRange("lang", "held").sortWithinPartitions("lang", "held")
+    entries = each.count()
+    ordered = profiles.repartitionByRange(1 + entries // _BLOCK, "lang", "held").sortWithinPartitions("lang", "held")
     placed = materialize(ordered.withColumn("place", F.monotonically_increasing_id()).withColumn("range", F.spark_partition_id()))
     wide = placed.groupBy("lang", "range").agg(F.avg(F.size("held")).alias("mean"), F.min("place").alias("least"))
     block = F.floor((F.col("place") - F.col("least")) * F.col("mean") / _BLOCK).alias("block")

@@ -237,8 +237,9 @@ def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def _added(tables: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(tables).group_by(["lang", "word"]).aggregate([("n", "sum")]).rename_columns(["lang", "word", "n"])
-    return out.cast(pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
+    kind = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    found = pa.concat_tables(t.cast(kind) for t in tables).group_by(["lang", "word"]).aggregate([("n", "sum")])
+    return found.rename_columns(kind.names).cast(kind)
 
 
 def _key(lang: pa.Array, word: pa.Array) -> pa.Array:

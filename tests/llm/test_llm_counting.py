@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from civicspark.llm import divergence, minhash, phrases
@@ -66,6 +67,15 @@ def test_phrases_of_large_vocabularies(spark, phrase_rows, monkeypatch, narrow):
     assert sorted(tuple(r) for r in phrases.collocations(df).collect()) == brute_phrases(phrase_rows)
 
 
+def test_tables_of_a_task_are_added_up():
+    """What stays below half a table is kept and added to what comes."""
+    kind = pa.large_string()
+    one = lambda n: pa.table({"lang": pa.array(["x"], kind), "word": pa.array(["w"], kind), "n": pa.array([n])})
+    assert phrases._added([phrases._added([one(1), one(2)]), one(3)]).to_pylist() == [{"lang": "x", "word": "w", "n": 6}]
+    two = lambda n: pa.table({**{c: pa.array([c], kind) for c in ("lang", "source", "term")}, "n": pa.array([n]), "docs": pa.array([1])})
+    assert divergence._added([divergence._added([two(1), two(2)]), two(3)]).select(["n", "docs"]).to_pylist() == [{"n": 6, "docs": 3}]
+
+
 def test_phrases_of_nothing(no_docs, spark):
     assert phrases.collocations(no_docs).collect() == []
     assert phrases.collocations(spark.createDataFrame([("a b c", "en")], "text string, lang string")).collect() == []
