@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import partition_date
 from ..session import scratch
-from ..streaming import incremental
+from ..streaming import incremental, revisions
 from .common import Registry, table
 
 registry = Registry()
@@ -48,3 +48,25 @@ def stream_late_duplicates(spark: SparkSession, d: str) -> DataFrame:
         "checkpointLocation", state
     ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(out).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("""
+WITH e AS (SELECT event_id, date_trunc('second', ts) AS opened, value, date_trunc('second', ts) < TIMESTAMP '2024-01-16' AS early FROM events),
+w AS (SELECT max(opened) FILTER (early) - INTERVAL 7 DAY AS first_end, max(opened) - INTERVAL 7 DAY AS last_end FROM e),
+v AS (SELECT *, CASE WHEN early AND opened > first_end AND event_id % 5 = 0 THEN 4 WHEN early AND event_id % 3 = 0 THEN 3 ELSE 1 END AS version FROM e, w WHERE opened <= last_end)
+SELECT event_id, CAST(version AS BIGINT) AS version, round(value + version, 4) AS value FROM v
+""")
+def stream_newest_revisions(spark: SparkSession, d: str) -> DataFrame:
+    """Two landings with revisions out of order: what comes within a week of an event's time counts, its newest version wins."""
+    landed, out, state = (scratch(spark, n) for n in ("revisions", "settled", "state"))
+    events = table(spark, d, "events").select("event_id", F.date_trunc("second", "ts").cast("timestamp").alias("opened"), "value")
+    early, late = events.where("opened < '2024-01-16'"), events.where("opened >= '2024-01-16'")
+    of = lambda df, n: df.select("event_id", "opened", F.lit(n).cast("long").alias("version"), F.round(F.col("value") + n, 4).alias("value"))
+    first = of(early, 1).union(of(early.where("event_id % 3 = 0"), 3))
+    second = of(late, 1).union(of(early.where("event_id % 3 = 0"), 2)).union(of(early.where("event_id % 5 = 0"), 4))
+    for landing in (first, second):
+        landing.write.mode("append").parquet(landed)
+        revisions.settle_revisions(
+            spark, landed, first.schema, out, state, keys=["event_id"], opened="opened", version=["version"], file_format="parquet"
+        )
+    return spark.read.schema(first.schema).parquet(out).select("event_id", "version", "value")
