@@ -2,25 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlaps(
-    left: DataFrame, right: DataFrame, *, on: list[str], left_span: tuple[str, str], right_span: tuple[str, str], bucket_days: int = 30
-) -> DataFrame:
-    """Rows of both sides whose closed date intervals meet, with equal ``on``. Column names of the sides must differ.
+#: Days are counted from 1970 on; so many more, and no date's number is negative.
+_BASE_DAY = 1 << 20
+
+
+def _day(column: str) -> Column:
+    return F.datediff(F.col(column).cast("date"), F.lit("1970-01-01").cast("date")) + _BASE_DAY
+
+
+def cover(first: str, last: str, height: int) -> Column:
+    """The dyadic ranges (level, place) that make up the days ``first`` to ``last``: at most two of each level up to
+    ``height``, so about twice the logarithm of an interval's length however long it is; none if it is empty."""
+    left, right = f"ceil(({first}) / shiftleft(1L, k))", f"floor((({last}) + 1) / shiftleft(1L, k))"
+    pick = (
+        f"filter(array(if({left} < {right} AND {left} % 2 = 1, named_struct('level', k, 'place', {left}), null), "
+        f"if({left} < {right} AND {right} % 2 = 1, named_struct('level', k, 'place', {right} - 1), null)), x -> x IS NOT NULL)"
+    )
+    return F.expr(f"flatten(transform(sequence(0, {height}), k -> {pick}))")
+
+
+def path(day: str, height: int) -> Column:
+    """The dyadic ranges up to ``height`` that hold a day: one of each level."""
+    return F.expr(f"transform(sequence(0, {height}), k -> named_struct('level', k, 'place', CAST(shiftright({day}, k) AS BIGINT)))")
+
+
+def overlaps(left: DataFrame, right: DataFrame, *, on: list[str], left_span: tuple[str, str], right_span: tuple[str, str]) -> DataFrame:
+    """Action: rows of both sides whose closed date intervals meet, with equal ``on``. Column names of the sides must differ.
 
-    Intervals are dealt into buckets of days, and a pair is found in the bucket where its later start lies, so that the
-    join is on equal values and no pair comes twice.
+    Of two intervals that meet, the later one begins within the other. An interval is covered by dyadic ranges of days, of
+    which one holds that day, so the join is on equal ranges, a pair is found once, and an interval has a few rows whatever
+    its length. Rows with a null bound, or that end before they begin, meet nothing. The action is for each side's longest.
     """
     a, b = left_span
     c, d = right_span
-    bucket = lambda day: F.floor(F.datediff(F.col(day).cast("date"), F.lit("1970-01-01").cast("date")) / bucket_days)
-    dealt = lambda df, s, e: df.withColumn("_bucket", F.explode(F.sequence(bucket(s), bucket(e))))
-    first = F.floor(F.datediff(F.greatest(F.col(a).cast("date"), F.col(c).cast("date")), F.lit("1970-01-01").cast("date")) / bucket_days)
-    joined = dealt(left.where(F.col(a) <= F.col(b)), a, b).join(dealt(right.where(F.col(c) <= F.col(d)), c, d), [*on, "_bucket"])
-    return joined.where((F.col(a) <= F.col(d)) & (F.col(c) <= F.col(b)) & (F.col("_bucket") == first)).drop("_bucket")
+    own = lambda df, s, e: df.where(F.col(s) <= F.col(e)).withColumns({"_from": _day(s).cast("long"), "_to": _day(e).cast("long")})
+    one, two = own(left, a, b), own(right, c, d).withColumnsRenamed({"_from": "_from_2", "_to": "_to_2"})
+    heights = [int(df.agg(F.max(F.expr(f"{e} - {s} + 1"))).first()[0] or 1).bit_length() for df, s, e in ((one, "_from", "_to"), (two, "_from_2", "_to_2"))]
+    dealt = lambda df, ranges: df.withColumn("_range", F.explode(ranges))
+    keys = [*on, "_range"]
+    # the right one begins within the left one, or the left one after the right one's first day
+    inside = dealt(one, cover("_from", "_to", heights[0])).join(dealt(two, path("_from_2", heights[0])), keys)
+    after = dealt(one, path("_from", heights[1])).join(dealt(two, cover("_from_2 + 1", "_to_2", heights[1])), keys)
+    met = inside.unionByName(after).where((F.col(a) <= F.col(d)) & (F.col(c) <= F.col(b)))
+    return met.drop("_range", "_from", "_to", "_from_2", "_to_2")
 
 
 def latest_before(left: DataFrame, right: DataFrame, *, on: list[str], left_time: str, right_time: str, take: list[str]) -> DataFrame:

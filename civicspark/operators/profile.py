@@ -22,6 +22,31 @@ def null_rates(df: DataFrame, high: float = 0.05) -> DataFrame:
     return long.withColumn("is_high", F.coalesce(F.col("null_rate") > high, F.lit(False)))
 
 
+def key_null_rates(records: DataFrame, column: str, high: float = 0.05) -> DataFrame:
+    """``field``, ``null_rate`` and ``is_high`` of every key found in a column of JSON objects: no schema is needed.
+
+    A record lacks a key if it hasn't got it, or has null, '', 0, false, [] or {} there; keys within objects aren't looked
+    at. A record that is null, no JSON or no object lacks all keys, and counts. Without any key there is no row.
+    """
+    parsed = records.select(F.try_parse_json(column).alias("_record"))
+    total = parsed.agg(F.count("*").alias("_total"))
+    objects = parsed.where(F.schema_of_variant("_record").startswith("OBJECT"))
+    each = objects.lateralJoin(records.sparkSession.tvf.variant_explode(F.col("_record").outer())).select("key", "value")
+    kind, text = F.schema_of_variant("value"), F.col("value").cast("string")
+    number = F.try_variant_get("value", "$", "double")
+    empty = (
+        F.is_variant_null("value")
+        | ((kind == "STRING") & (text == ""))
+        | ((kind == "BOOLEAN") & (text == "false"))
+        | (kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (number == 0))
+        | (kind.rlike("^(ARRAY|OBJECT)") & text.isin("[]", "{}"))
+    )
+    filled = each.groupBy(F.col("key").alias("field")).agg(F.count_if(~F.coalesce(empty, F.lit(True))).alias("_filled"))
+    rate = F.round(1 - F.col("_filled") / F.col("_total"), 4).alias("null_rate")
+    rates = filled.crossJoin(F.broadcast(total)).select("field", rate)  # one row, whatever the input
+    return rates.withColumn("is_high", F.col("null_rate") > high)
+
+
 def timestamps(df: DataFrame, field: str) -> DataFrame:
     """Missing and unreadable shares, values at or before 1970-01-01 and from 2099-01-01 on, least and greatest.
 

@@ -208,9 +208,9 @@ def unscheduled_zones(spark: SparkSession, d: str) -> DataFrame:
 
 _SURGES = """
 WITH s AS (SELECT o_orderpriority AS g, CAST(o_orderdate AS DATE) AS day, count(*) AS m FROM orders GROUP BY 1, 2), q AS (SELECT * FROM s WHERE m >= 4),
-f AS (SELECT *, CASE WHEN coalesce(date_diff('day', lag(day) OVER w, day), 999) > 3 THEN 1 ELSE 0 END AS b FROM q WINDOW w AS (PARTITION BY g ORDER BY day)), i AS (SELECT *, sum(b) OVER (PARTITION BY g ORDER BY day ROWS UNBOUNDED PRECEDING) AS k FROM f),
+f AS (SELECT *, CASE WHEN lag(day) OVER w IS NULL OR date_diff('day', lag(day) OVER w, day) > 3 THEN 1 ELSE 0 END AS b FROM q WINDOW w AS (PARTITION BY g ORDER BY day)), i AS (SELECT *, sum(b) OVER (PARTITION BY g ORDER BY day ROWS UNBOUNDED PRECEDING) AS k FROM f),
 ev AS (SELECT 'E-' || strftime(min(day), '%Y%m%d') || '-' || g AS event_id, min(day) AS start_date, max(day) AS end_date, CAST(sum(m) AS DOUBLE) AS total FROM i GROUP BY g, k),
-sh AS (SELECT s_nationkey AS zone, CAST(l_shipdate AS DATE) AS shift_start, CAST(l_shipdate AS DATE) + 2 AS shift_end FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity >= 49),
+sh AS (SELECT s_nationkey AS zone, CAST(l_shipdate AS DATE) AS shift_start, CAST(l_shipdate AS DATE) + 2 AS shift_end FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 gap AS (SELECT ev.event_id, n.n_nationkey AS zone, ev.start_date, ev.end_date, ev.total,
   CAST(CASE WHEN ev.start_date >= DATE '1996-01-01' THEN CASE WHEN EXISTS (SELECT 1 FROM sh WHERE sh.zone = n.n_nationkey AND sh.shift_start <= ev.end_date AND ev.start_date <= sh.shift_end) THEN 0 ELSE 1 END END AS INTEGER) AS supply_gap FROM ev, nation n)
 """
@@ -225,9 +225,7 @@ def _surges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _gaps(spark: SparkSession, d: str) -> DataFrame:
-    shifts = table(spark, d, "lineitem").where("l_quantity >= 49").join(
-        table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    shifts = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     shifts = shifts.select(
         F.col("s_nationkey").alias("zone"),
         F.to_date("l_shipdate").alias("shift_start"),

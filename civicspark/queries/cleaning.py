@@ -470,6 +470,21 @@ def landed_manifest(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("""
+WITH r AS (SELECT CASE event_id % 5 WHEN 0 THEN props WHEN 1 THEN '{"k": 0, "note": ""}' WHEN 2 THEN '{"note": "x", "tags": [], "k": 1.5}' WHEN 3 THEN '{"k": "0", "tags": [1], "flag": false, "at": {"x": 1}}' ELSE '{"at": {}, "k": null}' END AS j FROM events),
+k AS (SELECT j, unnest(json_keys(j)) AS field FROM r), v AS (SELECT field, json_extract(j, field) AS v FROM k), n AS (SELECT count(*) AS n FROM r)
+SELECT field, round(1 - count(*) FILTER (json_type(v) <> 'NULL' AND CAST(v AS VARCHAR) NOT IN ('""', '0', '0.0', 'false', '[]', '{}')) / min(n), 4) AS null_rate,
+  round(1 - count(*) FILTER (json_type(v) <> 'NULL' AND CAST(v AS VARCHAR) NOT IN ('""', '0', '0.0', 'false', '[]', '{}')) / min(n), 4) > 0.5 AS is_high FROM v, n GROUP BY field
+""")
+def key_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Null rates of the keys that records without a schema hold."""
+    kinds = ['{"k": 0, "note": ""}', '{"note": "x", "tags": [], "k": 1.5}', '{"k": "0", "tags": [1], "flag": false, "at": {"x": 1}}', '{"at": {}, "k": null}']
+    text = F.when(F.col("event_id") % 5 == 0, F.col("props"))
+    for i, kind in enumerate(kinds):
+        text = text.when(F.col("event_id") % 5 == i + 1, F.lit(kind))
+    return profile.key_null_rates(table(spark, d, "events").select(text.alias("record")), "record", high=0.5)
+
+
 _TREE = """
 WITH l AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS line FROM events),
   r AS (SELECT *, row_number() OVER (PARTITION BY event_type, date ORDER BY event_id) - 1 AS node FROM l),
