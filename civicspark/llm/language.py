@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .frames import tidy
 from .kernels import utf8
@@ -216,7 +217,7 @@ def identify(
     """
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     frame = docs.select(F.col(key), F.when(lettered, F.col(text)).alias("_seen"), *carry)
-    kinds = [f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in (key, *carry)]
+    kinds = [StructField(c, frame.schema[c].dataType) for c in (key, *carry)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network  # a few thousand numbers, whatever the input
@@ -245,4 +246,4 @@ def identify(
             made = [pa.array([names[i] for i in best], pa.string()), pa.array(np.clip(score, 0, 1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *made], names=[key, *carry, "lang_pred", "score"])
 
-    return frame.mapInArrow(tidy(run), ", ".join([*kinds, "lang_pred string, score double"]))
+    return frame.mapInArrow(tidy(run), StructType([*kinds, *StructType.fromDDL("lang_pred string, score double")]))

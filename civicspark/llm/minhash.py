@@ -4,7 +4,8 @@ Documents with equal shingle sets form one class and stand for one node. A node'
 shingles under each of ``ROWS * BANDS`` hash functions; nodes that agree in all rows of a band meet in a bucket. Candidates
 compare their signatures, a byte of each value, batch by batch. After each batch the posterior of their similarity is known
 from the number of agreements, and a pair is given up as soon as the similarity reaches the threshold with a probability
-below ``MISS``. Survivors are confirmed on their whole shingle sets.
+below ``MISS``. Survivors whose parity bitmaps differ in more bits than sets that link can in shingles go too, and the rest
+is confirmed on whole shingle sets.
 
 Links matter as far as they connect: in each bucket nodes are first tried against centres, and what still stands apart is
 compared in blocks of bounded size, of which survivors alone come out. Nothing is capped.
@@ -30,6 +31,8 @@ from .ngram_join import _keys, components
 ROWS, BANDS = 4, 32
 #: Signature values of a batch, and the posterior probability below which a pair is given up.
 BATCH, MISS = 16, 1e-7
+#: Bits of a parity bitmap, 64 a word: one is on if an odd number of shingles hits it.
+_BITS = 1024
 #: Rounds against centres; parts that a bucket's nodes are dealt to; nodes of a block in one task. None changes the result.
 _ROUNDS, _PARTS, _BLOCK = 3, 8, 1024
 #: Nodes of a bucket up to which pairs are formed by a join, at most half of this squared.
@@ -87,9 +90,25 @@ def survive(a: np.ndarray, b: np.ndarray, least: tuple[int, ...], batch: int = B
     return alive
 
 
+def bitmaps(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The parity bitmap of each row's shingles as bytes: two sets differ in at least as many shingles as bitmaps in bits."""
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    hits = np.bincount(row * _BITS + (mix(values) % np.uint64(_BITS)).astype(np.int64), minlength=(len(at) - 1) * _BITS)
+    return np.packbits((hits % 2).astype(np.uint8).reshape(-1, _BITS), axis=1)
+
+
+def may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """The places of pairs of sketches, a row each, that no batch gives up and whose bitmaps allow a link."""
+    alive = survive(a, b, least_agreements(percent))
+    words = [np.ascontiguousarray(x[alive][:, ROWS * BANDS :]).view(np.uint64) for x in (a, b)]
+    differ = np.bitwise_count(words[0] ^ words[1]).sum(axis=1).astype(np.int64)
+    n_a, n_b = (np.broadcast_to(n, len(a))[alive].astype(np.int64) for n in (n_a, n_b))
+    return alive[(100 + percent) * differ <= (100 - percent) * (n_a + n_b)]
+
+
 def _signed(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """``_k``, ``n``, ``node``, the name of the shingle set, and the text's hash of each row; the first row of a node in a
-    task also has its signature and the values of its bands."""
+    task also has its sketch, which is a byte of each signature value and the bitmap, and the values of its bands."""
     frame = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.xxhash64(text).alias("hash"))
     kind = frame.schema["_k"].dataType.simpleString()
 
@@ -107,26 +126,28 @@ def _signed(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 met = np.concatenate([met, names[new]])
                 # the sets of new rows, one after the other
                 held = values[np.repeat(new, n)]
-                signed = signatures(held, np.concatenate([[0], np.cumsum(n[new])]))
+                starts = np.concatenate([[0], np.cumsum(n[new])])
+                signed = signatures(held, starts)
+                sketch = np.concatenate([signed.astype(np.uint8), bitmaps(held, starts)], axis=1)
                 bands = np.zeros((len(signed), BANDS), np.uint64)
                 for i in range(ROWS):
                     bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + signed[:, i::ROWS])
                 bands ^= np.arange(BANDS, dtype=np.uint64) << np.uint64(56)  # a value of another band is another bucket
                 at_new = np.where(new, np.cumsum(new) - 1, -1).tolist()
-                bytes_, starts = signed.astype(np.uint8), np.concatenate([[0], np.cumsum(new * BANDS)]).astype(np.int32)
+                starts = np.concatenate([[0], np.cumsum(new * BANDS)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array(n),
                         pa.array(names, mask=n == 0),
-                        pa.array([bytes_[i].tobytes() if i >= 0 else None for i in at_new], pa.binary()),
+                        pa.array([sketch[i].tobytes() if i >= 0 else None for i in at_new], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(starts), pa.array(bands.view(np.int64).reshape(-1)), mask=pa.array(~new)),
                         batch.column(2).slice(lo, hi - lo),
                     ],
-                    names=["_k", "n", "node", "signature", "bands", "hash"],
+                    names=["_k", "n", "node", "sketch", "bands", "hash"],
                 )
 
-    return frame.mapInArrow(tidy(run), f"_k {kind}, n long, node long, signature binary, bands array<long>, hash long")
+    return frame.mapInArrow(tidy(run), f"_k {kind}, n long, node long, sketch binary, bands array<long>, hash long")
 
 
 def _torn(rows: DataFrame) -> DataFrame:
@@ -159,20 +180,19 @@ def _centred(rows: DataFrame, order: Column, percent: int) -> DataFrame:
 
 
 def _blocks(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Of two parts of a bucket: the pairs of different components that the batches leave."""
-    least = least_agreements(percent)
+    """Of two parts of a bucket: the pairs of different components that may link."""
 
     def run(table: pa.Table) -> pa.Table:
-        left = table.column("left").to_numpy()
+        left = table.column("left").to_numpy(zero_copy_only=False)
         node, n, comp = (table.column(c).to_numpy() for c in ("node", "n", "comp"))
-        signed = np.frombuffer(b"".join(x.as_py() for x in table.column("signature")), np.uint8).reshape(len(node), -1)
+        signed = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), np.uint8).reshape(len(node), -1)
         same = bool(table.column("same")[0].as_py())
         rows, columns = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
         a, b = [], []
         for i in rows.tolist():
             with_ = columns[columns > i] if same else columns
             with_ = with_[(comp[with_] != comp[i]) & (100 * np.minimum(n[with_], n[i]) >= percent * np.maximum(n[with_], n[i]))]
-            found = with_[survive(np.broadcast_to(signed[i], (len(with_), signed.shape[1])), signed[with_], least)]
+            found = with_[may_link(np.broadcast_to(signed[i], (len(with_), signed.shape[1])), n[i], signed[with_], n[with_], percent)]
             a.append(np.minimum(node[found], node[i]))
             b.append(np.maximum(node[found], node[i]))
         none = np.zeros(0, np.int64)
@@ -193,22 +213,23 @@ def _apart(rows: DataFrame, signed: DataFrame, percent: int) -> tuple[DataFrame,
     copies = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiles = copies.select(
         "bucket", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), (F.col("part") <= F.col("with")).alias("left"),
-        (F.col("part") == F.col("with")).alias("same"), "node", "n", "comp", "signature",
+        (F.col("part") == F.col("with")).alias("same"), "node", "n", "comp", "sketch",
     )
     return small, tiles.groupBy("bucket", "i", "j").applyInArrow(tidy_group(_blocks(percent)), "a long, b long").distinct()
 
 
 def _surviving(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    least = least_agreements(percent)
-    one = lambda k: signed.select(F.col("node").alias(k), F.col("signature").alias(f"signature_{k}"))
+    """The pairs whose sketches may link."""
+    one = lambda k: signed.select(F.col("node").alias(k), F.col("sketch").alias(f"sketch_{k}"), F.col("n").alias(f"n_{k}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(x.as_py() for x in batch.column(i)), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-                yield batch.select([0, 1]).take(pa.array(survive(a, b, least)))
+                n_a, n_b = (batch.column(i).to_numpy() for i in (4, 5))
+                yield batch.select([0, 1]).take(pa.array(may_link(a, n_a, b, n_b, percent)))
 
-    joined = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "signature_a", "signature_b")
+    joined = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b")
     return joined.mapInArrow(tidy(run), "a long, b long")
 
 
@@ -254,11 +275,11 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wor
     """
     named = materialize(_signed(docs, key, text, words))
     classes = named.where("node IS NOT NULL").groupBy("node", "n").agg(F.min("_k").alias("first"))
-    signed = materialize(named.where("signature IS NOT NULL").drop("_k").dropDuplicates(["node"]))
+    signed = materialize(named.where("sketch IS NOT NULL").drop("_k").dropDuplicates(["node"]))
     buckets = signed.select("node", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket"), F.col("node").alias("comp"))
     rows = materialize(_torn(buckets))
     # the nodes that share a bucket, and their whole sets
-    shared = materialize(signed.select("node", "signature", "hash").join(rows.select("node").distinct(), "node", "left_semi"))
+    shared = materialize(signed.select("node", "n", "sketch", "hash").join(rows.select("node").distinct(), "node", "left_semi"))
     sets = _whole_sets(docs, text, words, shared)
     used = [signed, shared, sets, rows]
 
@@ -277,7 +298,7 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wor
         comps = components(shared, links)
     else:  # some buckets may still hold different components
         rows = materialize(_torn(rows.drop("comp").join(comps, "node")))
-        small, large = _apart(rows, shared.select("node", "signature"), percent)
+        small, large = _apart(rows, shared.select("node", "sketch"), percent)
         found = _confirmed(_surviving(small, shared, percent).union(large).distinct(), sets, percent)
         used += [rows, found]
         if not found.isEmpty():

@@ -1,10 +1,11 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-Each source's target is cut into blocks of a size of its own, so that small sources have many blocks too; the last one
-holds the rest. The points j * (golden ratio) mod 1 are mapped through the cumulative numbers of blocks: slot j of the mix
-goes to the source whose interval holds the point. Slots are ranked within their source, and the slot of rank k gets the
-k-th block of the source's documents, in shuffled order and as often as needed. The few slots that a source gets above its
-blocks go to the blocks of others that got none, so that every block has one slot and every source its target.
+Each source's target is cut into blocks of one size for all sources, the last one of a source holds the rest. The points
+j * (golden ratio) mod 1 are mapped through the cumulative numbers of blocks: slot j of the mix goes to the source whose
+interval holds the point. Slots are ranked within their source, and the slot of rank k gets the k-th block of the source's
+documents, in shuffled order and as often as needed; what no slot gets isn't taken. The schedule goes on until every source
+has a slot for each of its blocks: of n golden-ratio points no two neighbours are more than 1.9 / n apart, so twice as many
+slots as there are blocks are enough for any source, however small; slots beyond a source's blocks stay empty.
 Hot sources are never in one task: ranks and running sums are taken within segments and hash buckets, and the
 offsets of these are summed from one row per segment or bucket.
 """
@@ -26,8 +27,6 @@ _GOLDEN = round((math.sqrt(5) - 1) / 2 * 2**53) | 1
 _PER_BUCKET = 512
 #: Sources whose table is broadcast.
 _BROADCAST = 100_000
-#: Blocks of a source, where its target has as many words.
-_BLOCKS = 1000
 
 
 @dataclass(frozen=True)
@@ -64,8 +63,9 @@ def targets(
 
 @dataclass
 class Mix:
-    """``documents``: a row for each input row, with size, source_size, target, taken. ``schedule``: a row for each piece
-    of a document in a slot of the mix: slot, source, block, the key, first word and words."""
+    """``documents``: a row for each input row, with size, source_size, target, taken, and ``slots``, the first slot of each
+    of its passes (empty if none is taken). ``schedule``: a row for each piece of a document in a slot of the mix: slot,
+    source, block, the key, first word and words."""
 
     documents: DataFrame
     schedule: DataFrame
@@ -95,9 +95,9 @@ def mix(
 
     Null text has size 0 and is never taken, null is a source like any other (the last), equal keys are ordered by their
     text and repeated rows count as so many documents; texts of any length count whole; an empty table gives empty
-    results; no other column is read. Of each source its target is
-    taken, to the nearest word. Blocks hold ``block_words`` words, fewer where the whole mix would otherwise have under
-    ``least_slots`` slots or the source under 1,000. Reruns agree: the order is that of a seeded hash of the key.
+    results; no other column is read. Of each source the blocks that have a slot
+    are taken, which are all of its target, to the nearest word. Blocks hold ``block_words`` words, fewer where the whole
+    mix would otherwise have under ``least_slots`` blocks. Reruns agree: the order is that of a seeded hash of the key.
 
     The table of sources (one row each, about 50 bytes) passes through the driver: it is bounded by their number, not by
     the documents, and is broadcast up to 100,000 sources, beyond that joined by shuffle.
@@ -117,12 +117,12 @@ def mix(
     total = sum(t.target for t in plan)
     block = max(1, min(block_words, int(total // least_slots)))
     goals = [min(int(t.target + 0.5), int(most * t.size)) for t in plan]
-    blocks = [max(1, min(block, goal // _BLOCKS)) for goal in goals]
-    counts = [-(-goal // b) for goal, b in zip(goals, blocks, strict=True)]
-    slots = sum(counts)
+    counts = [-(-goal // block) for goal in goals]
+    n_blocks = sum(counts)
+    slots = 2 * n_blocks + 2
     kind = docs.schema[source].dataType.simpleString()
-    sources = [(i, t.source, t.size, t.target, *x) for i, (t, *x) in enumerate(zip(plan, goals, blocks, strict=True))]
-    table = spark.createDataFrame(sources, f"_s int, _source {kind}, source_size long, target double, _goal long, _block long")
+    sources = [(i, t.source, t.size, t.target, *x) for i, (t, *x) in enumerate(zip(plan, goals, counts, strict=True))]
+    table = spark.createDataFrame(sources, f"_s int, _source {kind}, source_size long, target double, _goal long, _count long")
 
     # the source's stream: rows by hashed place; running sums within hash buckets
     buckets = 1 << max(0, math.ceil(math.log2(max(1, sum(r["rows"] for r in per_source)) / _PER_BUCKET)))
@@ -141,8 +141,8 @@ def mix(
         "_a", F.col("_start") + F.col("_pass") * F.col("source_size")
     )
     wanted = repeated.where("_a < _goal").withColumn("_e", F.least(F.col("_a") + F.col("size"), F.col("_goal")))
-    pieces = wanted.withColumn("block", F.explode(F.expr("sequence(_a div _block, (_e - 1) div _block)")))
-    lo, hi = F.greatest(F.col("_a"), F.col("block") * F.col("_block")), F.least(F.col("_e"), (F.col("block") + 1) * F.col("_block"))
+    pieces = wanted.withColumn("block", F.explode(F.expr(f"sequence(_a div {block}L, (_e - 1) div {block}L)")))
+    lo, hi = F.greatest(F.col("_a"), F.col("block") * block), F.least(F.col("_e"), (F.col("block") + 1) * block)
     pieces = pieces.select(
         "_s", "_bucket", "_row", F.col("_key"), "block", (lo - F.col("_a")).alias("first_word"), (hi - lo).alias("words"), "_pass"
     )
@@ -158,7 +158,7 @@ def mix(
     )
     cells, before, ranges = len(plan), 0, []
     for i, n in enumerate(counts):
-        low, high = before / max(1, slots), (before + n) / max(1, slots)
+        low, high = before / max(1, n_blocks), (before + n) / max(1, n_blocks)
         ranges += [(cell, i, low, high) for cell in range(int(low * cells), int(high * cells) + 1) if n]
         before += n
     intervals = spark.createDataFrame(ranges, "_cell int, _s int, _from double, _to double")
@@ -170,25 +170,22 @@ def mix(
     ranked = hit.withColumn("_rank", rank).join(_offset(hit, ["_s"], "_segment", F.lit(1)), ["_s", "_segment"]).select(
         "slot", "_s", (F.col("_before") + F.col("_rank") - 1).alias("_rank")
     )
-    # as many slots are above a source's blocks as blocks have no slot: the first of these gets the first of those, and so on
-    got = {r["_s"]: r["count"] for r in hit.groupBy("_s").count().collect()}
-    above, spare, bare = 0, [], []
-    for i, n in enumerate(counts):
-        spare.append((i, n, above))
-        above += max(0, got.get(i, 0) - n)
-        bare += [(i, k) for k in range(got.get(i, 0), n)]
-    limits = spark.createDataFrame(spare, "_s int, _count long, _above long")
-    given = spark.createDataFrame([(k, *x) for k, x in enumerate(bare)], "_spare long, _to int, _bare long")
-    over = F.when(F.col("_rank") >= F.col("_count"), F.col("_above") + F.col("_rank") - F.col("_count"))
-    full = ranked.join(small(limits), "_s").withColumn("_spare", over).join(small(given), "_spare", "left")
-    ranked = full.select("slot", F.coalesce("_to", "_s").alias("_s"), F.coalesce("_bare", "_rank").alias("block"))
-
-    joined = pieces.join(ranked, ["_s", "block"])
+    # a source's slots beyond its blocks stay empty
+    used = ranked.join(small(table.select("_s", "_count")), "_s").where("_rank < _count").select("slot", "_s", F.col("_rank").alias("block"))
+
+    joined = pieces.join(used, ["_s", "block"])
     schedule = joined.join(small(table.select("_s", F.col("_source").alias("source"))), "_s").select(
         "slot", "source", "block", F.col("_key").alias(key), F.col("_pass").alias("pass"), "first_word", "words"
     )
-    taken = joined.groupBy("_s", "_bucket", "_row").agg(F.sum("words").alias("_taken"))
+    first = [F.min(F.when(F.col("_pass") == i, F.col("slot"))) for i in range(passes)]
+    taken = joined.groupBy("_s", "_bucket", "_row").agg(F.sum("words").alias("_taken"), F.array_compact(F.array(*first)).alias("_slots"))
     documents = placed.join(taken, ["_s", "_bucket", "_row"], "left").select(
-        F.col("_key").alias(key), "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"), F.col("_tie")
+        F.col("_key").alias(key),
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("_slots", F.array().cast("array<long>")).alias("slots"),
+        F.col("_tie"),
     )
     return Mix(documents, schedule)

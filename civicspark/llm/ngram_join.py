@@ -41,6 +41,8 @@ _ROUNDS = 2
 _CENTRES = 8
 #: Parts that a shingle's nodes are dealt to.
 _PARTS = 8
+#: Nodes of a shingle up to which the last pairs are formed by a join, at most half of this squared; nodes of a block in one task.
+_FEW, _BLOCK = 32, 1024
 #: Nodes of pairs that are broadcast, 16 bytes each; more are joined by shuffle.
 _BROADCAST = 1 << 20
 
@@ -374,16 +376,9 @@ def join(
         comps = components(nodes, links)
 
     # all pairs that may link and still stand apart
-    own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).alias("alone"))
+    own = nodes.select("node", "bitmap", (F.col("n") - F.size("items")).cast("int").alias("alone"))
     open_ = materialize(_apart(apart.drop("comp").join(comps, "node")).join(own, "node"))
-    other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "place", "bitmap", "alone")])
-    differ = sum(
-        (F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b")
-    )
-    near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
-    rest = open_.join(other, "shingle").where(
-        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near
-    ).select(*_pair("node", "n", "node_b", "n_b"))
+    rest = _met(open_, percent)
     found = linked(_fit(rest, percent))
     if not found.isEmpty():
         used.append(comps)
@@ -403,6 +398,62 @@ def join(
     )
 
 
+def _met(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, na, b, nb) of nodes of one shingle and different components that may reach the threshold, by their places
+    and by their parity bitmaps.
+
+    Those of a shingle of few nodes are formed by a join. A frequent shingle's nodes are dealt to parts, and a block of any
+    two parts is one task's group of bounded size, of which only the pairs that may link come out.
+    """
+    sizes = rows.groupBy("shingle").agg(F.count("*").alias("m"))
+    few = rows.join(sizes.where(F.col("m") <= _FEW).select("shingle"), "shingle")
+    other = few.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "comp", "place", "bitmap", "alone")])
+    differ = sum(
+        (F.bit_count(F.col("bitmap")[i].bitwiseXOR(F.col("bitmap_b")[i])) for i in range(_WORDS)), F.col("alone") + F.col("alone_b")
+    )
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
+    small = few.join(other, "shingle").where(
+        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _reach("n", "place", "n_b", "place_b", percent) & near
+    ).select(*_pair("node", "n", "node_b", "n_b"))
+    many = rows.join(sizes.where(F.col("m") > _FEW), "shingle").withColumn("parts", F.ceil(F.col("m") / _BLOCK).cast("int"))
+    dealt = many.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+    tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "shingle",
+        F.least("part", "with").alias("i"),
+        F.greatest("part", "with").alias("j"),
+        (F.col("part") <= F.col("with")).alias("left"),
+        *["node", "n", "comp", "place", "bitmap", "alone"],
+    )
+    large = tiles.groupBy("shingle", "i", "j").applyInArrow(tidy_group(_block(percent)), "a long, na int, b long, nb int")
+    return small.union(large)
+
+
+def _block(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Of two parts of a shingle's nodes: the pairs that ``_met`` is for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, n, comp, place, alone = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "n", "comp", "place", "alone"))
+        bits = table.column("bitmap").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        rows, columns = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
+        out = [np.zeros((0, 2), np.int64)]
+        for i in rows.tolist():
+            with_ = columns[columns > i] if same else columns
+            with_ = with_[comp[with_] != comp[i]]
+            both = n[with_] + n[i]
+            reach = (100 + percent) * np.minimum(n[with_] - place[with_], n[i] - place[i]) >= percent * both
+            with_, both = with_[reach], both[reach]
+            differ = np.bitwise_count(bits[with_] ^ bits[i]).sum(axis=1).astype(np.int64) + alone[with_] + alone[i]
+            found = with_[(100 + percent) * differ <= (100 - percent) * both]
+            out.append(np.stack([np.full(len(found), i), found], axis=1))
+        x, y = np.concatenate(out).T
+        x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
+        return pa.table({"a": node[x], "na": n[x].astype(np.int32), "b": node[y], "nb": n[y].astype(np.int32)})
+
+    return run
+
+
 def _pair(a: str, na: str, b: str, nb: str) -> list[Column]:
     swap = F.col(a) > F.col(b)
     return [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(n) for x, y, n in ((a, b, "a"), (na, nb, "na"), (b, a, "b"), (nb, na, "nb"))]

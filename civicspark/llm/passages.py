@@ -28,7 +28,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructField, StructType
 
+from ..operators.ranks import ranked
 from .frames import partitions, text_bytes, tidy_group, tidy_groups
 from .kernels import gram_hashes, mix, sliding_min, utf8
 
@@ -254,21 +256,25 @@ def remove_repeats(
     With ``decode``, ``kept`` is a string; of a character that is cut through, what is left is dropped.
 
     A byte goes if a string of ``length`` bytes covers it that also starts in a document with a smaller key. Strings are
-    judged on the input, in UTF-8; matches don't cross documents; null text is empty. Null keys are larger than all
-    others; rows of equal key don't count against each other; texts of any length count whole; an empty table gives no rows;
+    judged on the input, in UTF-8; matches don't cross documents; null text is empty. Keys may have any type that has an
+    order; null keys are larger than all others; rows of equal key don't count against each other; texts of any length count whole; an empty table gives no rows;
     no other column is read.
     """
     spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
     parts = partitions(spark)
     buckets = max(2 * parts, text_bytes(docs, text) // _BUCKET_BYTES)
     shards = buckets
     rows = docs.select(
         F.col(key).alias("_k"),
-        F.coalesce(F.col(key).cast("long"), F.lit(_LATE)).alias("_o"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
         *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
     )
+    if isinstance(docs.schema[key].dataType, IntegralType):
+        rows = rows.withColumn("_o", F.col("_k").cast("long"))
+    else:  # any other key counts by its place among all
+        numbers = ranked(rows.select(F.col("_k").alias("_key")).where("_k IS NOT NULL").distinct(), ["_key"]).rows("_o")
+        rows = rows.join(numbers, F.col("_k") == F.col("_key"), "left").drop("_key")
+    rows = rows.withColumn("_o", F.coalesce("_o", F.lit(_LATE)))
     # by text too, so that rows of one key, or of none, don't share a bucket
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("_o", "_text"), F.lit(buckets)).cast("int"))
 
@@ -455,12 +461,9 @@ def remove_repeats(
     shared = asked.groupBy("_shard").applyInArrow(tidy_group(answer), "_shard int, _b int, _codes binary, _common binary")
     sent = rows.groupBy("_b").cogroup(shared.groupBy("_b")).applyInArrow(tidy_groups(send), _PIECES)
     marks = sent.groupBy("_shard").applyInArrow(tidy_group(decide), "_b int, _marks binary")
-    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(
-        tidy_groups(apply),
-        ", ".join([f"`{key}` {kind}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]])
-        + ", n_bytes long, spans array<struct<start:long,end:long>>, kept "
-        + ("string" if decode else "binary"),
-    )
+    found = StructType.fromDDL(f"n_bytes long, spans array<struct<start:long,end:long>>, kept {'string' if decode else 'binary'}")
+    own = [StructField(c, docs.schema[c].dataType) for c in (key, *carry)]  # with the nullability of what is nested
+    return rows.groupBy("_b").cogroup(marks.groupBy("_b")).applyInArrow(tidy_groups(apply), StructType([*own, *found]))
 
 
 def _equals(

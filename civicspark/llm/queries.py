@@ -53,7 +53,8 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
+    found = mixing.mix(_table(spark, sf_dir, "documents")).documents
+    return found.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("slots", F.lit(1)).alias("slot"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,3 +228,13 @@ def test_signatures_agree_as_sets_overlap():
     a, b = np.sort(pool[:900]), np.sort(pool[100:])  # similarity 0.8
     signed = minhash.signatures(np.concatenate([a, b]), np.array([0, 900, 1800]), 4096)
     assert abs((signed[0] == signed[1]).mean() - 0.8) < 0.03
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    for shared in (399, 350, 200, 0):
+        a, b = np.sort(pool[: (400 + shared) // 2]), np.sort(pool[(400 - shared) // 2 :])
+        bits = minhash.bitmaps(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        differ = int(np.unpackbits(bits[0] ^ bits[1]).sum())
+        assert differ <= len(set(a.tolist()) ^ set(b.tolist())) and (shared == 399 or differ > 0.7 * len(set(a.tolist()) ^ set(b.tolist())))

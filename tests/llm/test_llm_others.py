@@ -372,7 +372,7 @@ def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     want = [put(r, text=t, n_chars=len(t)) for r, (t, gone) in zip(before, without_repeats(before, key, text), strict=True) if not gone or any(c.isalnum() for c in t)]
     assert Counter(read(cut)) == Counter(want)
 
-    # the first words of each source's stream, in hashed order, up to its target
+    # the first words of each source's stream, in hashed order, up to its target, which all have slots
     mixed = run("mixing sources to target weights", cut)
     place = cut.select("*", F.xxhash64(F.lit(42), "doc_id").alias("place"), F.xxhash64("text").alias("tie")).collect()
     size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[text] or ""))
@@ -400,6 +400,29 @@ def test_pipeline_row_by_row(spark, fixture_docs, tmp_path):
     )
 
 
+NAMES = ["_row", "_kept", "_kept_row", "_repeated", "_copy", "_id", "_tie", "_times", "_others", "_slots", "_slot", "kept", "spans", "component", "score", "lang_pred", "node", "n", "size", "taken", "slots", "a b"]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_pipeline_stages_leave_other_columns_alone(spark, fixture_rows, stage):
+    """Columns named as helpers, values that are never null, nested ones; the table is not written before."""
+    rows = list({r[0]: r for r in fixture_rows if r[1] and len(r[1]) > 80}.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    for i, name in enumerate(NAMES):
+        docs = docs.withColumn(name, F.lit(i))
+    docs = docs.withColumn("nested", F.array(F.struct(F.lit(1).alias("x"), F.col("doc_id").alias("_row"))))
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, "")
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert kept and all([r[n] for n in NAMES] == list(range(len(NAMES))) for r in kept)
+    assert all(r.nested[0].x == 1 and r.nested[0]["_row"] == r.doc_id for r in kept)
+    if stage == 3:
+        mixed = {r.doc_id: r.slots for r in mixing.mix(docs.select("doc_id", "text", "source")).documents.collect()}
+        order = [(r.doc_id, [x.doc_id for x in kept[:i]].count(r.doc_id)) for i, r in enumerate(kept)]
+        places = [mixed[k][c] if c < len(mixed[k]) else mixed[k][0] for k, c in order]
+        assert places == sorted(places)
+
+
 def test_pipeline_of_nothing(spark, no_docs):
     docs = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
