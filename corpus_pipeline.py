@@ -20,9 +20,16 @@ from civicspark.llm.frames import materialize
 LEAST_SCORE = 0.3
 
 
-def _others(docs: DataFrame) -> Column:
-    """All columns but the id and the text in one, so that no name meets those of an operator."""
-    return F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias("_others")
+def _packed(docs: DataFrame) -> DataFrame:
+    """The id, the text, and all columns but these in one, so that no name meets those of an operator or a stage."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others).alias("_others"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame, **given: Column) -> DataFrame:
+    """The columns of ``docs``, as they are but for those given."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **given}
+    return rows.select([own[c].alias(c) if c in own else F.col("_others").getField(c).alias(c) for c in docs.columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +38,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null texts, empty ones and those without a letter go, as do texts of a probability under ``LEAST_SCORE``. Ties between
     languages go to the first by name; repeated rows each stay; null ids and sources stay null.
     """
-    packed = docs.select("doc_id", "text", _others(docs))
-    found = language.identify(packed, language.learn(docs), carry=("text", "_others")).where(
+    found = language.identify(_packed(docs), language.learn(docs), carry=("text", "_others")).where(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     )
-    given = {"doc_id": F.col("doc_id"), "text": F.col("text"), "lang": F.coalesce("_others.lang", "lang_pred").alias("lang")}
-    return found.select([given.get(c, F.col("_others")[c].alias(c)) for c in docs.columns])
+    return _unpacked(found, docs, lang=F.coalesce("_others.lang", "lang_pred"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +50,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null ids are larger than all others: a row with one stays if its component has no other ids, and then alone. Of rows
     that are equal in all columns one stays. Rows without words are linked with nothing, and all stay.
     """
-    hashed = docs.withColumn("_row", F.xxhash64(*[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]))
-    found = ngram_join.join(hashed.select("doc_id", "text", "_row"), carry=("_row",))
+    values = [F.col("doc_id"), F.col("text"), *[F.col("_others").getField(c) for c in docs.columns if c not in ("doc_id", "text")]]
+    packed = _packed(docs).withColumn("_row", F.xxhash64(*[x for c in values for x in (c.isNull(), c)]))
+    found = ngram_join.join(packed.select("doc_id", "text", "_row"), carry=("_row",))
     rows = found.groupBy("component", "doc_id", "_row").agg(F.count("*").alias("_n"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "_n")).alias("least")
     first = rows.where("component IS NOT NULL").groupBy("component").agg(least).select(
@@ -54,10 +60,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     )
     wordless = rows.where("component IS NULL").select("doc_id", "_row", F.lit(False).alias("_repeated"))
     kept = materialize(first.union(wordless).toDF("_kept", "_kept_row", "_repeated"))
-    matched = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_kept"]) & (hashed["_row"] == kept["_kept_row"]))
+    matched = packed.join(kept, packed["doc_id"].eqNullSafe(kept["_kept"]) & (packed["_row"] == kept["_kept_row"]))
     # only rows that stand more than once are grouped
     once = matched.where("_repeated").dropDuplicates(["doc_id", "_row"])
-    return matched.where("NOT _repeated").union(once).select(docs.columns)
+    return _unpacked(matched.where("NOT _repeated").union(once), docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,25 +73,28 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A null text becomes an empty one. Earlier is the smaller id, null last; rows of equal id, repeated ones too, aren't cut
     against each other.
     """
-    packed = docs.select("doc_id", "text", _others(docs))
-    found = passages.remove_repeats(packed, carry=("_others",), decode=True)
+    found = passages.remove_repeats(_packed(docs), carry=("_others",), decode=True)
     left = found.where((F.size("spans") == 0) | F.col("kept").rlike(r"[\p{L}\p{N}]"))
-    given = {"doc_id": F.col("doc_id"), "text": F.col("kept").alias("text"), "n_chars": F.length("kept").cast("long").alias("n_chars")}
-    return left.select([given.get(c, F.col("_others")[c].alias(c)) for c in docs.columns])
+    return _unpacked(left, docs, text=F.col("kept"), n_chars=F.length("kept").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number: 0, 1 or 2 times.
+    """Each document as often as the mix takes it, to the nearest whole number, 0, 1 or 2 times, in the order of the mix:
+    a copy stands where its first words have their slot.
 
     Documents without words (null texts too) aren't taken. Null is a source like any other, the last. Rows that repeat an
     id and text are each written as often as they are taken on average; ties in the order go by id and text.
     """
-    taken = mixing.mix(docs).documents.withColumn("_times", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0))
-    times = taken.groupBy(F.col("doc_id").alias("_id"), "_tie").agg(
-        F.round(F.avg("_times")).cast("int").alias("_times")
+    mixed = mixing.mix(docs.select("doc_id", "text", "source")).documents
+    often = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)
+    times = mixed.groupBy(F.col("doc_id").alias("_id"), "_tie").agg(
+        F.round(F.avg(often)).cast("int").alias("_times"), F.min("slots").alias("_slots")
     ).where("_times > 0")
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & (F.xxhash64(docs["text"]) == times["_tie"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    packed = _packed(docs)
+    joined = packed.join(times, packed["doc_id"].eqNullSafe(times["_id"]) & (F.xxhash64(packed["text"]) == times["_tie"]))
+    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+    placed = copies.withColumn("_slot", F.coalesce(F.get("_slots", F.col("_copy")), F.element_at("_slots", 1)))
+    return _unpacked(placed.orderBy("_slot", "doc_id", "_tie"), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
