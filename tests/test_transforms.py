@@ -343,7 +343,7 @@ def test_point_on_other_side_of_hole(spark):
     hole = [[[0.0, 0.0], [10.0, 0.0], [10.0, 10.0], [0.0, 10.0], [0.0, 0.0]], [[4.0, 4.0], [6.0, 4.0], [6.0, 6.0], [4.0, 6.0], [4.0, 4.0]]]
     zones = spark.createDataFrame([("z", [hole])], "zone string, coordinates array<array<array<array<double>>>>")
     points = spark.createDataFrame([(1, 5.0, 5.0), (2, 2.0, 5.0), (3, 11.0, 5.0), (4, None, 5.0)], "id int, x double, y double")
-    assert rows(geo.points_in_polygons(points, zones, key="id", x="x", y="y", cell=1.0)) == [(2, "z")]
+    assert rows(geo.points_in_polygons(points, zones, key="id", x="x", y="y")) == [(2, "z")]
 
 
 def test_overlaps_once(spark):
