@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.columns import partition_date
-from ..operators import checksums, profile, quality
+from ..operators import checksums, profile, profile_states, quality
 from ..plans import jobs, silver
 from ..session import scratch
 from ..sources import landing
@@ -485,6 +485,46 @@ def key_null_rates(spark: SparkSession, d: str) -> DataFrame:
     return profile.key_null_rates(table(spark, d, "events").select(text.alias("record")), "record", high=0.5)
 
 
+def _profiled(spark: SparkSession, d: str) -> tuple[DataFrame, profile_states.Profiled, str]:
+    """States of all days of the events but the last, which is added for itself."""
+    events = table(spark, d, "events")
+    records = events.select(
+        partition_date(F.col("ts")).alias("date"), F.when(F.col("event_id") % 9 > 0, F.col("event_type")).alias("event_type"), "value",
+        F.concat(F.lit("u"), F.col("user_id")).alias("user"), F.when(F.col("event_id") % 4 > 0, F.col("user_id")).alias("k"),
+    )
+    of, states = profile_states.Profiled("date", numeric=["value", "k"], categories=["event_type", "user"], keep=8), scratch(spark, "states")
+    last = records.agg(F.max("date")).first()[0]
+    profile_states.update(records.where(F.col("date") < last), of, states)
+    profile_states.update(records.where(F.col("date") == last), of, states)
+    return records, of, states
+
+
+_PROFILED = """
+WITH r AS (SELECT CASE WHEN event_id % 9 > 0 THEN event_type END AS event_type, value, 'u' || user_id AS user, CASE WHEN event_id % 4 > 0 THEN user_id END AS k FROM events)
+"""
+
+
+@query(_PROFILED + """
+SELECT 'event_type' AS field, count(*) AS record_count, round(1 - count(event_type) / count(*), 4) AS null_rate, CAST(NULL AS DOUBLE) AS missing_pct, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stdev FROM r
+UNION ALL SELECT 'user', count(*), 0.0, NULL, NULL, NULL, NULL, NULL FROM r
+UNION ALL SELECT 'value', count(*), round(1 - count(nullif(value, 0)) / count(*), 4), 0.0, min(value), max(value), round(avg(value), 4), round(stddev_samp(value), 4) FROM r
+UNION ALL SELECT 'k', count(*), round(1 - count(nullif(k, 0)) / count(*), 4), round(1 - count(k) / count(*), 4), min(k), max(k), round(avg(k), 4), round(stddev_samp(k), 4) FROM r
+""")
+def incremental_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles of all days from the states of each."""
+    _, _, states = _profiled(spark, d)
+    return profile_states.field_profile(spark, states)
+
+
+@query(_PROFILED + """, c AS (SELECT 'event_type' AS field, event_type AS value, count(*) AS n FROM r WHERE event_type IS NOT NULL GROUP BY 2 UNION ALL SELECT 'user', user, count(*) FROM r GROUP BY 2)
+SELECT field, value, n, CAST(row_number() OVER (PARTITION BY field ORDER BY n DESC, value) AS INTEGER) AS place FROM c QUALIFY place <= 10
+""")
+def incremental_top_values(spark: SparkSession, d: str) -> DataFrame:
+    """The most frequent values from what each day has kept; days that may change the list are read again for these."""
+    records, of, states = _profiled(spark, d)
+    return profile_states.top_values(spark, states, of, lambda days: records.where(F.col("date").isin(days)), top=10)
+
+
 _TREE = """
 WITH l AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS line FROM events),
   r AS (SELECT *, row_number() OVER (PARTITION BY event_type, date ORDER BY event_id) - 1 AS node FROM l),
