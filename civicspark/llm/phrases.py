@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranks import ranked
-from .frames import discard, materialize, partitions, tidy, tidy_group, tidy_groups
+from .frames import give_back, materialize, partitions, tidy, tidy_group, tidy_groups
 from .kernels import mix, slices, utf8, words
 
 _BREAK = np.zeros(256, bool)
@@ -33,7 +33,7 @@ _NARROW, _WIDE = 21, 32
 #: A vocabulary of up to so many words and bytes goes to all tasks; a larger one is joined to the words of each shard of texts.
 _WORDS, _BYTES = 1 << 21, 64 << 20
 #: n-grams that a task gathers before it writes filters, n-grams of a slice, entries of a word table, bytes of a shard.
-_GATHERED, _SLICE, _TABLE, _SHARD = 1 << 22, 1 << 20, 1 << 19, 32 << 20
+_GATHERED, _SLICE, _TABLE, _SHARD = 1 << 21, 1 << 20, 1 << 18, 32 << 20
 
 
 @dataclass(frozen=True)
@@ -164,6 +164,7 @@ class _Counter:
             self.held = len(self.runs[0][1])
             if self.held >= _GATHERED // 2:
                 yield from self.written()
+            give_back()
 
     def written(self) -> Iterator[pa.RecordBatch]:
         if not self.runs:
@@ -288,7 +289,7 @@ def _filters(docs: DataFrame, vocabulary: DataFrame, layout: Layout, lang: str,
     return sharded.groupBy("shard").cogroup(local.groupBy("shard")).applyInArrow(tidy_groups(shard), _FILTER)
 
 
-def _grouped(tables: Iterator, most: int = 1 << 18) -> Iterator[list]:
+def _grouped(tables: Iterator, most: int = 1 << 17) -> Iterator[list]:
     """Tables in groups of about so many rows, as a look-up prepares the whole vocabulary each time."""
     held, size = [], 0
     for t in tables:
