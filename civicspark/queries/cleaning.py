@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions import wkt
 from ..functions.columns import partition_date
 from ..operators import checksums, profile, profile_states, quality
 from ..plans import jobs, silver
@@ -485,6 +486,32 @@ def key_null_rates(spark: SparkSession, d: str) -> DataFrame:
     return profile.key_null_rates(table(spark, d, "events").select(text.alias("record")), "record", high=0.5)
 
 
+@query("""
+WITH p AS (SELECT event_id, CAST(event_id AS VARCHAR) AS i, CAST(user_id AS VARCHAR) || '.5' AS u, event_id % 8 AS k FROM events)
+SELECT event_id, CASE k WHEN 0 THEN 'POINT (' || i || ' ' || u || ')' WHEN 1 THEN 'LINESTRING (0 0, ' || i || ' ' || u || ')' WHEN 2 THEN 'MULTIPOINT (' || i || ' -1, ' || u || ' 2)'
+  WHEN 3 THEN 'POLYGON ((0 0, ' || u || ' 0, ' || u || ' ' || u || ', 0 0))' WHEN 4 THEN 'MULTILINESTRING ((0 0, 1 1), (' || i || ' 0, 2 2))' WHEN 5 THEN 'MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 9 5, 9 9, 5 5), (6 6, ' || u || ' 6, 7 7, 6 6)))'
+  WHEN 6 THEN 'GEOMETRYCOLLECTION (POINT (' || i || ' 0), GEOMETRYCOLLECTION (LINESTRING (0 0, 1 ' || u || '), POINT Z (1 2 3)))' END AS wkt, k < 7 AS back FROM p
+""")
+def geometries(spark: SparkSession, d: str) -> DataFrame:
+    """Geometries of all types as well-known text, and whether that gives the same geometry back."""
+    i, u = "CAST(event_id AS STRING)", "concat(user_id, '.5')"
+    one = lambda kind, *parts: "concat('{\"type\":\"" + kind + "\",\"coordinates\":', " + ", ".join(p if p in (i, u) else f"'{p}'" for p in parts) + ", '}')"
+    many = lambda *members: "concat('{\"type\":\"GeometryCollection\",\"geometries\":[', concat_ws(',', " + ", ".join(members) + "), ']}')"
+    kinds = [
+        one("Point", "[", i, ",", u, "]"),
+        one("LineString", "[[0,0],[", i, ",", u, "]]"),
+        one("MultiPoint", "[[", i, ",-1],[", u, ",2]]"),
+        one("Polygon", "[[[0,0],[", u, ",0],[", u, ",", u, "],[0,0]]]"),
+        one("MultiLineString", "[[[0,0],[1,1]],[[", i, ",0],[2,2]]]"),
+        one("MultiPolygon", "[[[[0,0],[1,0],[1,1],[0,0]]],[[[5,5],[9,5],[9,9],[5,5]],[[6,6],[", u, ",6],[7,7],[6,6]]]]"),
+        many(one("Point", "[", i, ",0]"), many(one("LineString", "[[0,0],[1,", u, "]]"), one("Point", "[1,2,3]"))),
+    ]
+    text = F.expr("CASE event_id % 8 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(kinds)) + " ELSE '{\"type\":\"Sphere\"}' END")
+    rows = table(spark, d, "events").select("event_id", text.alias("json"))
+    made = rows.withColumn("wkt", wkt.geometry(F.try_parse_json("json"))).withColumn("again", wkt.geometry_json(F.col("wkt")))
+    return made.select("event_id", "wkt", F.coalesce(F.col("again") == F.col("json"), F.lit(False)).alias("back"))
+
+
 def _profiled(spark: SparkSession, d: str) -> tuple[DataFrame, profile_states.Profiled, str]:
     """States of all days of the events but the last, which is added for itself."""
     events = table(spark, d, "events")
