@@ -88,3 +88,25 @@ def _folders(spark: SparkSession, path: str) -> Iterable[str]:
     for status in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place):
         if status.isDirectory():
             yield status.getPath().getName()
+
+
+def quantiles(rows: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Action: ``by`` and, for each of ``shares`` under its name, the exact quantile of ``value``, interpolated between
+    neighbours, with ``n``, the number of values. Nulls aren't values; a group without values has no row.
+
+    Values are placed by a sort in ranges, and of each group the few at the places asked for are looked up: no task holds
+    a group's values or its distinct ones, however many there are.
+    """
+    held = ranked(rows.select(*by, F.col(value).cast("double").alias("_value")).where("_value IS NOT NULL"), [*by, "_value"])
+    placed = held.rows("_rank").withColumn("_key", F.struct(F.lit(0), *by))  # null members of equal structs are equal
+    groups = placed.groupBy("_key").agg(F.min("_rank").alias("_first"), F.count("*").alias("n"))
+    at = lambda s: F.lit(s) * (F.col("n") - 1)
+    wanted = [
+        F.struct(F.lit(name).alias("name"), (F.col("_first") + side(at(s)).cast("long")).alias("_rank"), weight(at(s)).alias("w"))
+        for name, s in shares.items()
+        for side, weight in ((F.floor, lambda p: 1 - (p - F.floor(p))), (lambda p: F.floor(p) + 1, lambda p: p - F.floor(p)))
+    ]
+    places = groups.select("_key", "n", F.explode(F.array(*wanted)).alias("_q")).select("_key", "n", "_q.*").where("w > 0")
+    found = places.join(placed.select("_rank", "_value"), "_rank")
+    out = found.groupBy("_key", "n").agg(*[F.sum(F.when(F.col("name") == k, F.col("_value") * F.col("w"))).alias(k) for k in shares])
+    return out.select(*[F.col("_key")[k].alias(k) for k in by], "n", *shares)

@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from ..functions import wkt
 from ..functions.columns import partition_date
-from ..operators import checksums, profile, profile_states, quality
+from ..operators import checksums, profile, profile_states, quality, ranks
 from ..plans import jobs, silver
 from ..session import scratch
 from ..sources import landing
@@ -512,6 +512,13 @@ def geometries(spark: SparkSession, d: str) -> DataFrame:
     return made.select("event_id", "wkt", F.coalesce(F.col("again") == F.col("json"), F.lit(False)).alias("back"))
 
 
+@query("SELECT event_type, count(value) AS n, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, max(value) AS most FROM events GROUP BY 1")
+def exact_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Medians and other quantiles of large groups, by ranks."""
+    found = ranks.quantiles(table(spark, d, "events"), ["event_type"], "value", {"p50": 0.5, "p90": 0.9, "most": 1.0})
+    return found.select("event_type", "n", six(F.col("p50")).alias("p50"), six(F.col("p90")).alias("p90"), "most")
+
+
 def _profiled(spark: SparkSession, d: str) -> tuple[DataFrame, profile_states.Profiled, str]:
     """States of all days of the events but the last, which is added for itself."""
     events = table(spark, d, "events")

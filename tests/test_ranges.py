@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +127,16 @@ def test_daily_landing_keeps_every_field(spark, tmp_path):
     landing.write_daily(df, str(tmp_path / "d"), "ts")
     got = [json.loads(x) for f in sorted((tmp_path / "d").rglob("part-*.gz")) for x in gzip.open(f, "rt")]
     assert got == [{"id": i, "_at": 3 * i, "ts": "2026-01-30"} for i in range(10)]
+
+
+def test_quantiles_are_exact(spark, many_ranges):
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.normal(size=101).tolist(), "b": [1.0] * 50 + [2.0] * 50, None: [3.0], "none": [None, None], "c": [5.0, None, 7.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: tuple(r)[1:] for r in ranks.quantiles(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "p": 0.93}).collect()}
+    for k, vs in groups.items():
+        held = [v for v in vs if v is not None]
+        if held:
+            assert got[k] == pytest.approx((len(held), *np.quantile(held, [0.0, 0.5, 0.93])))
+    assert len(got) == 4
+    assert ranks.quantiles(df, [], "v", {"mid": 0.5}).first().n == 204 and ranks.quantiles(df.limit(0), ["k"], "v", {"mid": 0.5}).collect() == []
