@@ -211,21 +211,23 @@ WITH RECURSIVE d AS (
   SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
     ELSE [array_to_string(w[i:i + {words - 1}], ' ') FOR i IN range(1, len(w) - {words - 2})] END)) AS s
   FROM d
-), c AS (
-  SELECT row_number() OVER () AS node, s, len(s) AS n FROM (SELECT DISTINCT s FROM s WHERE len(s) > 0)
-), u AS (
+), k AS MATERIALIZED (
+  SELECT doc_id, s, len(s) AS n, CASE WHEN len(s) > 0 THEN sha256(array_to_string(s, chr(10))) END AS name FROM s
+), c AS MATERIALIZED (
+  SELECT row_number() OVER () AS node, name, any_value(s) AS s, any_value(n) AS n FROM k WHERE name IS NOT NULL GROUP BY name
+), u AS MATERIALIZED (
   SELECT node, n, unnest(s) AS shingle FROM c
 ), x AS (
   SELECT shingle, row_number() OVER () AS id FROM u GROUP BY shingle HAVING count(*) > 1
-), i AS (
+), i AS MATERIALIZED (
   SELECT u.node, u.n, x.id FROM u JOIN x USING (shingle)
-), e AS (
+), e AS MATERIALIZED (
   SELECT a.node AS a, b.node AS b FROM i a JOIN i b ON a.id = b.id AND a.node <> b.node
   GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
 ), reach AS (
   SELECT node AS a, node AS b FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b
 ), m AS (
-  SELECT s.doc_id, c.node, len(s.s) AS n FROM s LEFT JOIN c ON c.s = s.s
+  SELECT k.doc_id, c.node, k.n FROM k LEFT JOIN c ON c.name = k.name
 ), least AS (
   SELECT reach.a AS node, min(m.doc_id) AS least FROM reach JOIN m ON m.node = reach.b GROUP BY reach.a
 ), r AS (
