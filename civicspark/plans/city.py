@@ -220,13 +220,14 @@ def errors(predicted: DataFrame, actual: str, model: str, baseline: str) -> Data
     return both.agg(F.count("*").alias("n"), mae(model).alias("model_mae"), mae(baseline).alias("baseline_mae"))
 
 
-def count_model(rows: DataFrame, features: Sequence[str], label: str, split: Column) -> DataFrame:
-    """Action: a Poisson model of counts, fitted where ``split`` is false, with ``prediction`` for the rows where it is true."""
+def count_model(rows: DataFrame, features: Sequence[str], label: str, split: Column, penalty: float = 1e-6) -> DataFrame:
+    """Action: a Poisson model of counts, fitted where ``split`` is false, with ``prediction`` for the rows where it is true.
+    A small ``penalty`` gives a result for features that depend on each other too."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     ready = VectorAssembler(inputCols=[*features], outputCol="_x", handleInvalid="skip").transform(rows)
     model = GeneralizedLinearRegression(
-        family="poisson", link="log", featuresCol="_x", labelCol=label, maxIter=25, regParam=1e-6
+        family="poisson", link="log", featuresCol="_x", labelCol=label, maxIter=50, tol=1e-10, regParam=penalty
     ).fit(ready.where(~split))
     return model.transform(ready.where(split)).drop("_x")
