@@ -519,6 +519,15 @@ def exact_quantiles(spark: SparkSession, d: str) -> DataFrame:
     return found.select("event_type", "n", six(F.col("p50")).alias("p50"), six(F.col("p90")).alias("p90"), "most")
 
 
+@query("SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users, round(avg(value), 6) AS mean_value FROM events GROUP BY 1")
+def inferred_json(spark: SparkSession, d: str) -> DataFrame:
+    """Landed records read without a schema."""
+    path = scratch(spark, "inferred")
+    landing.write_json(table(spark, d, "events").select("event_id", "user_id", "event_type", "value"), path, [])
+    found = landing.read_json(spark, path, None)
+    return found.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"), six(F.avg("value")).alias("mean_value"))
+
+
 def _profiled(spark: SparkSession, d: str) -> tuple[DataFrame, profile_states.Profiled, str]:
     """States of all days of the events but the last, which is added for itself."""
     events = table(spark, d, "events")

@@ -140,3 +140,14 @@ def test_quantiles_are_exact(spark, many_ranges):
             assert got[k] == pytest.approx((len(held), *np.quantile(held, [0.0, 0.5, 0.93])))
     assert len(got) == 4
     assert ranks.quantiles(df, [], "v", {"mid": 0.5}).first().n == 204 and ranks.quantiles(df.limit(0), ["k"], "v", {"mid": 0.5}).collect() == []
+
+
+def test_landing_again_gives_the_same_bytes(spark, tmp_path):
+    df = spark.range(300).selectExpr("id", "date_format(date_add(date'2026-01-30', cast(id % 4 as int)), 'yyyy-MM-dd') as ts", "id / 7 as x")
+
+    def landed(name):
+        landing.write_daily(df, str(tmp_path / name), "ts")
+        return {f.parent.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in (tmp_path / name).rglob("part-*.gz")}
+
+    first = landed("a")
+    assert len(first) == 4 and landed("b") == first == landed("a")
