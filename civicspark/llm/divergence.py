@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import materialize, tidy, tidy_group
+from .frames import materialize, tidy, tidy_groups
 from .kernels import slices, utf8, words
 
 _GAP = np.ones(256, bool)
@@ -101,18 +102,21 @@ def intersect(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
     return at(a), at(b), np.diff(np.concatenate([bounds, [end]]))
 
 
-def _parted(table: pa.Table) -> pa.Table:
-    """Of a block: for each ordered pair of its language's sources the sum of f over the block's terms.
+def _parted(table: pa.Table, heads: pa.Table) -> pa.Table:
+    """Of a block: for each ordered pair of its language's sources (by number) the sum of f over the block's terms.
 
     p of a run is that of its count, so it is worked out once a run. Sums of p over a vocabulary of V terms are at most
     10**9 + V, so a sum of p * p / q stays below 2**63 for up to two billion terms, and (p - q)**2 below 2 * 10**18.
     """
-    lang, sizes = table.column("lang")[0].as_py(), table.column("sizes")[0].as_py()
-    profiles, terms = table.column("profile").combine_chunks(), table.column("terms").to_numpy()
+    kinds = pa.schema([("lang", pa.string()), ("s", pa.int64()), ("t", pa.int64()), ("value", pa.int64())])
+    lang, sizes = table.column("lang")[0].as_py(), heads.column("all")[0].as_py()
+    profiles, terms = table.column("held").combine_chunks(), table.column("terms").to_numpy()
     order = np.argsort(table.column("place").to_numpy())
     entries = profiles.flatten()
     at = np.repeat(np.arange(len(profiles)), profiles.value_lengths().to_numpy())
-    source, count = (entries.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+    known = pa.array([x["source"] for x in sizes], entries.field(0).type)
+    source = pc.index_in(entries.field(0), value_set=known).to_numpy().astype(np.int64)
+    count = entries.field(1).to_numpy()
     by = np.argsort(source, kind="stable")
     at, source, count = at[by], source[by], count[by]
     edges = np.searchsorted(source, np.arange(len(sizes) + 1))
@@ -122,17 +126,16 @@ def _parted(table: pa.Table) -> pa.Table:
         dense = np.zeros(len(profiles), np.int64)
         dense[at[edges[s] : edges[s + 1]]] = count[edges[s] : edges[s + 1]]
         starts, values = run_lengths(dense[order], spans)
-        kinds, place = np.unique(values, return_inverse=True)
+        distinct, place = np.unique(values, return_inverse=True)
         below = size["total"] + size["terms"]
-        columns.append((starts, np.array([1 + SCALE * (int(c) + 1) // below for c in kinds], np.int64)[place]))
+        columns.append((starts, np.array([1 + SCALE * (int(c) + 1) // below for c in distinct], np.int64)[place]))
     end, out = int(spans.sum()), []
     for s, a in enumerate(columns):
         for t in range(s):
             p, q, length = intersect(a, columns[t], end)
             square = (p - q) * (p - q)
-            out += [(s, t, int((square // q * length).sum())), (t, s, int((square // p * length).sum()))]
-    kinds = pa.schema([("lang", pa.string()), ("s", pa.int64()), ("t", pa.int64()), ("value", pa.int64())])
-    return pa.table([pa.array([lang] * len(out), pa.string()), *[pa.array([r[i] for r in out], pa.int64()) for i in range(3)]], schema=kinds)
+            out += [(lang, s, t, int((square // q * length).sum())), (lang, t, s, int((square // p * length).sum()))]
+    return pa.table([pa.array([r[i] for r in out], f.type) for i, f in enumerate(kinds)], schema=kinds)
 
 
 def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 3, top: int = 200) -> DataFrame:
@@ -164,14 +167,9 @@ def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text:
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "whole", "terms")])
     )
 
-    # sources by number, so that a block's profiles hold no names
+    # the sources of each language in order
     numbered = groups.withColumn("s", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
-    names = numbered.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("s", "source", "total", "terms"))).alias("all"))
-    sizes = names.select(
-        "lang",
-        F.map_from_entries(F.transform("all", lambda x: F.struct(x["source"], x["s"]))).alias("at"),
-        F.transform("all", lambda x: F.struct(x["total"].alias("total"), x["terms"].alias("terms"))).alias("sizes"),
-    )
+    sources = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", "total", "terms"))).alias("all"))
     profiles = kept.groupBy("lang", "held").agg(F.count("*").alias("terms"))
     # the order of profiles in ranges, and these in blocks of about so many counts
     entries = each.count()
@@ -179,10 +177,11 @@ def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text:
     placed = materialize(ordered.withColumn("place", F.monotonically_increasing_id()).withColumn("range", F.spark_partition_id()))
     wide = placed.groupBy("lang", "range").agg(F.avg(F.size("held")).alias("mean"), F.min("place").alias("least"))
     block = F.floor((F.col("place") - F.col("least")) * F.col("mean") / _BLOCK).alias("block")
-    blocks = placed.join(wide, ["lang", "range"]).select("lang", "range", block, "place", "held", "terms").join(sizes, "lang")
-    profile = F.transform("held", lambda e: F.struct(F.element_at("at", e["source"]).alias("s"), e["n"].alias("n"))).alias("profile")
-    packed = blocks.select("lang", "range", "block", "place", "terms", "sizes", profile)
-    sums = packed.groupBy("lang", "range", "block").applyInArrow(tidy_group(_parted), "lang string, s long, t long, value long")
+    blocks = placed.join(wide, ["lang", "range"]).select("lang", "range", block, "place", "held", "terms")
+    by = ["lang", "range", "block"]
+    of_block = blocks.select([F.col(c).alias(f"_{c}") for c in by]).distinct()
+    heads = of_block.join(sources, F.col("_lang") == F.col("lang")).drop("lang")  # a row for each block, not for each profile
+    sums = blocks.groupBy(by).cogroup(heads.groupBy([f"_{c}" for c in by])).applyInArrow(tidy_groups(_parted), "lang string, s long, t long, value long")
     sums = sums.groupBy("lang", "s", "t").agg(F.sum("value").alias("value"))
 
     other = numbered.select("lang", F.col("s").alias("t"), F.col("source").alias("item"))
