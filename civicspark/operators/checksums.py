@@ -6,6 +6,10 @@ that of theirs one after the other, until one node is left, the root. Two trees
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +19,15 @@ from .ranks import ranked
 FANOUT = 32
 
 
-def hash_tree(lines: DataFrame, keys: list[str], order: list[str], line: str, fanout: int = FANOUT) -> DataFrame:
+def hash_tree(
+    lines: DataFrame, keys: list[str], order: list[str], line: str, fanout: int = FANOUT, height: int | None = None
+) -> DataFrame:
     """Action: all nodes of the tree of each partition: ``keys``, ``level`` (0: lines), ``node`` (place in the level),
     ``hash`` (SHA-256 in hex), ``n_lines`` and ``bytes`` (with line ends) below it, ``total`` lines of the partition.
 
     ``order`` must tell the lines of a partition apart, or equal ones are taken in any order. A null line is an empty one;
-    keys may be null. A tree has a level above its lines even if it has one line; a table without rows has no tree.
+    keys may be null. A tree has a level above its lines even if it has one line; a table without rows has no tree. With
+    ``height`` levels above that one are left out, and the highest may have several nodes.
     """
     spark = lines.sparkSession
     rows = ranked(lines.select(*keys, *[c for c in order if c not in keys], F.coalesce(line, F.lit("")).alias("_line")), [*keys, *order])
@@ -36,22 +43,22 @@ def hash_tree(lines: DataFrame, keys: list[str], order: list[str], line: str, fa
         (F.octet_length("_line") + 1).cast("long").alias("bytes"),
         "total",
     )
-    path, height, schema = scratch(spark, "hash-tree"), 0, level.schema
+    path, top, schema = scratch(spark, "hash-tree"), 0, level.schema
     while True:
-        level.drop("level").write.parquet(f"{path}/level={height}")
-        below = spark.read.schema(schema).parquet(f"{path}/level={height}").drop("level")
+        level.drop("level").write.parquet(f"{path}/level={top}")
+        below = spark.read.schema(schema).parquet(f"{path}/level={top}").drop("level")
         # of the partitions that have more than one node so far, and of all the first level above the lines
-        open_ = below if height == 0 else below.where(F.col("total") > fanout**height)
-        if open_.isEmpty():
+        open_ = below if top == 0 else below.where(F.col("total") > fanout**top)
+        if top == height or open_.isEmpty():
             break
-        height += 1
+        top += 1
         at = [F.max(F.when(F.col("node") % fanout == i, F.col("hash"))).alias(f"_{i}") for i in range(fanout)]
         grouped = open_.groupBy(*keys, F.expr(f"node div {fanout}").alias("_node"), "total").agg(
             *at, F.sum("n_lines").alias("n_lines"), F.sum("bytes").alias("bytes")
         )
         level = grouped.select(
             *keys,
-            F.lit(height).alias("level"),
+            F.lit(top).alias("level"),
             F.col("_node").alias("node"),
             F.sha2(F.concat_ws("", *[f"_{i}" for i in range(fanout)]), 256).alias("hash"),
             "n_lines",
@@ -70,6 +77,35 @@ def roots(tree: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def flat_roots(tree: DataFrame, keys: list[str], fanout: int = FANOUT) -> DataFrame:
+    """``keys`` and ``tree_checksum`` of each partition: one hash of those of all its blocks of ``fanout`` lines, in order,
+    however many there are; of a single block its own.
+
+    One hash of a text can't be put together from those of its parts, so the hashes of a partition's blocks, two bytes a line,
+    pass through one task; it holds a batch of them at a time.
+    """
+    blocks = tree.where("level = 1").select(*keys, "node", "total", F.col("hash").alias("tree_checksum"))
+    n = len(keys)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running = hashlib.sha256()
+        for batch in batches:
+            last, found = [], []
+            for i, (node, total, value) in enumerate(zip(*(batch.column(n + j).to_pylist() for j in range(3)), strict=True)):
+                if node == 0:
+                    running = hashlib.sha256()
+                running.update(value.encode())
+                if (node + 1) * fanout >= total:
+                    last.append(i)
+                    found.append(running.hexdigest() if node else value)
+            rows = batch.take(pa.array(last, pa.int64()))
+            columns = [*rows.columns[:n], pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:n], "tree_checksum"])
+
+    line = blocks.repartition(F.struct(*keys)).sortWithinPartitions(*keys, "node")
+    return line.mapInArrow(hashed, blocks.drop("node", "total").schema)
+
+
 def differences(left: DataFrame, right: DataFrame, keys: list[str], fanout: int = FANOUT) -> DataFrame:
     """Action: ``keys`` and ``node``, the places of lines that differ or that only one tree has.
 

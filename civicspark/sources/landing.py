@@ -251,13 +251,19 @@ def manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: s
     )
 
 
-def tree_manifest(records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None) -> tuple[DataFrame, DataFrame]:
+def tree_manifest(
+    records: DataFrame, keys: list[str], order: list[str], timestamp: str | None = None, *, flat: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Action: a row for each partition as ``manifest`` has them, with ``tree_checksum``, the root of a hash tree over its
-    lines in ``order``, in place of one hash of all; and the trees, by which ``checksums.differences`` finds changed lines."""
+    lines in ``order``, in place of one hash of all; and the trees, by which ``checksums.differences`` finds changed lines.
+
+    With ``flat`` the root stands right above the blocks of lines: one hash of theirs, however many, and no levels between.
+    """
     fields = [c for c in records.columns if c not in keys]
     line, name = F.to_json(F.struct(*fields)), free_name(records, "_line")
-    tree = checksums.hash_tree(records.withColumn(name, line), keys, order, name)
-    root = checksums.roots(tree, keys).select(F.struct(*keys).alias("_key"), "tree_checksum")
+    tree = checksums.hash_tree(records.withColumn(name, line), keys, order, name, height=1 if flat else None)
+    found = checksums.flat_roots(tree, keys) if flat else checksums.roots(tree, keys)
+    root = found.select(F.struct(*keys).alias("_key"), "tree_checksum")
     sums = manifest(records, keys, order, timestamp, ordered=False).withColumn("_key", F.struct(*keys))
     return sums.join(root, "_key").drop("_key"), tree
 

@@ -7,11 +7,13 @@ import gzip
 import hashlib
 import json
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from civicspark.operators import checksums, ranks
+from civicspark.registry import ORACLES, QUERIES
 from civicspark.sources import landing
 
 
@@ -77,6 +79,37 @@ def test_hash_trees_match_a_plain_tree(spark, many_ranges):
     assert checksums.hash_tree(df.limit(0), ["_key"], ["at"], "line").collect() == []
 
 
+def test_flat_roots_hash_all_blocks(spark, many_ranges):
+    """Partitions of one line, of one block, of more blocks than a node of the tree has, and of several batches."""
+    sizes = {"a": 1, "b": 4, "c": 5, None: 64, "e": 65, "f": 300}
+    lines = {k: [f"{k} {i * i}" for i in range(n)] for k, n in sizes.items()}
+    df = spark.createDataFrame([(k, i, x) for k, v in lines.items() for i, x in enumerate(v)][::-1], "part string, at int, line string")
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    blocks = {k: [digest("".join(map(digest, v[i : i + 4]))) for i in range(0, len(v), 4)] for k, v in lines.items()}
+    tree = checksums.hash_tree(df, ["part"], ["at"], "line", fanout=4, height=1)
+    assert {r.level for r in tree.select("level").distinct().collect()} == {0, 1}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = sorted((tuple(r) for r in checksums.flat_roots(tree, ["part"], fanout=4).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(((k, b[0] if len(b) == 1 else digest("".join(b))) for k, b in blocks.items()), key=repr)
+    assert checksums.differences(tree, tree, ["part"], fanout=4).collect() == []
+    assert checksums.flat_roots(checksums.hash_tree(df.limit(0), ["part"], ["at"], "line", height=1), ["part"]).collect() == []
+
+
+def test_tree_manifest_of_large_partitions_matches_sql(spark, tmp_path):
+    """2,500 lines of a day: more than two levels of 32 hold."""
+    con = duckdb.connect()
+    con.execute(
+        "create table events as select range AS event_id, range % 9 AS user_id, CASE WHEN range % 50 = 0 THEN 'b' ELSE 'a' END AS event_type, TIMESTAMP '2024-01-01' AS ts FROM range(2500)"
+    )
+    con.execute(f"copy events to '{tmp_path}/events.parquet'")
+    want = con.execute(ORACLES["tree_manifest"]).fetchall()
+    columns = [c[0] for c in con.description]
+    assert sorted(map(tuple, QUERIES["tree_manifest"](spark, str(tmp_path)).select(*columns).collect())) == sorted(want)
+
+
 def test_hash_trees_locate_changes(spark):
     """A changed line, one that is lacking at the end, a partition that only one side has."""
     before = [(p, i, f"{p}{i}") for p, n in (("a", 100), ("b", 70), (None, 5), ("only", 3)) for i in range(n)]
