@@ -101,10 +101,13 @@ def supply_gaps(
     shift_span: tuple[str, str] = ("shift_start", "shift_end"),
 ) -> DataFrame:
     """Every event and zone with ``supply_gap``: 1 if no shift of the zone overlaps the event, 0 if one does, null for
-    events before the supply series begins. ``zones`` is a list of areas, in one row each, bounded by the city."""
+    events before the supply series begins. ``zones`` is a list of areas, in one row each, bounded by the city.
+
+    Of shifts of a zone with the same start the longest is enough: they come together before they are shuffled and dealt to
+    ranges, in which there are no more of them than starts.
+    """
     grid = events.select(event, *span).crossJoin(zones.select(zone))
-    met = overlaps(
-        grid, shifts.select(zone, *shift_span), on=[zone], left_span=span, right_span=shift_span
-    ).select(event, zone).distinct().withColumn("_met", F.lit(True))
+    longest = shifts.groupBy(zone, shift_span[0]).agg(F.max(shift_span[1]).alias(shift_span[1]))
+    met = overlaps(grid, longest, on=[zone], left_span=span, right_span=shift_span).select(event, zone).distinct().withColumn("_met", F.lit(True))
     gap = F.when(F.col(span[0]) >= F.lit(supply_start).cast("date"), F.when(F.col("_met").isNull(), 1).otherwise(0))
     return grid.join(met, [event, zone], "left").select(event, zone, *span, gap.alias("supply_gap"))

@@ -39,6 +39,32 @@ def test_overlaps_within_a_day(spark):
     assert none.collect() == []
 
 
+def test_supply_gaps_deal_one_shift_a_start(spark, monkeypatch):
+    """Against all pairs, with copies, shorter shifts of a start, null and reversed spans; only the longest meet events."""
+    rng = random.Random(5)
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    events = [(f"e{i}", day(s := rng.randint(0, 300)), day(s + rng.choice([0, 1, 9]))) for i in range(40)] + [("none", None, day(3))]
+    starts = [rng.randint(0, 300) for _ in range(12)]
+    shifts = [(rng.choice(["a", "b"]), day(s := rng.choice(starts)), day(s + rng.choice([0, 2, 5, -3]))) for _ in range(300)]
+    shifts += [("a", None, day(40)), ("a", day(41), None), (None, day(0), day(300)), ("c", day(9), day(2))] + [("b", day(50), day(52))] * 200
+    dealt, plain = [], intervals.overlaps
+
+    def counted(grid, rows, **more):
+        dealt.append(rows.count())
+        return plain(grid, rows, **more)
+
+    monkeypatch.setattr(intervals, "overlaps", counted)
+    found = intervals.supply_gaps(
+        spark.createDataFrame(events, "event_id string, start_date date, end_date date"), spark.createDataFrame([("a",), ("b",), ("c",)], "zone string"),
+        spark.createDataFrame(shifts, "zone string, shift_start date, shift_end date"), supply_start=day(20).isoformat(),
+    )
+    met = lambda z, s, e: any(None not in x and x[0] == z and x[1] <= x[2] and x[1] <= e and s <= x[2] for x in shifts)
+    want = {(i, z): None if s is None or s < day(20) else int(not met(z, s, e)) for i, s, e in events for z in "abc"}
+    rows = found.collect()
+    assert len(rows) == len(want) and {(r.event_id, r.zone): r.supply_gap for r in rows} == want
+    assert dealt == [len({x[:2] for x in shifts})]
+
+
 def test_covers_are_exact_and_small(spark):
     rng = random.Random(4)
     spans = [(a, a + n) for a, n in ((rng.randint(0, 1 << 21), rng.choice([0, 1, 5, 400, 36525, 900000])) for _ in range(60))]
