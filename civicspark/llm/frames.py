@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
 from ..session import drop_folder, shared_folder
 
@@ -72,6 +74,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A table of the driver's rows, by Arrow: rows as Python objects would go through Python workers of their own, which
+    stay idle beside those of the next stages. Types that Arrow may convert otherwise than Spark go that way still."""
+    schema = StructType.fromDDL(ddl)
+    if not rows or not all(type(f.dataType) is StringType or isinstance(f.dataType, (BooleanType, NumericType)) for f in schema):
+        return spark.createDataFrame(rows, schema)
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import materialize
+from .frames import materialize, small_table
 
 #: A word: anything but space, and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -122,7 +122,7 @@ def mix(
     slots = 2 * n_blocks + 2
     kind = docs.schema[source].dataType.simpleString()
     sources = [(i, t.source, t.size, t.target, *x) for i, (t, *x) in enumerate(zip(plan, goals, counts, strict=True))]
-    table = spark.createDataFrame(sources, f"_s int, _source {kind}, source_size long, target double, _goal long, _count long")
+    table = small_table(spark, sources, f"_s int, _source {kind}, source_size long, target double, _goal long, _count long")
 
     # the source's stream: rows by hashed place; running sums within hash buckets
     buckets = 1 << max(0, math.ceil(math.log2(max(1, sum(r["rows"] for r in per_source)) / _PER_BUCKET)))
@@ -161,7 +161,7 @@ def mix(
         low, high = before / max(1, n_blocks), (before + n) / max(1, n_blocks)
         ranges += [(cell, i, low, high) for cell in range(int(low * cells), int(high * cells) + 1) if n]
         before += n
-    intervals = spark.createDataFrame(ranges, "_cell int, _s int, _from double, _to double")
+    intervals = small_table(spark, ranges, "_cell int, _s int, _from double, _to double")
     near = points.withColumn("_cell", F.floor(F.col("_u") * cells).cast("int")).join(small(intervals), "_cell")
     hit = near.where((F.col("_u") >= F.col("_from")) & (F.col("_u") < F.col("_to"))).select(
         "slot", "_s", F.expr(f"slot div {_PER_BUCKET}").alias("_segment")

@@ -28,9 +28,9 @@ from .kernels import mix, shingle_sets, utf8
 
 #: Shingles of a group in which equal ones are sought, and of the slices of text that are hashed at once, in bytes.
 _GROUP = 5 << 19
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 #: Shingles that a task gathers before it sends them off.
-_GATHERED = 1 << 20
+_GATHERED = 1 << 19
 #: Of one in so many sets, by hash: shingles that so many of these hold are common; at most so many, 8 bytes each, are listed.
 _SAMPLE, _COMMON, _LISTED = 4096, 64, 100_000
 #: Fragments that the order is cut into.

@@ -104,6 +104,18 @@ def test_blocks_of_a_shingle_are_bounded(spark):
     assert max(tiles) < 1200
 
 
+def test_ngram_join_hashes_small_slices(words):
+    import tracemalloc
+
+    rng = random.Random(3)
+    column = pa.array([" ".join(rng.choice(words) for _ in range(300)) for _ in range(1500)])
+    tracemalloc.start()
+    found = sum(len(values) for _, _, values, _ in ngram_join._sets(column, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 400_000 and peak < 24e6, peak  # slices of a megabyte took more
+
+
 def test_ngram_join_empty(no_docs):
     assert ngram_join.join(no_docs).collect() == []
 
@@ -356,6 +368,12 @@ def test_mix_matches_a_plain_version(fixture_docs, fixture_rows, monkeypatch, go
     assert all(abs(t - target) <= 0.5 for (_, target), t in taken.items()) == (golden is None)
 
 
+def test_mix_starts_no_python_worker(fixture_docs):
+    mixed = mixing.mix(fixture_docs.select("doc_id", "text", "source"))
+    for table in (mixed.documents, mixed.schedule):
+        assert "ExistingRDD" not in table._jdf.queryExecution().toString()
+
+
 def test_targets_reshare_the_excess():
     found = mixing.targets([("b", 10), ("a", 1000), (None, 10)])
     assert [t.source for t in found] == ["a", "b", None]
